@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from diffloom.plans import grading_queries as G
+from diffloom.plans import patch_queries as P
 from diffloom.plans.oracles import ORACLES
 
 QUERIES = {
     "grade_runs": G.grade_runs,
     "regrade_modes": G.regrade_modes,
+    "patch_stats": P.patch_stats,
+    "patch_gates": P.patch_gates,
+    "split_patches": P.split_patches,
 }
 
 

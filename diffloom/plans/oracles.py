@@ -62,3 +62,58 @@ ORACLES: dict[str, str] = {
     "regrade_modes": _grade_sql("CASE WHEN CAST(substr(r.instance_id, 6) AS BIGINT) % 2 = 1 "
                                 "THEN 'fail_only' ELSE 'pass_and_fail' END"),
 }
+
+_PATCH = """
+li AS (
+  SELECT l_orderkey AS order_key, l_linenumber, l_suppkey % 4 AS file_id,
+         CAST(floor(l_quantity) AS INTEGER) AS q, l_returnflag AS rf, l_linestatus AS ls
+  FROM lineitem),
+h AS (
+  SELECT *, CASE rf WHEN 'R' THEN 1 + q % 3 WHEN 'N' THEN 1 ELSE 0 END AS n_rem,
+            CASE rf WHEN 'A' THEN 1 + q % 3 WHEN 'N' THEN 1 + q % 2 ELSE 0 END AS n_add
+  FROM li),
+f AS (
+  SELECT order_key, file_id, count(*) AS n_hunks, sum(n_add) AS added, sum(n_rem) AS removed,
+         arg_min(rf || ls, (l_linenumber, rf, ls)) = 'AO' AS is_added,
+         arg_min(rf || ls, (l_linenumber, rf, ls)) = 'RF' AS is_removed
+  FROM h GROUP BY 1, 2),
+o AS (
+  SELECT order_key, count(*) AS n_files,
+         count(*) FILTER (WHERE is_added) AS n_added_files,
+         count(*) FILTER (WHERE is_removed) AS n_removed_files,
+         count(*) FILTER (WHERE NOT is_added AND NOT is_removed) AS n_modified_files,
+         sum(n_hunks) AS n_hunks,
+         coalesce(sum(n_hunks) FILTER (WHERE NOT is_added AND NOT is_removed), 0) AS n_modified_hunks,
+         sum(added) AS added, sum(removed) AS removed
+  FROM f GROUP BY 1)"""
+
+ORACLES["patch_stats"] = f"""
+WITH {_PATCH}
+SELECT order_key, n_files, n_added_files, n_removed_files, n_modified_files,
+       CAST(n_hunks AS BIGINT) AS n_hunks, CAST(added AS BIGINT) AS added,
+       CAST(removed AS BIGINT) AS removed, true AS parseable,
+       n_files > n_added_files AND n_files > n_removed_files AND n_hunks > 0 AS valid_format
+FROM o"""
+
+ORACLES["patch_gates"] = f"""
+WITH {_PATCH}
+SELECT order_key, n_added_files + n_removed_files > 0 AS adds_or_removes,
+       added + removed <= 25 AS le_25_lines, n_modified_files <= 1 AS le_1_file,
+       n_modified_hunks > 0 AND n_modified_hunks <= 3 AS hunks_1_to_3,
+       n_added_files + n_removed_files = 0 AND n_modified_files <= 1
+         AND n_modified_hunks > 0 AND n_modified_hunks <= 3 AS passes
+FROM o"""
+
+ORACLES["split_patches"] = f"""
+WITH {_PATCH}
+SELECT order_key,
+       count(*) FILTER (WHERE file_id % 2 = 1) AS code_files,
+       CAST(coalesce(sum(added) FILTER (WHERE file_id % 2 = 1), 0) AS BIGINT) AS code_added,
+       CAST(coalesce(sum(removed) FILTER (WHERE file_id % 2 = 1), 0) AS BIGINT) AS code_removed,
+       count(*) FILTER (WHERE file_id % 2 = 0) AS test_files,
+       CAST(coalesce(sum(added) FILTER (WHERE file_id % 2 = 0), 0) AS BIGINT) AS test_added,
+       CAST(coalesce(sum(removed) FILTER (WHERE file_id % 2 = 0), 0) AS BIGINT) AS test_removed,
+       count(*) FILTER (WHERE NOT is_added) AS n_modified_paths,
+       coalesce('pkg/mod_' || CAST(min(file_id) FILTER (WHERE file_id % 2 = 1) AS VARCHAR) || '.py',
+                'tests/test_mod_' || CAST(min(file_id) FILTER (WHERE file_id % 2 = 0) AS VARCHAR) || '.py') AS target_file
+FROM f GROUP BY order_key"""
