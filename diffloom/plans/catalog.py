@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from diffloom.plans import grading_queries as G
 from diffloom.plans import patch_queries as P
+from diffloom.plans import text_queries as T
 from diffloom.plans.oracles import ORACLES
 
 QUERIES = {
@@ -12,6 +13,11 @@ QUERIES = {
     "patch_stats": P.patch_stats,
     "patch_gates": P.patch_gates,
     "split_patches": P.split_patches,
+    "statement_funnel": T.statement_funnel,
+    "resolved_refs": T.resolved_refs,
+    "hints_prefix": T.hints_prefix,
+    "repetition_filter": T.repetition_filter,
+    "release_pages": T.release_pages,
 }
 
 

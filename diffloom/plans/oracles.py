@@ -117,3 +117,70 @@ SELECT order_key,
        coalesce('pkg/mod_' || CAST(min(file_id) FILTER (WHERE file_id % 2 = 1) AS VARCHAR) || '.py',
                 'tests/test_mod_' || CAST(min(file_id) FILTER (WHERE file_id % 2 = 0) AS VARCHAR) || '.py') AS target_file
 FROM f GROUP BY order_key"""
+
+_W = r"[\pL\pN_]"
+ORACLES["statement_funnel"] = rf"""
+WITH d AS (
+  SELECT lang, text,
+         len(regexp_extract_all(text, '\S+')) > 40 AS g1,
+         regexp_matches(text, 'https?://(www\.)?\S+') AS has_link,
+         regexp_matches(text, '(?i)(^|[^\pL\pN_])(close|closes|closed|fix|fixes|fixed|resolve|resolves|resolved)\s+#\d')
+           OR regexp_matches(text, 'https?://gitlab.com/(.*)/issues') AS has_ref,
+         regexp_matches(text, '(^|[^/\pL\pN_])[0-9a-f]{{40}}($|[^\pL\pN_])') OR regexp_matches(text, '\[[0-9a-f]{{23}}\]') AS has_hash,
+         regexp_matches(text, '(?i){_W}\.(png|jpg|jpeg|gif|bmp|tiff|svg|webp|ico|heif|bpg|avif|mp4|avi|mkv|mov|wmv|flv|webm|mpeg)($|[^\pL\pN_])') AS has_media
+  FROM documents)
+SELECT lang, count(*) AS n_total, count(*) FILTER (WHERE g1) AS n_words_ok,
+       count(*) FILTER (WHERE g1 AND NOT has_link) AS n_no_links,
+       count(*) FILTER (WHERE g1 AND NOT has_link AND NOT has_ref) AS n_no_refs,
+       count(*) FILTER (WHERE g1 AND NOT has_link AND NOT has_ref AND NOT has_hash) AS n_no_hash,
+       count(*) FILTER (WHERE g1 AND NOT has_link AND NOT has_ref AND NOT has_hash AND NOT has_media) AS n_kept,
+       count(*) FILTER (WHERE has_hash) AS n_with_hash
+FROM d GROUP BY lang"""
+
+ORACLES["resolved_refs"] = """
+WITH li AS (
+  SELECT l_orderkey AS order_key, l_linenumber, l_partkey, l_suppkey, l_linestatus,
+         CASE l_returnflag WHEN 'R' THEN 'fixes' WHEN 'A' THEN 'Closes' ELSE 'refs' END AS word
+  FROM lineitem),
+pos AS (
+  SELECT *, row_number() OVER (PARTITION BY order_key ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus, word) AS p
+  FROM li WHERE l_linestatus = 'O'),
+per_word AS (
+  SELECT order_key, word, min(p) AS first_p, arg_max(l_partkey, p) AS num
+  FROM pos WHERE word IN ('fixes', 'Closes') GROUP BY 1, 2),
+agg AS (
+  SELECT order_key, count(*) AS n_resolved, string_agg(CAST(num AS VARCHAR), ',' ORDER BY first_p) AS resolved
+  FROM per_word GROUP BY 1)
+SELECT DISTINCT li.order_key, coalesce(agg.n_resolved, 0) AS n_resolved, coalesce(agg.resolved, '') AS resolved
+FROM li LEFT JOIN agg ON agg.order_key = li.order_key"""
+
+ORACLES["hints_prefix"] = """
+WITH c AS (SELECT * FROM conversations),
+fc AS (SELECT conv_id, min(turn) AS first_commit_at FROM c WHERE role = 'assistant' GROUP BY 1),
+x AS (
+  SELECT c.conv_id, c.turn, c.text,
+         min(CASE WHEN length(c.text) <= 300 AND c.turn < fc.first_commit_at THEN 1 ELSE 0 END)
+           OVER (PARTITION BY c.conv_id ORDER BY c.turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ok
+  FROM c JOIN fc ON c.conv_id = fc.conv_id)
+SELECT conv_id, count(*) AS n_hints, md5(string_agg(text, chr(10) ORDER BY turn)) AS hints_md5,
+       CAST(length(string_agg(text, chr(10) ORDER BY turn)) AS BIGINT) AS hints_chars
+FROM x WHERE ok = 1 GROUP BY conv_id"""
+
+ORACLES["repetition_filter"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS w FROM documents)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(len(list_distinct(w[greatest(len(w) - 99, 1):])) AS BIGINT) AS n_distinct_tail,
+       len(w) >= 100 AND len(list_distinct(w[greatest(len(w) - 99, 1):])) <= 10 AS repetitive
+FROM d"""
+
+ORACLES["release_pages"] = r"""
+WITH p AS (
+  SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS host,
+         regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
+         regexp_extract_all(html, '<a href="([^"]*)"', 1) AS links
+  FROM pages),
+pg AS (SELECT host, lang, count(*) AS n_pages FROM p GROUP BY 1, 2),
+lk AS (SELECT host, lang, count(DISTINCT href) AS n_distinct_links
+       FROM (SELECT host, lang, unnest(links) AS href FROM p) GROUP BY 1, 2)
+SELECT pg.host, pg.lang, pg.n_pages, coalesce(lk.n_distinct_links, 0) AS n_distinct_links
+FROM pg LEFT JOIN lk ON pg.host = lk.host AND pg.lang = lk.lang"""
