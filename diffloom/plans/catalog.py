@@ -5,6 +5,7 @@ from __future__ import annotations
 from diffloom.plans import grading_queries as G
 from diffloom.plans import patch_queries as P
 from diffloom.plans import text_queries as T
+from diffloom.plans import join_queries as J
 from diffloom.plans.oracles import ORACLES
 
 QUERIES = {
@@ -18,6 +19,17 @@ QUERIES = {
     "hints_prefix": T.hints_prefix,
     "repetition_filter": T.repetition_filter,
     "release_pages": T.release_pages,
+    "runnable": J.runnable,
+    "completed_anti": J.completed_anti,
+    "decontam_exact": J.decontam_exact,
+    "decontam_group": J.decontam_group,
+    "sample_groups": J.sample_groups,
+    "split_orders": J.split_orders,
+    "budget_stop": J.budget_stop,
+    "latest_orders": J.latest_orders,
+    "run_report_buckets": J.run_report_buckets,
+    "fingerprints": J.fingerprints,
+    "resume_union": J.resume_union,
 }
 
 

@@ -184,3 +184,69 @@ lk AS (SELECT host, lang, count(DISTINCT href) AS n_distinct_links
        FROM (SELECT host, lang, unnest(links) AS href FROM p) GROUP BY 1, 2)
 SELECT pg.host, pg.lang, pg.n_pages, coalesce(lk.n_distinct_links, 0) AS n_distinct_links
 FROM pg LEFT JOIN lk ON pg.host = lk.host AND pg.lang = lk.lang"""
+
+ORACLES["runnable"] = """
+SELECT d.doc_id AS instance_id, d.lang, l.toxic
+FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE l.quality = 1"""
+
+ORACLES["completed_anti"] = """
+SELECT doc_id AS instance_id, 'pending' AS kind FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL
+SELECT DISTINCT doc_id AS instance_id, 'unknown' AS kind FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)"""
+
+ORACLES["decontam_exact"] = """
+WITH ev AS (SELECT d.text FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels))
+SELECT d.doc_id AS instance_id FROM documents d
+WHERE d.doc_id NOT IN (SELECT doc_id FROM labels) AND d.text NOT IN (SELECT text FROM ev)"""
+
+ORACLES["decontam_group"] = """
+WITH ev AS (SELECT DISTINCT d.source FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1)
+SELECT d.doc_id AS instance_id, d.source FROM documents d
+WHERE d.doc_id NOT IN (SELECT doc_id FROM labels) AND d.source NOT IN (SELECT source FROM ev)"""
+
+ORACLES["sample_groups"] = """
+SELECT doc_id, source FROM (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR) || '|42'), doc_id) AS rn
+  FROM documents) WHERE rn <= 10"""
+
+ORACLES["split_orders"] = """
+SELECT o_orderkey, CAST(ntile(4) OVER (ORDER BY o_orderkey) - 1 AS INTEGER) AS part FROM orders"""
+
+ORACLES["budget_stop"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, length(text) AS n_chars,
+         len(regexp_extract_all(text, '\S+')) * CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 3 WHEN 'assistant' THEN 15 END AS cost
+  FROM conversations),
+w AS (
+  SELECT *, coalesce(sum(cost) OVER (PARTITION BY conv_id ORDER BY n_chars, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cost_before,
+         row_number() OVER (PARTITION BY conv_id ORDER BY n_chars, turn) AS rn
+  FROM c)
+SELECT conv_id, turn, CAST(cost AS BIGINT) AS cost, CAST(cost_before AS BIGINT) AS cost_before
+FROM w WHERE cost_before < 3000 OR rn = 1"""
+
+ORACLES["latest_orders"] = """
+WITH b AS (
+  SELECT o_orderstatus, o_orderpriority, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey
+  FROM orders GROUP BY 1, 2)
+SELECT b.o_orderstatus, b.o_orderpriority, b.o_orderkey, o.o_custkey, c.c_name
+FROM b JOIN orders o ON o.o_orderkey = b.o_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
+
+ORACLES["run_report_buckets"] = """
+WITH b AS (
+  SELECT d.doc_id,
+         CASE WHEN l.doc_id IS NULL THEN 'incomplete'
+              WHEN l.quality <> 1 THEN 'empty_patch'
+              WHEN d.lang IN ('en', 'fr') THEN CASE WHEN l.toxic = 0 THEN 'resolved' ELSE 'unresolved' END
+              ELSE 'error' END AS bucket
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+SELECT bucket, count(*) AS n, min(doc_id) AS min_id, max(doc_id) AS max_id, CAST(sum(doc_id) AS BIGINT) AS sum_id
+FROM b GROUP BY bucket"""
+
+ORACLES["fingerprints"] = """
+SELECT substr(sha256('{"brand":"' || p_brand || '","size":' || CAST(p_size AS VARCHAR) || ',"type":"' || p_type || '"}'), 1, 22) AS env_key,
+       count(*) AS n_parts, min(p_partkey) AS first_partkey
+FROM part GROUP BY 1"""
+
+ORACLES["resume_union"] = """
+SELECT doc_id AS instance_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 1 ELSE 2 END AS run
+FROM documents"""
