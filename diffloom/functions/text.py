@@ -84,7 +84,7 @@ def first_line(c) -> Column:
 def after_first_line(c) -> Column:
     """Text after the first newline ('' when there is none)."""
     parts = F.split(col_of(c), "\n", 2)
-    return F.coalesce(F.element_at(parts, 2), F.lit(""))
+    return F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))
 
 
 def lit_regex(s: str) -> str:

@@ -31,7 +31,7 @@ def resolved_issues(text) -> Column:
     pairs = F.arrays_zip(words.alias("w"), nums.alias("n"))
     kws = F.array(*[F.lit(k) for k in K.CLOSING_KEYWORDS])
     spellings = F.filter(F.array_distinct(words), lambda w: F.array_contains(kws, F.lower(w)))
-    return F.transform(spellings, lambda w: F.element_at(F.filter(pairs, lambda p: p["w"] == w), -1)["n"])
+    return F.transform(spellings, lambda w: F.try_element_at(F.filter(pairs, lambda p: p["w"] == w), F.lit(-1))["n"])
 
 
 def pull_text(title, body, commit_messages=None) -> Column:

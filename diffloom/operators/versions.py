@@ -39,10 +39,10 @@ def release_timeline(releases: DataFrame, keys: Sequence[str], time_col: str, va
     inside = r.groupBy(*keys, "__b").agg(F.array_sort(F.collect_list(F.struct("__t", *vals))).alias("inside"))
     g = grid.join(inside, keys + ["__b"], "left")
     w = Window.partitionBy(*keys).orderBy("__b")
-    last_in = F.element_at(F.col("inside"), -1)
+    last_in = F.try_element_at(F.col("inside"), F.lit(-1))
     g = g.withColumn("__last", last_in)
     g = g.withColumn("carry", F.last("__last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    first = F.first(F.element_at(F.col("inside"), 1), ignorenulls=True).over(
+    first = F.first(F.try_element_at(F.col("inside"), F.lit(1)), ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return g.withColumn("oldest", first).drop("__last")
 
@@ -60,7 +60,7 @@ def asof_join(left: DataFrame, releases: DataFrame, keys: Sequence[str], left_ti
     j = lb.join(tl, keys + ["__b"], "left")
     lt = F.col(left_time).cast("timestamp_ntz")
     cmp = (lambda x: x["__t"].cast("timestamp_ntz") < lt) if strict else (lambda x: x["__t"].cast("timestamp_ntz") <= lt)
-    hit = F.element_at(F.filter(F.coalesce(F.col("inside"), F.array().cast(tl.schema["inside"].dataType)), cmp), -1)
+    hit = F.try_element_at(F.filter(F.coalesce(F.col("inside"), F.array().cast(tl.schema["inside"].dataType)), cmp), F.lit(-1))
     # a bucket before the key's first release is not in the timeline: no carry, no oldest
     pick = F.coalesce(hit, F.col("carry"))
     if fallback == "oldest":
@@ -105,7 +105,7 @@ def major_minor(version) -> Column:
     """Keep ``major.minor`` (split on '.' or ','), then only digits and dots."""
     v = F.col(version) if isinstance(version, str) else version
     parts = F.split(v, r"[.,]")
-    mm = F.when(F.size(parts) >= 2, F.concat_ws(".", F.element_at(parts, 1), F.element_at(parts, 2))).otherwise(v)
+    mm = F.when(F.size(parts) >= 2, F.concat_ws(".", F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2)))).otherwise(v)
     return F.regexp_replace(mm, r"[^0-9.]", "")
 
 

@@ -6,6 +6,7 @@ from diffloom.plans import grading_queries as G
 from diffloom.plans import patch_queries as P
 from diffloom.plans import text_queries as T
 from diffloom.plans import join_queries as J
+from diffloom.plans import version_queries as V
 from diffloom.plans.oracles import ORACLES
 
 QUERIES = {
@@ -30,6 +31,8 @@ QUERIES = {
     "run_report_buckets": J.run_report_buckets,
     "fingerprints": J.fingerprints,
     "resume_union": J.resume_union,
+    "asof_release": V.asof_release,
+    "asof_version_order": V.asof_version_order,
 }
 
 

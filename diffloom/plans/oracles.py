@@ -250,3 +250,24 @@ FROM part GROUP BY 1"""
 ORACLES["resume_union"] = """
 SELECT doc_id AS instance_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 1 ELSE 2 END AS run
 FROM documents"""
+
+_REL = """
+o AS (SELECT o_orderkey, o_orderstatus, o_orderpriority AS repo, o_orderdate FROM orders),
+rel AS (SELECT repo, o_orderdate AS date,
+               CAST(year(o_orderdate) - 1990 AS VARCHAR) || '.' || CAST(month(o_orderdate) AS VARCHAR) AS version
+        FROM o WHERE o_orderstatus = 'F'),
+inst AS (SELECT o_orderkey AS instance_id, repo, o_orderdate AS created_at FROM o WHERE o_orderstatus <> 'F')"""
+
+ORACLES["asof_release"] = f"""
+WITH {_REL},
+r AS (SELECT repo, date, max(version) AS version FROM rel GROUP BY 1, 2)
+SELECT i.instance_id, i.repo, r.version
+FROM inst i ASOF LEFT JOIN r ON i.repo = r.repo AND i.created_at > r.date"""
+
+ORACLES["asof_version_order"] = f"""
+WITH {_REL},
+cut AS (SELECT repo, version, max(date) AS cutoff FROM rel GROUP BY 1, 2)
+SELECT i.instance_id, i.repo,
+       coalesce(max(c.version) FILTER (WHERE c.cutoff < i.created_at), min(c.version)) AS version
+FROM inst i LEFT JOIN cut c ON c.repo = i.repo
+GROUP BY i.instance_id, i.repo"""

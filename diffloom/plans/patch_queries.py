@@ -43,7 +43,7 @@ def order_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def file_text(fid):
         its = F.filter("its", lambda x: x["file_id"] == fid)
-        first = F.element_at(its, 1)
+        first = F.try_element_at(its, F.lit(1))
         added = (first["rf"] == "A") & (first["ls"] == "O")
         removed = (first["rf"] == "R") & (first["ls"] == "F")
         path = F.when(fid % 2 == 0, F.concat(F.lit("tests/test_mod_"), fid.cast("string"), F.lit(".py"))) \
