@@ -7,6 +7,7 @@ from diffloom.plans import patch_queries as P
 from diffloom.plans import text_queries as T
 from diffloom.plans import join_queries as J
 from diffloom.plans import version_queries as V
+from diffloom.plans import retrieval_queries as R
 from diffloom.plans.oracles import ORACLES
 
 QUERIES = {
@@ -33,6 +34,11 @@ QUERIES = {
     "resume_union": J.resume_union,
     "asof_release": V.asof_release,
     "asof_version_order": V.asof_version_order,
+    "bm25_top20": R.bm25_top20,
+    "recall": R.recall,
+    "pack_context": R.pack_context_q,
+    "code_text": R.code_text_q,
+    "train_tokens": R.train_tokens_q,
 }
 
 

@@ -271,3 +271,90 @@ SELECT i.instance_id, i.repo,
        coalesce(max(c.version) FILTER (WHERE c.cutoff < i.created_at), min(c.version)) AS version
 FROM inst i LEFT JOIN cut c ON c.repo = i.repo
 GROUP BY i.instance_id, i.repo"""
+
+_BM25 = r"""
+dt AS (SELECT lang AS corpus_id, doc_id, regexp_extract_all(lower(text), '[a-z0-9_]+') AS toks FROM documents),
+dlen AS (SELECT corpus_id, doc_id, len(toks) AS dl FROM dt),
+post AS (SELECT corpus_id, term, doc_id, count(*) AS tf
+         FROM (SELECT corpus_id, doc_id, unnest(toks) AS term FROM dt) GROUP BY ALL),
+dfq AS (SELECT corpus_id, term, count(*) AS df FROM post GROUP BY ALL),
+st AS (SELECT corpus_id, count(*) AS n_docs, avg(dl) AS avgdl FROM dlen GROUP BY 1),
+q AS (SELECT item_id, term, count(*) AS qtf
+      FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS term FROM benchmark) GROUP BY ALL),
+sc AS (
+  SELECT q.item_id AS query_id, p.corpus_id, p.doc_id,
+         round(sum(q.qtf * ln(1 + (s.n_docs - d.df + 0.5) / (d.df + 0.5)) * p.tf * (0.9 + 1)
+                   / (p.tf + 0.9 * (1 - 0.4 + 0.4 * l.dl / s.avgdl))), 6) AS score
+  FROM q JOIN dfq d ON d.term = q.term JOIN st s ON s.corpus_id = d.corpus_id
+  JOIN post p ON p.corpus_id = d.corpus_id AND p.term = q.term
+  JOIN dlen l ON l.corpus_id = p.corpus_id AND l.doc_id = p.doc_id
+  GROUP BY 1, 2, 3),
+hits AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, corpus_id ORDER BY score DESC, doc_id) AS rank FROM sc)
+  WHERE rank <= 20)"""
+
+ORACLES["bm25_top20"] = f"""
+WITH {_BM25}
+SELECT query_id, corpus_id, rank, doc_id, score FROM hits"""
+
+ORACLES["recall"] = f"""
+WITH {_BM25},
+gold AS (SELECT DISTINCT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON instr(d.text, substr(b.text, 1, 40)) > 0),
+ret AS (SELECT DISTINCT query_id AS item_id, doc_id FROM hits),
+ng AS (SELECT item_id, count(*) AS n_gold FROM gold GROUP BY 1),
+nr AS (SELECT item_id, count(*) AS n_retrieved FROM ret GROUP BY 1),
+nh AS (SELECT g.item_id, count(*) AS n_hit FROM gold g JOIN ret r ON r.item_id = g.item_id AND r.doc_id = g.doc_id GROUP BY 1)
+SELECT ng.item_id, ng.n_gold, nr.n_retrieved, coalesce(nh.n_hit, 0) AS n_hit,
+       round(CAST(coalesce(nh.n_hit, 0) AS DOUBLE) / ng.n_gold, 6) AS recall
+FROM ng JOIN nr ON nr.item_id = ng.item_id LEFT JOIN nh ON nh.item_id = ng.item_id"""
+
+_PACK = r"""
+h2 AS (SELECT h.query_id, h.corpus_id, h.rank, h.doc_id, len(regexp_extract_all(d.text, '\S+')) AS tokens
+       FROM hits h JOIN documents d ON d.doc_id = h.doc_id),
+base AS (SELECT item_id AS query_id, len(regexp_extract_all(text, '\S+')) AS base FROM benchmark),
+pk(query_id, corpus_id, rank, used, taken, n) AS (
+  SELECT DISTINCT h2.query_id, h2.corpus_id, 0, CAST(base.base AS BIGINT), '', 0
+  FROM h2 JOIN base ON base.query_id = h2.query_id
+  UNION ALL
+  SELECT pk.query_id, pk.corpus_id, pk.rank + 1,
+         CASE WHEN pk.used + h2.tokens < 6000 THEN pk.used + h2.tokens ELSE pk.used END,
+         CASE WHEN pk.used + h2.tokens < 6000
+              THEN CASE WHEN pk.taken = '' THEN '' ELSE pk.taken || ',' END || CAST(h2.doc_id AS VARCHAR)
+              ELSE pk.taken END,
+         pk.n + CASE WHEN pk.used + h2.tokens < 6000 THEN 1 ELSE 0 END
+  FROM pk JOIN h2 ON h2.query_id = pk.query_id AND h2.corpus_id = pk.corpus_id AND h2.rank = pk.rank + 1),
+fin AS (SELECT * FROM pk WHERE (query_id, corpus_id, rank) IN (SELECT (query_id, corpus_id, max(rank)) FROM h2 GROUP BY query_id, corpus_id))"""
+
+ORACLES["pack_context"] = f"""
+WITH RECURSIVE {_BM25}, {_PACK}
+SELECT query_id, corpus_id, CAST(n AS BIGINT) AS n_taken, used, taken FROM fin"""
+
+ORACLES["code_text"] = f"""
+WITH RECURSIVE {_BM25}, {_PACK},
+taken AS (SELECT fin.query_id, fin.corpus_id, CAST(unnest(string_split(fin.taken, ',')) AS BIGINT) AS doc_id FROM fin WHERE fin.taken <> ''),
+f AS (SELECT t.query_id, t.corpus_id, 'doc_' || CAST(t.doc_id AS VARCHAR) || '.txt' AS path, d.text AS content
+      FROM taken t JOIN documents d ON d.doc_id = t.doc_id),
+code AS (
+  SELECT query_id, corpus_id, count(*) AS n_files,
+         regexp_replace(string_agg('[start of ' || path || ']' || chr(10) || content || chr(10) || '[end of ' || path || ']', chr(10) ORDER BY path),
+                        '^\\n+|\\n+$', '', 'g') AS code
+  FROM f GROUP BY 1, 2),
+pr AS (
+  SELECT c.query_id, c.corpus_id, c.n_files,
+         concat_ws(chr(10), 'You will be provided with a partial code base and an issue statement explaining a problem to resolve.',
+                   '<issue>', b.text, '</issue>', '<code>', '', c.code, '</code>',
+                   'Produce a patch file that resolves the issue, in unified diff format.') AS prompt
+  FROM code c JOIN benchmark b ON b.item_id = c.query_id),
+tx AS (SELECT query_id, corpus_id, n_files, regexp_replace(prompt, '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10) AS text FROM pr)
+SELECT query_id, corpus_id, n_files, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS text_chars FROM tx"""
+
+ORACLES["train_tokens"] = r"""
+WITH c AS (SELECT * FROM conversations),
+p AS (SELECT u.conv_id, u.turn,
+             len(regexp_extract_all(lower(u.text || chr(10)), '\w+|[^\w\s]')) AS nt,
+             len(regexp_extract_all(lower(a.text), '\w+|[^\w\s]')) + 1 AS nl
+      FROM c u JOIN c a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+      WHERE u.role = 'user')
+SELECT conv_id, turn, CAST(nt + nl - 1 AS BIGINT) AS n_input_ids, CAST(greatest(nt - 1, 0) + nl AS BIGINT) AS n_labels,
+       CAST(greatest(nt - 1, 0) AS BIGINT) AS n_masked
+FROM p"""
