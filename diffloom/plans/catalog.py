@@ -13,6 +13,10 @@ from diffloom.plans.oracles import ORACLES
 QUERIES = {
     "grade_runs": G.grade_runs,
     "regrade_modes": G.regrade_modes,
+    "suite_results": G.suite_results,
+    "suite_summary": G.suite_summary,
+    "refresh_gold": G.refresh_gold,
+    "best_config": G.best_config,
     "patch_stats": P.patch_stats,
     "patch_gates": P.patch_gates,
     "split_patches": P.split_patches,

@@ -34,3 +34,72 @@ def regrade_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(F.col("user_id") % 2 == 1, F.lit(K.FAIL_ONLY))
                      .otherwise(F.lit(K.PASS_AND_FAIL)).alias("eval_type")))
     return _graded(spark, sf_dir, modes)
+
+
+# ----------------------------------------------------------------------------- E6, E16
+
+from diffloom.operators.reports import result_rows, result_summary, summary_levels  # noqa: E402
+from diffloom.operators.grading import best_config_per_group, refresh_gold_tests  # noqa: E402
+from diffloom.plans.common import F2P_TYPES, event_rows, status_band  # noqa: E402
+
+
+def _result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result-file rows: one instance per user, its first-day events are its test runs
+    (exit 0 below 60, 1 below 200, else 4); users without first-day events have ``[]``."""
+    ev = t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    iid = F.concat(F.lit("proj"), (F.col("user_id") % 5).cast("string"), F.lit("__app-"), F.col("user_id").cast("string"))
+    users = ev.select("user_id").distinct().select("user_id", iid.alias("instance_id"))
+    first_day = ev.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz"))
+    res = first_day.select("user_id", F.struct(
+        F.col("event_id"),
+        F.concat(F.lit("tests/test_"), F.col("event_type"), F.lit(".py")).alias("test_file"),
+        F.col("event_type").alias("test_case"),
+        F.when(F.col("event_type").isin(F2P_TYPES), F.lit(K.FAIL_TO_PASS)).otherwise(F.lit(K.PASS_TO_PASS)).alias("test_type"),
+        F.when(F.col("value") < 60, F.lit(0)).when(F.col("value") < 200, F.lit(1)).otherwise(F.lit(4)).alias("exit_code")).alias("r"))
+    per = res.groupBy("user_id").agg(F.collect_list("r").alias("results"))
+    out = users.join(per, "user_id", "left")
+    return out.select("instance_id", F.substring_index("instance_id", "-", 1).alias("repo_key"),
+                      F.coalesce("results", F.array().cast(per.schema["results"].dataType)).alias("results"))
+
+
+def suite_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 + E16 per instance (compat: no tests counts as passed; strict needs one)."""
+    per = result_summary(result_rows(_result_files(spark, sf_dir)))
+    return per.select("instance_id", "repo_key", "total_tests", "passed_tests", "fail_to_pass", "pass_to_pass",
+                      "has_warning", "n_exit_1", "n_exit_other", "passed_compat", "passed_strict")
+
+
+def suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 totals per repository and overall (``repo_key`` NULL) in one rollup."""
+    per = result_summary(result_rows(_result_files(spark, sf_dir)))
+    return summary_levels(per).select("repo_key", "instances", "passed_compat", "passed_strict", "warnings",
+                                      F.col("fail_to_pass").cast("long").alias("fail_to_pass"),
+                                      F.col("pass_to_pass").cast("long").alias("pass_to_pass"),
+                                      F.col("tests").cast("long").alias("tests"))
+
+
+# ----------------------------------------------------------------------------- E10, E11
+
+def _fresh_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four configurations = four slices of the month; last status per test in each slice."""
+    ev = event_rows(spark, sf_dir)
+    cfg = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)).cast("int")
+    ev = ev.withColumn("config", cfg)
+    return ev.groupBy("config", "instance_id", "test").agg(
+        F.max_by("status", F.struct("ts", "event_id")).alias("status"))
+
+
+def refresh_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per configuration and instance, new gold lists from fresh statuses (PASSED only)."""
+    r = refresh_gold_tests(_fresh_statuses(spark, sf_dir), event_gold(spark, sf_dir))
+    return r.select("config", "instance_id", "new_f2p", "new_p2p", "old_f2p", "old_p2p", "reproduced",
+                    "f2p_changed", "p2p_changed")
+
+
+def best_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per group (instances of users by ``user_id % 3``) the configuration reproducing most
+    instances; the lower configuration number wins a tie."""
+    r = refresh_gold_tests(_fresh_statuses(spark, sf_dir), event_gold(spark, sf_dir))
+    r = r.withColumn("grp", (F.substring("instance_id", 6, 20).cast("long") % 3).cast("int")) \
+         .withColumn("config_rank", F.col("config"))
+    return best_config_per_group(r, ["grp"], "config", "config_rank")

@@ -358,3 +358,61 @@ p AS (SELECT u.conv_id, u.turn,
 SELECT conv_id, turn, CAST(nt + nl - 1 AS BIGINT) AS n_input_ids, CAST(greatest(nt - 1, 0) + nl AS BIGINT) AS n_labels,
        CAST(greatest(nt - 1, 0) AS BIGINT) AS n_masked
 FROM p"""
+
+_RES = """
+u AS (SELECT DISTINCT user_id, 'proj' || CAST(user_id % 5 AS VARCHAR) || '__app-' || CAST(user_id AS VARCHAR) AS instance_id FROM events),
+r AS (SELECT user_id, CASE WHEN event_type IN ('error', 'signup') THEN 'FAIL_TO_PASS' ELSE 'PASS_TO_PASS' END AS test_type,
+             CASE WHEN value < 60 THEN 0 WHEN value < 200 THEN 1 ELSE 4 END AS exit_code
+      FROM events WHERE ts < TIMESTAMP '2024-01-02 00:00:00'),
+per AS (
+  SELECT u.instance_id, split_part(u.instance_id, '-', 1) AS repo_key,
+         count(r.exit_code) AS total_tests,
+         count(*) FILTER (WHERE r.exit_code = 0) AS passed_tests,
+         count(*) FILTER (WHERE r.test_type = 'FAIL_TO_PASS' AND r.exit_code = 0) AS fail_to_pass,
+         count(*) FILTER (WHERE r.test_type = 'PASS_TO_PASS' AND r.exit_code = 0) AS pass_to_pass,
+         coalesce(bool_or(r.exit_code NOT IN (0, 1)), false) AS has_warning,
+         count(*) FILTER (WHERE r.exit_code = 1) AS n_exit_1,
+         count(*) FILTER (WHERE r.exit_code NOT IN (0, 1)) AS n_exit_other
+  FROM u LEFT JOIN r ON r.user_id = u.user_id GROUP BY 1, 2),
+per2 AS (SELECT *, passed_tests = total_tests AS passed_compat, passed_tests = total_tests AND total_tests > 0 AS passed_strict FROM per)"""
+
+ORACLES["suite_results"] = f"""
+WITH {_RES}
+SELECT * FROM per2"""
+
+ORACLES["suite_summary"] = f"""
+WITH {_RES}
+SELECT repo_key, count(*) AS instances, count(*) FILTER (WHERE passed_compat) AS passed_compat,
+       count(*) FILTER (WHERE passed_strict) AS passed_strict, count(*) FILTER (WHERE has_warning) AS warnings,
+       CAST(sum(fail_to_pass) AS BIGINT) AS fail_to_pass, CAST(sum(pass_to_pass) AS BIGINT) AS pass_to_pass,
+       CAST(sum(total_tests) AS BIGINT) AS tests
+FROM per2 GROUP BY GROUPING SETS ((repo_key), ())"""
+
+_FRESH = f"""
+WITH {_EV},
+fs AS (SELECT CAST(least(floor((day(ts) - 1) / 8), 3) AS INTEGER) AS config, instance_id, test,
+              arg_max(status, (ts, event_id)) AS status
+       FROM ev GROUP BY 1, 2, 3),
+passed AS (SELECT DISTINCT config, instance_id, test FROM fs WHERE status = 'PASSED'),
+per AS (
+  SELECT p.config, p.instance_id,
+         count(*) FILTER (WHERE g.category = 'FAIL_TO_PASS') AS new_f2p,
+         count(*) FILTER (WHERE g.category IS DISTINCT FROM 'FAIL_TO_PASS') AS new_p2p,
+         count(*) FILTER (WHERE g.category = 'PASS_TO_PASS') AS p2p_kept
+  FROM passed p LEFT JOIN gold g ON g.instance_id = p.instance_id AND g.test = p.test GROUP BY 1, 2),
+sizes AS (SELECT instance_id, count(*) FILTER (WHERE category = 'FAIL_TO_PASS') AS old_f2p,
+                 count(*) FILTER (WHERE category = 'PASS_TO_PASS') AS old_p2p FROM gold GROUP BY 1),
+rf AS (
+  SELECT per.config, per.instance_id, per.new_f2p, per.new_p2p, coalesce(s.old_f2p, 0) AS old_f2p,
+         coalesce(s.old_p2p, 0) AS old_p2p, per.new_f2p > 0 AS reproduced,
+         per.new_f2p <> coalesce(s.old_f2p, 0) AS f2p_changed,
+         per.new_p2p <> coalesce(s.old_p2p, 0) OR per.p2p_kept <> coalesce(s.old_p2p, 0) AS p2p_changed
+  FROM per LEFT JOIN sizes s ON s.instance_id = per.instance_id)"""
+
+ORACLES["refresh_gold"] = _FRESH + """
+SELECT * FROM rf"""
+
+ORACLES["best_config"] = _FRESH + """,
+cnt AS (SELECT CAST(CAST(substr(instance_id, 6) AS BIGINT) % 3 AS INTEGER) AS grp, config, count(*) AS n_reproduced
+        FROM rf WHERE reproduced GROUP BY 1, 2)
+SELECT grp, arg_max(config, (n_reproduced, -config)) AS config, max(n_reproduced) AS n_reproduced FROM cnt GROUP BY grp"""
