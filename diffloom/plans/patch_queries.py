@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from diffloom.operators.patches import modified_of, parse_patch, split_parsed, summary_of, target_file
-from diffloom.functions.filters import valid_patch_format
+from diffloom.operators.patches import gate_columns, hunk_rows, patch_stats as stats_table, stats_aggs, split_patch, target_file
+from diffloom.functions.filters import is_test_path_substring, valid_patch_format
 from diffloom.plans.common import t
 
 
@@ -65,48 +65,33 @@ def _long(c: Column) -> Column:
     return c.cast("long")
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_patches(spark, sf_dir).select("order_key", "patch", parse_patch(F.col("patch")).alias("files"))
-
-
 def patch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-diff counts from the parsed structure."""
-    d = _parsed(spark, sf_dir).select("order_key", "patch", summary_of(F.col("files")).alias("s"))
-    s = F.col("s")
-    return d.select(
-        "order_key", _long(s["n_files"]).alias("n_files"), _long(s["n_added_files"]).alias("n_added_files"),
-        _long(s["n_removed_files"]).alias("n_removed_files"), _long(s["n_modified_files"]).alias("n_modified_files"),
-        _long(s["n_hunks"]).alias("n_hunks"), _long(s["added"]).alias("added"),
-        _long(s["removed"]).alias("removed"), s["parseable"].alias("parseable"),
-        valid_patch_format(F.col("patch")).alias("valid_format"))
+    """Per-diff counts from the exploded hunk rows."""
+    p = order_patches(spark, sf_dir)
+    st = stats_table(p, "patch", ["order_key"])
+    fmt = p.select("order_key", valid_patch_format(F.col("patch")).alias("valid_format"))
+    return st.join(fmt, "order_key").select(
+        "order_key", "n_files", "n_added_files", "n_removed_files", "n_modified_files", "n_hunks",
+        "added", "removed", "parseable", "valid_format")
 
 
 def patch_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B8, B10, B11, B12 and the patch gate of B14."""
-    d = _parsed(spark, sf_dir).select("order_key", summary_of(F.col("files")).alias("s"))
-    s = F.col("s")
-    h = s["n_modified_hunks"]
-    return d.select(
-        "order_key",
-        ((s["n_added_files"] + s["n_removed_files"]) > 0).alias("adds_or_removes"),
-        ((s["added"] + s["removed"]) <= 25).alias("le_25_lines"),
-        (s["n_modified_files"] <= 1).alias("le_1_file"),
-        ((h > 0) & (h <= 3)).alias("hunks_1_to_3"),
-        (((s["n_added_files"] + s["n_removed_files"]) == 0) & (s["n_modified_files"] <= 1)
-         & (h > 0) & (h <= 3)).alias("passes"))
+    st = stats_table(order_patches(spark, sf_dir), "patch", ["order_key"])
+    return st.select("order_key", *[v.alias(k) for k, v in gate_columns().items()])
 
 
 def split_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """code/test split of the parsed diff (each part is summarised from
-    the same parse, no second pass over the text)."""
-    p = _parsed(spark, sf_dir).select("order_key", split_parsed(F.col("files")).alias("sp"),
-                                      F.size(modified_of(F.col("files"))).alias("n_mod"))
-    code, test = F.col("sp.code_summary"), F.col("sp.test_summary")
-    return p.select(
-        "order_key",
-        _long(code["n_files"]).alias("code_files"), _long(code["added"]).alias("code_added"),
-        _long(code["removed"]).alias("code_removed"),
-        _long(test["n_files"]).alias("test_files"), _long(test["added"]).alias("test_added"),
-        _long(test["removed"]).alias("test_removed"),
-        _long(F.col("n_mod")).alias("n_modified_paths"),
-        target_file(F.col("sp.patch"), F.col("sp.test_patch")).alias("target_file"))
+    """code/test split. The split texts come from ``split_patch`` (headers
+    only); their statistics from one aggregate over the hunk rows with the test flag."""
+    p = order_patches(spark, sf_dir)
+    h = hunk_rows(p, "patch", ["order_key"]).withColumn("is_test", is_test_path_substring(F.col("path")))
+    st = h.groupBy("order_key").agg(
+        *stats_aggs("code_", ~F.col("is_test")), *stats_aggs("test_", F.col("is_test")),
+        F.count_if(F.coalesce(F.col("hunk_pos") == 0, F.lit(True)) & F.col("source").startswith("a/")).alias("n_modified_paths"))
+    sp = p.select("order_key", split_patch(F.col("patch")).alias("sp"))
+    tf = sp.select("order_key", target_file(F.col("sp.patch"), F.col("sp.test_patch")).alias("target_file"))
+    return st.join(tf, "order_key").select(
+        "order_key", F.col("code_n_files").alias("code_files"), F.col("code_added"), F.col("code_removed"),
+        F.col("test_n_files").alias("test_files"), F.col("test_added"), F.col("test_removed"),
+        "n_modified_paths", "target_file")
