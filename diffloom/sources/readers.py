@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from diffloom import schemas
 from diffloom.functions.filters import is_test_path_words
 from diffloom.functions.text import lit_regex
-from diffloom.operators.patches import valid_patch_format
+from diffloom.functions.filters import valid_patch_format
 from diffloom.operators.reports import exclude_completed, missing_ids
 
 
@@ -50,7 +50,7 @@ def read_predictions(spark: SparkSession, path: str, instances: DataFrame | None
     if path.endswith(".jsonl"):
         df = spark.read.schema(schemas.PREDICTION).json(path)
     else:
-        raw = spark.read.option("wholetext", True).text(path)
+        raw = spark.read.text(path, wholetext=True)
         first = F.regexp_extract(F.col("value"), r"^\s*(\S)", 1)
         as_list = F.from_json("value", "array<struct<instance_id:string,model_name_or_path:string,model_patch:string>>")
         as_map = F.from_json("value", "map<string,struct<instance_id:string,model_name_or_path:string,model_patch:string>>")
@@ -65,7 +65,7 @@ def read_predictions(spark: SparkSession, path: str, instances: DataFrame | None
 def read_logs(spark: SparkSession, root: str, file_name: str = "test_output.txt") -> DataFrame:
     """A5: ``<root>/<run>/<model>/<instance>/test_output.txt`` -> (run_id, model, instance_id,
     log). For large corpora compact this once to Parquet; each file is one cell."""
-    df = spark.read.option("wholetext", True).text(os.path.join(root, "*", "*", "*", file_name))
+    df = spark.read.text(os.path.join(root, "*", "*", "*", file_name), wholetext=True)
     p = F.col("_metadata.file_path")
     pat = r"([^/]+)/([^/]+)/([^/]+)/[^/]+$"
     return df.select(F.regexp_extract(p, pat, 1).alias("run_id"),
@@ -159,7 +159,7 @@ def merge_parts(spark: SparkSession, glob: str, expected_ids: DataFrame | None =
 
 def read_patch_dir(spark: SparkSession, glob: str, model_name: str) -> DataFrame:
     """One diff per file; id from the file name; malformed diffs flagged."""
-    df = spark.read.option("wholetext", True).text(glob)
+    df = spark.read.text(glob, wholetext=True)
     iid = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
     return df.select(iid.alias("instance_id"), F.lit(model_name).alias("model_name_or_path"),
                      F.col("value").alias("model_patch"), valid_patch_format(F.col("value")).alias("well_formed"))

@@ -98,7 +98,7 @@ def grade_stream(spark: SparkSession, logs_dir: str, gold: DataFrame, output_dir
 
     ``repo_of``: (instance_id, repo) so the dialect can be chosen; default pytest.
     """
-    src = (spark.readStream.format("text").option("wholetext", True)
+    src = (spark.readStream.format("text").option("wholetext", "true")
            .load(logs_dir.rstrip("/") + "/*/*/*/test_output.txt"))
     p = F.col("_metadata.file_path")
     pat = r"([^/]+)/([^/]+)/([^/]+)/[^/]+$"
