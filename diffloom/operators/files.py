@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from diffloom import constants as K
 from diffloom.functions.text import as_string_array, col_of
-from diffloom.session import checkpoint_dir
+from diffloom.session import materialize
 
 
 def parse_test_ids(instances: DataFrame, snapshot: DataFrame | None = None, id_col: str = "instance_id") -> DataFrame:
@@ -89,20 +89,18 @@ def import_closure(snapshot: DataFrame, targets: DataFrame, max_rounds: int = 50
     """Files reachable from each target ``(corpus_id, path)`` through imports.
 
     Frontier iteration: join the frontier with the edges, drop what was reached already
-    (``left_anti``), stop when nothing is new. Each round's reached set is checkpointed to the
-    shared checkpoint folder (reliable, survives executor loss) to cut the growing lineage."""
-    spark = snapshot.sparkSession
-    checkpoint_dir(spark)
+    (``left_anti``), stop when nothing is new. Each round's sets are written to the shared
+    checkpoint folder (survives executor loss) to cut the growing lineage."""
     edges = resolve_edges(snapshot)
     reached = targets.select("corpus_id", F.col("path").alias("root"), F.col("path").alias("file")).distinct()
     frontier = reached
     for _ in range(max_rounds):
         nxt = (frontier.join(edges, (frontier.corpus_id == edges.corpus_id) & (frontier.file == edges.src))
                .select(frontier.corpus_id, "root", F.col("dst").alias("file")).distinct())
-        new = nxt.join(reached, ["corpus_id", "root", "file"], "left_anti").checkpoint(eager=True)
+        new = materialize(nxt.join(reached, ["corpus_id", "root", "file"], "left_anti"), "import-frontier")
         if new.limit(1).count() == 0:
             break
-        reached = reached.unionByName(new).checkpoint(eager=True)
+        reached = materialize(reached.unionByName(new), "import-reached")
         frontier = new
     return reached
 

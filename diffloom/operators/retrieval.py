@@ -17,6 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from diffloom.operators.joins import bounded_broadcast
+from diffloom.session import materialize
+
 TOKEN_RE = r"[a-z0-9_]+"
 K1 = 0.9
 B = 0.4
@@ -27,18 +30,36 @@ def terms(text) -> Column:
     return F.regexp_extract_all(F.lower(t), F.lit(TOKEN_RE), 0)
 
 
-def bm25_index(docs: DataFrame, corpus_col: str, doc_col: str, text_col: str) -> dict[str, DataFrame]:
-    """K1: postings, lengths, document frequencies and corpus statistics."""
+def bm25_index(docs: DataFrame, corpus_col: str, doc_col: str, text_col: str,
+               only_terms: DataFrame | None = None, write_postings: bool = True) -> dict[str, DataFrame]:
+    """K1: postings, lengths, document frequencies and corpus statistics.
+
+    ``only_terms`` (a ``term`` column) prunes postings and frequencies to those terms: the
+    exploded tokens are semi-joined with the term set (broadcast behind a size check) inside the map
+    stage, so only matching rows reach the shuffle. Lengths and corpus statistics always
+    cover every document (they do not explode tokens).
+    """
     tok = docs.select(F.col(corpus_col).alias("corpus_id"), F.col(doc_col).alias("doc_id"),
                       terms(text_col).alias("toks"))
     lengths = tok.select("corpus_id", "doc_id", F.size("toks").alias("dl"))
-    postings = (tok.select("corpus_id", "doc_id", F.explode("toks").alias("term"))
-                .groupBy("corpus_id", "term", "doc_id").agg(F.count("*").alias("tf")))
+    exploded = tok.select("corpus_id", "doc_id", F.explode("toks").alias("term"))
+    if only_terms is not None:
+        exploded = exploded.join(bounded_broadcast(only_terms.select("term").distinct()), "term", "left_semi")
+    postings = exploded.groupBy("corpus_id", "term", "doc_id").agg(F.count("*").alias("tf"))
+    if write_postings:
+        # postings feed both the document frequencies and the scoring join: write them once
+        # to the shared checkpoint folder instead of exploding the corpus twice
+        postings = materialize(postings, "bm25-postings")
     dfreq = postings.groupBy("corpus_id", "term").agg(F.count("*").alias("df"))
     stats = lengths.groupBy("corpus_id").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
     return {"postings": postings, "lengths": lengths, "df": dfreq, "stats": stats}
 
 
+def query_terms(queries: DataFrame, text_col: str) -> DataFrame:
+    """Distinct terms of a query batch (the pruning set of ``bm25_index``)."""
+    return queries.select(F.explode(terms(text_col)).alias("term")).distinct()
+
+
 def bm25_search(index: dict[str, DataFrame], queries: DataFrame, query_id_col: str, text_col: str,
                 corpus_col: str | None = None, k: int = 20, k1: float = K1, b: float = B,
                 max_df_ratio: float | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from diffloom.session import checkpoint_dir
+from diffloom.session import materialize
 
 
 def hash_order(id_col, seed: int) -> Column:
@@ -46,14 +46,12 @@ def global_rank(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """0-based rank in ``order_cols`` order (ties broken by the caller's columns) without moving
     all rows to one task, plus ``__total`` (the row count).
 
-    ``orderBy`` range-partitions and sorts; the sorted rows are checkpointed to the shared
-    checkpoint folder so that counting and numbering read the same partitions; the
+    ``orderBy`` range-partitions and sorts; the sorted rows are written once to the shared
+    checkpoint folder so that counting and numbering read the same rows; the
     per-partition counts (one row per partition) become offsets.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    s = (df.orderBy(*order_cols).withColumn("__pid", F.spark_partition_id())
-           .withColumn("__mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    s = materialize(df.orderBy(*order_cols).withColumn("__pid", F.spark_partition_id())
+                      .withColumn("__mid", F.monotonically_increasing_id()), "global-rank")
     counts = s.groupBy("__pid").agg(F.count("*").alias("__n"), F.min("__mid").alias("__first"))
     w = Window.orderBy("__pid")
     offsets = (counts.withColumn("__off", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

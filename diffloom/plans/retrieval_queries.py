@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diffloom.functions.text import word_count, words
+from diffloom.operators.joins import bounded_broadcast
 from diffloom.operators.prompts import code_text, pack_context, render_prompt, text_dataset
-from diffloom.operators.retrieval import bm25_index, bm25_search, retrieval_recall
+from diffloom.operators.retrieval import bm25_index, bm25_search, query_terms, retrieval_recall
 from diffloom.operators.tokens import train_tokens
 from diffloom.plans.common import t
 
@@ -23,8 +24,9 @@ PREFIX_CHARS = 40      # a benchmark item "occurs" in a document when its first
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = t(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    idx = bm25_index(docs, "lang", "doc_id", "text")
     q = t(spark, sf_dir, "benchmark").select("item_id", "text")
+    # the index is built for this query batch only: postings of query terms
+    idx = bm25_index(docs, "lang", "doc_id", "text", only_terms=query_terms(q, "text"))
     return bm25_search(idx, q, "item_id", "text", k=K)
 
 
@@ -45,14 +47,18 @@ def passage_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.array_join(F.slice(inner, 1, F.greatest(g, F.lit(1))), " ").alias("gram")).where(F.col("g") > 0)
     docs = t(spark, sf_dir, "documents").select("doc_id", "text")
     dw = docs.select("doc_id", words("text").alias("w"))
-    # every n-gram size a query uses (1..3), exploded on the document side
+    # explode only the n-gram sizes some query uses (a handful of values from the small side)
+    sizes = sorted(r[0] for r in qg.select("g").distinct().collect())
+    qset = bounded_broadcast(qg.select("g", "gram").distinct())
     grams = None
-    for n in (1, 2, 3):
+    for n in sizes:
         gi = dw.select("doc_id", F.explode(F.when(F.size("w") >= n, F.transform(
             F.sequence(F.lit(1), F.greatest(F.size("w") - (n - 1), F.lit(1))),
             lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array().cast("array<string>"))).alias("gram"))
-        gi = gi.withColumn("g", F.lit(n))
+        gi = gi.withColumn("g", F.lit(n)).join(qset, ["g", "gram"], "left_semi")
         grams = gi if grams is None else grams.unionByName(gi)
+    if grams is None:
+        return spark.createDataFrame([], "item_id long, doc_id long")
     cand = grams.join(qg.select("item_id", "g", "gram"), ["g", "gram"]).select("item_id", "doc_id").distinct()
     ver = cand.join(qg.select("item_id", "prefix"), "item_id").join(docs, "doc_id")
     return ver.where(F.instr("text", F.col("prefix")) > 0).select("item_id", "doc_id")

@@ -51,3 +51,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for materialised intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts lineage like ``checkpoint()`` but computes the plan a single time (an eager
+    Dataset checkpoint runs the plan once to count and again to write). The folder is the
+    cluster's shared ``spark.checkpoint.dir``, so the table survives executor loss.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
