@@ -66,23 +66,29 @@ def import_edges(snapshot: DataFrame) -> DataFrame:
 
 
 def resolve_edges(snapshot: DataFrame) -> DataFrame:
-    """C18 edges file -> file: a module resolves to all ``.py`` files of the directory whose
-    path ends with the module path (relative imports drop ``level`` parts of the importer's
-    directory first). Directory matching is an equi-join on the directory's suffixes."""
+    """C18 edges file -> file. The module path is ``module.split('.')`` minus its last
+    ``level`` parts (relative imports), joined by '/'; it resolves to the ``.py`` files of the
+    first directory whose path (as a string, from the root) ends with it — first = shallowest,
+    then by name. "Ends with" becomes an equi-join on every string suffix of the (few)
+    directory paths."""
     e = import_edges(snapshot)
-    base_dir = F.regexp_replace("path", r"/?[^/]*$", "")
-    mod_path = F.replace(F.col("module"), F.lit("."), F.lit("/"))
-    rel_dir = F.expr("array_join(slice(split(regexp_replace(path, '/?[^/]*$', ''), '/'), 1, "
-                     "greatest(size(split(regexp_replace(path, '/?[^/]*$', ''), '/')) - (level - 1), 0)), '/')")
-    target = F.when(F.col("level") > 0, F.concat_ws("/", F.when(rel_dir != "", rel_dir), F.when(mod_path != "", mod_path))) \
-        .otherwise(mod_path)
-    e = e.select("corpus_id", F.col("path").alias("src"), target.alias("target_dir")).where(F.col("target_dir") != "")
-    dirs = snapshot.select("corpus_id", "path", F.regexp_replace("path", r"/?[^/]*$", "").alias("dir"))
-    # every suffix of a directory path, so "ends with" becomes an equi-join
-    suff = dirs.select("corpus_id", "path", "dir", F.explode(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(F.split("dir", "/")), F.lit(1))),
-        lambda i: F.array_join(F.slice(F.split("dir", "/"), i, 1000), "/"))).alias("target_dir"))
-    return e.join(suff, ["corpus_id", "target_dir"]).select("corpus_id", "src", F.col("path").alias("dst")).distinct()
+    parts = F.split("module", r"\.")
+    kept = F.when(F.col("level") > 0, F.slice(parts, 1, F.greatest(F.size(parts) - F.col("level"), F.lit(0)))).otherwise(parts)
+    e = e.select("corpus_id", F.col("path").alias("src"),
+                 F.when(F.col("module") == "", F.array().cast("array<string>")).when(F.col("level") > 0, kept)
+                 .otherwise(parts).alias("comp"))
+    e = e.select("corpus_id", "src", F.array_join("comp", "/").alias("suffix")).distinct()
+    dirs = snapshot.select("corpus_id", F.concat(F.lit("/"), F.regexp_replace("path", r"/?[^/]*$", "")).alias("dir")).distinct()
+    suff = dirs.select("corpus_id", "dir", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("dir") + 1), lambda i: F.substring("dir", i, 1 << 20))).alias("suffix"))
+    suff = suff.union(dirs.select("corpus_id", "dir", F.lit("").alias("suffix"))).distinct()
+    depth = F.size(F.split("dir", "/"))
+    first = (e.join(suff, ["corpus_id", "suffix"])
+             .groupBy("corpus_id", "src", "suffix").agg(F.min_by("dir", F.struct(depth.alias("d"), F.col("dir"))).alias("dir")))
+    files = snapshot.select("corpus_id", F.col("path").alias("dst"),
+                            F.concat(F.lit("/"), F.regexp_replace("path", r"/?[^/]*$", "")).alias("dir")) \
+        .where(F.col("dst").endswith(".py"))
+    return first.join(files, ["corpus_id", "dir"]).select("corpus_id", "src", "dst").distinct()
 
 
 def import_closure(snapshot: DataFrame, targets: DataFrame, max_rounds: int = 50) -> DataFrame:
