@@ -14,7 +14,7 @@ from diffloom.functions.text import col_of, lit_regex, py_strip, regex_union, wo
 
 __all__ = [
     "is_valid_pull", "is_valid_instance", "has_test_patch", "contains_commit_hash",
-    "contains_hyperlinks", "contains_media", "contains_keyword_reference",
+    "contains_hyperlinks", "contains_media", "more_than_n_words", "contains_keyword_reference",
     "contains_gitlab_issue", "has_error_message_check", "max_words", "statement_gate",
     "has_import_or_attribute_error", "is_test_path_words", "is_test_path_substring",
     "max_chars", "token_length_between", "is_non_test_asset", "has_nonempty_prediction",
@@ -93,9 +93,15 @@ def has_error_message_check(test_patch) -> Column:
     return F.when(any_pytest, t.contains("match")).otherwise(any_django)
 
 
+def more_than_n_words(text, n: int) -> Column:
+    """More than ``n`` white-space separated words, decided by a bounded possessive regex
+    (stops after n + 1 words; no word array is built)."""
+    return col_of(text).rlike(rf"(?U)^\s*+(?:\S++\s++){{{n}}}\S")
+
+
 def max_words(text, n: int = 50) -> Column:
     """At most n white-space separated words."""
-    return word_count(text) <= n
+    return ~more_than_n_words(text, n)
 
 
 def statement_gate(text, min_words: int = 40) -> Column:

@@ -15,17 +15,23 @@ from diffloom.plans.common import t
 
 
 def statement_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B14 + E12: rows left after each statement gate, per language, in one aggregate."""
-    d = t(spark, sf_dir, "documents").select("lang", "text")
-    g1 = ~max_words(F.col("text"), 40)
-    g2 = g1 & ~contains_hyperlinks(F.col("text"))
-    g3 = g2 & ~contains_keyword_reference(F.col("text")) & ~contains_gitlab_issue(F.col("text"))
-    g4 = g3 & ~contains_commit_hash(F.col("text"))
-    g5 = g4 & ~contains_media(F.col("text"))
+    """B14 + E12: rows left after each statement gate, per language, in one aggregate (each
+    gate is evaluated once per row in a projection, the aggregate only counts)."""
+    txt = F.col("text")
+    d = t(spark, sf_dir, "documents").select(
+        "lang", (~max_words(txt, 40)).alias("g_words"), contains_hyperlinks(txt).alias("g_link"),
+        (contains_keyword_reference(txt) | contains_gitlab_issue(txt)).alias("g_ref"),
+        contains_commit_hash(txt).alias("g_hash"), contains_media(txt).alias("g_media"))
+    c = F.col
+    g1 = c("g_words")
+    g2 = g1 & ~c("g_link")
+    g3 = g2 & ~c("g_ref")
+    g4 = g3 & ~c("g_hash")
+    g5 = g4 & ~c("g_media")
     return d.groupBy("lang").agg(
         F.count("*").alias("n_total"), F.count_if(g1).alias("n_words_ok"), F.count_if(g2).alias("n_no_links"),
         F.count_if(g3).alias("n_no_refs"), F.count_if(g4).alias("n_no_hash"), F.count_if(g5).alias("n_kept"),
-        F.count_if(contains_commit_hash(F.col("text"))).alias("n_with_hash"))
+        F.count_if(c("g_hash")).alias("n_with_hash"))
 
 
 def _ref_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "diffloom") -> SparkSession:
+                app: str = "diffloom", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
     On a cluster the master, memory and partition count come from spark-submit; the defaults
@@ -27,6 +27,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        # only effective when this call starts the JVM (local mode: the driver is the executor)
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
