@@ -130,3 +130,17 @@ def summary_levels(per: DataFrame, repo_col: str = "repo_key") -> DataFrame:
         F.sum("fail_to_pass").alias("fail_to_pass"),
         F.sum("pass_to_pass").alias("pass_to_pass"),
         F.sum("total_tests").alias("tests"))
+
+
+def collection_stats(pulls: DataFrame, instances: DataFrame, written: DataFrame | None = None,
+                     id_col: str = "instance_id") -> DataFrame:
+    """Totals of a collection run in one pass each: pulls seen, valid instances, with
+    tests, and skipped (already written)."""
+    from diffloom.functions.filters import has_test_patch
+    p = pulls.agg(F.count("*").alias("total_pulls"))
+    i = instances.agg(F.count("*").alias("completed"), F.count_if(has_test_patch("test_patch")).alias("with_tests"))
+    out = p.withColumn("__k", F.lit(1)).join(i.withColumn("__k", F.lit(1)), "__k")
+    if written is not None:
+        sk = instances.join(written.select(id_col).distinct(), id_col, "left_semi").agg(F.count("*").alias("skipped"))
+        out = out.join(sk.withColumn("__k", F.lit(1)), "__k")
+    return out.drop("__k")

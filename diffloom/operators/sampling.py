@@ -116,3 +116,33 @@ def exclude_exact_rows(df: DataFrame, eval_df: DataFrame, text_col: str, eval_te
     et = eval_text_col or text_col
     keys = eval_df.select(F.sha2(F.col(et), 256).alias("__h")).distinct()
     return df.withColumn("__h", F.sha2(F.col(text_col), 256)).join(keys, "__h", "left_anti").drop("__h")
+
+
+def from_id_limit(df: DataFrame, order_cols: Sequence[str], id_col: str, start_id=None, limit: int | None = None) -> DataFrame:
+    """Rows in order starting at ``start_id`` (inclusive), at most ``limit`` of them,
+    counted from the start row (the original compares the limit with the absolute index when
+    no id is given; ours always counts from the start)."""
+    r = global_rank(df, order_cols)
+    if start_id is not None:
+        # one scalar (the start row's rank) is looked up; the rest is a filter
+        hit = r.where(F.col(id_col) == F.lit(start_id)).select("rank").limit(1).collect()
+        if not hit:
+            return r.limit(0).drop("__total")
+        start = hit[0][0]
+        r = r.where(F.col("rank") >= start).withColumn("rank", F.col("rank") - F.lit(start))
+    if limit is not None:
+        r = r.where(F.col("rank") < limit)
+    return r.drop("__total")
+
+
+def union_distinct(*dfs: DataFrame) -> DataFrame:
+    """H4: union of id sources, each id once."""
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.unionByName(d)
+    return out.distinct()
+
+
+def group_by_version(df: DataFrame, version_col: str = "version", n_partitions: int | None = None) -> DataFrame:
+    """Keep rows, co-located by version (``repartition``) instead of one list per version."""
+    return df.repartition(n_partitions, version_col) if n_partitions else df.repartition(version_col)

@@ -30,7 +30,11 @@ def release_timeline(releases: DataFrame, keys: Sequence[str], time_col: str, va
     """
     keys = list(keys)
     vals = list(value_cols)
-    r = releases.select(*keys, F.col(time_col).alias("__t"), *vals).withColumn("__b", _bucket(F.col("__t")))
+    # one row per (key, exact time): ties keep the greatest value, and each month's array is
+    # bounded by the distinct release times of the key in that month, not by row copies
+    r = (releases.groupBy(*keys, F.col(time_col).alias("__t"))
+         .agg(F.max(F.struct(*vals)).alias("__v")).select(*keys, "__t", *[F.col(f"__v.{v}").alias(v) for v in vals])
+         .withColumn("__b", _bucket(F.col("__t"))))
     rng = r.groupBy(*keys).agg(F.min("__b").alias("__lo"), F.max("__b").alias("__hi"))
     if until is not None:
         rng = rng.join(until, keys, "left").select(
