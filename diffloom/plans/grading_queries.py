@@ -16,7 +16,8 @@ GRADE_COLS = ["run_id", "instance_id", "applied", "f2p_success", "f2p_failure",
 
 
 def _graded(spark: SparkSession, sf_dir: str, modes: DataFrame | None) -> DataFrame:
-    runs, statuses = parse_logs(event_logs(spark, sf_dir), RUN_KEYS)
+    # the stand-in logs are pytest logs: plan only that dialect
+    runs, statuses = parse_logs(event_logs(spark, sf_dir), RUN_KEYS, dialects=[K.PYTEST])
     g = grade_tests(runs, statuses, event_gold(spark, sf_dir), RUN_KEYS, modes=modes)
     return g.select(*GRADE_COLS[:7], F.round("f2p_rate", 6).alias("f2p_rate"),
                     F.round("p2p_rate", 6).alias("p2p_rate"), "resolution")
