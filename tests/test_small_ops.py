@@ -37,3 +37,45 @@ def test_reports_and_ordering(spark, tmpdir_path):
     u = union_distinct(spark.createDataFrame([("a",), ("b",)], "i string"), spark.createDataFrame([("b",), ("c",)], "i string"))
     assert sorted(r.i for r in u.collect()) == ["a", "b", "c"]
     assert group_by_version(spark.createDataFrame([("1.0", 1), ("1.1", 2)], "version string, x int"), n_partitions=2).count() == 2
+
+
+def test_gate_variants(spark):
+    from diffloom.functions.filters import contains_hyperlinks, has_error_message_check
+    df = spark.createDataFrame([("see https://github.com/o/r/issues/1", "o/r"), ("see https://x.org/a", "o/r")],
+                               "t string, repo string")
+    compat = [r[0] for r in df.select(contains_hyperlinks(F.col("t"), F.col("repo"))).collect()]
+    strict = [r[0] for r in df.select(contains_hyperlinks(F.col("t"), F.col("repo"), strict=True)).collect()]
+    assert compat == [True, True] and strict == [False, True]
+    tp = spark.createDataFrame([("with pytest.raises(E, match='x')",), ("with pytest.raises(E):",),
+                                ("self.assertRaises(E)",), ("plain",)], "t string")
+    assert [r[0] for r in tp.select(has_error_message_check(F.col("t"))).collect()] == [True, False, True, False]
+
+
+def test_candidate_and_export_sinks(spark, tmpdir_path):
+    from diffloom.sources.readers import export_jsonl, write_candidates
+    df = spark.createDataFrame([("a", "diff", "test"), ("b", "diff", "")], "instance_id string, patch string, test_patch string")
+    write_candidates(df, f"{tmpdir_path}/all", f"{tmpdir_path}/main")
+    assert spark.read.json(f"{tmpdir_path}/all").count() == 2 and spark.read.json(f"{tmpdir_path}/main").count() == 1
+    export_jsonl(df.withColumn("split", F.lit("test")), f"{tmpdir_path}/exp", split="test")
+    assert spark.read.json(f"{tmpdir_path}/exp").count() == 2
+
+
+def test_grade_stream_equals_batch(spark, tmpdir_path):
+    from diffloom import constants as K
+    from diffloom.sources.readers import read_logs
+    from diffloom.streaming.incremental import grade_batch, grade_stream
+    logs = {("run1", "org__m", "a"): ["PASSED t1", "FAILED t2 - x"], ("run1", "org__m", "b"): ["PASSED t1"],
+            ("run2", "org__m", "a"): ["PASSED t1", "PASSED t2"]}
+    for (run, model, iid), lines in logs.items():
+        path = f"{tmpdir_path}/logs/{run}/{model}/{iid}/test_output.txt"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write("\n".join([K.START_TEST_OUTPUT, *lines, K.END_TEST_OUTPUT]))
+    gold = spark.createDataFrame([("a", K.FAIL_TO_PASS, "t2"), ("a", K.PASS_TO_PASS, "t1"), ("b", K.FAIL_TO_PASS, "t1")],
+                                 "instance_id string, category string, test string")
+    q = grade_stream(spark, f"{tmpdir_path}/logs", gold, f"{tmpdir_path}/graded", f"{tmpdir_path}/ck")
+    q.awaitTermination(120)
+    got = sorted((r.run_id, r.instance_id, r.resolution) for r in spark.read.parquet(f"{tmpdir_path}/graded").collect())
+    batch = grade_batch(read_logs(spark, f"{tmpdir_path}/logs").withColumn("repo", F.lit(None).cast("string")), gold)
+    want = sorted((r.run_id, r.instance_id, r.resolution) for r in batch.collect())
+    assert got == want == [("run1", "a", K.RESOLVED_NO), ("run1", "b", K.RESOLVED_FULL), ("run2", "a", K.RESOLVED_FULL)]
