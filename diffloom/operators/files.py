@@ -91,16 +91,19 @@ def resolve_edges(snapshot: DataFrame) -> DataFrame:
     return first.join(files, ["corpus_id", "dir"]).select("corpus_id", "src", "dst").distinct()
 
 
-def import_closure(snapshot: DataFrame, targets: DataFrame, max_rounds: int = 50) -> DataFrame:
+def import_closure(snapshot: DataFrame, targets: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Files reachable from each target ``(corpus_id, path)`` through imports.
 
     Frontier iteration: join the frontier with the edges, drop what was reached already
-    (``left_anti``), stop when nothing is new. Each round's sets are written to the shared
+    (``left_anti``), stop when nothing is new (no round cap by default, so the closure is
+    complete). Each round's sets are written to the shared
     checkpoint folder (survives executor loss) to cut the growing lineage."""
     edges = resolve_edges(snapshot)
     reached = targets.select("corpus_id", F.col("path").alias("root"), F.col("path").alias("file")).distinct()
     frontier = reached
-    for _ in range(max_rounds):
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
         nxt = (frontier.join(edges, (frontier.corpus_id == edges.corpus_id) & (frontier.file == edges.src))
                .select(frontier.corpus_id, "root", F.col("dst").alias("file")).distinct())
         new = materialize(nxt.join(reached, ["corpus_id", "root", "file"], "left_anti"), "import-frontier")

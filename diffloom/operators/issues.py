@@ -122,17 +122,21 @@ def take_until_cutoff(pulls: DataFrame, cutoff, time_col: str = "created_at", gr
                       order_cols=("created_at",), max_rows: int | None = None, compat: bool = True) -> DataFrame:
     """newest first; rows up to and including the first one older than ``cutoff``.
 
-    ``max_rows`` keeps ``max_rows + 1`` rows in compat mode (the original tests after writing).
-    The window runs per group over the rows kept by a partial top-k when ``max_rows`` is set.
+    The boundary per group is an aggregate (the newest row older than the cutoff, by
+    ``order_cols``), joined back: rows at or above it are kept — no window over a whole group.
+    ``max_rows`` keeps the newest ``max_rows + 1`` rows in compat mode (the original tests after
+    writing) with ``row_number() <= n``, which Spark runs as a WindowGroupLimit.
     """
     gc = list(group_cols)
-    order = [F.col(c).desc() for c in order_cols]
-    w = Window.partitionBy(*gc).orderBy(*order)
-    older = (F.col(time_col) < F.lit(cutoff)).cast("int") if cutoff is not None else F.lit(0)
-    df = pulls.withColumn("__rn", F.row_number().over(w))
-    df = df.withColumn("__older_before", F.coalesce(F.sum(older).over(
-        w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    df = df.where(F.col("__older_before") == 0)
+    oc = list(order_cols)
+    key = F.struct(*[F.col(c) for c in oc])
+    df = pulls
+    if cutoff is not None:
+        older = df.where(F.col(time_col) < F.lit(cutoff))
+        bound = older.groupBy(*gc).agg(F.max(key).alias("__bound"))
+        df = df.join(bound, gc, "left").where(F.col("__bound").isNull() | (key >= F.col("__bound"))).drop("__bound")
     if max_rows is not None:
-        df = df.where(F.col("__rn") <= (max_rows + 1 if compat else max_rows))
-    return df.drop("__rn", "__older_before")
+        n = max_rows + 1 if compat else max_rows
+        w = Window.partitionBy(*gc).orderBy(*[F.col(c).desc() for c in oc])
+        df = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+    return df

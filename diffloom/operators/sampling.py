@@ -84,17 +84,45 @@ def order_by_length(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     return df.orderBy(F.length(text_col), F.col(id_col))
 
 
+def running_sum_before(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, value_col: str,
+                       out_col: str = "sum_before") -> DataFrame:
+    """Sum of ``value_col`` over the earlier rows of the same group (in ``order_cols`` order),
+    plus ``rows_before`` (their count), without putting a whole group into one task.
+
+    The rows are range-partitioned by (group, order) and written once to the shared checkpoint
+    folder, so a hot group spans many partitions. Per (partition, group) totals (a small table:
+    one row per group slice) give each slice its offset; the running sum inside a slice is a
+    window over that slice only. ``order_cols`` must order rows totally (add an id to break
+    ties).
+    """
+    gc = list(group_cols)
+    oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    s = materialize(df.orderBy(*[F.col(c) for c in gc], *oc).withColumn("__pid", F.spark_partition_id()),
+                    "running-sum")
+    slices = s.groupBy(*gc, "__pid").agg(F.sum(value_col).alias("__slice"), F.count("*").alias("__nslice"))
+    w_off = Window.partitionBy(*gc).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (slices.withColumn("__off", F.coalesce(F.sum("__slice").over(w_off), F.lit(0)))
+                     .withColumn("__noff", F.coalesce(F.sum("__nslice").over(w_off), F.lit(0)))
+                     .drop("__slice", "__nslice"))
+    w_in = Window.partitionBy(*gc, "__pid").orderBy(*oc).rowsBetween(Window.unboundedPreceding, -1)
+    out = (s.withColumn("__in", F.coalesce(F.sum(value_col).over(w_in), F.lit(0)))
+            .withColumn("__nin", F.coalesce(F.count(F.lit(1)).over(w_in), F.lit(0))))
+    out = out.join(offsets, gc + ["__pid"])
+    return (out.withColumn(out_col, F.col("__off") + F.col("__in"))
+               .withColumn("rows_before", F.col("__noff") + F.col("__nin"))
+               .drop("__pid", "__off", "__in", "__noff", "__nin"))
+
+
 def stop_at_budget(df: DataFrame, cost_col: str, max_cost: float | None, group_cols: Sequence[str],
                    order_cols: Sequence) -> DataFrame:
     """rows in order until the running total reaches the budget; the row that crosses it
-    is kept, and the first row always runs (also at budget 0). ``None`` = no limit."""
+    is kept, and the first row always runs (also at budget 0). ``None`` = no limit.
+
+    The running total comes from ``running_sum_before`` (no single-task window per group)."""
     if max_cost is None:
         return df
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    before = F.coalesce(F.sum(cost_col).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return (df.withColumn("cost_before", before)
-              .withColumn("__rn", F.row_number().over(w))
-              .where((F.col("cost_before") < F.lit(max_cost)) | (F.col("__rn") == 1)).drop("__rn"))
+    r = running_sum_before(df, group_cols, order_cols, cost_col, "cost_before")
+    return r.where((F.col("cost_before") < F.lit(max_cost)) | (F.col("rows_before") == 0)).drop("rows_before")
 
 
 def latest_per_group(df: DataFrame, group_cols: Sequence[str], time_col: str, id_col: str) -> DataFrame:
