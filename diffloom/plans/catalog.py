@@ -22,6 +22,7 @@ QUERIES = {
     "split_patches": P.split_patches,
     "statement_funnel": T.statement_funnel,
     "resolved_refs": T.resolved_refs,
+    "problem_statements": T.problem_statements,
     "hints_prefix": T.hints_prefix,
     "repetition_filter": T.repetition_filter,
     "release_pages": T.release_pages,

@@ -416,3 +416,21 @@ ORACLES["best_config"] = _FRESH + """,
 cnt AS (SELECT CAST(CAST(substr(instance_id, 6) AS BIGINT) % 3 AS INTEGER) AS grp, config, count(*) AS n_reproduced
         FROM rf WHERE reproduced GROUP BY 1, 2)
 SELECT grp, arg_max(config, (n_reproduced, -config)) AS config, max(n_reproduced) AS n_reproduced FROM cnt GROUP BY grp"""
+
+ORACLES["problem_statements"] = """
+WITH li AS (
+  SELECT l_orderkey AS order_key, l_linenumber, l_partkey, l_suppkey, l_linestatus,
+         CASE l_returnflag WHEN 'R' THEN 'fixes' WHEN 'A' THEN 'Closes' ELSE 'refs' END AS word
+  FROM lineitem),
+pos AS (
+  SELECT *, row_number() OVER (PARTITION BY order_key ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus, word) AS p
+  FROM li WHERE l_linestatus = 'O'),
+per_word AS (
+  SELECT order_key, word, min(p) AS first_p, arg_max(l_partkey, p) AS num
+  FROM pos WHERE word IN ('fixes', 'Closes') GROUP BY 1, 2),
+st AS (
+  SELECT w.order_key, string_agg(coalesce(pt.p_name, '') || chr(10) || coalesce(pt.p_type, '') || chr(10), '' ORDER BY w.first_p) AS s
+  FROM per_word w JOIN part pt ON pt.p_partkey = w.num GROUP BY 1),
+o AS (SELECT DISTINCT order_key FROM li)
+SELECT o.order_key, md5(coalesce(st.s, '')) AS statement_md5, CAST(length(coalesce(st.s, '')) AS BIGINT) AS statement_chars
+FROM o LEFT JOIN st ON st.order_key = o.order_key"""

@@ -95,3 +95,22 @@ def release_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = p.select("host", "lang", F.explode("links").alias("href")).dropDuplicates(["host", "lang", "href"]) \
              .groupBy("host", "lang").agg(F.count("*").alias("n_distinct_links"))
     return pages.join(links, ["host", "lang"], "left").fillna(0, ["n_distinct_links"])
+
+
+def problem_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + C2: resolved issue numbers of each pull text (as in ``resolved_refs``), then the
+    statement ``title\\nbody\\n`` per resolved issue in order, from an issue table (parts:
+    number = part key, title = name, body = type); unknown issues are skipped."""
+    from diffloom.operators.issues import problem_statement
+    per = _ref_lines(spark, sf_dir).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("it")).alias("its"))
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    j = per.join(o, per.l_orderkey == o.o_orderkey)
+    title = F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(": "), F.col("o_orderpriority"))
+    body = F.array_join(F.transform("its", lambda x: x["line"]), "\n")
+    pulls = j.select(F.lit("r").alias("repo"), F.col("o_orderkey").alias("pull_number"),
+                     resolved_issues(pull_text(title, body)).alias("resolved_issues"))
+    issues = t(spark, sf_dir, "part").select(F.lit("r").alias("repo"), F.col("p_partkey").cast("string").alias("issue_number"),
+                                             F.col("p_name").alias("title"), F.col("p_type").alias("body"))
+    ps = problem_statement(pulls, issues)
+    return ps.select(F.col("pull_number").alias("order_key"), F.md5("problem_statement").alias("statement_md5"),
+                     F.length("problem_statement").cast("long").alias("statement_chars"))
