@@ -16,8 +16,8 @@ def parse_test_ids(instances: DataFrame, snapshot: DataFrame | None = None, id_c
 
     ``file::case`` splits at the first ``::``; ``name (module.Class)`` becomes
     ``module/path.py`` + ``Class.name``; other forms are skipped. With a snapshot
-    (``corpus_id, path``) the file must exist (``tests/<file>`` is tried second, but the first
-    form is returned, as the original does)."""
+    (``corpus_id, path``) the file must exist; for the second form ``tests/<file>`` is tried
+    too, but the first form is returned, as the original does."""
     parts = []
     for cat in (K.FAIL_TO_PASS, K.PASS_TO_PASS):
         t = instances.schema[cat].dataType.simpleString()
@@ -27,28 +27,26 @@ def parse_test_ids(instances: DataFrame, snapshot: DataFrame | None = None, id_c
     x = parts[0].unionByName(parts[1])
     t = F.col("t")
     colon = t.contains("::")
-    uni = t.contains(" (") & t.endswith(")")
-    inner = F.regexp_extract(t, r"^(.*?) \((.*)\)$", 2)
-    name = F.regexp_extract(t, r"^(.*?) \((.*)\)$", 1)
+    uni_pat = r"^(.*?) \((.*)\)$"
+    inner = F.regexp_extract(t, uni_pat, 2)
+    uni = ~colon & t.contains(" (") & t.endswith(")") & inner.contains(".")
     module = F.regexp_extract(inner, r"^(.*)\.([^.]*)$", 1)
     klass = F.regexp_extract(inner, r"^(.*)\.([^.]*)$", 2)
-    test_file = (F.when(colon, F.substring_index(t, "::", 1))
-                 .when(uni & inner.contains("."), F.concat(F.replace(module, F.lit("."), F.lit("/")), F.lit(".py"))))
-    test_case = (F.when(colon, F.expr("substr(t, instr(t, '::') + 2)"))
-                 .when(uni & inner.contains("."), F.concat(klass, F.lit("."), name)))
-    out = x.select("*", test_file.alias("test_file"), test_case.alias("test_case")).where(F.col("test_file").isNotNull())
+    out = x.select("*", colon.alias("__colon"),
+                   F.when(colon, F.substring_index(t, "::", 1))
+                    .when(uni, F.concat(F.replace(module, F.lit("."), F.lit("/")), F.lit(".py"))).alias("test_file"),
+                   F.when(colon, F.substring(t, F.instr(t, "::") + 2, 1 << 30))
+                    .when(uni, F.concat(klass, F.lit("."), F.regexp_extract(t, uni_pat, 1))).alias("test_case"))
+    out = out.where(F.col("test_file").isNotNull())
+    keep = [id_col, "test_file", "test_case", "test_type"]
     if snapshot is None:
-        return out.select(id_col, "test_file", "test_case", "test_type")
+        return out.select(*keep)
     paths = snapshot.select("corpus_id", F.col("path").alias("test_file"))
     direct = out.join(paths, ["corpus_id", "test_file"], "left_semi")
-    alt = (out.where(~colon_of(out)).withColumn("__alt", F.concat(F.lit("tests/"), F.col("test_file")))
-           .join(paths.withColumnRenamed("test_file", "__alt"), ["corpus_id", "__alt"], "left_semi").drop("__alt"))
-    return direct.unionByName(alt.join(direct.select(id_col, "test_file", "test_case"), [id_col, "test_file", "test_case"], "left_anti")) \
-        .select(id_col, "test_file", "test_case", "test_type")
-
-
-def colon_of(df: DataFrame) -> Column:
-    return F.col("t").contains("::")
+    alt = (out.where(~F.col("__colon")).withColumn("__alt", F.concat(F.lit("tests/"), F.col("test_file")))
+           .join(paths.withColumnRenamed("test_file", "__alt"), ["corpus_id", "__alt"], "left_semi"))
+    alt = alt.join(direct.select(id_col, "test_file", "test_case"), [id_col, "test_file", "test_case"], "left_anti")
+    return direct.select(*keep).unionByName(alt.select(*keep))
 
 
 # fixed value: import statements of Python source
