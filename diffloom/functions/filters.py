@@ -46,9 +46,11 @@ def has_test_patch(test_patch="test_patch") -> Column:
 
 
 def contains_commit_hash(text) -> Column:
-    """A 40-hex word not preceded by '/', or a bracketed 23-hex id."""
+    """A 40-hex word not preceded by '/', or a bracketed 23-hex id. A plain 40-hex run is a
+    necessary condition of the first form and is tested first (no look-behind, no Unicode
+    word boundaries), so most texts skip the exact pattern."""
     t = col_of(text)
-    return t.rlike(HASH40_RE) | t.rlike(HASH23_RE)
+    return (t.rlike(r"[0-9a-f]{40}") & t.rlike(HASH40_RE)) | t.rlike(HASH23_RE)
 
 
 def contains_hyperlinks(text, repo=None, strict: bool = False) -> Column:
@@ -65,15 +67,23 @@ def contains_hyperlinks(text, repo=None, strict: bool = False) -> Column:
 
 
 def contains_media(text) -> Column:
-    """An image or video extension after a word character, any case."""
-    return col_of(text).rlike(MEDIA_RE)
+    """An image or video extension after a word character, any case. The exact pattern
+    only runs when the lower-cased text holds one of the extensions literally."""
+    t = col_of(text)
+    low = F.lower(t)
+    pre = F.lit(False)
+    for ext in K.IMAGE_EXTENSIONS + K.VIDEO_EXTENSIONS:
+        pre = pre | low.contains(ext)
+    return pre & t.rlike(MEDIA_RE)
 
 
 def contains_keyword_reference(text) -> Column:
     """B7(a): some ``<word> #<n>`` whose word is a closing keyword (any case)."""
     kws = F.array(*[F.lit(k) for k in K.CLOSING_KEYWORDS])
-    found = F.regexp_extract_all(col_of(text), F.lit(KEYWORD_REF_RE), 1)
-    return F.exists(found, lambda w: F.array_contains(kws, F.lower(w)))
+    t = col_of(text)
+    found = F.regexp_extract_all(t, F.lit(KEYWORD_REF_RE), 1)
+    # a reference needs a '#': texts without one skip the pattern
+    return t.contains("#") & F.exists(found, lambda w: F.array_contains(kws, F.lower(w)))
 
 
 def contains_gitlab_issue(text) -> Column:
