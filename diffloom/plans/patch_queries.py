@@ -66,13 +66,12 @@ def _long(c: Column) -> Column:
 
 
 def patch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-diff counts from the exploded hunk rows."""
+    """Per-diff counts from the exploded hunk rows; the format check
+    (B23) is a row-level column carried through the explode (one pass over each diff)."""
     p = order_patches(spark, sf_dir)
-    st = stats_table(p, "patch", ["order_key"])
-    fmt = p.select("order_key", valid_patch_format(F.col("patch")).alias("valid_format"))
-    return st.join(fmt, "order_key").select(
-        "order_key", "n_files", "n_added_files", "n_removed_files", "n_modified_files", "n_hunks",
-        "added", "removed", "parseable", "valid_format")
+    st = stats_table(p, "patch", ["order_key"], carry={"valid_format": valid_patch_format(F.col("patch"))})
+    return st.select("order_key", "n_files", "n_added_files", "n_removed_files", "n_modified_files", "n_hunks",
+                     "added", "removed", "parseable", "valid_format")
 
 
 def patch_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,15 +82,17 @@ def patch_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """code/test split. The split texts come from ``split_patch`` (headers
-    only); their statistics from one aggregate over the hunk rows with the test flag."""
+    only) and give the target file (C11) as a row-level column carried through the explode;
+    the statistics of both parts come from one aggregate over the hunk rows with the test
+    flag."""
     p = order_patches(spark, sf_dir)
-    h = hunk_rows(p, "patch", ["order_key"]).withColumn("is_test", is_test_path_substring(F.col("path")))
-    st = h.groupBy("order_key").agg(
+    sp = split_patch(F.col("patch"))
+    h = hunk_rows(p, "patch", ["order_key"], carry={"target_file": target_file(sp["patch"], sp["test_patch"])}) \
+        .withColumn("is_test", is_test_path_substring(F.col("path")))
+    st = h.groupBy("order_key", "target_file").agg(
         *stats_aggs("code_", ~F.col("is_test")), *stats_aggs("test_", F.col("is_test")),
         F.count_if(F.coalesce(F.col("hunk_pos") == 0, F.lit(True)) & F.col("source").startswith("a/")).alias("n_modified_paths"))
-    sp = p.select("order_key", split_patch(F.col("patch")).alias("sp"))
-    tf = sp.select("order_key", target_file(F.col("sp.patch"), F.col("sp.test_patch")).alias("target_file"))
-    return st.join(tf, "order_key").select(
+    return st.select(
         "order_key", F.col("code_n_files").alias("code_files"), F.col("code_added"), F.col("code_removed"),
         F.col("test_n_files").alias("test_files"), F.col("test_added"), F.col("test_removed"),
         "n_modified_paths", "target_file")
