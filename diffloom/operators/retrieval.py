@@ -81,12 +81,16 @@ def bm25_search(index: dict[str, DataFrame], queries: DataFrame, query_id_col: s
         F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     if max_df_ratio is not None:
         idf = idf.where(F.col("df") <= F.col("n_docs") * max_df_ratio)
+    # per-posting weight idf * tf-saturation, computed on the postings (one row per term and
+    # document) so that the query join only multiplies by the query term count
+    weights = (index["postings"].join(index["lengths"], ["corpus_id", "doc_id"])
+               .join(idf, ["corpus_id", "term"])
+               .select("corpus_id", "term", "doc_id",
+                       (F.col("idf") * F.col("tf") * (k1 + 1)
+                        / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))).alias("w")))
     on = ["corpus_id", "term"] if corpus_col else ["term"]
-    qt = q.join(idf, on)
-    hits = qt.join(index["postings"], ["corpus_id", "term"]).join(index["lengths"], ["corpus_id", "doc_id"])
-    part = (F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1)
-            / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))))
-    scores = hits.groupBy("query_id", "corpus_id", "doc_id").agg(F.sum(part).alias("score"))
+    hits = q.join(weights, on)
+    scores = hits.groupBy("query_id", "corpus_id", "doc_id").agg(F.sum(F.col("qtf") * F.col("w")).alias("score"))
     scores = scores.withColumn("score", F.round("score", 6))
     w = Window.partitionBy("query_id", "corpus_id").orderBy(F.col("score").desc(), F.col("doc_id"))
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
