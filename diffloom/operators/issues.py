@@ -140,3 +140,28 @@ def take_until_cutoff(pulls: DataFrame, cutoff, time_col: str = "created_at", gr
         w = Window.partitionBy(*gc).orderBy(*[F.col(c).desc() for c in oc])
         df = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
     return df
+
+
+def with_issue_reference(df: DataFrame, text_col: str, repo_col: str, known_issues: DataFrame,
+                         out_col: str = "has_issue_reference") -> DataFrame:
+    """B7 complete: (a) a closing-keyword reference, (b) a GitLab issue link, or (c) any ``#n``
+    that exists in ``known_issues`` (repo, issue_number) — a semi join instead of asking a web
+    service. ``df`` needs a unique ``__row`` id or one is added."""
+    from diffloom.functions.filters import contains_gitlab_issue, contains_keyword_reference
+    d = df.withColumn("__row", F.monotonically_increasing_id()) if "__row" not in df.columns else df
+    refs = (d.select("__row", F.col(repo_col).alias("repo"),
+                     F.explode(F.regexp_extract_all(F.col(text_col), F.lit(r"#(\d+)"), 1)).alias("issue_number"))
+            .join(known_issues.select("repo", F.col("issue_number").cast("string")), ["repo", "issue_number"], "left_semi")
+            .select("__row").distinct().withColumn("__hit", F.lit(True)))
+    out = d.join(refs, "__row", "left")
+    flag = contains_keyword_reference(F.col(text_col)) | contains_gitlab_issue(F.col(text_col)) | F.col("__hit").isNotNull()
+    return out.withColumn(out_col, F.coalesce(flag, F.lit(False))).drop("__hit", "__row")
+
+
+def live_statement(title, body, comments=None) -> Column:
+    """``title\\nbody``, optionally followed by the comment bodies (the original loses the
+    bodies when comments are present; ours appends them). ``comments`` = array<string>."""
+    base = F.concat(F.coalesce(col_of(title), F.lit("")), F.lit("\n"), F.coalesce(col_of(body), F.lit("")))
+    if comments is None:
+        return base
+    return F.concat(base, F.lit("\n"), F.array_join(F.transform(col_of(comments), lambda c: F.concat(F.lit("Comment: "), c)), "\n"))

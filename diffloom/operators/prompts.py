@@ -130,3 +130,19 @@ def text_dataset(df: DataFrame, prompt_col: str = "prompt", split: str | None =
 def chat_rows(text) -> Column:
     """First line = system message, the rest = user message."""
     return F.struct(first_line(text).alias("system"), after_first_line(text).alias("user"))
+
+
+def select_files(instances: DataFrame, source: str, oracle: DataFrame | None = None, hits: DataFrame | None = None,
+                 snapshot: DataFrame | None = None, id_col: str = "instance_id") -> DataFrame:
+    """Which files feed an instance's prompt, as (instance_id, path) ids only (contents are
+    joined last): ``oracle`` = files of the gold patch, ``bm25`` = retrieved hits, ``all`` =
+    the whole snapshot of the instance's corpus, ``none`` = nothing."""
+    if source == "oracle":
+        return oracle.select(id_col, "path")
+    if source == "bm25":
+        return hits.select(id_col, "path")
+    if source == "all":
+        return instances.select(id_col, "corpus_id").join(snapshot.select("corpus_id", "path"), "corpus_id").select(id_col, "path")
+    if source == "none":
+        return instances.select(id_col).withColumn("path", F.lit(None).cast("string")).where(F.lit(False))
+    raise ValueError(f"unknown file source {source!r}")

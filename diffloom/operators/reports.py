@@ -144,3 +144,48 @@ def collection_stats(pulls: DataFrame, instances: DataFrame, written: DataFrame
         sk = instances.join(written.select(id_col).distinct(), id_col, "left_semi").agg(F.count("*").alias("skipped"))
         out = out.join(sk.withColumn("__k", F.lit(1)), "__k")
     return out.drop("__k")
+
+
+def keep_valid_ids(df: DataFrame, valid: DataFrame, id_col: str = "instance_id") -> tuple[DataFrame, DataFrame]:
+    """(kept rows, rejected rows) by a semi / anti join pair."""
+    v = valid.select(id_col).distinct()
+    return df.join(v, id_col, "left_semi"), df.join(v, id_col, "left_anti")
+
+
+def lookup_spec(df: DataFrame, specs: DataFrame, keys=("repo", "version")) -> tuple[DataFrame, DataFrame]:
+    """Dimension lookup of the environment spec; unknown keys go to a reject output
+    instead of failing the job. ``specs`` is one row per (repo, version): a fixed-size
+    dimension, so it is broadcast."""
+    k = list(keys)
+    j = df.join(F.broadcast(specs.withColumn("__known", F.lit(True))), k, "left")
+    return j.where(F.col("__known").isNotNull()).drop("__known"), j.where(F.col("__known").isNull()).select(*df.columns)
+
+
+def unresolved_pairs(before: DataFrame, after: DataFrame, cols=("instance_id", "version")) -> DataFrame:
+    """Distinct (id, version) pairs of ``before`` that are not in ``after``."""
+    c = list(cols)
+    return before.select(*c).distinct().subtract(after.select(*c).distinct())
+
+
+def order_by_id(df: DataFrame, id_col: str = "instance_id") -> DataFrame:
+    """String order of the id (a range-partitioned sort)."""
+    return df.orderBy(F.col(id_col).cast("string"))
+
+
+def package_rank(packages: DataFrame, links: DataFrame, repo_stats: DataFrame | None = None,
+                 written: DataFrame | None = None) -> DataFrame:
+    """Per package the first link (by position) whose label mentions source, code or
+    homepage and whose URL has 'github'; then stars and pulls of that repository by a left
+    join; packages already written are skipped (L1).
+
+    ``packages``: (rank, name, url); ``links``: (name, pos, label, href);
+    ``repo_stats``: (github, stars, pulls)."""
+    lab = F.lower(F.col("label"))
+    ok = (lab.contains("source") | lab.contains("code") | lab.contains("homepage")) & F.col("href").contains("github")
+    first = links.where(ok).groupBy("name").agg(F.min_by("href", "pos").alias("github"))
+    out = packages.join(first, "name", "left")
+    if repo_stats is not None:
+        out = out.join(repo_stats, "github", "left")
+    if written is not None:
+        out = out.join(written.select("name").distinct(), "name", "left_anti")
+    return out

@@ -113,10 +113,16 @@ def major_minor(version) -> Column:
     return F.regexp_replace(mm, r"[^0-9.]", "")
 
 
+# fixed value: repositories whose version is the whole match (text after '=', ',' -> '.')
+WHOLE_MATCH_REPOS = ["pyvista/pyvista"]
+
+
 def version_from_files(instances: DataFrame, files: DataFrame, paths: DataFrame, patterns: DataFrame,
                        id_col: str = "instance_id") -> DataFrame:
     """C17: for each instance, candidate files (by path rank) and patterns (by rank); text
     inside triple double quotes is ignored; the first hit by (path_rank, pattern_rank) wins.
+    The version is capture group 1 without blanks (whole-match repositories: the text after
+    '=' with ',' as '.'), cut to major.minor with digits and dots only.
 
     ``files``: (corpus_id, path, content); ``paths``: (repo, path, rank);
     ``patterns``: (repo, pattern, rank). Patterns are few, so each is applied as a literal
@@ -126,13 +132,18 @@ def version_from_files(instances: DataFrame, files: DataFrame, paths: DataFrame,
             .join(paths.withColumnRenamed("rank", "path_rank"), "repo")
             .join(files.select("corpus_id", "path", "content"), ["corpus_id", "path"]))
     cand = cand.withColumn("content", F.regexp_replace("content", r'(?s)""".*?"""', ""))
+    # the pattern table is a small fixed dimension (a few patterns per repository)
     pats = [r.asDict() for r in patterns.select("repo", "pattern", "rank").distinct().collect()]
     hits = None
     for p in pats:
-        h = (cand.where(F.col("repo") == p["repo"])
-             .select(id_col, "path_rank", F.lit(p["rank"]).alias("pattern_rank"),
-                     F.regexp_extract("content", p["pattern"], 0).alias("raw"))
-             .where(F.col("raw") != ""))
+        hit = F.col("content").rlike(p["pattern"])
+        if p["repo"] in WHOLE_MATCH_REPOS:
+            whole = F.trim(F.substring_index(F.regexp_extract("content", p["pattern"], 0), "=", -1))
+            raw = F.replace(whole, F.lit(","), F.lit("."))
+        else:
+            raw = F.replace(F.regexp_extract("content", p["pattern"], 1), F.lit(" "), F.lit(""))
+        h = (cand.where((F.col("repo") == p["repo"]) & hit)
+             .select(id_col, "path_rank", F.lit(p["rank"]).alias("pattern_rank"), raw.alias("raw")))
         hits = h if hits is None else hits.unionByName(h)
     if hits is None:
         return instances.withColumn("version", F.lit(None).cast("string"))
@@ -147,6 +158,6 @@ def release_table(pages: DataFrame, pattern: str, date_formats: Sequence[str], k
     pairs = pages.select(key_col, F.explode(F.arrays_zip(
         F.regexp_extract_all(html_col, F.lit(pattern), 1).alias("v"),
         F.regexp_extract_all(html_col, F.lit(pattern), 2).alias("d"))).alias("p"))
-    date = F.coalesce(*[F.try_to_date(F.col("p.d"), F.lit(f)) for f in date_formats])
+    date = F.coalesce(*[F.try_to_date(F.col("p.d"), f) for f in date_formats])
     return (pairs.select(key_col, major_minor(F.col("p.v")).alias("version"), date.alias("date"))
             .where(F.col("date").isNotNull()).distinct())
