@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from diffloom import constants as K
-from diffloom.functions.text import col_of, lit_regex, py_strip, regex_union, word_count
+from diffloom.functions.text import col_of, py_strip, regex_union
 
 __all__ = [
     "is_valid_pull", "is_valid_instance", "has_test_patch", "contains_commit_hash",

@@ -122,8 +122,6 @@ def doc_docstrings(snapshot: DataFrame) -> DataFrame:
     per file in ``mapInPandas``, no shuffle); on a parse failure the plain content is used."""
     import ast
 
-    import pandas as pd
-
     def enc(path: str, content: str) -> str:
         try:
             tree = ast.parse(content)

@@ -41,7 +41,7 @@ def regrade_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from diffloom.operators.reports import result_rows, result_summary, summary_levels  # noqa: E402
 from diffloom.operators.grading import best_config_per_group, refresh_gold_tests  # noqa: E402
-from diffloom.plans.common import F2P_TYPES, event_rows, status_band  # noqa: E402
+from diffloom.plans.common import F2P_TYPES, event_rows  # noqa: E402
 
 
 def _result_files(spark: SparkSession, sf_dir: str) -> DataFrame:

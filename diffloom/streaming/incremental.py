@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from diffloom import schemas
-from diffloom.functions.filters import has_test_patch, is_valid_instance, is_valid_pull
+from diffloom.functions.filters import is_valid_instance, is_valid_pull
 from diffloom.functions.text import make_instance_id
 from diffloom.operators.grading import grade_tests
 from diffloom.operators.issues import pull_text, resolved_issues

@@ -1,7 +1,5 @@
 """Grading edge cases (FIXTURES §8: grading, run report)."""
 
-from pyspark.sql import functions as F
-
 from diffloom import constants as K
 from diffloom.operators.grading import grade_tests
 from diffloom.operators.reports import run_buckets
