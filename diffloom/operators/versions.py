@@ -97,12 +97,15 @@ def asof_version_by_order(left: DataFrame, releases: DataFrame, keys: Sequence[s
     cut = version_cutoffs(releases, keys, version_col, time_col).withColumn("__ord", order_key)
     # running max over a (small) per-key release list: bounded by the number of versions
     w = Window.partitionBy(*keys).orderBy("cutoff", "__ord").rowsBetween(Window.unboundedPreceding, 0)
-    run = cut.withColumn("__best", F.max(F.struct("__ord", version_col)).over(w))
-    run = run.select(*keys, "cutoff", F.col(f"__best.{version_col}").alias("__v"))
+    run = (cut.withColumn("__best", F.max(F.struct("__ord", version_col)).over(w))
+              .withColumn("__seq", F.row_number().over(Window.partitionBy(*keys).orderBy("cutoff", "__ord"))))
+    # __seq first: among versions with the same cutoff the as-of pick keeps the latest running
+    # maximum (the one that has seen all of them), whatever the order of the version text
+    run = run.select(*keys, "cutoff", "__seq", F.col(f"__best.{version_col}").alias("__v"))
     lowest = cut.groupBy(*keys).agg(F.min_by(version_col, "__ord").alias("__lowest"))
-    j = asof_join(left, run, keys, left_time, "cutoff", ["__v"], strict=True, fallback="none")
+    j = asof_join(left, run, keys, left_time, "cutoff", ["__seq", "__v"], strict=True, fallback="none")
     j = j.join(lowest, keys, "left")
-    return j.withColumn(version_col, F.coalesce("__v", "__lowest")).drop("__v", "__lowest", "cutoff_matched")
+    return j.withColumn(version_col, F.coalesce("__v", "__lowest")).drop("__seq", "__v", "__lowest", "cutoff_matched")
 
 
 def major_minor(version) -> Column:

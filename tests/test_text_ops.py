@@ -68,6 +68,10 @@ def test_asof(spark):
     assert v == {1: "1.10", 2: "1.9", 3: "1.10", 4: "1.9"}
     n = {r.id: r.version for r in asof_version_by_order(inst, rel, ["repo"], "created_at", "version", "date", numeric=True).collect()}
     assert n[4] == "1.10"
+    # two versions with the same cutoff: the greater one (numerically) wins
+    tie = rel.union(spark.createDataFrame([("r", dt.datetime(2024, 2, 5), "1.2")], "repo string, date timestamp, version string"))
+    t = {r.id: r.version for r in asof_version_by_order(inst, tie, ["repo"], "created_at", "version", "date", numeric=True).collect()}
+    assert t[4] == "1.10"
 
 
 def test_budget_and_split(spark):
