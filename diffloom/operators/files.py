@@ -156,19 +156,26 @@ def register_encoding(name: str, fn) -> None:
     ENCODINGS[name] = fn
 
 
-def edits_only_text(content, hunks, context: int = 15) -> Column:
+def edits_only_text(content, hunks, context: int = 15, compat: bool = False) -> Column:
     """J2 for one file: numbered lines around each hunk. start = old_start - context,
     end = start + old_len + context (the end follows the moved start, as in the original);
-    ``...`` marks cut text; windows follow hunk order. Negative starts are clamped to 0.
+    ``...`` marks cut text; windows follow hunk order. A negative start is clamped to 0, or
+    with ``compat=True`` counts from the end of the file as Python slicing does.
 
     ``hunks`` = array<struct<old_start, old_len>>."""
     lines = F.transform(F.split(col_of(content), "\n"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(" "), x))
     n = F.size(lines)
 
     def piece(h):
-        start = F.greatest(h["old_start"] - context, F.lit(0))
-        end = h["old_start"] - context + h["old_len"] + context
-        body = F.array_join(F.slice(lines, start + 1, F.greatest(end - start, F.lit(0))), "\n")
+        start = h["old_start"] - context
+        end = start + h["old_len"] + context
+        if compat:
+            lo = F.when(start < 0, F.greatest(n + start, F.lit(0))).otherwise(F.least(start, n))
+            hi = F.when(end < 0, F.greatest(n + end, F.lit(0))).otherwise(F.least(end, n))
+        else:
+            lo = F.greatest(start, F.lit(0))
+            hi = F.least(end, n)
+        body = F.array_join(F.slice(lines, lo + 1, F.greatest(hi - lo, F.lit(0))), "\n")
         return F.concat(F.when(start > 0, F.lit("...\n")).otherwise(F.lit("")), body, F.lit("\n"),
                         F.when(end < n, F.lit("...\n")).otherwise(F.lit("")))
     return F.regexp_replace(F.array_join(F.transform(col_of(hunks), piece), ""), r"^\n+|\n+$", "")

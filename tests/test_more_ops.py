@@ -83,6 +83,12 @@ def test_edits_only_and_readmes_and_chat(spark):
     txt = df.select(edits_only_text(F.col("c"), F.col("h"))).collect()[0][0]
     lines = txt.split("\n")
     assert lines[0] == "..." and lines[1] == "6 l6" and lines[-1] == "..." and lines[-2] == "22 l22"
+    # a hunk near the top: clamped by default, counted from the end in compat mode (Python slice)
+    top = spark.createDataFrame([(content, [(3, 2)])], "c string, h array<struct<old_start:int,old_len:int>>")
+    clamped = top.select(edits_only_text(F.col("c"), F.col("h"))).collect()[0][0].split("\n")
+    assert clamped[0] == "1 l1" and clamped[-2] == "5 l5"
+    compat = top.select(edits_only_text(F.col("c"), F.col("h"), compat=True)).collect()[0][0]
+    assert compat == "..."  # [-12:5] is empty for 40 lines; only the trailing marker remains
     files = spark.createDataFrame([("c", "README.md"), ("c", "readme.rst"), ("c", "docs/README.md"), ("c", "x.py")],
                                   "corpus_id string, path string")
     assert sorted(r.path for r in readme_files(files).collect()) == ["README.md", "readme.rst"]
