@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from diffloom import constants as K
 from diffloom.functions.text import as_string_array, col_of
-from diffloom.session import materialize
+from diffloom.session import materialize, ship_package
 
 
 def parse_test_ids(instances: DataFrame, snapshot: DataFrame | None = None, id_col: str = "instance_id") -> DataFrame:
@@ -144,6 +144,7 @@ def doc_docstrings(snapshot: DataFrame) -> DataFrame:
             pdf["text"] = [enc(p, c) for p, c in zip(pdf["path"], pdf["content"])]
             yield pdf[["corpus_id", "path", "text"]]
 
+    ship_package(snapshot.sparkSession)
     return snapshot.select("corpus_id", "path", "content").mapInPandas(run, "corpus_id string, path string, text string")
 
 

@@ -69,3 +69,27 @@ def materialize(df, name: str):
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``diffloom`` importable in Python workers (what ``--py-files`` does on submit):
+    zip the package once per context and ``addPyFile`` it. Needed only by the operators that
+    run Python in tasks (pandas UDFs, ``mapInPandas``), whose functions refer to this package."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="diffloom-pyfiles-"), "diffloom.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(id(sc))
