@@ -124,12 +124,14 @@ class Words:
             keyed = _BYTE_VALUES[source] * position_keys(int(length.max()))[offset]
             return mix(np.add.reduceat(keyed, begins) + length.astype(np.uint64))
 
-    def windows(self, n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """Index of each word that begins ``n`` words of one text, and the windows' hashes.
-        Equal windows of different texts get different hashes only if ``seed`` is given."""
+    def windows(self, n: int, seed: int = 0, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Index of each word that begins ``n`` words of one text (or of one ``group``), and the
+        windows' hashes. Equal windows of different texts get different hashes only if ``seed``
+        is given."""
         if len(self) < n:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        at = np.flatnonzero(self.text[n - 1:] == self.text[: len(self) - n + 1])
+        group = self.text if group is None else group
+        at = np.flatnonzero(group[n - 1:] == group[: len(self) - n + 1])
         keys = stream(1000 + n, n + 1) | np.uint64(1)
         with np.errstate(over="ignore"):
             h = np.zeros(len(self) - n + 1, np.uint64)

@@ -32,9 +32,9 @@ class Limits:
 
     min_words: int = 10
     repeat_words_percent: int = 20
-    gram_chars: tuple[tuple[int, float], ...] = ((5, 0.25), (7, 0.20), (10, 0.15))
+    gram_chars: tuple[tuple[int, float], ...] = ((5, 0.25), (7, 0.22), (10, 0.20))
     line_chars: float = 0.40
-    symbol_share: float = 0.10
+    symbol_share: float = 0.05
     #: A text of fewer words is judged by its base rules and symbols only: one repeat in a
     #: few lines already covers a large share.
     cover_words: int = 50

@@ -25,3 +25,24 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from diffloom.llm import bpe
+
+    file = bpe.load(spark, public_tokenizers.path("word_bpe_49k.json"))
+    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), file).select("doc_id", "ids")
+    both = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), file).alias("decoded"))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm.multiset_hash import edited
+
+    found = edited(documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "n_chars", F.sha2(F.col("edited_text"), 256).alias("edited_sha256"),
+                        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
