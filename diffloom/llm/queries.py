@@ -46,3 +46,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = edited(documents(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), "n_chars", F.sha2(F.col("edited_text"), 256).alias("edited_sha256"),
                         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm.pii import fit, spans
+
+    docs = documents(spark, sf_dir)
+    found = docs.select("doc_id", spans(F.col("text"), fit(docs)).alias("s"))
+    return found.select("doc_id", "s.*")
