@@ -1,3 +1,63 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from diffloom.llm import mixing as M
+from diffloom.llm.warc import MIN_REVISIT
+
+
+def _weight(column: str, table) -> str:
+    named = " ".join(f"WHEN {column} = '{k}' THEN {w}" for k, w in table.items() if k != M.OTHER)
+    return f"CASE {named} ELSE {table.get(M.OTHER, 1)} END" if named else str(table.get(M.OTHER, 1))
+
+
+def _level(depth: int) -> str:
+    """The budgets of the nodes of one level from those of the level above (``b{depth}``)."""
+    path = ", ".join(M.LEVELS[:depth + 1])
+    above = ", ".join(M.LEVELS[:depth])
+    part = f"PARTITION BY {above}" if above else ""
+    join = f"USING ({above})" if above else "ON TRUE"
+    level = M.LEVELS[depth]
+    return f"""
+n{depth} AS (SELECT {path}, sum(have * {M.MAX_EPOCHS})::HUGEINT AS cap, {_weight(level, M.WEIGHTS[level])} AS w
+             FROM leaves GROUP BY {path}),
+s{depth} AS (SELECT n.*, b.budget AS above,
+               b.budget - coalesce(sum(cap) OVER ({part} ORDER BY cap::DOUBLE / w::DOUBLE, {level}
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room,
+               sum(w) OVER ({part} ORDER BY cap::DOUBLE / w::DOUBLE, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+             FROM n{depth} n JOIN b{depth} b {join} WHERE w > 0),
+f{depth} AS (SELECT *, cap * open <= room * w AS is_full FROM s{depth}),
+b{depth + 1} AS (SELECT {path}, CASE WHEN is_full THEN cap ELSE
+               (above - coalesce(sum(CASE WHEN is_full THEN cap END) OVER ({part}), 0)) * w
+               // sum(CASE WHEN NOT is_full THEN w END) OVER ({part}) END::HUGEINT AS budget FROM f{depth})"""
+
+
+_LEVELS = ", ".join(M.LEVELS)
+_KEY = f"md5('{M.SEED}:' || (budget // have)::VARCHAR || ':' || coalesce(doc_id::VARCHAR, 'null'))"
+
+MIXING = f"""
+WITH docs AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, lang AS lang0, source AS source0,
+    CASE WHEN substr(md5(coalesce(source, '')), 1, 1) < '4' THEN 'a' WHEN substr(md5(coalesce(source, '')), 1, 1) < '8' THEN 'b'
+         WHEN substr(md5(coalesce(source, '')), 1, 1) < 'c' THEN 'c' ELSE 'd' END AS domain,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens FROM documents),
+leaves AS (SELECT {_LEVELS}, sum(n_tokens)::HUGEINT AS have FROM docs GROUP BY ALL HAVING sum(n_tokens) > 0),
+b0 AS (SELECT sum(have) * {M.PERCENT} // 100 AS budget FROM leaves),
+{",".join(_level(d) for d in range(len(M.LEVELS)))},
+keyed AS (SELECT docs.*, budget // have AS epochs, budget % have AS rest, {_KEY} AS k
+          FROM docs JOIN leaves USING ({_LEVELS}) JOIN b{len(M.LEVELS)} USING ({_LEVELS})),
+until AS (SELECT *, sum(n_tokens) OVER (PARTITION BY {_LEVELS} ORDER BY k RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS u
+          FROM keyed),
+taken AS (SELECT *, epochs + CASE WHEN rest > 0 AND u <= rest THEN 1 ELSE 0 END AS copies FROM until)
+SELECT doc_id, domain, lang0 AS lang, source0 AS source, n_tokens, e::INTEGER AS epoch
+FROM taken, unnest(range(copies::BIGINT)) AS t(e)
+"""
+
+WARC = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest FROM p),
+o AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS owner FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= {MIN_REVISIT} AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {MIN_REVISIT} AND page_id <> owner THEN owner END AS refers_to
+FROM o
+"""
+
+ORACLES: dict[str, str] = {"op4_mixing": MIXING, "op9_warc": WARC}

@@ -7,10 +7,14 @@ the names of results, cannot clash with anything.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diffloom.llm.common import documents
+from diffloom.session import materialize, scratch_path
+from diffloom.sources.tables import load_table
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,3 +58,20 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = docs.select("doc_id", spans(F.col("text"), fit(docs)).alias("s"))
     return found.select("doc_id", "s.*")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm import mixing as M
+
+    docs = documents(spark, sf_dir).select("doc_id", M.domain_of(F.col("source")).alias("domain"), "lang", "source",
+                                           M.word_count(F.col("text")).alias("n_tokens"))
+    docs = materialize(docs, "mix-documents")  # ids, levels and counts: no texts
+    return M.mix(docs, M.LEVELS, M.WEIGHTS, "n_tokens", seed=M.SEED, max_epochs=M.MAX_EPOCHS, percent=M.PERCENT)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm.warc import read_archive, write_archive
+
+    path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    write_archive(load_table(spark, sf_dir, "pages"), path)
+    return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
