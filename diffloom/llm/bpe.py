@@ -34,13 +34,16 @@ from pyspark.sql import functions as F
 
 from diffloom.llm.common import fresh
 
-#: Symbols that are merged directly; longer runs are halved.
-LEAF_SYMBOLS = 64
+#: Bytes that are merged directly; longer runs are halved.
+LEAF_BYTES = 8
+#: Windows of more symbols are merged with a heap.
+HEAP_SYMBOLS = 96
 #: Texts of more code points are cut into pieces of about ``PIECE_CHARS`` for different tasks.
 LONG_CHARS = 1 << 16
 PIECE_CHARS = 1 << 14
 #: Words whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+REMEMBERED_CHARS = 64
 
 # Fixed values of Unicode: below U+0250 these are the letters, numbers and white space; the
 # characters of this range are their own NFC form.
@@ -52,16 +55,23 @@ _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE
 
 
 class _Remembered(dict):
-    def __init__(self, make):
+    """Results by argument, made when missing. When full, the results become the older half, from
+    which those still in use come back; so frequent ones stay and the table is bounded."""
+
+    def __init__(self, make, longest: int = REMEMBERED_CHARS):
         super().__init__()
-        self.make = make
-
-    def __missing__(self, word):
-        found = self.make(word)
-        if len(word) <= LEAF_SYMBOLS:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
+        self.make, self.longest, self.older = make, longest, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+            if len(key) > self.longest:
+                return found
+        if 2 * len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
         return found
 
 
@@ -96,21 +106,21 @@ class Bpe:
         self.added = {a["content"]: a["id"] for a in data["added_tokens"]}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") \
             if self.added else None
-        self.ids_of_word = _Remembered(lambda w: tuple(self.tree(self.symbols(w))))
+        self.ids_of_word = _Remembered(lambda w: self.tree(w.encode("utf-8", "surrogatepass")))
+        self.ids_of_window = _Remembered(lambda tokens: self.merge([s for t in tokens for s in self.base[t]]))
+        self.ids_of_leaf = _Remembered(lambda raw: self.merge([self.inner[b] for b in raw]))
+        self.ids_of_end = _Remembered(lambda raw: self.merge([self.inner[b] for b in raw[:-1]] + [self.final[raw[-1]]]))
         self.table = np.array([self.tokens.get(i, "") for i in range(max(self.tokens) + 1)], object)
 
     # one unsplit run
 
-    def symbols(self, word: str, open_end: bool = False) -> list[int]:
+    def symbols(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "surrogatepass")
-        out = [self.inner[b] for b in raw]
-        if not open_end and raw:
-            out[-1] = self.final[raw[-1]]
-        return out
+        return [self.inner[b] for b in raw[:-1]] + [self.final[b] for b in raw[-1:]]
 
-    def merge(self, ids: list[int]) -> list[int]:
+    def merge(self, ids: list[int]) -> tuple[int, ...]:
         """Merges the pair of lowest rank, the leftmost first, until there is none."""
-        if len(ids) > 2 * LEAF_SYMBOLS:
+        if len(ids) > HEAP_SYMBOLS:
             return self._merge_long(ids)
         ids, rank, none = list(ids), self.rank, len(self.made)
         while len(ids) > 1:
@@ -120,9 +130,9 @@ class Bpe:
                 break
             at = ranks.index(least)
             ids[at:at + 2] = [self.made[least]]
-        return ids
+        return tuple(ids)
 
-    def _merge_long(self, ids: list[int]) -> list[int]:
+    def _merge_long(self, ids: list[int]) -> tuple[int, ...]:
         """The same with a heap, for windows that grow large."""
         ids, n, rank = list(ids), len(ids), self.rank
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -141,26 +151,25 @@ class Bpe:
                     heapq.heappush(heap, (p, i))
             if (h := left[i]) >= 0 and (p := rank.get((ids[h], ids[i]))) is not None:
                 heapq.heappush(heap, (p, h))
-        return [i for i in ids if i is not None]
+        return tuple(i for i in ids if i is not None)
 
-    def join(self, a: list[int], b: list[int]) -> list[int]:
+    def join(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, ...]:
         """The encoding of two neighbouring parts of one run, from the encodings of each."""
         if not a or not b:
             return a + b
-        k = 1
+        k, m, n = 1, len(a), len(b)
         while True:
-            tail, head = a[-k:], b[:k]
-            window = self.merge([s for t in (*tail, *head) for s in self.base[t]])
-            left = len(tail) == len(a) or window[0] == tail[0]
-            if left and (len(head) == len(b) or window[-1] == head[-1]):
-                return a[: len(a) - len(tail)] + window + b[len(head):]
+            window = self.ids_of_window[a[-k:] + b[:k]]
+            if (k >= m or window[0] == a[-k]) and (k >= n or window[-1] == b[k - 1]):
+                return a[:max(0, m - k)] + window + b[k:]
             k *= 2
 
-    def tree(self, symbols: list[int]) -> list[int]:
-        if len(symbols) <= LEAF_SYMBOLS:
-            return self.merge(symbols)
-        half = len(symbols) // 2
-        return self.join(self.tree(symbols[:half]), self.tree(symbols[half:]))
+    def tree(self, raw: bytes, open_end: bool = False) -> tuple[int, ...]:
+        """The encoding of one run; with an open end, of a part that the run's end does not follow."""
+        if len(raw) <= LEAF_BYTES:
+            return (self.ids_of_leaf if open_end or not raw else self.ids_of_end)[raw]
+        half = len(raw) // 2
+        return self.join(self.tree(raw[:half], True), self.tree(raw[half:], open_end))
 
     # whole texts
 
@@ -194,11 +203,10 @@ class Bpe:
         ``head`` of an open left side, ``tail`` of an open right side, ``one`` if they are the same run."""
         runs = [self.added[s] if k % 2 else w for k, s in enumerate(self.segments(text))
                 for w in ([s] if k % 2 else self.words(s))]
-        parts = [[r] if isinstance(r, int) else list(self.ids_of_word[r]) for r in runs]
+        parts = [(r,) if isinstance(r, int) else self.ids_of_word[r] for r in runs]
         if open_right:
-            parts[-1] = self.tree(self.symbols(runs[-1], open_end=True))
-        ids = [i for p in parts for i in p]
-        return {"ids": ids, "head": len(parts[0]) if open_left else 0,
+            parts[-1] = self.tree(runs[-1].encode("utf-8", "surrogatepass"), True)
+        return {"ids": tuple(chain.from_iterable(parts)), "head": len(parts[0]) if open_left else 0,
                 "tail": len(parts[-1]) if open_right else 0, "one": len(parts) == 1}
 
     def join_pieces(self, a: dict, b: dict) -> dict:
@@ -210,11 +218,11 @@ class Bpe:
                 "head": len(run) if a["one"] and a["head"] else a["head"],
                 "tail": len(run) if b["one"] and b["tail"] else b["tail"], "one": a["one"] and b["one"]}
 
-    def join_all(self, pieces: list[dict]) -> list[int]:
+    def join_all(self, pieces: list[dict]) -> tuple[int, ...]:
         while len(pieces) > 1:
             pieces = [self.join_pieces(*pieces[k:k + 2]) if k + 1 < len(pieces) else pieces[k]
                       for k in range(0, len(pieces), 2)]
-        return pieces[0]["ids"] if pieces else []
+        return pieces[0]["ids"] if pieces else ()
 
 
 def cut(text: str, size: int) -> list[tuple[str, bool, bool]]:
@@ -272,13 +280,16 @@ def _bpe(file: Broadcast) -> Bpe:
 
 
 def encode(df: DataFrame, file: Broadcast, text: str = "text", long_chars: int = LONG_CHARS,
-           piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """``df`` with the ids of ``text`` as ``ids``."""
+           piece_chars: int = PIECE_CHARS, decoded: str | None = None) -> DataFrame:
+    """``df`` with the ids of ``text`` as ``ids``; with the name ``decoded``, also what they decode
+    to (a column of that name is replaced), in the same pass over the texts."""
 
-    @F.pandas_udf("array<int>")
-    def whole(column: pd.Series) -> pd.Series:
+    @F.pandas_udf("ids array<int>, text string")
+    def whole(column: pd.Series) -> pd.DataFrame:
         bpe = _bpe(file)
-        return pd.Series([bpe.encode(t) for t in column], dtype=object)
+        ids = [bpe.encode(t) for t in column]
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object),
+                             "text": pd.Series([bpe.decode(i) if decoded else None for i in ids], dtype=object)})
 
     @F.pandas_udf("array<struct<piece:string,open_left:boolean,open_right:boolean>>")
     def pieces_of(column: pd.Series) -> pd.Series:
@@ -293,23 +304,27 @@ def encode(df: DataFrame, file: Broadcast, text: str = "text", long_chars: int =
 
     def joined(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("pos")
-        parts = [{"ids": list(i), "head": h, "tail": t, "one": o} for i, h, t, o in
+        parts = [{"ids": tuple(i), "head": h, "tail": t, "one": o} for i, h, t, o in
                  zip(rows["ids"], rows["head"], rows["tail"], rows["one"])]
-        return pd.DataFrame({"digest": [key[0]], "ids": [_bpe(file).join_all(parts)]})
+        return pd.DataFrame({"digest": [key[0]], "ids": [list(_bpe(file).join_all(parts))]})
 
-    if "ids" in df.columns:
-        df = df.drop("ids")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("ids", decoded)]
     column = F.coalesce(F.col(text), F.lit(""))
-    short = df.filter(F.length(column) <= long_chars).withColumn("ids", whole(column))
+    both = fresh(df, "__both")
+    back = [F.col(f"{both}.text").alias(decoded)] if decoded else []
+    short = df.filter(F.length(column) <= long_chars).withColumn(both, whole(column)).select(
+        *kept, F.col(f"{both}.ids").alias("ids"), *back)
     long = df.filter(F.length(column) > long_chars)
     texts = long.select(F.sha2(F.col(text), 256).alias("digest"), F.col(text).alias("text")).dropDuplicates(["digest"])
     cuts = texts.select("digest", F.posexplode(pieces_of("text")).alias("pos", "p"))
     done = (cuts.repartition("digest", "pos")
             .select("digest", "pos", encoded("p.piece", "p.open_left", "p.open_right").alias("e"))
             .select("digest", "pos", "e.*").groupBy("digest").applyInPandas(joined, "digest string, ids array<int>"))
-    digest = fresh(df, "__digest")
+    digest, ids = fresh(df, "__digest"), fresh(df, "__ids")
+    back = [decode(F.col(ids), file).alias(decoded)] if decoded else []
     found = (long.withColumn(digest, F.sha2(F.col(text), 256))
-             .join(done.withColumnRenamed("digest", digest), digest).select(*[F.col(f"`{c}`") for c in df.columns], "ids"))
+             .join(done.select(F.col("digest").alias(digest), F.col("ids").alias(ids)), digest)
+             .select(*kept, F.col(ids).alias("ids"), *back))
     return short.unionByName(found)
 
 

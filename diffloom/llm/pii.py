@@ -347,13 +347,14 @@ def gold_reading(text: str, hood: Hood) -> list[tuple[int, int]]:
     return out
 
 
-def train(texts: list[str], epochs: int = 6, rate: float = 0.3, decay: float = 1e-3, seed: int = 7) -> Field:
-    """Maximum likelihood by stochastic gradient steps (AdaGrad) over the texts' neighbourhoods."""
+def train(texts: list[str], least_steps: int = 10_000, rate: float = 0.3, decay: float = 1e-3, seed: int = 7) -> Field:
+    """Maximum likelihood by stochastic gradient steps (AdaGrad) over the texts' neighbourhoods, in as
+    many whole passes as make ``least_steps``."""
     field = Field(np.zeros((len(FEATURES), OUT)), np.zeros((OUT + 1, OUT + 1)))
     examples = [(h, gold_reading(t, h)) for t in texts for h in hoods_of(t, base_spans(t)) if len(h.chunks) <= 40]
     rng = np.random.default_rng(seed)
     sums = [np.full_like(field.weights, 1e-2), np.full_like(field.follow, 1e-2)]
-    for _ in range(epochs):
+    for _ in range(-(-least_steps // max(1, len(examples)))):
         for k in rng.permutation(len(examples)):
             hood, gold = examples[k]
             features = hood.features
@@ -368,11 +369,14 @@ def train(texts: list[str], epochs: int = 6, rate: float = 0.3, decay: float = 1
 
 
 def sample_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = SAMPLE_DOCUMENTS) -> list[str]:
-    """At most ``n`` texts with digits or an ``@``, the first by a hash of id and length; the
-    bounded sample that the field is fitted to."""
+    """About ``n`` texts with digits or an ``@``, chosen by a hash of id and length, never more than
+    2 ``n``: the bounded sample that the field is fitted to. The first pass only counts them."""
     rows = df.filter(F.col(text).rlike("[0-9@]") & (F.length(text) <= 20_000)).select(
         F.xxhash64(F.col(id_col), F.length(text)).alias("h"), F.col(text).alias("t"))
-    return [r.t for r in rows.orderBy("h", "t").limit(n).collect()]
+    count = max(1, rows.count())
+    share = min(1.0, n / count)
+    chosen = rows.filter(F.pmod("h", F.lit(2**31)) < int(share * 2**31))
+    return [r.t for r in chosen.orderBy("h", "t").limit(2 * n).collect()]
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = SAMPLE_DOCUMENTS) -> Broadcast:

@@ -37,8 +37,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from diffloom.llm import bpe
 
     file = bpe.load(spark, public_tokenizers.path("word_bpe_49k.json"))
-    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), file).select("doc_id", "ids")
-    both = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), file).alias("decoded"))
+    both = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), file, decoded="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
