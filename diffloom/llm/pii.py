@@ -9,8 +9,8 @@ of the whole neighbourhood together. Besides the base kinds it knows ``secret``
 tokens, keys). Segments that touch no base span are added to the base spans, which all stay.
 
 The weights are learned here, by maximum likelihood with forward-backward sums, from a bounded
-sample of ``SAMPLE_DOCUMENTS`` documents with digits: their base spans and the values after an
-unmistakable cue are the labels; the features that repeat the base patterns and the cues are
+sample of ``SAMPLE_DOCUMENTS`` documents with digits: segments that a base pattern matches when they
+stand alone, and values after an unmistakable cue, are the labels; the features that repeat the base patterns and the cues are
 left out of every other training example, so that shapes count as well.
 
 All is decided inside one row. Nulls and empty texts have no spans. Equal rows get equal spans.
@@ -228,8 +228,7 @@ def _features(text: str, begin: int, end: int, n_chunks: int) -> list[str]:
     return out
 
 
-def hoods_of(text: str, base: list[Span]) -> list[Hood]:
-    exact = {(a, b): k for a, b, k in base}
+def hoods_of(text: str) -> list[Hood]:
     out = []
     for chunks in _chunks(text):
         segments, rows = [], []
@@ -242,8 +241,7 @@ def hoods_of(text: str, base: list[Span]) -> list[Hood]:
                         _ANY.search(text, *chunks[i]) and _ANY.search(text, *chunks[j])):
                     continue
                 names = _features(text, begin, end, j - i + 1)
-                if kind := exact.get((begin, end)):
-                    names.append(f"like {kind}")
+                names += [f"like {k}" for a, b, k in base_spans(text[begin:end]) if b - a == end - begin]
                 if _CUE.search(text[max(0, begin - 24):begin]) and end - begin >= 8:
                     names.append("cue given")
                 row = np.zeros(len(FEATURES))
@@ -331,8 +329,9 @@ class Field:
         return dw, df
 
 
-def gold_reading(text: str, hood: Hood) -> list[tuple[int, int]]:
-    """The labelled segments: base spans, and values after a cue; the earlier and longer first."""
+def gold_reading(hood: Hood) -> list[tuple[int, int]]:
+    """The labelled segments: those that a base pattern matches when they stand alone, and values
+    after a cue; the earlier and longer first."""
     found = []
     for s, (i, j) in enumerate(hood.segments):
         names = {FEATURES[k] for k in np.flatnonzero(hood.features[s])}
@@ -351,7 +350,7 @@ def train(texts: list[str], least_steps: int = 10_000, rate: float = 0.3, decay:
     """Maximum likelihood by stochastic gradient steps (AdaGrad) over the texts' neighbourhoods, in as
     many whole passes as make ``least_steps``."""
     field = Field(np.zeros((len(FEATURES), OUT)), np.zeros((OUT + 1, OUT + 1)))
-    examples = [(h, gold_reading(t, h)) for t in texts for h in hoods_of(t, base_spans(t)) if len(h.chunks) <= 40]
+    examples = [(h, gold_reading(h)) for t in texts for h in hoods_of(t) if len(h.chunks) <= 40]
     rng = np.random.default_rng(seed)
     sums = [np.full_like(field.weights, 1e-2), np.full_like(field.follow, 1e-2)]
     for _ in range(-(-least_steps // max(1, len(examples)))):
@@ -390,7 +389,7 @@ def find(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     if not _ANY.search(text):
         return base, base
     added = []
-    for hood in hoods_of(text, base):
+    for hood in hoods_of(text):
         for segment, kind in field.best(hood):
             i, j = hood.segments[segment]
             begin, end = _trim(text, hood.chunks[i][0], hood.chunks[j][1])

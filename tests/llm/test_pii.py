@@ -77,7 +77,7 @@ def test_best_reading_is_the_best_of_all():
     import numpy as np
     rng = np.random.default_rng(4)
     text = "mail a@b.c 12 +1 (212) 555-0199 x"
-    hood = pii.hoods_of(text, pii.base_spans(text))[0]
+    hood = pii.hoods_of(text)[0]
     field = pii.Field(rng.normal(size=(len(pii.FEATURES), pii.OUT)), rng.normal(size=(pii.OUT + 1,) * 2))
     hood.segments, hood.features = hood.segments[:8], hood.features[:8]
 
