@@ -23,7 +23,8 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterable
+from array import array
+from functools import cached_property
 from itertools import chain, pairwise
 
 import numpy as np
@@ -35,14 +36,15 @@ from pyspark.sql import functions as F
 from diffloom.llm.common import fresh
 
 #: Bytes that are merged directly; longer runs are halved.
-LEAF_BYTES = 8
+LEAF_BYTES = 32
 #: Windows of more symbols are merged with a heap.
 HEAP_SYMBOLS = 96
 #: Texts of more code points are cut into pieces of about ``PIECE_CHARS`` for different tasks.
 LONG_CHARS = 1 << 16
 PIECE_CHARS = 1 << 14
-#: Words whose ids a worker remembers.
-REMEMBERED = 200_000
+#: Results that a worker remembers: whole words, windows at joins.
+REMEMBERED_WORDS = 400_000
+REMEMBERED_WINDOWS = 20_000
 REMEMBERED_CHARS = 64
 
 # Fixed values of Unicode: below U+0250 these are the letters, numbers and white space; the
@@ -58,17 +60,17 @@ class _Remembered(dict):
     """Results by argument, made when missing. When full, the results become the older half, from
     which those still in use come back; so frequent ones stay and the table is bounded."""
 
-    def __init__(self, make, longest: int = REMEMBERED_CHARS):
+    def __init__(self, make, most: int = REMEMBERED_WINDOWS):
         super().__init__()
-        self.make, self.longest, self.older = make, longest, {}
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
         found = self.older.get(key)
         if found is None:
             found = self.make(key)
-            if len(key) > self.longest:
+            if len(key) > REMEMBERED_CHARS:
                 return found
-        if 2 * len(self) >= REMEMBERED:
+        if 2 * len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[key] = found
@@ -79,12 +81,10 @@ class Bpe:
     """Encoder and decoder of one vocabulary file (its text)."""
 
     def __init__(self, file: str):
-        from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         data = json.loads(file)
-        model = data["model"]
-        self.library = Tokenizer.from_str(file)
+        model, self.file = data["model"], file
         self.tokens = {i: t for t, i in model["vocab"].items()} | {a["id"]: a["content"] for a in data["added_tokens"]}
         vocab, self.suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         signs = ByteLevel.alphabet()
@@ -106,12 +106,19 @@ class Bpe:
         self.added = {a["content"]: a["id"] for a in data["added_tokens"]}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") \
             if self.added else None
-        self.ids_of_word = _Remembered(lambda w: self.tree(w.encode("utf-8", "surrogatepass")))
+        #: as bytes of 32-bit ids: a text's ids are then one join of its words'
+        self.ids_of_word = _Remembered(lambda w: array("i", self.tree(w.encode("utf-8", "surrogatepass"))).tobytes(),
+                                        REMEMBERED_WORDS)
         self.ids_of_window = _Remembered(lambda tokens: self.merge([s for t in tokens for s in self.base[t]]))
-        self.ids_of_leaf = _Remembered(lambda raw: self.merge([self.inner[b] for b in raw]))
-        self.ids_of_end = _Remembered(lambda raw: self.merge([self.inner[b] for b in raw[:-1]] + [self.final[raw[-1]]]))
         self.table = np.array([self.tokens.get(i, "") for i in range(max(self.tokens) + 1)], object)
 
+    @cached_property
+    def library(self):
+        """The library's normal form and word rules, for texts outside the plain range."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.file)
+
     # one unsplit run
 
     def symbols(self, word: str) -> list[int]:
@@ -122,14 +129,19 @@ class Bpe:
         """Merges the pair of lowest rank, the leftmost first, until there is none."""
         if len(ids) > HEAP_SYMBOLS:
             return self._merge_long(ids)
-        ids, rank, none = list(ids), self.rank, len(self.made)
-        while len(ids) > 1:
-            ranks = [rank.get(p, none) for p in pairwise(ids)]
+        ids, made, rank_of, none = list(ids), self.made, self.rank.get, len(self.made)
+        ranks = [rank_of(p, none) for p in pairwise(ids)]
+        while ranks:
             least = min(ranks)
             if least == none:
                 break
             at = ranks.index(least)
-            ids[at:at + 2] = [self.made[least]]
+            ids[at] = new = made[least]
+            del ids[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = rank_of((ids[at - 1], new), none)
+            if at < len(ranks):
+                ranks[at] = rank_of((new, ids[at + 1]), none)
         return tuple(ids)
 
     def _merge_long(self, ids: list[int]) -> tuple[int, ...]:
@@ -167,7 +179,8 @@ class Bpe:
     def tree(self, raw: bytes, open_end: bool = False) -> tuple[int, ...]:
         """The encoding of one run; with an open end, of a part that the run's end does not follow."""
         if len(raw) <= LEAF_BYTES:
-            return (self.ids_of_leaf if open_end or not raw else self.ids_of_end)[raw]
+            final = self.inner if open_end else self.final
+            return self.merge([self.inner[b] for b in raw[:-1]] + [final[b] for b in raw[-1:]])
         half = len(raw) // 2
         return self.join(self.tree(raw[:half], True), self.tree(raw[half:], open_end))
 
@@ -186,11 +199,10 @@ class Bpe:
         return self.split_added.split(text) if self.split_added and "<|" in text else [text]
 
     def encode(self, text: str) -> np.ndarray:
-        found: list[Iterable] = []
-        for k, segment in enumerate(self.segments(text)):
-            found.append([self.added[segment]] if k % 2 else
-                         chain.from_iterable(map(self.ids_of_word.__getitem__, self.words(segment))))
-        return np.fromiter(chain.from_iterable(found), np.int32)
+        segments = self.segments(text)
+        found = [array("i", [self.added[s]]).tobytes() if k % 2 else b"".join(map(self.ids_of_word.__getitem__, self.words(s)))
+                 for k, s in enumerate(segments)]
+        return np.frombuffer(found[0] if len(found) == 1 else b"".join(found), np.int32)
 
     def decode(self, ids) -> str:
         """Token strings joined by one space, as a file without a decoder has it; unknown ids are left out."""
@@ -203,7 +215,7 @@ class Bpe:
         ``head`` of an open left side, ``tail`` of an open right side, ``one`` if they are the same run."""
         runs = [self.added[s] if k % 2 else w for k, s in enumerate(self.segments(text))
                 for w in ([s] if k % 2 else self.words(s))]
-        parts = [(r,) if isinstance(r, int) else self.ids_of_word[r] for r in runs]
+        parts = [(r,) if isinstance(r, int) else self.tree(r.encode("utf-8", "surrogatepass")) for r in runs]
         if open_right:
             parts[-1] = self.tree(runs[-1].encode("utf-8", "surrogatepass"), True)
         return {"ids": tuple(chain.from_iterable(parts)), "head": len(parts[0]) if open_left else 0,
