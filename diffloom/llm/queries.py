@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from diffloom.llm.common import documents
+from diffloom.llm.common import documents, fold_of
 from diffloom.session import materialize, scratch_path
 from diffloom.sources.tables import load_table
 
@@ -74,3 +74,18 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
     write_archive(load_table(spark, sf_dir, "pages"), path)
     return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm.ppm import language_model
+
+    return language_model(documents(spark, sf_dir))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm import quality_cnn as C
+
+    docs = documents(spark, sf_dir)
+    net = C.fit(docs, load_table(spark, sf_dir, "labels"))
+    found = docs.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), C.score(F.col("text"), net).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= C.THRESHOLD).cast("int"))
