@@ -218,12 +218,14 @@ def fit(texts: DataFrame, order: int = ORDER, most: int = MAX_ENTRIES) -> Trie:
         part = part.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit(k).alias("k"), "gram", "n")
         every = part if every is None else every.union(part)
     every = materialize(every, "ppm-trie")
-    kept = every.filter(F.col("n") >= least_count(every, most)).toPandas()  # at most ``most`` rows
+    kept = every.filter(F.col("n") >= least_count(every, most)).toArrow()  # at most ``most`` rows
+    level, gram, n = (kept.column(c).to_numpy() for c in ("k", "gram", "n"))
     keys, counts = [], []
     for k in range(order + 1):
-        own = kept[kept["k"] == k].sort_values("gram")
-        keys.append(own["gram"].to_numpy(np.int64))
-        counts.append(own["n"].to_numpy(np.int64))
+        own = np.flatnonzero(level == k)
+        own = own[np.argsort(gram[own])]
+        keys.append(gram[own])
+        counts.append(n[own])
     return Trie(keys, counts)
 
 

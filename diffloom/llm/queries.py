@@ -89,3 +89,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = C.fit(docs, load_table(spark, sf_dir, "labels"))
     found = docs.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), C.score(F.col("text"), net).alias("score"))
     return found.withColumn("predicted", (F.col("score") >= C.THRESHOLD).cast("int"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm.suffix_dedup import repeated_spans
+
+    return repeated_spans(documents(spark, sf_dir))
