@@ -40,12 +40,14 @@ from diffloom.llm.common import fold_of, steps, utf8
 from diffloom.session import materialize
 
 ORDER = 5
-MAX_ENTRIES = 2_000_000
+MAX_ENTRIES = 1_000_000
 HEAD_WORDS = 1 << 16
 HEAD_BYTES = 64
+#: Bytes of text whose strings are made at once (some 60 bytes of numpy arrays each).
+STEP_BYTES = 1 << 20
 #: Distinct words that a task holds before it hands its counts on.
-HELD_WORDS = 200_000
-HELD_STRINGS = 1 << 20
+HELD_WORDS = 100_000
+HELD_STRINGS = 1 << 18
 
 
 def lowered(texts) -> list[bytes]:
@@ -163,7 +165,7 @@ def count_strings(texts: DataFrame, order: int = ORDER) -> DataFrame:
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for _, run in steps(lowered(batch.iloc[:, 0])):
+            for _, run in steps(lowered(batch.iloc[:, 0]), STEP_BYTES):
                 grams, n = np.unique(strings(run, order)[0], return_counts=True)
                 every, place = np.unique(np.concatenate((held, grams)), return_inverse=True)
                 held, sums = every, np.bincount(place, np.concatenate((sums, n)), len(every)).astype(np.int64)
@@ -212,12 +214,11 @@ def least_count(counts: DataFrame, most: int) -> int:
 def fit(texts: DataFrame, order: int = ORDER, most: int = MAX_ENTRIES) -> Trie:
     """The trie of all texts of the one column of ``texts``, bounded by ``most`` entries."""
     longest = materialize(count_strings(texts, order), "ppm-strings")
-    every = None
-    for k in range(order, -1, -1):
-        part = longest.select(F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram"), "n")
-        part = part.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit(k).alias("k"), "gram", "n")
-        every = part if every is None else every.union(part)
-    every = materialize(every, "ppm-trie")
+    shorter = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram")) for k in range(order)]))
+    every = longest.select(shorter.alias("s"), "n").groupBy("s.k", "s.gram").agg(F.sum("n").alias("n")) if order else \
+        longest.limit(0).select(F.lit(0).alias("k"), "gram", "n")
+    every = materialize(every.union(longest.select(F.lit(order).alias("k"), "gram", "n")), "ppm-trie")
     kept = every.filter(F.col("n") >= least_count(every, most)).toArrow()  # at most ``most`` rows
     level, gram, n = (kept.column(c).to_numpy() for c in ("k", "gram", "n"))
     keys, counts = [], []
@@ -244,7 +245,7 @@ def score(df: DataFrame, trie: Broadcast, head: Broadcast, held_out: Column, id_
         for batch in batches:
             texts = lowered(batch["text"])
             sums = []
-            for _, run in steps(texts):
+            for _, run in steps(texts, STEP_BYTES):
                 grams, begins = strings(run, model.order)
                 kinds, place = np.unique(grams, return_inverse=True)
                 sums.append(np.add.reduceat(model.score(kinds)[place], begins))
