@@ -1,22 +1,26 @@
 """Repeated passages by a sparse suffix array.
 
 Words are runs of other than ASCII white space. Of a text's suffixes only those are kept that begin
-at a minimiser: the least 3-word hash of some ``WINDOW`` (25) neighbouring ones. A passage of
-``MIN_WORDS`` (50) words holds one of its own among its first 25 positions, at the same place in
-every copy, so each copy keeps a suffix there that shares at least ``PREFIX`` (26) words.
-
-The kept suffixes are sorted by their first 26 words and then by what follows (as hashes, block by
-block), over range partitions: suffixes with the longest common beginnings are neighbours, and a
-beginning that a third of all documents share is split over many tasks by its documents. Neighbours
-of different documents with the same beginning are compared; so are those that follow each other
-when the suffixes of shared beginnings are sorted by what stands before them. Each suffix meets
-its neighbours only, never all that share its beginning. Matches of two documents on one diagonal
-are merged, and the words of both texts around the merged match are compared to extend it left and
-right; the words inside are compared by a strong hash. Matches of ``MIN_WORDS`` words or more count.
-
-Result: maximal repeated spans, at least one for each document with a passage that another document
-has too: (doc_id, start, end in code points, n_words, other_doc_id, other_start). Overlapping spans
-of one document are merged; the other document is that of its longest match.
+at a minimiser: the least 3-word hash of some ``WINDOW`` (16) neighbouring ones. A passage of
+``MIN_WORDS`` (50) words holds one of its own among its first 16 positions, at the same place in
+every copy, so each copy keeps a suffix there that shares at least ``PREFIX`` (35) words.
+
+The kept suffixes are sorted by their first 35 words (as a hash) and then by document, over range
+partitions, so that a beginning that a third of all documents share is split over many tasks.
+Neighbours of different documents with one beginning are compared; suffixes of shared beginnings
+are sorted and compared once more with their first 50 words, so that copies of a whole passage meet
+even where others share a part of it. Each suffix meets its neighbours only, never all that share
+its beginning. Matches of two documents on one diagonal are merged; the words of both texts around
+the merged match are compared to extend it left and right, and the words inside are compared by a
+second hash. Matches of ``MIN_WORDS`` words or more count.
+
+A passage of 65 words or more is found in every document that has it. One of 50 to 64 words is
+found unless each neighbour of its only suffix shares a part of fewer than 50 words. The edges of
+a span are those of its matches with neighbours: another document may share a few words more.
+
+Result: (doc_id, start, end in code points, n_words, other_doc_id, other_start), one row for each
+repeated span. Overlapping spans of one document are merged; the other document is that of its
+longest match.
 
 Nulls, empty texts and texts of fewer than 50 words have no spans. Rows of one id are one document:
 a text repeated under its own id is no match. Rows without an id are a document for each
@@ -37,17 +41,16 @@ from diffloom.llm.common import Words, mix, steps, stream, utf8
 from diffloom.session import materialize
 
 MIN_WORDS = 50
-WINDOW = 25
+WINDOW = 16
 GRAM = 3
 PREFIX = MIN_WORDS - WINDOW + 1
-#: The words behind (and before) the prefix are hashed in so many blocks of so many words.
-BLOCKS, BLOCK = 3, 8
 #: Words that are compared beyond either end of a merged match.
-REACH = 64
+REACH = 32
 #: Suffixes that one task sorts and compares.
 TASK_ROWS = 1_000_000
 
-SUFFIX = "b1 long, after long, before long, doc long, pos int"
+SUFFIX = "b1 long, whole long, doc long, pos int"
+COLUMNS = ["b1", "whole", "doc", "pos"]
 
 
 def _slide(values: np.ndarray, n: int, pick) -> np.ndarray:
@@ -79,118 +82,84 @@ def minimisers(words: Words, window: int = WINDOW, gram: int = GRAM) -> np.ndarr
 def _hashed(words: Words, begin: np.ndarray, n: int, seed: int) -> np.ndarray:
     """Hash of the ``n`` words from each index."""
     keys = stream(seed, n) | np.uint64(1)
+    out = np.zeros(len(begin), np.uint64)
     with np.errstate(over="ignore"):
-        return mix((words.hash[begin[:, None] + np.arange(n)[None, :]] * keys[None, :]).sum(axis=1, dtype=np.uint64))
-
-
-def _blocks(words: Words, at: np.ndarray, step: int) -> np.ndarray:
-    """Three 21-bit block hashes in one long, the nearest first; 0 where the text ends. ``step``: 1
-    after the prefix, -1 before the suffix."""
-    out = np.zeros(len(at), np.uint64)
-    for k in range(BLOCKS):
-        begin = at + PREFIX + k * BLOCK if step > 0 else at - (k + 1) * BLOCK
-        far = begin + BLOCK - 1 if step > 0 else begin
-        ok = (far >= 0) & (far < len(words))
-        ok[ok] = words.text[far[ok]] == words.text[at[ok]]
-        part = np.zeros(len(at), np.uint64)
-        part[ok] = (_hashed(words, begin[ok], BLOCK, 300 + step) >> np.uint64(43)) | np.uint64(1)
-        out = out << np.uint64(21) | part
-    return out
+        for k in range(n):
+            out += words.hash[begin + k] * keys[k]
+        return mix(out)
 
 
 def suffixes(texts: list[bytes], docs: np.ndarray) -> pd.DataFrame:
+    """The kept suffixes: hash of the prefix, hash of ``MIN_WORDS`` words (0 where the text ends before)."""
     words = Words(texts)
     at = minimisers(words)
     at = at[at + PREFIX <= len(words)]
     at = at[words.text[at + PREFIX - 1] == words.text[at]]
-    first = words.first[words.text[at]]
-    return pd.DataFrame({"b1": _hashed(words, at, PREFIX, 200).view(np.int64), "after": _blocks(words, at, 1).view(np.int64),
-                         "before": _blocks(words, at, -1).view(np.int64), "doc": docs[words.text[at]],
-                         "pos": (at - first).astype(np.int32)})
-
-
-def _equal_blocks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many blocks are equal before the first that is not (or ends the text)."""
-    a, b = a.view(np.uint64), b.view(np.uint64)
-    count, still = np.zeros(len(a), np.int64), np.ones(len(a), bool)
-    for k in range(BLOCKS):
-        shift = np.uint64(21 * (BLOCKS - 1 - k))
-        x, y = a >> shift & np.uint64(0x1FFFFF), b >> shift & np.uint64(0x1FFFFF)
-        still &= (x == y) & (x != 0)
-        count += still
-    return count
-
-
-def possible(after: tuple, before: tuple) -> np.ndarray:
-    """Whether a match of ``MIN_WORDS`` words is possible by the blocks of two suffixes with the same prefix."""
-    right, left = _equal_blocks(*after), _equal_blocks(*before)
-    most = np.where(right == BLOCKS, MIN_WORDS, PREFIX + BLOCK * (right + 1) - 1) + \
-        np.where(left == BLOCKS, MIN_WORDS, BLOCK * (left + 1) - 1)
-    return most >= MIN_WORDS
+    far = at + MIN_WORDS - 1
+    ok = far < len(words)
+    ok[ok] = words.text[far[ok]] == words.text[at[ok]]
+    whole = np.zeros(len(at), np.uint64)
+    whole[ok] = _hashed(words, at[ok], MIN_WORDS, 300) | np.uint64(1)
+    return pd.DataFrame({"b1": _hashed(words, at, PREFIX, 200).view(np.int64), "whole": whole.view(np.int64),
+                         "doc": docs[words.text[at]], "pos": (at - words.first[words.text[at]]).astype(np.int32)})
 
 
-COMPARED = f"kind string, part int, {SUFFIX}, doc2 long, pos2 int"
+COMPARED = f"kind int, part int, {SUFFIX}, doc2 long, pos2 int"
+PAIR, SHARED, EDGE = 0, 1, 2
 
 
-def neighbours(rows: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Sorts suffixes by ``order`` over range partitions and compares neighbours. Rows of kind
-    ``pair``: two suffixes with one prefix in different documents that may be part of a match;
-    ``shared``: a suffix whose prefix another document has too (or may have in the next partition);
-    ``edge``: the first and the last of a partition."""
+def neighbours(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Sorts suffixes by ``key``, document and place over range partitions and compares neighbours.
+    Kinds of rows: ``PAIR``: two suffixes with one key in different documents; ``SHARED``: a suffix
+    whose key another document has too (or may have in the next partition); ``EDGE``: the first and
+    the last of a partition."""
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // TASK_ROWS))
-    columns = [c.split()[0] for c in SUFFIX.split(", ")]
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = [b for b in batches if len(b)]
         if not kept:
             return
         own = pd.concat(kept, ignore_index=True)
-        v = {c: own[c].to_numpy() for c in columns}
-        n, part = len(own), TaskContext.get().partitionId()
-        new_doc = np.concatenate(([True], (v["b1"][1:] != v["b1"][:-1]) | (v["doc"][1:] != v["doc"][:-1])))
-        stretch = np.cumsum(new_doc) - 1  # of neighbours of one document under one prefix
-        begins = np.flatnonzero(new_doc)
-        ends = np.append(begins[1:], n)
-        previous, following = begins[stretch] - 1, ends[stretch]
-        follows = np.minimum(following, n - 1)
-        has_p = (previous >= 0) & (v["b1"][previous] == v["b1"])
-        has_f = (following < n) & (v["b1"][follows] == v["b1"])
-        a = np.concatenate((np.flatnonzero(has_p), np.flatnonzero(has_f)))
-        b = np.concatenate((previous[has_p], following[has_f]))
-        may = possible((v["after"][a], v["after"][b]), (v["before"][a], v["before"][b]))
-        low, high = np.minimum(a[may], b[may]), np.maximum(a[may], b[may])
+        v = {c: own[c].to_numpy() for c in COLUMNS}
+        n, part, k = len(own), TaskContext.get().partitionId(), v[key]
+        new_doc = np.concatenate(([True], (k[1:] != k[:-1]) | (v["doc"][1:] != v["doc"][:-1])))
+        begins = np.flatnonzero(new_doc)  # of stretches of one document under one key
+        stretch = np.cumsum(new_doc) - 1
+        previous, following = begins[stretch] - 1, np.append(begins[1:], n)[stretch]
+        has_p = (previous >= 0) & (k[previous] == k)
+        has_f = (following < n) & (k[np.minimum(following, n - 1)] == k)
+        low = np.concatenate((previous[has_p], np.flatnonzero(has_f)))
+        high = np.concatenate((np.flatnonzero(has_p), following[has_f]))
         pair = np.unique(low * n + high)
         low, high = pair // n, pair % n
-        shared = has_p | has_f | (v["b1"] == v["b1"][0]) | (v["b1"] == v["b1"][-1])
-        for kind, at, other in (("pair", low, high), ("shared", np.flatnonzero(shared), None), ("edge", np.unique([0, n - 1]), None)):
+        shared = has_p | has_f | (k == k[0]) | (k == k[-1])
+        for kind, at, other in ((PAIR, low, high), (SHARED, np.flatnonzero(shared), None), (EDGE, np.unique([0, n - 1]), None)):
             out = own.iloc[at].reset_index(drop=True)
             out["kind"], out["part"] = kind, part
             out["doc2"] = v["doc"][other] if other is not None else 0
             out["pos2"] = v["pos"][other] if other is not None else 0
-            yield out[["kind", "part", *columns, "doc2", "pos2"]]
+            yield out[["kind", "part", *COLUMNS, "doc2", "pos2"]]
 
-    dealt = rows.select(*columns).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    dealt = rows.select(*COLUMNS).repartitionByRange(parts, key, "doc", "pos").sortWithinPartitions(key, "doc", "pos")
     return materialize(dealt.mapInPandas(compared, COMPARED), name)
 
 
-def across_edges(found: DataFrame, order: list[str]) -> DataFrame:
-    """Pairs of the last suffix of a partition with the first of the next: two rows a partition."""
-    at = Window.partitionBy(F.lit(0)).orderBy("part", *order)
-    edge = found.filter("kind = 'edge'").withColumn("next", F.lead(F.struct("b1", "doc", "pos", "part")).over(at))
-    return edge.filter("next.part > part and next.b1 = b1 and next.doc <> doc").select(
+def pairs_of(found: DataFrame, key: str) -> DataFrame:
+    """The pairs, with those of the last suffix of a partition and the first of the next (two rows a
+    partition are looked at for these)."""
+    at = Window.partitionBy(F.lit(0)).orderBy("part", key, "doc", "pos")
+    edge = found.filter(F.col("kind") == EDGE).withColumn("next", F.lead(F.struct(key, "doc", "pos", "part")).over(at))
+    across = edge.filter(f"next.part > part and next.{key} = {key} and next.doc <> doc").select(
         "doc", "pos", F.col("next.doc").alias("doc2"), F.col("next.pos").alias("pos2"))
+    return found.filter(F.col("kind") == PAIR).select("doc", "pos", "doc2", "pos2").union(across)
 
 
 def matches(rows: DataFrame) -> DataFrame:
     """(a, b, shift, first, last): matches of documents a < b, merged on their diagonal: the words
     first .. last + PREFIX of a are those ``shift`` further on in b."""
-    by_after, by_before = ["b1", "after", "before", "doc", "pos"], ["b1", "before", "after", "doc", "pos"]
-    first = neighbours(rows, by_after, "suffix-after")
-    second = neighbours(first.filter("kind = 'shared'"), by_before, "suffix-before")
-    pairs = None
-    for found, order in ((first, by_after), (second, by_before)):
-        own = found.filter("kind = 'pair'").select("doc", "pos", "doc2", "pos2").union(across_edges(found, order))
-        pairs = own if pairs is None else pairs.union(own)
+    first = neighbours(rows, "b1", "suffix-prefix")
+    second = neighbours(first.filter((F.col("kind") == SHARED) & (F.col("whole") != 0)), "whole", "suffix-whole")
+    pairs = pairs_of(first, "b1").union(pairs_of(second, "whole"))
     flip = F.col("doc") > F.col("doc2")
     pairs = pairs.select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b"),
                          F.when(flip, F.col("pos2")).otherwise(F.col("pos")).alias("at"),
@@ -203,59 +172,95 @@ def matches(rows: DataFrame) -> DataFrame:
 
 ENDS = ("a long, b long, shift int, first int, last int, side int, inner long, left binary, right binary, "
         "starts binary, ends binary")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _ends(text: bytes, wanted: list) -> Iterator[tuple]:
-    """For each wanted match in this text: the hash of its words, the word hashes before and behind it
-    (nearest first), and the code points where a span begins or ends that is so many words longer."""
-    words = Words([text])
-    chars = np.concatenate(([0], np.cumsum(np.frombuffer(text, np.uint8) & 0xC0 != 0x80)))
-    with np.errstate(over="ignore"):
-        salted = words.hash * np.uint64(0x9E3779B97F4A7C15)
-    for m in wanted:
-        move = m["shift"] if m["side"] else 0
-        low, high = m["first"] + move, m["last"] + PREFIX + move
-        if low < 0 or high > len(words):
-            continue  # another text under the same id
-        keys = stream(500, high - low) | np.uint64(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """_BASE to the power of 0 .. n - 1 and of 0 .. -(n - 1), modulo 2**64."""
+    inverse = np.uint64(pow(int(_BASE), -1, 2**64))
+    out = []
+    for base in (_BASE, inverse):
+        p = np.full(n, base, np.uint64)
+        p[:1] = 1
         with np.errstate(over="ignore"):
-            inner = int(mix((words.hash[low:high] * keys).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
-        left, right = np.arange(low - 1, max(-1, low - 1 - REACH), -1), np.arange(high, min(len(words), high + REACH))
-        yield (m["a"], m["b"], m["shift"], m["first"], m["last"], m["side"], inner, salted[left].tobytes(), salted[right].tobytes(),
-               chars[words.start[np.append(low, left)]].astype(np.int64).tobytes(),
-               chars[words.end[np.append(high - 1, right)]].astype(np.int64).tobytes())
+            out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+def _ends(texts: list[bytes], wanted: pd.DataFrame) -> pd.DataFrame:
+    """For each wanted match (``text``: index of its text): a hash of its words, the word hashes before
+    and behind it (nearest first; 0 where the text ends), and the code points where a span begins or
+    ends that is so many words longer."""
+    words = Words(texts)
+    lead = np.concatenate(([0], np.cumsum(words.data & 0xC0 != 0x80)))
+    first = words.first[wanted["text"]]
+    size = words.first[wanted["text"].to_numpy() + 1] - first
+    move = np.where(wanted["side"] == 1, wanted["shift"], 0)
+    low, high = wanted["first"].to_numpy() + move, wanted["last"].to_numpy() + PREFIX + move
+    ok = (low >= 0) & (high <= size)  # else it belongs to another text under the same id
+    wanted, first, size = wanted[ok].reset_index(drop=True), first[ok], size[ok]
+    low, high = low[ok] + first, high[ok] + first
+    up, down = _powers(len(words) + 1)
+    short = (words.hash >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words.hash * up[:-1])))
+        inner = mix((sums[high] - sums[low]) * down[low])
+    reach = np.arange(REACH)[None, :]
+    left, right = low[:, None] - 1 - reach, high[:, None] + reach
+    in_left, in_right = left >= first[:, None], right < (first + size)[:, None]
+    left, right = np.where(in_left, left, low[:, None]), np.where(in_right, right, high[:, None] - 1)
+    origin = lead[words.text_at[wanted["text"]]][:, None]
+    starts = (lead[words.start[np.concatenate((low[:, None], left), axis=1)]] - origin).astype(np.int64)
+    ends = (lead[words.end[np.concatenate((high[:, None] - 1, right), axis=1)]] - origin).astype(np.int64)
+    raw = lambda x, kind: [r.tobytes() for r in np.ascontiguousarray(x.astype(kind))]
+    out = wanted[["a", "b", "shift", "first", "last", "side"]].copy()
+    out["inner"] = inner.view(np.int64)
+    out["left"], out["right"] = raw(np.where(in_left, short[left], 0), np.uint32), raw(np.where(in_right, short[right], 0), np.uint32)
+    # offsets from the match itself fit in 32 bits
+    out["starts"] = raw(np.concatenate((starts[:, :1], starts[:, :1] - starts[:, 1:]), axis=1), np.int32)
+    out["ends"] = raw(np.concatenate((ends[:, :1], ends[:, 1:] - ends[:, :1]), axis=1), np.int32)
+    return out
+
+
+def _alike(x: pd.Series, y: pd.Series) -> np.ndarray:
+    """How many words are equal from the nearest on."""
+    a, b = (np.frombuffer(b"".join(c), np.uint32).reshape(len(c), REACH) for c in (x, y))
+    same = np.concatenate(((a == b) & (a != 0), np.zeros((len(a), 1), bool)), axis=1)
+    return same.argmin(axis=1)
 
 
 def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Spans of the matches of ``found`` that are long enough when extended: for each side (doc, start,
     end, n_words, other, other_start). ``docs``: (doc, text)."""
+    found = materialize(found, "suffix-merged")
     side = lambda doc, n: found.select(F.col(doc).alias("doc"), F.struct("a", "b", "shift", "first", "last", F.lit(n).alias("side")).alias("m"))
     # a document has at most a few matches for each of its suffixes, so its list is no longer than its text
     wanted = side("a", 0).union(side("b", 1)).groupBy("doc").agg(F.collect_list("m").alias("wanted"))
     texts = docs.join(wanted, "doc").select("text", "wanted")
+    names = ["a", "b", "shift", "first", "last", "side"]
 
     def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in ENDS.split(", ")]
         for batch in batches:
-            out, size = [], 0
-            for text, wanted_ in zip(utf8(batch["text"]), batch["wanted"]):
-                for row in _ends(text, wanted_):
-                    out.append(row)
-                    if len(out) >= 10_000:
-                        yield pd.DataFrame(out, columns=names)
-                        out = []
-            if out:
-                yield pd.DataFrame(out, columns=names)
+            lists = batch["wanted"].tolist()
+            for begin, run in steps(utf8(batch["text"])):
+                own = lists[begin:begin + len(run)]
+                flat = [[m[c] for c in names] for w in own for m in w]
+                frame = pd.DataFrame(np.array(flat, np.int64).reshape(-1, len(names)), columns=names)
+                frame["text"] = np.repeat(np.arange(len(run)), [len(w) for w in own])
+                for k in range(0, len(frame), 20_000):
+                    yield _ends(run, frame.iloc[k:k + 20_000])
 
     @F.pandas_udf("n_words long, a_start long, a_end long, b_start long, b_end long")
-    def grown(n: pd.Series, al: pd.Series, ar: pd.Series, bl: pd.Series, br: pd.Series, as_: pd.Series, ae: pd.Series,
-              bs: pd.Series, be: pd.Series) -> pd.DataFrame:
-        out = []
-        for k, x, y, u, v, p, q, s, t in zip(n, al, ar, bl, br, as_, ae, bs, be):
-            left, right = _alike(x, u), _alike(y, v)
-            offset = lambda raw, at: int(np.frombuffer(raw, np.int64)[at])
-            out.append((k + left + right, offset(p, left), offset(q, right), offset(s, left), offset(t, right)))
-        return pd.DataFrame(out, columns=["n_words", "a_start", "a_end", "b_start", "b_end"])
+    def grown(n: pd.Series, al: pd.Series, ar: pd.Series, bl: pd.Series, br: pd.Series, a_s: pd.Series, a_e: pd.Series,
+              b_s: pd.Series, b_e: pd.Series) -> pd.DataFrame:
+        left, right = _alike(al, bl), _alike(ar, br)
+
+        def offset(raw: pd.Series, at: np.ndarray, sign: int) -> np.ndarray:
+            x = np.frombuffer(b"".join(raw), np.int32).reshape(len(raw), REACH + 1).astype(np.int64)
+            return x[:, 0] + sign * np.where(at > 0, x[np.arange(len(x)), at], 0)
+
+        return pd.DataFrame({"n_words": n + left + right, "a_start": offset(a_s, left, -1), "a_end": offset(a_e, right, 1),
+                             "b_start": offset(b_s, left, -1), "b_end": offset(b_e, right, 1)})
 
     rows = materialize(texts.mapInPandas(ends, ENDS), "suffix-ends")
     key = ["a", "b", "shift", "first", "last", "inner"]
@@ -270,13 +275,6 @@ def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
     return one("a", "b").union(one("b", "a"))
 
 
-def _alike(x: bytes, y: bytes) -> int:
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    n = min(len(a), len(b))
-    different = np.flatnonzero(a[:n] != b[:n])
-    return int(different[0]) if len(different) else n
-
-
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start, end, n_words, other_doc_id, other_start): see the module."""
     absent = -(2**62) + F.pmod(F.xxhash64(text), F.lit(2**61))  # keys of rows without an id
