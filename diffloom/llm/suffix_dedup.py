@@ -123,13 +123,19 @@ def neighbours(rows: DataFrame, key: str, name: str) -> DataFrame:
         v = {c: own[c].to_numpy() for c in COLUMNS}
         n, part, k = len(own), TaskContext.get().partitionId(), v[key]
         new_doc = np.concatenate(([True], (k[1:] != k[:-1]) | (v["doc"][1:] != v["doc"][:-1])))
-        begins = np.flatnonzero(new_doc)  # of stretches of one document under one key
-        stretch = np.cumsum(new_doc) - 1
-        previous, following = begins[stretch] - 1, np.append(begins[1:], n)[stretch]
-        has_p = (previous >= 0) & (k[previous] == k)
-        has_f = (following < n) & (k[np.minimum(following, n - 1)] == k)
-        low = np.concatenate((previous[has_p], np.flatnonzero(has_f)))
-        high = np.concatenate((np.flatnonzero(has_p), following[has_f]))
+        begins = np.flatnonzero(new_doc)  # of stretches of one document under one key (text that repeats itself)
+        size, stretch = np.diff(np.append(begins, n)), np.cumsum(new_doc) - 1
+        same = np.concatenate(([False], k[begins[1:]] == k[begins[:-1]], [False]))  # as the stretch before
+        has_p, has_f = same[stretch], same[stretch + 1]
+        place = np.arange(n) - begins[stretch]
+
+        def beside(rows_: np.ndarray, other: np.ndarray) -> np.ndarray:
+            """The row of the neighbouring stretch at the same place, counted round."""
+            return begins[other] + place[rows_] % size[other]
+
+        down, up = np.flatnonzero(has_p), np.flatnonzero(has_f)
+        low = np.concatenate((beside(down, stretch[down] - 1), up))
+        high = np.concatenate((down, beside(up, stretch[up] + 1)))
         pair = np.unique(low * n + high)
         low, high = pair // n, pair % n
         shared = has_p | has_f | (k == k[0]) | (k == k[-1])
