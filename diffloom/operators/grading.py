@@ -1,8 +1,8 @@
 """Grading (D12, E1-E4) and gold-test refresh.
 
 Tables:
-  runs     (run keys..., instance_id, applied)              one row per graded log
-  statuses (run keys..., instance_id, test, status)         from ``parse_logs``
+  parsed   (run keys..., instance_id, applied, tests)       one row per log, from ``parse_logs``
+  statuses (keys..., instance_id, test, status)             long form, for the refresh
   gold     (instance_id, category, test)                    long form of the gold lists
   modes    (instance_id, eval_type)  optional                M6, default pass_and_fail
 
@@ -58,45 +58,48 @@ def rate(success: Column, failure: Column) -> Column:
     return F.when(success + failure == 0, F.lit(1.0)).otherwise(success / (success + failure))
 
 
-def grade_tests(runs: DataFrame, statuses: DataFrame, gold: DataFrame,
-                run_keys: Sequence[str], modes: DataFrame | None = None,
+def gold_lists(gold: DataFrame) -> DataFrame:
+    """One row per instance with its gold tests as ``f2p`` and ``p2p`` (sorted, distinct). The lists of an
+    instance are one record of the dataset, so they are bounded by it."""
+    part = lambda c: F.sort_array(F.collect_set(F.when(F.col("category") == c, F.col("test"))))
+    return gold.groupBy("instance_id").agg(part(K.FAIL_TO_PASS).alias("f2p"), part(K.PASS_TO_PASS).alias("p2p"))
+
+
+def grade_tests(parsed: DataFrame, gold: DataFrame, run_keys: Sequence[str], modes: DataFrame | None = None,
                 with_lists: bool = False) -> DataFrame:
-    """D12 + E1-E3: one row per run with counts, rates and the resolution status.
+    """D12 + E1-E3: one row per log with counts, rates and the resolution status.
 
-    Logs that were not applied (I1) are not graded: their counts are NULL and they are
-    RESOLVED_NO. ``run_keys`` must include ``instance_id``.
+    ``parsed`` is scanned once and joined with the gold lists on the instance; the outcome of each gold
+    test is looked up in the log's own map. Logs that were not applied (I1) are not graded: their
+    counts are NULL and they are RESOLVED_NO; rejected logs (unknown or unselected dialect) are
+    left out, see ``rejected_logs``. ``run_keys`` must include ``instance_id``.
     """
     run_keys = list(run_keys)
-    applied = runs.where(F.col("applied")).select(*run_keys)
+    j = parsed.where(F.col("reject_reason").isNull()).select(*run_keys, "applied", "tests")
+    j = j.join(gold_lists(gold), "instance_id", "left")
     if modes is not None:
-        applied = applied.join(modes.select("instance_id", "eval_type"), "instance_id", "left")
+        j = j.join(modes.select("instance_id", "eval_type"), "instance_id", "left")
     else:
-        applied = applied.withColumn("eval_type", F.lit(K.PASS_AND_FAIL))
-    # gold per graded run, then left join the parsed statuses (absent -> NULL)
-    g = applied.join(gold.select("instance_id", "category", "test"), "instance_id")
-    g = g.join(statuses.select(*run_keys, "test", "status"), run_keys + ["test"], "left")
-    g = g.withColumn("outcome", test_outcome(F.col("status"), F.coalesce(F.col("eval_type"), F.lit(K.PASS_AND_FAIL))))
-    f2p = F.col("category") == K.FAIL_TO_PASS
-    p2p = F.col("category") == K.PASS_TO_PASS
-    succ = F.col("outcome") == "success"
-    fail = F.col("outcome") == "failure"
-    aggs = [F.count_if(f2p & succ).alias("f2p_success"), F.count_if(f2p & fail).alias("f2p_failure"),
-            F.count_if(p2p & succ).alias("p2p_success"), F.count_if(p2p & fail).alias("p2p_failure")]
-    if with_lists:
-        for name, cond in [("f2p_success_tests", f2p & succ), ("f2p_failure_tests", f2p & fail),
-                           ("p2p_success_tests", p2p & succ), ("p2p_failure_tests", p2p & fail)]:
-            aggs.append(F.sort_array(F.collect_list(F.when(cond, F.col("test")))).alias(name))
-    counts = g.groupBy(*run_keys).agg(*aggs)
-    out = runs.select(*run_keys, "applied").join(counts, run_keys, "left")
-    zero = F.lit(0).cast("long")
-    for c in ["f2p_success", "f2p_failure", "p2p_success", "p2p_failure"]:
-        out = out.withColumn(c, F.when(F.col("applied"), F.coalesce(F.col(c), zero)))
+        j = j.withColumn("eval_type", F.lit(K.PASS_AND_FAIL))
+    mode = F.coalesce(F.col("eval_type"), F.lit(K.PASS_AND_FAIL))
+    none = F.array().cast("array<string>")
+
+    def having(tests: str, outcome: str) -> Column:
+        return F.filter(F.coalesce(F.col(tests), none),
+                        lambda x: test_outcome(F.try_element_at(F.col("tests"), x), mode) == outcome)
+
+    lists = {f"{part}_{out}": having(part, out) for part in ("f2p", "p2p") for out in ("success", "failure")}
+    # two projections: each list is evaluated once
+    out = j.select(*run_keys, "applied", *[F.when(F.col("applied"), c).alias(f"{n}_tests") for n, c in lists.items()])
+    counts = {n: F.when(F.col("applied"), F.size(f"{n}_tests").cast("long")) for n in lists}
+    out = out.select("*", *[c.alias(n) for n, c in counts.items()])
     status = F.when(F.col("applied"), resolution_status(F.col("f2p_success"), F.col("f2p_failure"),
                                                          F.col("p2p_failure"))).otherwise(F.lit(K.RESOLVED_NO))
-    return (out.withColumn("f2p_rate", F.when(F.col("applied"), rate(F.col("f2p_success"), F.col("f2p_failure"))))
-               .withColumn("p2p_rate", F.when(F.col("applied"), rate(F.col("p2p_success"), F.col("p2p_failure"))))
-               .withColumn("resolution", status)
-               .withColumn("resolved", status == K.RESOLVED_FULL))
+    out = (out.withColumn("f2p_rate", F.when(F.col("applied"), rate(F.col("f2p_success"), F.col("f2p_failure"))))
+              .withColumn("p2p_rate", F.when(F.col("applied"), rate(F.col("p2p_success"), F.col("p2p_failure"))))
+              .withColumn("resolution", status)
+              .withColumn("resolved", status == K.RESOLVED_FULL))
+    return out if with_lists else out.drop(*[f"{n}_tests" for n in lists])
 
 
 def instance_report(graded: DataFrame, predictions: DataFrame, run_keys: Sequence[str],
@@ -115,28 +118,52 @@ def instance_report(graded: DataFrame, predictions: DataFrame, run_keys: Sequenc
 
 # ----------------------------------------------------------------------------- E10, E11
 
-def refresh_gold_tests(statuses: DataFrame, gold: DataFrame, config_col: str = "config") -> DataFrame:
+def _tagged(statuses: DataFrame, gold: DataFrame, config_col: str) -> DataFrame:
+    """(config, instance, test, passed, old): whether a test passed, and its old category."""
+    ran = statuses.groupBy(config_col, "instance_id", "test").agg(
+        F.coalesce(F.bool_or(F.col("status") == K.PASSED), F.lit(False)).alias("passed"))
+    old = gold.groupBy("instance_id", "test").agg(F.min("category").alias("old"))  # F2P before P2P
+    return ran.join(old, ["instance_id", "test"], "left")
+
+
+def refresh_gold_tests(statuses: DataFrame, gold: DataFrame, config_col: str = "config",
+                       expected: DataFrame | None = None) -> DataFrame:
     """E10 per (config, instance) from fresh statuses; only PASSED counts (XFAIL does not).
 
-    new F2P = PASSED ∩ old F2P; new P2P = PASSED − old F2P; reproduced when ≥ 1 old F2P passed.
-    Returns counts and change flags; the lists stay long (use ``refreshed_gold_long``).
+    new F2P = PASSED ∩ old F2P; new P2P = PASSED − old F2P; reproduced when ≥ 1 old F2P passed. One row
+    for each pair of ``expected`` (default: those with any status): ``no_log`` marks pairs without a
+    status, ``not_reproduced`` those that ran but passed no old F2P test. The lists are in
+    ``refreshed_gold_long``.
     """
-    passed = statuses.where(F.col("status") == K.PASSED).select(config_col, "instance_id", "test").distinct()
-    old_f2p = gold.where(F.col("category") == K.FAIL_TO_PASS).select("instance_id", "test")
-    old_p2p = gold.where(F.col("category") == K.PASS_TO_PASS).select("instance_id", "test")
-    tagged = (passed.join(old_f2p.withColumn("is_f2p", F.lit(True)), ["instance_id", "test"], "left")
-                    .join(old_p2p.withColumn("is_p2p", F.lit(True)), ["instance_id", "test"], "left"))
-    per = tagged.groupBy(config_col, "instance_id").agg(
-        F.count_if(F.col("is_f2p").isNotNull()).alias("new_f2p"),
-        F.count_if(F.col("is_f2p").isNull()).alias("new_p2p"),
-        F.count_if(F.col("is_f2p").isNull() & F.col("is_p2p").isNotNull()).alias("p2p_kept"))
+    passed = F.col("passed")
+    per = _tagged(statuses, gold, config_col).groupBy(config_col, "instance_id").agg(
+        F.count_if(passed & (F.col("old") == K.FAIL_TO_PASS)).alias("new_f2p"),
+        F.count_if(passed & ~F.col("old").eqNullSafe(F.lit(K.FAIL_TO_PASS))).alias("new_p2p"),
+        F.count_if(passed & (F.col("old") == K.PASS_TO_PASS)).alias("p2p_kept")).withColumn("ran", F.lit(True))
+    pairs = (per if expected is None else expected).select(config_col, "instance_id").distinct()
     sizes = gold.groupBy("instance_id").agg(
         F.count_if(F.col("category") == K.FAIL_TO_PASS).alias("old_f2p"),
         F.count_if(F.col("category") == K.PASS_TO_PASS).alias("old_p2p"))
-    out = per.join(sizes, "instance_id", "left").fillna(0, ["old_f2p", "old_p2p"])
-    return (out.withColumn("reproduced", F.col("new_f2p") > 0)
+    out = per if expected is None else pairs.join(per, [config_col, "instance_id"], "left")
+    out = out.join(sizes, "instance_id", "left").fillna(0, ["new_f2p", "new_p2p", "p2p_kept", "old_f2p", "old_p2p"])
+    out = out.withColumn("no_log", F.col("ran").isNull()).withColumn("reproduced", F.col("new_f2p") > 0)
+    return (out.withColumn("not_reproduced", ~F.col("no_log") & ~F.col("reproduced"))
                .withColumn("f2p_changed", F.col("new_f2p") != F.col("old_f2p"))
-               .withColumn("p2p_changed", (F.col("new_p2p") != F.col("old_p2p")) | (F.col("p2p_kept") != F.col("old_p2p"))))
+               .withColumn("p2p_changed", (F.col("new_p2p") != F.col("old_p2p")) | (F.col("p2p_kept") != F.col("old_p2p")))
+               .drop("ran"))
+
+
+def refreshed_gold_long(statuses: DataFrame, gold: DataFrame, config_col: str = "config") -> DataFrame:
+    """The new gold lists, ``(config, instance_id, category, test)``."""
+    new = F.when(F.col("old") == K.FAIL_TO_PASS, F.lit(K.FAIL_TO_PASS)).otherwise(F.lit(K.PASS_TO_PASS))
+    return _tagged(statuses, gold, config_col).where("passed").select(config_col, "instance_id", new.alias("category"), "test")
+
+
+def refresh_id_lists(refreshed: DataFrame, config_col: str = "config") -> DataFrame:
+    """The four id lists as rows ``(config, list, instance_id)``."""
+    flags = ["no_log", "not_reproduced", "f2p_changed", "p2p_changed"]
+    named = F.array(*[F.when(F.col(f) & (F.lit(f == "no_log") | ~F.col("no_log")), F.lit(f)) for f in flags])
+    return refreshed.select(config_col, F.explode(F.array_compact(named)).alias("list"), "instance_id")
 
 
 def best_config_per_group(refreshed: DataFrame, group_cols: Sequence[str], config_col: str = "config",

@@ -57,12 +57,13 @@ def problem_statement(pulls: DataFrame, issues: DataFrame, pull_keys=("repo", "p
     """For each resolved issue in order, ``title\\nbody\\n``; unknown issues are skipped;
     NULL title/body become ''. Returns ``pull_keys + problem_statement``."""
     pk = list(pull_keys)
-    ex = pulls.select(*pk, F.posexplode(issues_col).alias("pos", "issue_number"))
-    j = ex.join(issues.select("repo", "issue_number", "title", "body"), ["repo", "issue_number"])
+    ex = pulls.select(*pk, F.posexplode_outer(issues_col).alias("pos", "issue_number"))
+    known = issues.select("repo", "issue_number", "title", "body", F.lit(True).alias("known"))
+    j = ex.join(known, ["repo", "issue_number"], "left")
     piece = F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.coalesce("body", F.lit("")), F.lit("\n"))
-    st = (j.groupBy(*pk).agg(F.sort_array(F.collect_list(F.struct("pos", piece.alias("p")))).alias("ps"))
-          .select(*pk, F.array_join(F.transform("ps", lambda x: x["p"]), "").alias("problem_statement")))
-    return pulls.select(*pk).join(st, pk, "left").fillna("", ["problem_statement"])
+    found = F.when(F.col("known"), F.struct("pos", piece.alias("p")))
+    return (j.groupBy(*pk).agg(F.sort_array(F.collect_list(found)).alias("ps"))
+            .select(*pk, F.array_join(F.transform("ps", lambda x: x["p"]), "").alias("problem_statement")))
 
 
 def hints_before_first_commit(comments: DataFrame, first_commit: DataFrame,

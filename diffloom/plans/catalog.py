@@ -16,6 +16,8 @@ QUERIES = {
     "suite_results": G.suite_results,
     "suite_summary": G.suite_summary,
     "refresh_gold": G.refresh_gold,
+    "refresh_lists": G.refresh_lists,
+    "refresh_ids": G.refresh_ids,
     "best_config": G.best_config,
     "patch_stats": P.patch_stats,
     "patch_gates": P.patch_gates,

@@ -151,8 +151,8 @@ per_word AS (
 agg AS (
   SELECT order_key, count(*) AS n_resolved, string_agg(CAST(num AS VARCHAR), ',' ORDER BY first_p) AS resolved
   FROM per_word GROUP BY 1)
-SELECT DISTINCT li.order_key, coalesce(agg.n_resolved, 0) AS n_resolved, coalesce(agg.resolved, '') AS resolved
-FROM li LEFT JOIN agg ON agg.order_key = li.order_key"""
+SELECT o.o_orderkey AS order_key, coalesce(agg.n_resolved, 0) AS n_resolved, coalesce(agg.resolved, '') AS resolved
+FROM orders o LEFT JOIN agg ON agg.order_key = o.o_orderkey"""
 
 ORACLES["hints_prefix"] = """
 WITH c AS (SELECT * FROM conversations),
@@ -341,7 +341,7 @@ code AS (
   FROM f GROUP BY 1, 2),
 pr AS (
   SELECT c.query_id, c.corpus_id, c.n_files,
-         concat_ws(chr(10), 'You will be provided with a partial code base and an issue statement explaining a problem to resolve.',
+         concat_ws(chr(10), 'Below are an issue report and the source files it concerns.',
                    '<issue>', b.text, '</issue>', '<code>', '', c.code, '</code>',
                    'Produce a patch file that resolves the issue, in unified diff format.') AS prompt
   FROM code c JOIN benchmark b ON b.item_id = c.query_id),
@@ -363,7 +363,7 @@ _RES = """
 u AS (SELECT DISTINCT user_id, 'proj' || CAST(user_id % 5 AS VARCHAR) || '__app-' || CAST(user_id AS VARCHAR) AS instance_id FROM events),
 r AS (SELECT user_id, CASE WHEN event_type IN ('error', 'signup') THEN 'FAIL_TO_PASS' ELSE 'PASS_TO_PASS' END AS test_type,
              CASE WHEN value < 60 THEN 0 WHEN value < 200 THEN 1 ELSE 4 END AS exit_code
-      FROM events WHERE ts < TIMESTAMP '2024-01-02 00:00:00'),
+      FROM events WHERE user_id % 7 <> 3),
 per AS (
   SELECT u.instance_id, split_part(u.instance_id, '-', 1) AS repo_key,
          count(r.exit_code) AS total_tests,
@@ -393,25 +393,37 @@ WITH {_EV},
 fs AS (SELECT CAST(least(floor((day(ts) - 1) / 8), 3) AS INTEGER) AS config, instance_id, test,
               arg_max(status, (ts, event_id)) AS status
        FROM ev GROUP BY 1, 2, 3),
-passed AS (SELECT DISTINCT config, instance_id, test FROM fs WHERE status = 'PASSED'),
+tg AS (SELECT fs.*, status = 'PASSED' AS passed, g.category AS old
+       FROM fs LEFT JOIN gold g ON g.instance_id = fs.instance_id AND g.test = fs.test),
 per AS (
-  SELECT p.config, p.instance_id,
-         count(*) FILTER (WHERE g.category = 'FAIL_TO_PASS') AS new_f2p,
-         count(*) FILTER (WHERE g.category IS DISTINCT FROM 'FAIL_TO_PASS') AS new_p2p,
-         count(*) FILTER (WHERE g.category = 'PASS_TO_PASS') AS p2p_kept
-  FROM passed p LEFT JOIN gold g ON g.instance_id = p.instance_id AND g.test = p.test GROUP BY 1, 2),
+  SELECT config, instance_id, count(*) FILTER (WHERE passed AND old = 'FAIL_TO_PASS') AS new_f2p,
+         count(*) FILTER (WHERE passed AND old IS DISTINCT FROM 'FAIL_TO_PASS') AS new_p2p,
+         count(*) FILTER (WHERE passed AND old = 'PASS_TO_PASS') AS p2p_kept
+  FROM tg GROUP BY 1, 2),
+pairs AS (SELECT DISTINCT 'inst-' || CAST(user_id AS VARCHAR) AS instance_id, CAST(c AS INTEGER) AS config
+          FROM events, unnest(range(4)) AS r(c)),
 sizes AS (SELECT instance_id, count(*) FILTER (WHERE category = 'FAIL_TO_PASS') AS old_f2p,
                  count(*) FILTER (WHERE category = 'PASS_TO_PASS') AS old_p2p FROM gold GROUP BY 1),
 rf AS (
-  SELECT per.config, per.instance_id, per.new_f2p, per.new_p2p, coalesce(s.old_f2p, 0) AS old_f2p,
-         coalesce(s.old_p2p, 0) AS old_p2p, per.new_f2p > 0 AS reproduced,
-         per.new_f2p <> coalesce(s.old_f2p, 0) AS f2p_changed,
-         per.new_p2p <> coalesce(s.old_p2p, 0) OR per.p2p_kept <> coalesce(s.old_p2p, 0) AS p2p_changed
-  FROM per LEFT JOIN sizes s ON s.instance_id = per.instance_id)"""
+  SELECT config, instance_id, coalesce(new_f2p, 0) AS new_f2p, coalesce(new_p2p, 0) AS new_p2p, coalesce(old_f2p, 0) AS old_f2p,
+         coalesce(old_p2p, 0) AS old_p2p, new_f2p IS NULL AS no_log, coalesce(new_f2p, 0) > 0 AS reproduced,
+         new_f2p IS NOT NULL AND new_f2p = 0 AS not_reproduced,
+         coalesce(new_f2p, 0) <> coalesce(old_f2p, 0) AS f2p_changed,
+         coalesce(new_p2p, 0) <> coalesce(old_p2p, 0) OR coalesce(p2p_kept, 0) <> coalesce(old_p2p, 0) AS p2p_changed
+  FROM pairs LEFT JOIN per USING (config, instance_id) LEFT JOIN sizes USING (instance_id))"""
 
 ORACLES["refresh_gold"] = _FRESH + """
 SELECT * FROM rf"""
 
+ORACLES["refresh_lists"] = _FRESH + """
+SELECT config, instance_id, CASE WHEN old = 'FAIL_TO_PASS' THEN old ELSE 'PASS_TO_PASS' END AS category, test FROM tg WHERE passed"""
+
+ORACLES["refresh_ids"] = _FRESH + """
+SELECT config, 'no_log' AS list, instance_id FROM rf WHERE no_log
+UNION ALL SELECT config, 'not_reproduced', instance_id FROM rf WHERE not_reproduced
+UNION ALL SELECT config, 'f2p_changed', instance_id FROM rf WHERE f2p_changed AND NOT no_log
+UNION ALL SELECT config, 'p2p_changed', instance_id FROM rf WHERE p2p_changed AND NOT no_log"""
+
 ORACLES["best_config"] = _FRESH + """,
 cnt AS (SELECT CAST(CAST(substr(instance_id, 6) AS BIGINT) % 3 AS INTEGER) AS grp, config, count(*) AS n_reproduced
         FROM rf WHERE reproduced GROUP BY 1, 2)
@@ -431,6 +443,6 @@ per_word AS (
 st AS (
   SELECT w.order_key, string_agg(coalesce(pt.p_name, '') || chr(10) || coalesce(pt.p_type, '') || chr(10), '' ORDER BY w.first_p) AS s
   FROM per_word w JOIN part pt ON pt.p_partkey = w.num GROUP BY 1),
-o AS (SELECT DISTINCT order_key FROM li)
+o AS (SELECT o_orderkey AS order_key FROM orders)
 SELECT o.order_key, md5(coalesce(st.s, '')) AS statement_md5, CAST(length(coalesce(st.s, '')) AS BIGINT) AS statement_chars
 FROM o LEFT JOIN st ON st.order_key = o.order_key"""

@@ -53,7 +53,7 @@ def resolved_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     per = _ref_lines(spark, sf_dir).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("it")).alias("its"))
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    j = per.join(o, per.l_orderkey == o.o_orderkey)
+    j = o.join(per, per.l_orderkey == o.o_orderkey, "left")
     title = F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(": "), F.col("o_orderpriority"))
     body = F.array_join(F.transform("its", lambda x: x["line"]), "\n")
     issues = resolved_issues(pull_text(title, body))
@@ -104,7 +104,7 @@ def problem_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     from diffloom.operators.issues import problem_statement
     per = _ref_lines(spark, sf_dir).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("it")).alias("its"))
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    j = per.join(o, per.l_orderkey == o.o_orderkey)
+    j = o.join(per, per.l_orderkey == o.o_orderkey, "left")
     title = F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(": "), F.col("o_orderpriority"))
     body = F.array_join(F.transform("its", lambda x: x["line"]), "\n")
     pulls = j.select(F.lit("r").alias("repo"), F.col("o_orderkey").alias("pull_number"),

@@ -88,8 +88,7 @@ RUN_KEYS = ["run_id", "model", "instance_id"]
 
 def grade_batch(logs: DataFrame, gold: DataFrame, modes: DataFrame | None = None) -> DataFrame:
     """L4 core: parse + grade a log table (run_id, model, instance_id, repo, log)."""
-    runs, st = parse_logs(logs, RUN_KEYS)
-    return grade_tests(runs, st, gold, RUN_KEYS, modes=modes)
+    return grade_tests(parse_logs(logs, RUN_KEYS), gold, RUN_KEYS, modes=modes)
 
 
 def grade_stream(spark: SparkSession, logs_dir: str, gold: DataFrame, output_dir: str, checkpoint: str,

@@ -1,20 +1,44 @@
 """Grading edge cases (FIXTURES §8: grading, run report)."""
 
 from diffloom import constants as K
-from diffloom.operators.grading import grade_tests
+from diffloom.operators.grading import grade_tests, refresh_gold_tests, refreshed_gold_long
 from diffloom.operators.reports import run_buckets
 
 KEYS = ["run_id", "instance_id"]
 
 
 def _grade(spark, statuses, gold, modes=None):
-    runs = spark.createDataFrame([("r", i, True) for i in sorted({g[0] for g in gold} | {s[0] for s in statuses} | {"none"})],
-                                 "run_id string, instance_id string, applied boolean")
-    st = spark.createDataFrame([("r", *s) for s in statuses] or [("r", "x", "x", "x")],
-                               "run_id string, instance_id string, test string, status string")
+    ids = sorted({g[0] for g in gold} | {s[0] for s in statuses} | {"none"})
+    parsed = spark.createDataFrame([("r", i, True, None, {t: x for j, t, x in statuses if j == i}) for i in ids],
+                                   "run_id string, instance_id string, applied boolean, reject_reason string, tests map<string,string>")
     gd = spark.createDataFrame(gold or [("zz", K.FAIL_TO_PASS, "zz")], "instance_id string, category string, test string")
     md = spark.createDataFrame(modes, "instance_id string, eval_type string") if modes else None
-    return {r["instance_id"]: r.asDict() for r in grade_tests(runs, st, gd, KEYS, modes=md).collect()}
+    return {r["instance_id"]: r.asDict() for r in grade_tests(parsed, gd, KEYS, modes=md).collect()}
+
+
+def test_lists_and_rejected_logs(spark):
+    parsed = spark.createDataFrame([("r", "a", True, None, {"t1": "PASSED", "p1": "FAILED"}), ("r", "b", True, "unknown dialect", None),
+                                    ("r", "c", False, None, None)],
+                                   "run_id string, instance_id string, applied boolean, reject_reason string, tests map<string,string>")
+    gold = spark.createDataFrame([("a", K.FAIL_TO_PASS, "t1"), ("a", K.PASS_TO_PASS, "p1"), ("c", K.FAIL_TO_PASS, "t1")],
+                                 "instance_id string, category string, test string")
+    got = {r.instance_id: r for r in grade_tests(parsed, gold, KEYS, with_lists=True).collect()}
+    assert set(got) == {"a", "c"}  # a log that nothing can read is not a failure
+    assert got["a"].f2p_success_tests == ["t1"] and got["a"].p2p_failure_tests == ["p1"]
+    assert got["c"].f2p_success is None and got["c"].resolution == K.RESOLVED_NO
+
+
+def test_refresh_keeps_pairs_without_passed_tests(spark):
+    st = spark.createDataFrame([(0, "a", "t1", "PASSED"), (0, "a", "p1", "PASSED"), (0, "a", "new", "PASSED"), (0, "b", "t1", "FAILED")],
+                               "config int, instance_id string, test string, status string")
+    gold = spark.createDataFrame([("a", K.FAIL_TO_PASS, "t1"), ("a", K.PASS_TO_PASS, "p1"), ("b", K.FAIL_TO_PASS, "t1")],
+                                 "instance_id string, category string, test string")
+    expected = spark.createDataFrame([(0, "a"), (0, "b"), (1, "a")], "config int, instance_id string")
+    got = {(r.config, r.instance_id): r for r in refresh_gold_tests(st, gold, expected=expected).collect()}
+    assert set(got) == {(0, "a"), (0, "b"), (1, "a")}
+    assert got[0, "a"].reproduced and got[0, "b"].not_reproduced and got[1, "a"].no_log and not got[1, "a"].not_reproduced
+    long = {tuple(r) for r in refreshed_gold_long(st, gold).select("instance_id", "category", "test").collect()}
+    assert long == {("a", K.FAIL_TO_PASS, "t1"), ("a", K.PASS_TO_PASS, "p1"), ("a", K.PASS_TO_PASS, "new")}
 
 
 def test_no_gold_tests_is_full(spark):
