@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from diffloom import constants as K
 from diffloom.functions.text import as_string_array, col_of
-from diffloom.session import materialize, ship_package
+from diffloom.session import materialize
 
 
 def parse_test_ids(instances: DataFrame, snapshot: DataFrame | None = None, id_col: str = "instance_id") -> DataFrame:
@@ -79,29 +79,27 @@ def resolve_edges(snapshot: DataFrame) -> DataFrame:
     dirs = snapshot.select("corpus_id", F.concat(F.lit("/"), F.regexp_replace("path", r"/?[^/]*$", "")).alias("dir")).distinct()
     suff = dirs.select("corpus_id", "dir", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("dir") + 1), lambda i: F.substring("dir", i, 1 << 20))).alias("suffix"))
-    suff = suff.union(dirs.select("corpus_id", "dir", F.lit("").alias("suffix"))).distinct()
+    suff = suff.union(dirs.select("corpus_id", "dir", F.lit("").alias("suffix")))
     depth = F.size(F.split("dir", "/"))
-    first = (e.join(suff, ["corpus_id", "suffix"])
-             .groupBy("corpus_id", "src", "suffix").agg(F.min_by("dir", F.struct(depth.alias("d"), F.col("dir"))).alias("dir")))
+    # one directory for each suffix before the join: an import meets one row, not every directory
+    suff = suff.groupBy("corpus_id", "suffix").agg(F.min_by("dir", F.struct(depth.alias("d"), F.col("dir"))).alias("dir"))
+    first = e.join(suff, ["corpus_id", "suffix"]).select("corpus_id", "src", "suffix", "dir").distinct()
     files = snapshot.select("corpus_id", F.col("path").alias("dst"),
                             F.concat(F.lit("/"), F.regexp_replace("path", r"/?[^/]*$", "")).alias("dir")) \
         .where(F.col("dst").endswith(".py"))
     return first.join(files, ["corpus_id", "dir"]).select("corpus_id", "src", "dst").distinct()
 
 
-def import_closure(snapshot: DataFrame, targets: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def import_closure(snapshot: DataFrame, targets: DataFrame) -> DataFrame:
     """Files reachable from each target ``(corpus_id, path)`` through imports.
 
     Frontier iteration: join the frontier with the edges, drop what was reached already
-    (``left_anti``), stop when nothing is new (no round cap by default, so the closure is
-    complete). Each round's sets are written to the shared
+    (``left_anti``), stop when nothing is new, so the closure is complete. Each round's sets are written to the shared
     checkpoint folder (survives executor loss) to cut the growing lineage."""
     edges = resolve_edges(snapshot)
     reached = targets.select("corpus_id", F.col("path").alias("root"), F.col("path").alias("file")).distinct()
     frontier = reached
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        rounds += 1
+    while True:
         nxt = (frontier.join(edges, (frontier.corpus_id == edges.corpus_id) & (frontier.file == edges.src))
                .select(frontier.corpus_id, "root", F.col("dst").alias("file")).distinct())
         new = materialize(nxt.join(reached, ["corpus_id", "root", "file"], "left_anti"), "import-frontier")
@@ -117,35 +115,24 @@ def doc_contents(path, content) -> Column:
     return F.concat_ws("\n", col_of(path), col_of(content))
 
 
+# a module's, class's or function's docstring, and the definition line before it
+_DOC = r'(?:"""(?:[^"\\]|\\.|"(?!""))*"""|\'\'\'(?:[^\'\\]|\\.|\'(?!\'\'))*\'\'\')'
+_DEFINITION = r"(?m)^[ \t]*(?:async[ \t]+)?(class|def)[ \t]+(\w+)[^\n]*?(?:\([^)]*\)[^\n:]*)?:[ \t]*(?:\n\s*[rRuU]?(" + _DOC + "))?"
+
+
 def doc_docstrings(snapshot: DataFrame) -> DataFrame:
-    """C19 ``docstrings`` encoding: path + module/class/function docstrings (stdlib ``ast``
-    per file in ``mapInPandas``, no shuffle); on a parse failure the plain content is used."""
-    import ast
-
-    def enc(path: str, content: str) -> str:
-        try:
-            tree = ast.parse(content)
-        except Exception:  # noqa: BLE001 - unparsable file: fall back to the content
-            return f"{path}\n{content}"
-        out = [path]
-        d = ast.get_docstring(tree)
-        if d:
-            out.append(d)
-        for node in ast.walk(tree):
-            if isinstance(node, (ast.ClassDef, ast.FunctionDef, ast.AsyncFunctionDef)):
-                ds = ast.get_docstring(node)
-                kind = "class" if isinstance(node, ast.ClassDef) else "def"
-                out.append(f"{kind} {node.name}" + (f"\n{ds}" if ds else ""))
-        return "\n".join(out)
-
-    def run(batches):
-        for pdf in batches:
-            pdf = pdf.copy()
-            pdf["text"] = [enc(p, c) for p, c in zip(pdf["path"], pdf["content"])]
-            yield pdf[["corpus_id", "path", "text"]]
-
-    ship_package(snapshot.sparkSession)
-    return snapshot.select("corpus_id", "path", "content").mapInPandas(run, "corpus_id string, path string, text string")
+    """C19 ``docstrings`` encoding: the path, the module docstring, then each class and function in the
+    order of the file with its docstring. Patterns on the file's text, so a file with broken
+    syntax gives what can be read; a file without any of these gives its content."""
+    text = F.col("content")
+    bare = lambda d: F.btrim(F.substring(d, F.lit(4), F.length(d) - 6))
+    module = F.regexp_extract(text, r"^\s*(?:#[^\n]*\n\s*)*[rRuU]?(" + _DOC + ")", 1)
+    parts = [F.regexp_extract_all(text, F.lit(_DEFINITION), k) for k in (1, 2, 3)]
+    entries = F.transform(F.arrays_zip(*[p.alias(n) for p, n in zip(parts, "kvd")]), lambda e: F.concat(
+        e["k"], F.lit(" "), e["v"], F.when(e["d"] != "", F.concat(F.lit("\n"), bare(e["d"]))).otherwise(F.lit(""))))
+    lines = F.concat(F.array("path"), F.when(module != "", F.array(bare(module))).otherwise(F.array().cast("array<string>")), entries)
+    return snapshot.select("corpus_id", "path", F.when(F.size(lines) == 1, doc_contents("path", "content"))
+                           .otherwise(F.array_join(lines, "\n")).alias("text"))
 
 
 ENCODINGS = {"contents": lambda df: df.select("corpus_id", "path", doc_contents("path", "content").alias("text")),

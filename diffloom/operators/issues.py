@@ -144,17 +144,16 @@ def take_until_cutoff(pulls: DataFrame, cutoff, time_col: str = "created_at", gr
 
 
 def with_issue_reference(df: DataFrame, text_col: str, repo_col: str, known_issues: DataFrame,
-                         out_col: str = "has_issue_reference") -> DataFrame:
+                         out_col: str = "has_issue_reference", id_col: str = "instance_id") -> DataFrame:
     """B7 complete: (a) a closing-keyword reference, (b) a GitLab issue link, or (c) any ``#n``
     that exists in ``known_issues`` (repo, issue_number) — a semi join instead of asking a web
-    service. ``df`` needs a unique ``__row`` id or one is added."""
+    service. ``id_col`` names the row; rows of one id share their references."""
     from diffloom.functions.filters import contains_gitlab_issue, contains_keyword_reference
-    d = df.withColumn("__row", F.monotonically_increasing_id()) if "__row" not in df.columns else df
-    refs = (d.select("__row", F.col(repo_col).alias("repo"),
-                     F.explode(F.regexp_extract_all(F.col(text_col), F.lit(r"#(\d+)"), 1)).alias("issue_number"))
+    refs = (df.select(F.col(id_col).alias("__row"), F.col(repo_col).alias("repo"),
+                      F.explode(F.regexp_extract_all(F.col(text_col), F.lit(r"#(\d+)"), 1)).alias("issue_number"))
             .join(known_issues.select("repo", F.col("issue_number").cast("string")), ["repo", "issue_number"], "left_semi")
             .select("__row").distinct().withColumn("__hit", F.lit(True)))
-    out = d.join(refs, "__row", "left")
+    out = df.join(refs, df[id_col].eqNullSafe(refs["__row"]), "left")
     flag = contains_keyword_reference(F.col(text_col)) | contains_gitlab_issue(F.col(text_col)) | F.col("__hit").isNotNull()
     return out.withColumn(out_col, F.coalesce(flag, F.lit(False))).drop("__hit", "__row")
 

@@ -1,22 +1,21 @@
-"""Join helpers: broadcast only behind a measured size bound."""
+"""Join helpers: broadcast only behind a checked size bound."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# rows a checked broadcast may hold (a few tens of MB for short keys)
-MAX_BROADCAST_ROWS = 2_000_000
+#: Sides derived from an input of at most so many bytes are broadcast.
+MAX_SOURCE_BYTES = 16 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged (the
-    join then shuffles both sides, and AQE may still pick a broadcast at runtime).
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate (file sizes for tables): known without running anything."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    The check runs ``df.limit(max_rows + 1).count()``: it reads the small side once and stops
-    early when it is large. Use it for sides whose size the static planner cannot estimate
-    (derived sets such as the distinct terms of a query batch), so that the big side is not
-    shuffled before AQE sees the small one.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def broadcast_derived(df: DataFrame, source: DataFrame, limit: int = MAX_SOURCE_BYTES) -> DataFrame:
+    """``broadcast(df)`` when the ``source`` that bounds it (a query batch, whose terms ``df`` holds) is
+    at most ``limit`` bytes by the optimizer's estimate, else ``df`` unchanged: the join then shuffles
+    both sides unless AQE finds one small. Starts no job."""
+    return F.broadcast(df) if planned_bytes(source) <= limit else df

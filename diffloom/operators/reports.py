@@ -55,10 +55,15 @@ INCOMPLETE, EMPTY_PATCH, RESOLVED, UNRESOLVED, ERROR = "incomplete", "empty_patc
 
 def run_buckets(dataset: DataFrame, predictions: DataFrame, reports: DataFrame, id_col: str = "instance_id",
                 patch_col: str = "model_patch") -> DataFrame:
-    """E5 per instance: no prediction -> incomplete; '' or NULL patch -> empty_patch; a report
+    """E5 per instance, one row each however often it was predicted or reported (the last prediction by
+    ``pos`` counts, or else the greatest patch; one resolved report suffices): no prediction -> incomplete; '' or NULL patch -> empty_patch; a report
     -> resolved / unresolved; else error. ``reports``: (id, resolved)."""
-    p = predictions.select(id_col, patch_col).withColumn("__has_pred", F.lit(True))
-    r = reports.select(id_col, F.col("resolved").alias("__resolved")).withColumn("__has_report", F.lit(True))
+    if "pos" in predictions.columns:
+        p = last_prediction_per_id(predictions, id_col)
+    else:
+        p = predictions.groupBy(id_col).agg(F.max(patch_col).alias(patch_col))
+    p = p.select(id_col, patch_col).withColumn("__has_pred", F.lit(True))
+    r = reports.groupBy(id_col).agg(F.coalesce(F.bool_or("resolved"), F.lit(False)).alias("__resolved")).withColumn("__has_report", F.lit(True))
     j = dataset.select(id_col).join(p, id_col, "left").join(r, id_col, "left")
     bucket = (F.when(F.col("__has_pred").isNull(), F.lit(INCOMPLETE))
               .when(F.coalesce(F.col(patch_col), F.lit("")) == "", F.lit(EMPTY_PATCH))
@@ -86,6 +91,31 @@ def run_report(buckets: DataFrame, predictions: DataFrame, id_col: str = "instan
             .withColumn("schema_version", F.lit(K.REPORT_SCHEMA_VERSION)))
 
 
+# fixed values: the id lists of a run report, with the buckets each holds
+REPORT_LISTS = {
+    "completed_ids": [RESOLVED, UNRESOLVED], "incomplete_ids": [INCOMPLETE], "empty_patch_ids": [EMPTY_PATCH],
+    "resolved_ids": [RESOLVED], "unresolved_ids": [UNRESOLVED], "error_ids": [ERROR],
+}
+
+
+def report_ids(buckets: DataFrame, predictions: DataFrame, id_col: str = "instance_id") -> DataFrame:
+    """E5 id lists as a long table ``(list, id)``, with ``submitted_ids`` from the predictions: the
+    lists of a whole dataset do not pass through one row."""
+    member = F.array_compact(F.array(*[F.when(F.col("bucket").isin(b), F.lit(n)) for n, b in REPORT_LISTS.items()]))
+    own = buckets.select(F.explode(member).alias("list"), id_col)
+    return own.union(predictions.select(F.lit("submitted_ids").alias("list"), id_col).distinct())
+
+
+def write_report_ids(ids: DataFrame, path: str, id_col: str = "instance_id") -> None:
+    """The id lists, sorted, one partition folder for each list."""
+    ids.repartitionByRange("list", id_col).sortWithinPartitions("list", id_col).write.partitionBy("list").mode("overwrite").json(path)
+
+
+def report_name(model: str, run_id: str) -> str:
+    """``<model>.<run>.json``, with ``/`` in the model as ``__``."""
+    return f"{model.replace('/', '__')}.{run_id}.json"
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """The report row as JSON text (one small row: coalesce(1) is bounded)."""
     report.select(F.to_json(F.struct(*report.columns)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
@@ -152,10 +182,9 @@ def keep_valid_ids(df: DataFrame, valid: DataFrame, id_col: str = "instance_id")
 
 def lookup_spec(df: DataFrame, specs: DataFrame, keys=("repo", "version")) -> tuple[DataFrame, DataFrame]:
     """Dimension lookup of the environment spec; unknown keys go to a reject output
-    instead of failing the job. ``specs`` is one row per (repo, version): a fixed-size
-    dimension, so it is broadcast."""
+    instead of failing the job. ``specs`` is one row per (repo, version)."""
     k = list(keys)
-    j = df.join(F.broadcast(specs.withColumn("__known", F.lit(True))), k, "left")
+    j = df.join(specs.withColumn("__known", F.lit(True)), k, "left")
     return j.where(F.col("__known").isNotNull()).drop("__known"), j.where(F.col("__known").isNull()).select(*df.columns)
 
 

@@ -1,14 +1,15 @@
 """BM25 retrieval (K1, K2, G5), hits handling (D6) and retrieval recall.
 
-Index = three tables per corpus (a corpus is one repository at one commit, or any grouping
-column): postings ``(corpus_id, term, doc_id, tf)``, document lengths ``(corpus_id, doc_id,
-dl)`` and corpus statistics ``(corpus_id, n_docs, avgdl)`` with document frequencies
-``(corpus_id, term, df)``. Search joins query terms with postings on ``(corpus_id, term)``,
-sums the per-term scores per document and keeps the top k per query with
-``row_number() <= k`` (a WindowGroupLimit that prunes before the shuffle).
-
-Scoring (our own definition; the original used an external library's analyser):
-lower-case ``[a-z0-9_]+`` tokens, ``idf = ln(1 + (N - df + 0.5) / (df + 0.5))``,
+A query batch is searched in two passes over the documents. The first counts, for the terms of
+the batch only, the documents of each corpus that hold them, with the corpus sizes and mean
+lengths; with the batch it makes one weight row for each (corpus, term, query). The second takes
+the occurrences of these terms, deals them out by (corpus, document), and sums each document's
+scores where its occurrences are: the weights come to it by broadcast (their size is bounded by
+the batch), so no posting list of a frequent term and no table of query-document pairs is
+shuffled; only each task's best ``k`` documents of a query are.
+
+Scoring (our own definition; the original used an external library's analyser): lower-case words of
+letters, numbers and ``_`` of any script, ``idf = ln(1 + (N - df + 0.5) / (df + 0.5))``,
 ``score = sum_t qtf * idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))``.
 """
 
@@ -17,10 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from diffloom.operators.joins import bounded_broadcast
-from diffloom.session import materialize
+from diffloom.operators.joins import broadcast_derived
 
-TOKEN_RE = r"[a-z0-9_]+"
+TOKEN_RE = r"[\p{L}\p{N}_]+"
 K1 = 0.9
 B = 0.4
 
@@ -30,68 +30,50 @@ def terms(text) -> Column:
     return F.regexp_extract_all(F.lower(t), F.lit(TOKEN_RE), 0)
 
 
-def bm25_index(docs: DataFrame, corpus_col: str, doc_col: str, text_col: str,
-               only_terms: DataFrame | None = None, write_postings: bool = False) -> dict[str, DataFrame]:
-    """K1: postings, lengths, document frequencies and corpus statistics.
-
-    ``only_terms`` (a ``term`` column) prunes postings and frequencies to those terms: the
-    exploded tokens are semi-joined with the term set (broadcast behind a size check) inside the map
-    stage, so only matching rows reach the shuffle. Lengths and corpus statistics always
-    cover every document (they do not explode tokens).
-    """
-    tok = docs.select(F.col(corpus_col).alias("corpus_id"), F.col(doc_col).alias("doc_id"),
-                      terms(text_col).alias("toks"))
-    lengths = tok.select("corpus_id", "doc_id", F.size("toks").alias("dl"))
-    exploded = tok.select("corpus_id", "doc_id", F.explode("toks").alias("term"))
-    if only_terms is not None:
-        exploded = exploded.join(bounded_broadcast(only_terms.select("term").distinct()), "term", "left_semi")
-    postings = exploded.groupBy("corpus_id", "term", "doc_id").agg(F.count("*").alias("tf"))
-    if write_postings:
-        # postings feed both the document frequencies and the scoring join; writing them once
-        # to the shared checkpoint folder pays off when the index is reused by several query
-        # batches (measured at sf0.1 on one node, recomputing the pruned postings is cheaper)
-        postings = materialize(postings, "bm25-postings")
-    dfreq = postings.groupBy("corpus_id", "term").agg(F.count("*").alias("df"))
-    stats = lengths.groupBy("corpus_id").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
-    return {"postings": postings, "lengths": lengths, "df": dfreq, "stats": stats}
-
-
-def query_terms(queries: DataFrame, text_col: str) -> DataFrame:
-    """Distinct terms of a query batch (the pruning set of ``bm25_index``)."""
-    return queries.select(F.explode(terms(text_col)).alias("term")).distinct()
+def query_terms(queries: DataFrame, query_id_col: str, text_col: str, corpus_col: str | None = None) -> DataFrame:
+    """(query_id, [corpus_id,] term, qtf)."""
+    keys = ["query_id", *(["corpus_id"] if corpus_col else [])]
+    q = queries.select(F.col(query_id_col).alias("query_id"), *([F.col(corpus_col).alias("corpus_id")] if corpus_col else []),
+                       F.explode(terms(text_col)).alias("term"))
+    return q.groupBy(*keys, "term").agg(F.count("*").alias("qtf"))
+
+
+def bm25_index(docs: DataFrame, corpus_col: str, doc_col: str, text_col: str, queries: DataFrame, query_text_col: str) -> dict[str, DataFrame]:
+    """K1 for a query batch. ``counts``: (corpus_id, term, df, n_docs, avgdl) for the batch's terms, one
+    scan; ``occurrences``: (corpus_id, doc_id, dl, term), one row for each occurrence of such a term."""
+    batch = queries.select(F.explode(terms(query_text_col)).alias("term")).distinct()
+    tok = docs.select(F.col(corpus_col).alias("corpus_id"), F.col(doc_col).alias("doc_id"), terms(text_col).alias("toks"))
+    tok = tok.select("corpus_id", "doc_id", F.size("toks").alias("dl"), "toks")
+    # each document also has one row without a term, which carries its length
+    marked = F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("toks"))
+    held = tok.select("corpus_id", "dl", F.explode(marked).alias("term"))
+    known = broadcast_derived(batch.union(batch.sparkSession.range(1).select(F.lit(None).cast("string").alias("term"))), queries)
+    held = held.join(known.withColumnRenamed("term", "known"), F.col("term").eqNullSafe(F.col("known")), "left_semi")
+    counts = held.groupBy("corpus_id", "term").agg(F.count("*").alias("df"), F.avg("dl").alias("mean"))
+    corpus = Window.partitionBy("corpus_id")  # the batch's terms, not documents
+    of_corpus = lambda c: F.max(F.when(F.col("term").isNull(), F.col(c))).over(corpus)
+    counts = counts.withColumn("n_docs", of_corpus("df")).withColumn("avgdl", of_corpus("mean")).where("term is not null").drop("mean")
+    occurrences = tok.select("corpus_id", "doc_id", "dl", F.explode("toks").alias("term")).join(
+        broadcast_derived(batch, queries), "term", "left_semi")
+    return {"counts": counts, "occurrences": occurrences}
 
 
 def bm25_search(index: dict[str, DataFrame], queries: DataFrame, query_id_col: str, text_col: str,
-                corpus_col: str | None = None, k: int = 20, k1: float = K1, b: float = B,
-                max_df_ratio: float | None = None) -> DataFrame:
+                corpus_col: str | None = None, k: int = 20, k1: float = K1, b: float = B) -> DataFrame:
     """K2 + G5: top-k ``(query_id, corpus_id, rank, doc_id, score)`` per query and corpus.
 
     ``corpus_col`` on the queries restricts each query to its own corpus; without it a query
-    runs against every corpus (an equi-join on the term, not a cross product).
-    ``max_df_ratio`` drops terms found in more than that share of a corpus' documents
-    (posting-list skew guard; it changes scores, so it is off by default).
+    runs against every corpus (an equi-join on the batch's terms, not a cross product).
     """
-    q = queries.select(F.col(query_id_col).alias("query_id"),
-                       *([F.col(corpus_col).alias("corpus_id")] if corpus_col else []),
-                       F.explode(terms(text_col)).alias("term"))
-    qkeys = ["query_id", "corpus_id"] if corpus_col else ["query_id"]
-    q = q.groupBy(*qkeys, "term").agg(F.count("*").alias("qtf"))
-    idf = index["df"].join(index["stats"], "corpus_id").select(
-        "corpus_id", "term", "df", "n_docs", "avgdl",
-        F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    if max_df_ratio is not None:
-        idf = idf.where(F.col("df") <= F.col("n_docs") * max_df_ratio)
-    # per-posting weight idf * tf-saturation, computed on the postings (one row per term and
-    # document) so that the query join only multiplies by the query term count
-    weights = (index["postings"].join(index["lengths"], ["corpus_id", "doc_id"])
-               .join(idf, ["corpus_id", "term"])
-               .select("corpus_id", "term", "doc_id",
-                       (F.col("idf") * F.col("tf") * (k1 + 1)
-                        / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))).alias("w")))
+    q = query_terms(queries, query_id_col, text_col, corpus_col)
     on = ["corpus_id", "term"] if corpus_col else ["term"]
-    hits = q.join(weights, on)
-    scores = hits.groupBy("query_id", "corpus_id", "doc_id").agg(F.sum(F.col("qtf") * F.col("w")).alias("score"))
-    scores = scores.withColumn("score", F.round("score", 6))
+    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = index["counts"].join(q, on).select("corpus_id", "term", "query_id", (F.col("qtf") * idf).alias("w"), "avgdl")
+    dealt = index["occurrences"].repartition("corpus_id", "doc_id")
+    tf = dealt.groupBy("corpus_id", "doc_id", "dl", "term").agg(F.count("*").alias("tf"))
+    hits = tf.join(broadcast_derived(weights, queries), ["corpus_id", "term"])
+    part = F.col("w") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+    scores = hits.groupBy("query_id", "corpus_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
     w = Window.partitionBy("query_id", "corpus_id").orderBy(F.col("score").desc(), F.col("doc_id"))
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -120,17 +102,28 @@ def retrieval_recall(retrieved: DataFrame, gold: DataFrame, id_col: str = "insta
     its name holds 'readme' (any case); instances with no gold or no retrieved file are left
     out (not scored 0). Long tables in, one row per instance out (joins, no arrays of content).
     """
-    first = retrieved.where(F.col(rank_col) == 1).where(F.lower(F.col(file_col)).contains("readme")) \
-        .select(id_col, rank_col)
-    r = retrieved.join(first, [id_col, rank_col], "left_anti").select(id_col, file_col).distinct()
-    g = gold.select(id_col, file_col).distinct()
-    inter = r.join(g, [id_col, file_col]).groupBy(id_col).agg(F.count("*").alias("n_hit"))
-    ng = g.groupBy(id_col).agg(F.count("*").alias("n_gold"))
-    nr = r.groupBy(id_col).agg(F.count("*").alias("n_retrieved"))
-    out = ng.join(nr, id_col).join(inter, id_col, "left").fillna(0, ["n_hit"])
+    dropped = (F.col(rank_col) == 1) & F.lower(F.col(file_col)).contains("readme")
+    r = retrieved.where(~dropped).select(id_col, file_col, F.lit(1).alias("r"), F.lit(0).alias("g"))
+    both = r.union(gold.select(id_col, file_col, F.lit(0), F.lit(1)))
+    files = both.groupBy(id_col, file_col).agg(F.max("r").alias("r"), F.max("g").alias("g"))
+    out = files.groupBy(id_col).agg(F.sum("g").alias("n_gold"), F.sum("r").alias("n_retrieved"),
+                                    F.sum(F.col("r") * F.col("g")).alias("n_hit")).where("n_gold > 0 and n_retrieved > 0")
     return out.withColumn("recall", F.col("n_hit") / F.col("n_gold"))
 
 
+def prompt_files(prompt) -> Column:
+    """The files that a prompt names, in order and once each: ``[start of p]`` .. ``[end of p]``."""
+    p = F.col(prompt) if isinstance(prompt, str) else prompt
+    starts = F.regexp_extract_all(p, F.lit(r"\[start of ([^\]\n]+)\]"), 1)
+    return F.array_distinct(F.filter(starts, lambda f: F.instr(p, F.concat(F.lit("[end of "), f, F.lit("]"))) > 0))
+
+
+def patch_sources(patch) -> Column:
+    """The files that a patch changes, by its ``--- a/`` lines, once each."""
+    p = F.col(patch) if isinstance(patch, str) else patch
+    return F.array_distinct(F.regexp_extract_all(p, F.lit(r"(?m)^--- a/([^\n\t]+)"), 1))
+
+
 def recall_summary(per_instance: DataFrame) -> DataFrame:
     """E7 totals: means of recall, recall > 0 and recall = 1, times 100, 2 decimals."""
     return per_instance.agg(

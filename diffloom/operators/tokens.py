@@ -1,6 +1,6 @@
 """Token datasets.
 
-The default tokenizer is native: lower-case ``\\w+|[^\\w\\s]`` pieces mapped to ids by a
+The default tokenizer is native: lower-case words (letters, numbers and ``_`` of any script) and single other signs, mapped to ids by a
 64-bit hash modulo the vocabulary size. Real vocabularies plug in as pandas UDFs
 (``register_tokenizer``); everything after tokenisation (concatenation, shifting, masking,
 filters) is native array work.
@@ -14,9 +14,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from diffloom import constants as K
-from diffloom.functions.text import col_of
+from diffloom.functions.text import col_of, py_strip
 
-TOKEN_PIECES = r"\w+|[^\w\s]"
+# words of any script, and single other signs
+TOKEN_PIECES = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 VOCAB = 50_000
 EOS_ID = 2
 
@@ -43,23 +44,27 @@ def token_ids(text, tokenizer: str = "regex") -> Column:
 
 
 def train_tokens(text, patch, tokenizer: str = "regex", eos_id: int = EOS_ID) -> Column:
-    """Ids of ``text + '\\n'``, label ids of the patch + end token;
-    ``input_ids = ids + labels[:-1]``, ``labels = [-100] * (len(ids) - 1) + labels``.
-    A NULL text or patch gives empty lists."""
-    ids = token_ids(F.concat(col_of(text), F.lit("\n")), tokenizer)
-    lab = F.concat(token_ids(col_of(patch), tokenizer), F.array(F.lit(eos_id)))
+    """Ids of the stripped text and a line end, label ids of the stripped patch and the end token;
+    ``input_ids = ids + labels[:-1]``, ``labels = [-100] * (len(ids) - 1) + labels``: lists of equal
+    length. A NULL text or patch, or a text without any token, gives empty lists."""
+    ids = token_ids(F.concat(py_strip(text), F.lit("\n")), tokenizer)
+    lab = F.concat(token_ids(py_strip(patch), tokenizer), F.array(F.lit(eos_id)))
     inputs = F.concat(ids, F.slice(lab, 1, F.size(lab) - 1))
     labels = F.concat(F.array_repeat(F.lit(K.IGNORE_LABEL), F.size(ids) - 1), lab)
-    ok = col_of(text).isNotNull() & col_of(patch).isNotNull()
+    ok = col_of(text).isNotNull() & col_of(patch).isNotNull() & (F.size(ids) > 0)
     empty = F.array().cast("array<int>")
     return F.struct(F.when(ok, inputs).otherwise(empty).alias("input_ids"),
                     F.when(ok, labels).otherwise(empty).alias("labels"))
 
 
-def eval_tokens(text, patch, tokenizer: str = "regex") -> Column:
-    """Ids and label ids kept apart."""
-    return F.struct(token_ids(col_of(text), tokenizer).alias("input_ids"),
-                    token_ids(col_of(patch), tokenizer).alias("labels"))
+def eval_tokens(text, patch, tokenizer: str = "regex", eos_id: int = EOS_ID) -> Column:
+    """Ids of the stripped text and a line end, and label ids with the end token, kept apart. A NULL gives
+    an empty list."""
+    none = F.array().cast("array<int>")
+    ids = token_ids(F.concat(py_strip(text), F.lit("\n")), tokenizer)
+    labels = F.concat(token_ids(py_strip(patch), tokenizer), F.array(F.lit(eos_id)))
+    return F.struct(F.when(col_of(text).isNotNull(), ids).otherwise(none).alias("input_ids"),
+                    F.when(col_of(patch).isNotNull(), labels).otherwise(none).alias("labels"))
 
 
 def tail(a: Column, n: int) -> Column:

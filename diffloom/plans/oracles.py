@@ -273,14 +273,14 @@ FROM inst i LEFT JOIN cut c ON c.repo = i.repo
 GROUP BY i.instance_id, i.repo"""
 
 _BM25 = r"""
-dt AS (SELECT lang AS corpus_id, doc_id, regexp_extract_all(lower(text), '[a-z0-9_]+') AS toks FROM documents),
+dt AS (SELECT lang AS corpus_id, doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS toks FROM documents),
 dlen AS (SELECT corpus_id, doc_id, len(toks) AS dl FROM dt),
 post AS (SELECT corpus_id, term, doc_id, count(*) AS tf
          FROM (SELECT corpus_id, doc_id, unnest(toks) AS term FROM dt) GROUP BY ALL),
 dfq AS (SELECT corpus_id, term, count(*) AS df FROM post GROUP BY ALL),
 st AS (SELECT corpus_id, count(*) AS n_docs, avg(dl) AS avgdl FROM dlen GROUP BY 1),
 q AS (SELECT item_id, term, count(*) AS qtf
-      FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS term FROM benchmark) GROUP BY ALL),
+      FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM benchmark) GROUP BY ALL),
 sc AS (
   SELECT q.item_id AS query_id, p.corpus_id, p.doc_id,
          round(sum(q.qtf * ln(1 + (s.n_docs - d.df + 0.5) / (d.df + 0.5)) * p.tf * (0.9 + 1)
@@ -299,7 +299,7 @@ SELECT query_id, corpus_id, rank, doc_id, score FROM hits"""
 
 ORACLES["recall"] = f"""
 WITH {_BM25},
-gold AS (SELECT DISTINCT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON instr(d.text, substr(b.text, 1, 40)) > 0),
+gold AS (SELECT DISTINCT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON length(b.text) > 0 AND instr(d.text, b.text) > 0),
 ret AS (SELECT DISTINCT query_id AS item_id, doc_id FROM hits),
 ng AS (SELECT item_id, count(*) AS n_gold FROM gold GROUP BY 1),
 nr AS (SELECT item_id, count(*) AS n_retrieved FROM ret GROUP BY 1),
@@ -348,16 +348,21 @@ pr AS (
 tx AS (SELECT query_id, corpus_id, n_files, regexp_replace(prompt, '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10) AS text FROM pr)
 SELECT query_id, corpus_id, n_files, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS text_chars FROM tx"""
 
-ORACLES["train_tokens"] = r"""
-WITH c AS (SELECT * FROM conversations),
-p AS (SELECT u.conv_id, u.turn,
-             len(regexp_extract_all(lower(u.text || chr(10)), '\w+|[^\w\s]')) AS nt,
-             len(regexp_extract_all(lower(a.text), '\w+|[^\w\s]')) + 1 AS nl
-      FROM c u JOIN c a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-      WHERE u.role = 'user')
-SELECT conv_id, turn, CAST(nt + nl - 1 AS BIGINT) AS n_input_ids, CAST(greatest(nt - 1, 0) + nl AS BIGINT) AS n_labels,
-       CAST(greatest(nt - 1, 0) AS BIGINT) AS n_masked
-FROM p"""
+_IDS = r"list_transform(regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]'), lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT))"
+
+ORACLES["train_tokens"] = rf"""
+WITH c AS (SELECT conv_id, turn, role, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text FROM conversations),
+p AS (SELECT u.conv_id, u.turn, {_IDS.format("u.text || chr(10)")} AS ids, CASE WHEN a.text IS NOT NULL THEN list_append({_IDS.format("a.text")}, 2) END AS lab
+      FROM c u LEFT JOIN c a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+      WHERE u.role = 'user'),
+x AS (SELECT conv_id, turn,
+             CASE WHEN lab IS NULL OR len(ids) = 0 THEN [] ELSE list_concat(ids, lab[1:len(lab) - 1]) END AS inputs,
+             CASE WHEN lab IS NULL OR len(ids) = 0 THEN []
+                  ELSE list_concat(list_transform(range(len(ids) - 1), lambda i: -100::BIGINT), lab) END AS labels
+      FROM p)
+SELECT conv_id, turn, CAST(len(inputs) AS BIGINT) AS n_input_ids, md5(coalesce(array_to_string(inputs, ','), '')) AS input_md5,
+       md5(coalesce(array_to_string(labels, ','), '')) AS labels_md5
+FROM x"""
 
 _RES = """
 u AS (SELECT DISTINCT user_id, 'proj' || CAST(user_id % 5 AS VARCHAR) || '__app-' || CAST(user_id AS VARCHAR) AS instance_id FROM events),

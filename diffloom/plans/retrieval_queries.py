@@ -7,26 +7,24 @@ searched in every corpus.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diffloom.functions.text import word_count, words
-from diffloom.operators.joins import bounded_broadcast
+from diffloom.operators.joins import broadcast_derived
 from diffloom.operators.prompts import code_text, pack_context, render_prompt, text_dataset
-from diffloom.operators.retrieval import bm25_index, bm25_search, query_terms, retrieval_recall
-from diffloom.operators.tokens import train_tokens
+from diffloom.operators.retrieval import bm25_index, bm25_search, retrieval_recall
+from diffloom.operators.tokens import regex_tokens, register_tokenizer, train_tokens
 from diffloom.plans.common import t
 
 K = 20
 PACK_LIMIT = 6000      # context limit of the stand-in, in words
-PREFIX_CHARS = 40      # a benchmark item "occurs" in a document when its first 40 characters do
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = t(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     q = t(spark, sf_dir, "benchmark").select("item_id", "text")
-    # the index is built for this query batch only: postings of query terms
-    idx = bm25_index(docs, "lang", "doc_id", "text", only_terms=query_terms(q, "text"))
+    idx = bm25_index(docs, "lang", "doc_id", "text", q, "text")
     return bm25_search(idx, q, "item_id", "text", k=K)
 
 
@@ -36,32 +34,19 @@ def bm25_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passage_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item's first 40 characters, found without a cross
-    product: join on a word 3-gram taken strictly inside the prefix (whole words on both sides),
-    then verify the candidates exactly with ``instr``."""
-    b = t(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, PREFIX_CHARS).alias("prefix"))
-    w = words("prefix")
+    """Documents that contain a benchmark item's whole text. Each item is looked for by its longest inner
+    word (one with white space on both sides, so it is a word of the document too), and the candidates
+    are verified with ``instr``; items of fewer than three words are compared with every document: a
+    stated query set. One scan of the documents."""
+    bench = t(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage")).where(F.length("passage") > 0)
+    w = words("passage")
     inner = F.slice(w, 2, F.greatest(F.size(w) - 2, F.lit(0)))
-    g = F.least(F.size(inner), F.lit(3))
-    qg = b.select("item_id", "prefix", g.alias("g"),
-                  F.array_join(F.slice(inner, 1, F.greatest(g, F.lit(1))), " ").alias("gram")).where(F.col("g") > 0)
+    longest = F.array_max(F.transform(inner, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+    items = bench.select("item_id", "passage", F.coalesce(longest, F.lit("")).alias("word"))
     docs = t(spark, sf_dir, "documents").select("doc_id", "text")
-    dw = docs.select("doc_id", words("text").alias("w"))
-    # explode only the n-gram sizes some query uses (a handful of values from the small side)
-    sizes = sorted(r[0] for r in qg.select("g").distinct().collect())
-    qset = bounded_broadcast(qg.select("g", "gram").distinct())
-    grams = None
-    for n in sizes:
-        gi = dw.select("doc_id", F.explode(F.when(F.size("w") >= n, F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size("w") - (n - 1), F.lit(1))),
-            lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array().cast("array<string>"))).alias("gram"))
-        gi = gi.withColumn("g", F.lit(n)).join(qset, ["g", "gram"], "left_semi")
-        grams = gi if grams is None else grams.unionByName(gi)
-    if grams is None:
-        return spark.createDataFrame([], "item_id long, doc_id long")
-    cand = grams.join(qg.select("item_id", "g", "gram"), ["g", "gram"]).select("item_id", "doc_id").distinct()
-    ver = cand.join(qg.select("item_id", "prefix"), "item_id").join(docs, "doc_id")
-    return ver.where(F.instr("text", F.col("prefix")) > 0).select("item_id", "doc_id")
+    held = docs.select("doc_id", "text", F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words("text")))).alias("word"))
+    found = held.join(broadcast_derived(items, bench), "word").where(F.instr("text", F.col("passage")) > 0)
+    return found.select("item_id", "doc_id").distinct()
 
 
 def recall(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,20 +93,27 @@ def code_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("/", F.col("query_id").cast("string"), "corpus_id").alias("instance_id"),
         "problem_statement", F.size("files").cast("long").alias("n_files"),
         render_prompt("style-2", F.col("problem_statement"), code_text(F.col("files"))).alias("prompt"))
-    ds = text_dataset(j, "prompt").select("instance_id", "text").join(j.select("instance_id", "n_files"), "instance_id")
+    ds = text_dataset(j, "prompt", carry=("n_files",))
     parts = F.split("instance_id", "/")
     return ds.select(F.try_element_at(parts, F.lit(1)).cast("long").alias("query_id"),
                      F.try_element_at(parts, F.lit(2)).alias("corpus_id"), "n_files",
                      F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("text_chars"))
 
 
+def md5_ids(text) -> Column:
+    """A tokenizer plug-in (M4) whose ids every engine can compute: the first 28 bits of a piece's MD5."""
+    return F.transform(regex_tokens(text), lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("int"))
+
+
 def train_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turn = text, the next assistant turn = patch; lengths of inputs and labels."""
+    """J8 + M4: user turn = text, the next assistant turn = patch (a turn without an answer has none); the id
+    lists themselves, as digests."""
+    register_tokenizer("md5", md5_ids)
     c = t(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     u = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("prompt"))
     a = c.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("patch"))
-    pairs = u.join(a, ["conv_id", "turn"])
-    tt = pairs.select("conv_id", "turn", train_tokens(F.col("prompt"), F.col("patch")).alias("tk"))
+    pairs = u.join(a, ["conv_id", "turn"], "left")
+    tt = pairs.select("conv_id", "turn", train_tokens(F.col("prompt"), F.col("patch"), "md5").alias("tk"))
+    digest = lambda c: F.md5(F.array_join(F.col(c).cast("array<string>"), ","))
     return tt.select("conv_id", "turn", F.size("tk.input_ids").cast("long").alias("n_input_ids"),
-                     F.size("tk.labels").cast("long").alias("n_labels"),
-                     F.size(F.filter("tk.labels", lambda x: x == -100)).cast("long").alias("n_masked"))
+                     digest("tk.input_ids").alias("input_md5"), digest("tk.labels").alias("labels_md5"))

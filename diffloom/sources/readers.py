@@ -12,6 +12,7 @@ from diffloom.functions.filters import is_test_path_words
 from diffloom.functions.text import lit_regex
 from diffloom.functions.filters import valid_patch_format
 from diffloom.operators.reports import exclude_completed, missing_ids
+from diffloom.session import path_exists
 
 
 def read_instances(spark: SparkSession, path: str, schema=schemas.INSTANCE) -> DataFrame:
@@ -114,11 +115,10 @@ def write_hits(hits: DataFrame, path: str) -> None:
 def append_rows(df: DataFrame, path: str, id_col: str = "instance_id", fmt: str = "json") -> DataFrame:
     """A9 + L1: append only rows whose id is not written yet (idempotent reruns). Returns the
     rows that were written."""
-    try:
+    todo = df
+    if path_exists(df.sparkSession, path):  # what cannot be read is an error, not an empty output
         done = df.sparkSession.read.schema(df.schema).format(fmt).load(path).select(id_col)
         todo = exclude_completed(df, done, id_col)
-    except Exception:  # noqa: BLE001 - no output yet
-        todo = df
     todo.write.mode("append").format(fmt).save(path)
     return todo
 
@@ -146,9 +146,10 @@ def write_splits(df: DataFrame, path: str) -> None:
     df.write.partitionBy("split").mode("errorifexists").parquet(path)
 
 
-def merge_parts(spark: SparkSession, glob: str, expected_ids: DataFrame | None = None, id_col: str = "instance_id") -> DataFrame:
+def merge_parts(spark: SparkSession, glob: str, expected_ids: DataFrame | None = None, id_col: str = "instance_id",
+                schema=schemas.INSTANCE) -> DataFrame:
     """Union of worker parts; the check counts distinct ids against the input."""
-    df = spark.read.json(glob)
+    df = spark.read.schema(schema).json(glob)
     if expected_ids is not None:
         n_in = expected_ids.select(id_col).distinct().count()
         n_out = df.select(id_col).distinct().count()

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from diffloom import constants as K
 from diffloom import schemas
 from diffloom.functions.filters import is_valid_instance, is_valid_pull
 from diffloom.functions.text import make_instance_id
@@ -25,6 +26,8 @@ from diffloom.operators.grading import grade_tests
 from diffloom.operators.issues import pull_text, resolved_issues
 from diffloom.operators.logs import parse_logs
 from diffloom.operators.patches import split_patch
+from diffloom.operators.reports import require_known_ids
+from diffloom.session import path_exists
 
 
 def resume(df: DataFrame, written: DataFrame, id_col: str = "instance_id") -> DataFrame:
@@ -46,9 +49,12 @@ def collect_batch(spark: SparkSession, input_dir: str) -> DataFrame:
 
 
 def collect_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint: str,
-                   watermark: str = "1 hour", trigger_once: bool = True) -> StreamingQuery:
+                   watermark: str = "1 hour", trigger_once: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """L2: pull files -> valid instances -> de-duplicated append (checkpointed)."""
-    src = (spark.readStream.schema(schemas.PULL).option("maxFilesPerTrigger", 1).json(input_dir)
+    reader = spark.readStream.schema(schemas.PULL)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = (reader.json(input_dir)
            .withColumn("ingest_ts", F.col("_metadata.file_modification_time")))
     out = (_instances_with_ingest(src)
            .where(is_valid_instance("patch", "problem_statement"))
@@ -57,11 +63,8 @@ def collect_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpo
 
     def sink(batch: DataFrame, epoch: int) -> None:
         b = batch.drop("ingest_ts")
-        try:
-            done = batch.sparkSession.read.schema(b.schema).parquet(output_dir).select("instance_id")
-            b = resume(b, done)
-        except Exception:  # noqa: BLE001 - first batch, no output yet
-            pass
+        if path_exists(batch.sparkSession, output_dir):
+            b = resume(b, batch.sparkSession.read.schema(b.schema).parquet(output_dir).select("instance_id"))
         b.write.mode("append").parquet(output_dir)
 
     w = out.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
@@ -88,14 +91,14 @@ RUN_KEYS = ["run_id", "model", "instance_id"]
 
 def grade_batch(logs: DataFrame, gold: DataFrame, modes: DataFrame | None = None) -> DataFrame:
     """L4 core: parse + grade a log table (run_id, model, instance_id, repo, log)."""
-    return grade_tests(parse_logs(logs, RUN_KEYS), gold, RUN_KEYS, modes=modes)
+    return grade_tests(parse_logs(logs, RUN_KEYS, no_repo=K.PYTEST), gold, RUN_KEYS, modes=modes)
 
 
 def grade_stream(spark: SparkSession, logs_dir: str, gold: DataFrame, output_dir: str, checkpoint: str,
                  repo_of: DataFrame | None = None) -> StreamingQuery:
     """L3: new log files -> graded rows appended; instances graded before are skipped.
 
-    ``repo_of``: (instance_id, repo) so the dialect can be chosen; default pytest.
+    ``repo_of``: (instance_id, repo) so the dialect can be chosen; logs without a repository are read as pytest logs.
     """
     src = (spark.readStream.format("text").option("wholetext", "true")
            .load(logs_dir.rstrip("/") + "/*/*/*/test_output.txt"))
@@ -108,19 +111,19 @@ def grade_stream(spark: SparkSession, logs_dir: str, gold: DataFrame, output_dir
     def sink(batch: DataFrame, epoch: int) -> None:
         b = batch
         b = b.join(repo_of, "instance_id", "left") if repo_of is not None else b.withColumn("repo", F.lit(None).cast("string"))
-        try:
-            done = batch.sparkSession.read.parquet(output_dir).select(*RUN_KEYS)
-            b = b.join(done, RUN_KEYS, "left_anti")
-        except Exception:  # noqa: BLE001 - first batch
-            pass
+        if path_exists(batch.sparkSession, output_dir):
+            b = b.join(batch.sparkSession.read.parquet(output_dir).select(*RUN_KEYS), RUN_KEYS, "left_anti")
         grade_batch(b, gold).write.mode("append").parquet(output_dir)
 
     return (logs.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def regrade(logs: DataFrame, gold: DataFrame, output_dir: str) -> None:
-    """L4: grade stored logs again; only the ``run_id`` partitions present are replaced."""
+def regrade(logs: DataFrame, gold: DataFrame, output_dir: str, expected: DataFrame | None = None) -> None:
+    """L4: grade stored logs again; only the ``run_id`` partitions present are replaced. An instance of
+    ``expected`` without a stored log raises."""
+    if expected is not None:
+        require_known_ids(expected, logs)
     g = grade_batch(logs, gold)
     (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
       .partitionBy("run_id").parquet(output_dir))

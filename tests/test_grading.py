@@ -2,7 +2,7 @@
 
 from diffloom import constants as K
 from diffloom.operators.grading import grade_tests, refresh_gold_tests, refreshed_gold_long
-from diffloom.operators.reports import run_buckets
+from diffloom.operators.reports import report_ids, report_name, run_buckets, run_report, write_report_ids
 
 KEYS = ["run_id", "instance_id"]
 
@@ -63,6 +63,22 @@ def test_absent_counts_as_failure_except_fail_only(spark):
     assert g["b"]["resolution"] == K.RESOLVED_FULL and g["b"]["f2p_success"] == 1
 
 
+def test_report_lists_and_repeated_predictions(spark, tmpdir_path):
+    ds = spark.createDataFrame([(i,) for i in "abc"], "instance_id string")
+    preds = spark.createDataFrame([("a", "old", 1), ("a", "", 2), ("b", "x", 3), ("b", "x", 4)], "instance_id string, model_patch string, pos int")
+    reps = spark.createDataFrame([("b", False), ("b", True)], "instance_id string, resolved boolean")
+    buckets = run_buckets(ds, preds, reps)
+    assert sorted(map(tuple, buckets.collect())) == [("a", "empty_patch"), ("b", "resolved"), ("c", "incomplete")]
+    ids = report_ids(buckets, preds)
+    assert sorted(map(tuple, ids.collect())) == [("completed_ids", "b"), ("empty_patch_ids", "a"), ("incomplete_ids", "c"),
+                                                 ("resolved_ids", "b"), ("submitted_ids", "a"), ("submitted_ids", "b")]
+    write_report_ids(ids, f"{tmpdir_path}/lists")
+    assert spark.read.json(f"{tmpdir_path}/lists").where("list = 'submitted_ids'").count() == 2
+    totals = run_report(buckets, preds).first()
+    assert (totals.total_instances, totals.submitted_instances, totals.resolved_instances, totals.schema_version) == (3, 2, 1, 2)
+    assert report_name("org/model", "run1") == "org__model.run1.json"
+
+
 def test_run_buckets_each_once(spark):
     ds = spark.createDataFrame([(i,) for i in ["a", "b", "c", "d", "e", "f"]], "instance_id string")
     preds = spark.createDataFrame([("b", ""), ("c", None), ("d", "x"), ("e", "x"), ("f", "x"), ("zz", "x")],

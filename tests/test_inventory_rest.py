@@ -17,7 +17,7 @@ def test_issue_refs_and_statements(spark):
     df = spark.createDataFrame([("see #3", "o/r"), ("see #4", "o/r"), ("fixes #9", "o/r"), ("plain", "o/r")],
                                "t string, repo string")
     known = spark.createDataFrame([("o/r", "3")], "repo string, issue_number string")
-    got = {r.t: r.has_issue_reference for r in with_issue_reference(df, "t", "repo", known).collect()}
+    got = {r.t: r.has_issue_reference for r in with_issue_reference(df, "t", "repo", known, id_col="t").collect()}
     assert got == {"see #3": True, "see #4": False, "fixes #9": True, "plain": False}
     s = spark.createDataFrame([("T", None, ["a", "b"])], "t string, b string, c array<string>")
     assert s.select(live_statement(F.col("t"), F.col("b"))).collect()[0][0] == "T\n"

@@ -105,7 +105,7 @@ def test_ids_tokens_costs_sampling(spark):
     preds = spark.createDataFrame([("a",), ("b",)], "instance_id string")
     assert [r[0] for r in with_outputs_only(known, logs, preds).collect()] == ["a"]
     et = spark.createDataFrame([("a b", "c")], "t string, p string").select(eval_tokens(F.col("t"), F.col("p")).alias("e")).collect()[0].e
-    assert (len(et.input_ids), len(et.labels)) == (2, 1)
+    assert (len(et.input_ids), len(et.labels)) == (2, 2)  # the label ids end with the end token
     limits = spark.createDataFrame([("m", 10)], "model string, context_limit int")
     calls = spark.createDataFrame([("m", 10), ("m", 11), ("x", 1)], "model string, n int")
     assert fits_model_context(calls, limits, "model", "n").count() == 1

@@ -4,6 +4,8 @@ import json
 import os
 import time
 
+import pytest
+
 from diffloom.sources.readers import read_instances, read_logs, read_patch_dir, read_predictions, read_result_files
 from diffloom.streaming.incremental import collect_batch, collect_stream
 
@@ -66,3 +68,23 @@ def test_collect_stream_equals_batch(spark, tmpdir_path):
     got = sorted(r.instance_id for r in spark.read.parquet(f"{tmpdir_path}/out").collect())
     want = sorted(r.instance_id for r in collect_batch(spark, src).collect())
     assert got == want == ["o__r-1", "o__r-2", "o__r-3"]
+
+
+def test_unreadable_output_is_an_error(spark, tmpdir_path):
+    from diffloom.sources.readers import append_rows
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "instance_id string, n int")
+    assert append_rows(df, f"{tmpdir_path}/rows", fmt="parquet").count() == 2
+    assert append_rows(df, f"{tmpdir_path}/rows", fmt="parquet").count() == 0
+    with open(f"{tmpdir_path}/broken", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        append_rows(df, f"{tmpdir_path}/broken", fmt="parquet")
+
+
+def test_regrade_of_a_missing_log_raises(spark, tmpdir_path):
+    from diffloom.streaming.incremental import regrade
+    logs = spark.createDataFrame([("r", "m", "a", "x/y", "log")], "run_id string, model string, instance_id string, repo string, log string")
+    gold = spark.createDataFrame([("a", "FAIL_TO_PASS", "t")], "instance_id string, category string, test string")
+    wanted = spark.createDataFrame([("a",), ("b",)], "instance_id string")
+    with pytest.raises(ValueError):
+        regrade(logs, gold, f"{tmpdir_path}/graded", expected=wanted)
