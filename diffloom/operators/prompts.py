@@ -69,8 +69,12 @@ def _full_file(r) -> Column:
                        F.lit("Rewrite the complete files that need changes."))
 
 
+EXCERPTS = "Of each file only the lines near the edits are shown, each behind its number; ... stands for what is left out."
+
+
 def _edits_only(r) -> Column:
-    return _style2(r)
+    return F.concat_ws("\n", F.lit(INTRO), F.lit(EXCERPTS), F.lit("<issue>"), r["problem_statement"], F.lit("</issue>"),
+                       F.lit("<code>"), r["readmes"], r["code"], F.lit("</code>"), F.lit(PATCH_INSTRUCTION))
 
 
 STYLES: dict[str, Callable[[Column], Column]] = {

@@ -78,13 +78,6 @@ def bm25_search(index: dict[str, DataFrame], queries: DataFrame, query_id_col: s
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def hits_struct(hits: DataFrame) -> DataFrame:
-    """A8 shape: ``(query_id, hits: array<struct<docid, score>>)`` in rank order."""
-    return (hits.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", F.col("doc_id").alias("docid"), "score"))).alias("h"))
-            .select(F.col("query_id").alias("instance_id"),
-                    F.transform("h", lambda x: F.struct(x["docid"].cast("string").alias("docid"), x["score"].alias("score"))).alias("hits")))
-
-
 def attach_hits(instances: DataFrame, hits: DataFrame, k: int, id_col: str = "instance_id") -> DataFrame:
     """Left join, first k hits, absent -> []; duplicate ids in the hits: the last wins
     (``pos`` = file order column when present)."""

@@ -8,7 +8,10 @@ from diffloom.plans import text_queries as T
 from diffloom.plans import join_queries as J
 from diffloom.plans import version_queries as V
 from diffloom.plans import retrieval_queries as R
+from diffloom.plans import dialect_queries as D
+from diffloom.plans import view_queries as W
 from diffloom.plans.oracles import ORACLES
+from diffloom.plans.view_oracles import VIEW_ORACLES
 
 QUERIES = {
     "grade_runs": G.grade_runs,
@@ -46,6 +49,12 @@ QUERIES = {
     "pack_context": R.pack_context_q,
     "code_text": R.code_text_q,
     "train_tokens": R.train_tokens_q,
+    "grade_dialects": D.grade_dialects,
+    "text_gates": W.text_gates,
+    "patch_views": W.patch_views,
+    "join_views": W.join_views,
+    "order_hits": W.order_hits,
+    "prompt_forms": W.prompt_forms,
 }
 
 
@@ -54,4 +63,4 @@ def queries():
 
 
 def oracle_sql():
-    return {k: v for k, v in ORACLES.items() if k in QUERIES}
+    return {k: v for k, v in (ORACLES | VIEW_ORACLES).items() if k in QUERIES}

@@ -9,29 +9,19 @@ from pyspark.sql import functions as F
 from diffloom.functions.filters import (contains_commit_hash, contains_gitlab_issue, contains_hyperlinks,
                                         contains_keyword_reference, contains_media, max_words)
 from diffloom.functions.text import words
+from diffloom.operators.funnel import filter_funnel
 from diffloom.operators.issues import hints_before_first_commit, pull_text, resolved_issues
 from diffloom.operators.tokens import repetition_flag, tail
 from diffloom.plans.common import t
 
 
 def statement_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B14 + E12: rows left after each statement gate, per language, in one aggregate (each
-    gate is evaluated once per row in a projection, the aggregate only counts)."""
+    """B14 + E12 + M5: rows left after each statement gate, per language, from a list of filters."""
     txt = F.col("text")
-    d = t(spark, sf_dir, "documents").select(
-        "lang", (~max_words(txt, 40)).alias("g_words"), contains_hyperlinks(txt).alias("g_link"),
-        (contains_keyword_reference(txt) | contains_gitlab_issue(txt)).alias("g_ref"),
-        contains_commit_hash(txt).alias("g_hash"), contains_media(txt).alias("g_media"))
-    c = F.col
-    g1 = c("g_words")
-    g2 = g1 & ~c("g_link")
-    g3 = g2 & ~c("g_ref")
-    g4 = g3 & ~c("g_hash")
-    g5 = g4 & ~c("g_media")
-    return d.groupBy("lang").agg(
-        F.count("*").alias("n_total"), F.count_if(g1).alias("n_words_ok"), F.count_if(g2).alias("n_no_links"),
-        F.count_if(g3).alias("n_no_refs"), F.count_if(g4).alias("n_no_hash"), F.count_if(g5).alias("n_kept"),
-        F.count_if(c("g_hash")).alias("n_with_hash"))
+    gates = [("words_ok", ~max_words(txt, 40)), ("no_links", ~contains_hyperlinks(txt)),
+             ("no_refs", ~(contains_keyword_reference(txt) | contains_gitlab_issue(txt))),
+             ("no_hash", ~contains_commit_hash(txt)), ("kept", ~contains_media(txt))]
+    return filter_funnel(t(spark, sf_dir, "documents"), gates, ["lang"], also=[("with_hash", contains_commit_hash(txt))])
 
 
 def _ref_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
