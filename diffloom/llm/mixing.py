@@ -12,7 +12,8 @@ A leaf with budget ``b`` and ``have`` tokens gives ``b div have`` whole epochs,
 epoch the longest prefix, in that epoch's seeded order (MD5 of seed, epoch and id), whose tokens
 fit in the rest. The prefix is found without sorting a leaf: sums by the first hex digits of
 the order key, running totals over these few buckets, and an order inside the one bucket where
-the rest ends. A leaf may hold any share of all rows; no text is shuffled.
+the rest ends. A leaf may hold any share of all rows; no text is shuffled. What passes through one
+task at a node are its children's totals, never documents.
 
 Nulls in a level's column are the child ``''``; null token counts are 0; a null id orders as
 the text ``null``. Rows of one id have one place in the order and are taken together. A leaf
@@ -60,8 +61,7 @@ def _weight(column: str, table: Mapping[str, int]) -> Column:
 
 
 def budgets(leaves: DataFrame, levels: Sequence[str], weights: Weights, total: Column, max_epochs: int) -> DataFrame:
-    """``leaves`` (the levels and ``have``) with each leaf's ``budget``. ``total`` is the column of
-    ``leaves`` with the whole budget."""
+    """``leaves`` (the levels and ``have``) with each leaf's ``budget``; ``total``: the whole budget."""
     whole = "decimal(38,0)"
     cur = leaves.withColumn("cap", (F.col("have") * max_epochs).cast(whole)).withColumn("budget", total.cast(whole))
     for depth, level in enumerate(levels):
@@ -91,9 +91,9 @@ def plan(rows: DataFrame, levels: Sequence[str], weights: Weights, seed: int, ma
     keys of the next epoch are taken. ``rows``: the levels, ``id`` and ``tokens``."""
     levels = list(levels)
     leaves = rows.groupBy(*levels).agg(F.sum("tokens").alias("have")).filter("have > 0")
-    total = leaves.agg(F.expr(f"cast(sum(have) * {percent} div 100 as decimal(38,0))").alias("total"))
-    leaves = leaves.join(total)  # one row
-    shared = budgets(leaves, levels, weights, F.col("total"), max_epochs)
+    leaves = materialize(leaves, "mix-leaves")
+    total = (int(leaves.agg(F.sum(F.col("have").cast("decimal(38,0)"))).first()[0] or 0)) * percent // 100  # one number
+    shared = budgets(leaves, levels, weights, F.lit(total), max_epochs)
     shared = materialize(shared.withColumn("epochs", F.expr("budget div have")).withColumn("rest", F.expr("budget % have")),
                          "mix-budgets")
     keyed = (rows.join(shared.filter("rest > 0").select(*levels, "epochs", "rest"), levels)
