@@ -32,7 +32,7 @@ class Limits:
 
     min_words: int = 10
     repeat_words_percent: int = 20
-    gram_chars: tuple[tuple[int, float], ...] = ((5, 0.25), (7, 0.22), (10, 0.20))
+    gram_chars: tuple[tuple[int, float], ...] = ((5, 0.35), (7, 0.32), (10, 0.30))
     line_chars: float = 0.40
     symbol_share: float = 0.05
     #: A text of fewer words is judged by its base rules and symbols only: one repeat in a
