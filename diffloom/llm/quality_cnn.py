@@ -35,9 +35,9 @@ DEPTH = 4  # numbers for each byte
 FILTERS = 32
 CHUNK = 512  # bytes; neighbouring chunks share at least WIDTH of them
 STRIDE = 2  # bytes from one window to the next
-SAMPLE_DOCUMENTS = 2500
+SAMPLE_DOCUMENTS = 4000
 SAMPLE_CHARS = 20_000
-EPOCHS = 10
+EPOCHS = 12
 BATCH = 32
 THRESHOLD = 0.3
 #: Chunks convolved at once.
