@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from diffloom.session import materialize
 
 
 def hash_order(id_col, seed: int) -> Column:
@@ -42,24 +41,35 @@ def train_valid_split(df: DataFrame, id_col: str, ratio: float = 0.01, seed: int
     return df.withColumn("split", F.when(bucket < int(ratio * 1_000_000), F.lit("validation")).otherwise(F.lit("train")))
 
 
+#: Slices of an order; each is sorted on its own.
+SLICES = 256
+
+
+def _sliced(df: DataFrame, order: Column, slices: int = SLICES) -> DataFrame:
+    """``df`` with ``__slice``: the place of the first order column among quantiles that one aggregate takes from
+    the data (one row, joined on a constant). A function of the value alone, so reruns agree; text
+    is cut by its first bytes. Rows with one value share a slice."""
+    kind = df.select(order.alias("x")).schema["x"].dataType.simpleString()
+    key = F.conv(F.rpad(F.hex(F.substring(F.encode(order, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double") if kind == "string" else \
+        order.cast("timestamp").cast("double") if kind in ("date", "timestamp_ntz", "timestamp") else order.cast("double")
+    rows = df.withColumn("__key", key).withColumn("__one", F.lit(1))
+    cuts = rows.agg(F.percentile_approx("__key", [k / slices for k in range(1, slices)], 20 * slices).alias("__cuts")).withColumn("__one", F.lit(1))
+    rows = rows.join(cuts, "__one").withColumn("__slice", F.size(F.filter("__cuts", lambda c: c < F.col("__key"))))
+    return rows.drop("__one", "__cuts", "__key")
+
+
 def global_rank(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """0-based rank in ``order_cols`` order (ties broken by the caller's columns) without moving
-    all rows to one task, plus ``__total`` (the row count).
-
-    ``orderBy`` range-partitions and sorts; the sorted rows are written once to the shared
-    checkpoint folder so that counting and numbering read the same rows; the
-    per-partition counts (one row per partition) become offsets.
-    """
-    s = materialize(df.orderBy(*order_cols).withColumn("__pid", F.spark_partition_id())
-                      .withColumn("__mid", F.monotonically_increasing_id()), "global-rank")
-    counts = s.groupBy("__pid").agg(F.count("*").alias("__n"), F.min("__mid").alias("__first"))
-    w = Window.orderBy("__pid")
+    all rows to one task, plus ``__total`` (the row count): slices of the first order column, their
+    counts as offsets, and a row number inside each slice. Nothing is written or collected."""
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    s = _sliced(df, order[0])
+    counts = s.groupBy("__slice").agg(F.count("*").alias("__n"))
+    w = Window.orderBy("__slice")  # one row for each slice
     offsets = (counts.withColumn("__off", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                     .withColumn("__total", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    # one row per partition: a bounded broadcast
-    out = s.join(F.broadcast(offsets.select("__pid", "__off", "__first", "__total")), "__pid")
-    return out.withColumn("rank", (F.col("__off") + F.col("__mid") - F.col("__first")).cast("long")) \
-              .drop("__pid", "__mid", "__off", "__first")
+                     .withColumn("__total", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).drop("__n"))
+    inside = s.withColumn("__in", F.row_number().over(Window.partitionBy("__slice").orderBy(*order)) - 1)
+    return inside.join(offsets, "__slice").withColumn("rank", (F.col("__off") + F.col("__in")).cast("long")).drop("__slice", "__off", "__in")
 
 
 def split_even(df: DataFrame, order_cols: Sequence[str], n: int, part_col: str = "part") -> DataFrame:
@@ -89,28 +99,29 @@ def running_sum_before(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     """Sum of ``value_col`` over the earlier rows of the same group (in ``order_cols`` order),
     plus ``rows_before`` (their count), without putting a whole group into one task.
 
-    The rows are range-partitioned by (group, order) and written once to the shared checkpoint
-    folder, so a hot group spans many partitions. Per (partition, group) totals (a small table:
-    one row per group slice) give each slice its offset; the running sum inside a slice is a
-    window over that slice only. ``order_cols`` must order rows totally (add an id to break
-    ties).
+    Rows are sliced by quantiles of the first order column, so a hot group spans many slices. The
+    totals of each (group, slice), a small table, give each slice its offset; the running sum is a
+    window over one slice of one group. ``order_cols`` must order rows totally (add an id to break
+    ties). NULL group values are a group of their own.
     """
     gc = list(group_cols)
     oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    s = materialize(df.orderBy(*[F.col(c) for c in gc], *oc).withColumn("__pid", F.spark_partition_id()),
-                    "running-sum")
-    slices = s.groupBy(*gc, "__pid").agg(F.sum(value_col).alias("__slice"), F.count("*").alias("__nslice"))
-    w_off = Window.partitionBy(*gc).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (slices.withColumn("__off", F.coalesce(F.sum("__slice").over(w_off), F.lit(0)))
-                     .withColumn("__noff", F.coalesce(F.sum("__nslice").over(w_off), F.lit(0)))
-                     .drop("__slice", "__nslice"))
-    w_in = Window.partitionBy(*gc, "__pid").orderBy(*oc).rowsBetween(Window.unboundedPreceding, -1)
+    s = _sliced(df, oc[0])
+    slices = s.groupBy(*gc, "__slice").agg(F.sum(value_col).alias("__sum"), F.count("*").alias("__n"))
+    w_off = Window.partitionBy(*gc).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(*[F.col(c).alias(f"__g_{c}") for c in gc], F.col("__slice").alias("__s"),
+                            F.coalesce(F.sum("__sum").over(w_off), F.lit(0)).alias("__off"),
+                            F.coalesce(F.sum("__n").over(w_off), F.lit(0)).alias("__noff"))
+    w_in = Window.partitionBy(*gc, "__slice").orderBy(*oc).rowsBetween(Window.unboundedPreceding, -1)
     out = (s.withColumn("__in", F.coalesce(F.sum(value_col).over(w_in), F.lit(0)))
             .withColumn("__nin", F.coalesce(F.count(F.lit(1)).over(w_in), F.lit(0))))
-    out = out.join(offsets, gc + ["__pid"])
+    same = F.col("__slice") == F.col("__s")
+    for c in gc:
+        same = same & F.col(c).eqNullSafe(F.col(f"__g_{c}"))
+    out = out.join(offsets, same)
     return (out.withColumn(out_col, F.col("__off") + F.col("__in"))
                .withColumn("rows_before", F.col("__noff") + F.col("__nin"))
-               .drop("__pid", "__off", "__in", "__noff", "__nin"))
+               .drop("__slice", "__s", "__off", "__in", "__noff", "__nin", *[f"__g_{c}" for c in gc]))
 
 
 def stop_at_budget(df: DataFrame, cost_col: str, max_cost: float | None, group_cols: Sequence[str],

@@ -25,8 +25,9 @@ def release_timeline(releases: DataFrame, keys: Sequence[str], time_col: str, va
                      until: DataFrame | None = None) -> DataFrame:
     """Dense month timeline per key: ``(keys, bucket, inside: array<struct<t, v...>>, carry)``.
 
-    ``until`` (keys + ``__max_bucket``) extends each key's timeline to the last bucket that
-    the probe side needs; otherwise it ends at the last release.
+    ``until`` (keys + ``__min_bucket``, ``__max_bucket``) extends each key's timeline to the first and the
+    last bucket that the probe side needs; otherwise it spans the releases. ``oldest``: the key's
+    first release, on every row.
     """
     keys = list(keys)
     vals = list(value_cols)
@@ -38,7 +39,8 @@ def release_timeline(releases: DataFrame, keys: Sequence[str], time_col: str, va
     rng = r.groupBy(*keys).agg(F.min("__b").alias("__lo"), F.max("__b").alias("__hi"))
     if until is not None:
         rng = rng.join(until, keys, "left").select(
-            *keys, "__lo", F.greatest("__hi", F.coalesce("__max_bucket", "__hi")).alias("__hi"))
+            *keys, F.least("__lo", F.coalesce("__min_bucket", "__lo")).alias("__lo"),
+            F.greatest("__hi", F.coalesce("__max_bucket", "__hi")).alias("__hi"))
     grid = rng.select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr("interval 1 month"))).alias("__b"))
     inside = r.groupBy(*keys, "__b").agg(F.array_sort(F.collect_list(F.struct("__t", *vals))).alias("inside"))
     g = grid.join(inside, keys + ["__b"], "left")
@@ -56,26 +58,26 @@ def asof_join(left: DataFrame, releases: DataFrame, keys: Sequence[str], left_ti
     """For each left row, the values of the newest release of the same key with
     ``time < left_time`` (``<=`` when not strict). ``fallback``: ``none`` (NULL) or
     ``oldest`` (the first release) when nothing is earlier."""
-    keys = list(keys)
     vals = list(value_cols)
+    j = _asof(left, releases, keys, left_time, right_time, vals, strict)
+    pick = F.coalesce("__pick", "oldest") if fallback == "oldest" else F.col("__pick")
+    out = j.withColumn("__pick", pick)
+    return out.select(*left.columns, *[F.col("__pick")[v].alias(v) for v in vals],
+                      F.col("__pick")["__t"].alias(f"{right_time}_matched"))
+
+
+def _asof(left: DataFrame, releases: DataFrame, keys: Sequence[str], left_time: str, right_time: str, vals: list[str],
+          strict: bool) -> DataFrame:
+    """``left`` with ``__pick`` (the newest earlier release, or NULL) and ``oldest``: one join with the timeline."""
+    keys = list(keys)
     lb = left.withColumn("__b", _bucket(F.col(left_time)))
-    until = lb.groupBy(*keys).agg(F.max("__b").alias("__max_bucket"))
+    until = lb.groupBy(*keys).agg(F.min("__b").alias("__min_bucket"), F.max("__b").alias("__max_bucket"))
     tl = release_timeline(releases, keys, right_time, vals, until)
     j = lb.join(tl, keys + ["__b"], "left")
     lt = F.col(left_time).cast("timestamp_ntz")
     cmp = (lambda x: x["__t"].cast("timestamp_ntz") < lt) if strict else (lambda x: x["__t"].cast("timestamp_ntz") <= lt)
     hit = F.try_element_at(F.filter(F.coalesce(F.col("inside"), F.array().cast(tl.schema["inside"].dataType)), cmp), F.lit(-1))
-    # a bucket before the key's first release is not in the timeline: no carry, no oldest
-    pick = F.coalesce(hit, F.col("carry"))
-    if fallback == "oldest":
-        oldest_any = F.col("__oldest_key")
-        ol = tl.groupBy(*keys).agg(F.first("oldest", ignorenulls=True).alias("__oldest_key"))
-        j = j.join(ol, keys, "left")
-        pick = F.coalesce(pick, oldest_any)
-    out = j.withColumn("__pick", pick)
-    out = out.select(*left.columns, *[F.col("__pick")[v].alias(v) for v in vals],
-                     F.col("__pick")["__t"].alias(f"{right_time}_matched"))
-    return out
+    return j.withColumn("__pick", F.coalesce(hit, F.col("carry")))
 
 
 def version_cutoffs(releases: DataFrame, keys: Sequence[str], version_col: str, time_col: str) -> DataFrame:
@@ -101,11 +103,11 @@ def asof_version_by_order(left: DataFrame, releases: DataFrame, keys: Sequence[s
               .withColumn("__seq", F.row_number().over(Window.partitionBy(*keys).orderBy("cutoff", "__ord"))))
     # __seq first: among versions with the same cutoff the as-of pick keeps the latest running
     # maximum (the one that has seen all of them), whatever the order of the version text
-    run = run.select(*keys, "cutoff", "__seq", F.col(f"__best.{version_col}").alias("__v"))
-    lowest = cut.groupBy(*keys).agg(F.min_by(version_col, "__ord").alias("__lowest"))
-    j = asof_join(left, run, keys, left_time, "cutoff", ["__seq", "__v"], strict=True, fallback="none")
-    j = j.join(lowest, keys, "left")
-    return j.withColumn(version_col, F.coalesce("__v", "__lowest")).drop("__seq", "__v", "__lowest", "cutoff_matched")
+    lowest = F.min(F.struct("__ord", version_col)).over(Window.partitionBy(*keys))
+    run = run.select(*keys, "cutoff", "__seq", F.col(f"__best.{version_col}").alias("__v"), lowest[version_col].alias("__lowest"))
+    j = _asof(left, run, keys, left_time, "cutoff", ["__seq", "__v", "__lowest"], True)
+    found = F.coalesce(F.col("__pick")["__v"], F.col("oldest")["__lowest"])
+    return j.select(*left.columns, found.alias(version_col))
 
 
 def major_minor(version) -> Column:

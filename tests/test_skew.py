@@ -26,3 +26,10 @@ def test_running_sum_hot_group_spans_partitions(spark):
         assert sorted(r[1] for r in parts) == [666, 667, 667]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_null_groups_and_text_orders(spark):
+    df = spark.createDataFrame([(None, "b", 1), (None, "a", 2), ("g", "é", 3), ("g", "z", 4), ("g", None, 5)], "g string, o string, c int")
+    got = {(r.g, r.o): (r.sum_before, r.rows_before) for r in running_sum_before(df, ["g"], ["o"], "c").collect()}
+    assert got == {(None, "a"): (0, 0), (None, "b"): (2, 1), ("g", None): (0, 0), ("g", "z"): (5, 1), ("g", "é"): (9, 2)}
+    assert [r.o for r in split_even(df, ["o", "c"], 5).orderBy("part").collect()] == [None, "a", "b", "z", "é"]
