@@ -130,28 +130,17 @@ def version_from_files(instances: DataFrame, files: DataFrame, paths: DataFrame,
     '=' with ',' as '.'), cut to major.minor with digits and dots only.
 
     ``files``: (corpus_id, path, content); ``paths``: (repo, path, rank);
-    ``patterns``: (repo, pattern, rank). Patterns are few, so each is applied as a literal
-    regex in its own projection and the hits are unioned.
+    ``patterns``: (repo, pattern, rank). Files are joined with the patterns of their repository, so they are
+    read once.
     """
     cand = (instances.select(id_col, "repo", "corpus_id")
             .join(paths.withColumnRenamed("rank", "path_rank"), "repo")
             .join(files.select("corpus_id", "path", "content"), ["corpus_id", "path"]))
     cand = cand.withColumn("content", F.regexp_replace("content", r'(?s)""".*?"""', ""))
-    # the pattern table is a small fixed dimension (a few patterns per repository)
-    pats = [r.asDict() for r in patterns.select("repo", "pattern", "rank").distinct().collect()]
-    hits = None
-    for p in pats:
-        hit = F.col("content").rlike(p["pattern"])
-        if p["repo"] in WHOLE_MATCH_REPOS:
-            whole = F.trim(F.substring_index(F.regexp_extract("content", p["pattern"], 0), "=", -1))
-            raw = F.replace(whole, F.lit(","), F.lit("."))
-        else:
-            raw = F.replace(F.regexp_extract("content", p["pattern"], 1), F.lit(" "), F.lit(""))
-        h = (cand.where((F.col("repo") == p["repo"]) & hit)
-             .select(id_col, "path_rank", F.lit(p["rank"]).alias("pattern_rank"), raw.alias("raw")))
-        hits = h if hits is None else hits.unionByName(h)
-    if hits is None:
-        return instances.withColumn("version", F.lit(None).cast("string"))
+    tried = cand.join(patterns.select("repo", "pattern", F.col("rank").alias("pattern_rank")), "repo").where(F.expr("rlike(content, pattern)"))
+    whole = F.replace(F.trim(F.substring_index(F.expr("regexp_extract(content, pattern, 0)"), "=", -1)), F.lit(","), F.lit("."))
+    group = F.replace(F.expr("regexp_extract(content, pattern, 1)"), F.lit(" "), F.lit(""))
+    hits = tried.select(id_col, "path_rank", "pattern_rank", F.when(F.col("repo").isin(WHOLE_MATCH_REPOS), whole).otherwise(group).alias("raw"))
     best = hits.groupBy(id_col).agg(F.min_by("raw", F.struct("path_rank", "pattern_rank")).alias("raw"))
     return instances.join(best.select(id_col, major_minor(F.col("raw")).alias("version")), id_col, "left")
 

@@ -10,6 +10,7 @@ from diffloom.plans import version_queries as V
 from diffloom.plans import retrieval_queries as R
 from diffloom.plans import dialect_queries as D
 from diffloom.plans import view_queries as W
+from diffloom.plans import order_queries as O
 from diffloom.plans.oracles import ORACLES
 from diffloom.plans.view_oracles import VIEW_ORACLES
 
@@ -55,6 +56,11 @@ QUERIES = {
     "join_views": W.join_views,
     "order_hits": W.order_hits,
     "prompt_forms": W.prompt_forms,
+    "order_views": O.order_views,
+    "context_fit": O.context_fit,
+    "file_views": O.file_views,
+    "release_dates": O.release_dates,
+    "early_hints": O.early_hints,
 }
 
 

@@ -130,3 +130,36 @@ SELECT conv_id, turn,
   'be brief' AS system, md5(text) AS user_md5, CASE WHEN turn % 2 = 0 THEN CAST(conv_id AS BIGINT) END AS issue,
   md5(text) AS plain_md5, md5(regexp_replace(text, '(^|\n)[ \t]+(\n|$)', '\1\2', 'g') || chr(10) || chr(10) || 'z' || chr(10)) AS lines_md5, 'a.py' AS files
 FROM c"""
+
+VIEW_ORACLES["order_views"] = """
+WITH o AS (SELECT o_orderkey AS id, o_orderpriority AS p, o_orderdate AS d FROM orders),
+r AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS k, count(*) OVER () AS n,
+             row_number() OVER (PARTITION BY p ORDER BY d DESC, id DESC) AS newest,
+             max(CASE WHEN d < TIMESTAMP '2000-06-15' THEN epoch_us(d) END) OVER (PARTITION BY p) AS last_old FROM o),
+b AS (SELECT p, max(id) AS bid FROM r WHERE epoch_us(d) = last_old GROUP BY p)
+SELECT 'shard' AS kind, id AS instance_id FROM r WHERE
+  CASE WHEN k < (n // 4 + 1) * (n % 4) THEN k // (n // 4 + 1) ELSE n % 4 + (k - (n // 4 + 1) * (n % 4)) // greatest(n // 4, 1) END = 1
+UNION ALL (SELECT 'sample', id FROM o ORDER BY md5(CAST(id AS VARCHAR) || '|7'), id LIMIT 25)
+UNION ALL SELECT 'from_id', id FROM r WHERE k BETWEEN (SELECT k FROM r WHERE id = 700) AND (SELECT k FROM r WHERE id = 700) + 39
+UNION ALL SELECT 'cutoff', id FROM r LEFT JOIN b USING (p)
+  WHERE last_old IS NULL OR epoch_us(d) > last_old OR epoch_us(d) = last_old AND id >= bid
+UNION ALL SELECT 'newest', id FROM r WHERE newest <= 4
+UNION ALL SELECT 'union', id FROM o WHERE id % 3 = 0 OR id % 5 = 0"""
+
+VIEW_ORACLES["context_fit"] = """
+SELECT doc_id, lang FROM documents JOIN (VALUES ('en', 400), ('de', 300), ('fr', 200)) AS v(lang, m) USING (lang) WHERE length(text) <= m"""
+
+VIEW_ORACLES["file_views"] = """
+SELECT 'version' AS kind, p_partkey AS instance_id, p_size || CASE WHEN p_partkey % 3 <> 0 THEN '.2' ELSE '.7' END AS value FROM part
+UNION ALL SELECT 'test', p_partkey, 't.py|' || p_name || '|FAIL_TO_PASS' FROM part
+UNION ALL SELECT 'test', p_partkey, 'a/b.py|Case.test_' || p_partkey || '|PASS_TO_PASS' FROM part
+UNION ALL SELECT 'readme', p_partkey, md5('README.md' || chr(10) || p_name) FROM part
+UNION ALL SELECT 'file', p_partkey, f FROM part, (VALUES ('pkg/__init__.py'), ('setup.py'), ('README.md'), ('docs/README.md')) AS v(f)"""
+
+VIEW_ORACLES["release_dates"] = """
+SELECT DISTINCT o_custkey AS repo, (o_orderkey % 5) || '.' || (o_orderkey % 7) AS version, CAST(o_orderdate AS DATE) AS date
+FROM orders WHERE o_orderkey % 3 <> 2"""
+
+VIEW_ORACLES["early_hints"] = """
+SELECT l_orderkey AS pull_number, 'note ' || l_partkey AS text, l_linenumber = 7 AS time_error
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber = 7 OR l_partkey % 60 < 30"""
