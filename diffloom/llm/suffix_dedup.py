@@ -12,11 +12,12 @@ are sorted and compared once more with their first 50 words, so that copies of a
 even where others share a part of it. Each suffix meets its neighbours only, never all that share
 its beginning. Matches of two documents on one diagonal are merged; the words of both texts around
 the merged match are compared to extend it left and right, and the words inside are compared by a
-second hash. Matches of ``MIN_WORDS`` words or more count.
+second hash. Matches of ``MIN_WORDS`` words or more count. A suffix of a shared beginning whose first
+50 words nobody shares may still lie inside a shared passage that begins before it: for each of
+these, the 50-word windows that begin 2, 4, ... 14 words before it are sorted and compared as well.
 
-A passage of 65 words or more is found in every document that has it. One of 50 to 64 words is
-found unless each neighbour of its only suffix shares a part of fewer than 50 words. The edges of
-a span are those of its matches with neighbours: another document may share a few words more.
+So every document with a passage of 51 words or more that another document has is found. The edges
+of a span are those of its matches with neighbours: another document may share a few words more.
 
 Result: (doc_id, start, end in code points, n_words, other_doc_id, other_start), one row for each
 repeated span. Overlapping spans of one document are merged; the other document is that of its
@@ -104,15 +105,17 @@ def suffixes(texts: list[bytes], docs: np.ndarray) -> pd.DataFrame:
                          "doc": docs[words.text[at]], "pos": (at - words.first[words.text[at]]).astype(np.int32)})
 
 
-COMPARED = f"kind int, part int, {SUFFIX}, doc2 long, pos2 int"
-PAIR, SHARED, EDGE = 0, 1, 2
+COMPARED = f"kind int, part int, {SUFFIX}, doc2 long, pos2 int, whole2 long"
+PAIR, SHARED, EDGE, LONE = 0, 1, 2, 3
+#: Words from one window to the next before a lone suffix.
+WINDOW_STEP = 2
 
 
-def neighbours(rows: DataFrame, key: str, name: str) -> DataFrame:
+def neighbours(rows: DataFrame, key: str, name: str, lone: bool = False) -> DataFrame:
     """Sorts suffixes by ``key``, document and place over range partitions and compares neighbours.
     Kinds of rows: ``PAIR``: two suffixes with one key in different documents; ``SHARED``: a suffix
     whose key another document has too (or may have in the next partition); ``EDGE``: the first and
-    the last of a partition."""
+    the last of a partition; ``LONE``: a suffix without such a neighbour in its partition."""
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // TASK_ROWS))
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,12 +142,14 @@ def neighbours(rows: DataFrame, key: str, name: str) -> DataFrame:
         pair = np.unique(low * n + high)
         low, high = pair // n, pair % n
         shared = has_p | has_f | (k == k[0]) | (k == k[-1])
-        for kind, at, other in ((PAIR, low, high), (SHARED, np.flatnonzero(shared), None), (EDGE, np.unique([0, n - 1]), None)):
+        for kind, at, other in ((PAIR, low, high), (SHARED, np.flatnonzero(shared), None), (EDGE, np.unique([0, n - 1]), None),
+                                (LONE, np.flatnonzero(~has_p & ~has_f) if lone else low[:0], None)):
             out = own.iloc[at].reset_index(drop=True)
             out["kind"], out["part"] = kind, part
             out["doc2"] = v["doc"][other] if other is not None else 0
             out["pos2"] = v["pos"][other] if other is not None else 0
-            yield out[["kind", "part", *COLUMNS, "doc2", "pos2"]]
+            out["whole2"] = v["whole"][other] if other is not None else 0
+            yield out[["kind", "part", *COLUMNS, "doc2", "pos2", "whole2"]]
 
     dealt = rows.select(*COLUMNS).repartitionByRange(parts, key, "doc", "pos").sortWithinPartitions(key, "doc", "pos")
     return materialize(dealt.mapInPandas(compared, COMPARED), name)
@@ -154,18 +159,21 @@ def pairs_of(found: DataFrame, key: str) -> DataFrame:
     """The pairs, with those of the last suffix of a partition and the first of the next (two rows a
     partition are looked at for these)."""
     at = Window.partitionBy(F.lit(0)).orderBy("part", key, "doc", "pos")
-    edge = found.filter(F.col("kind") == EDGE).withColumn("next", F.lead(F.struct(key, "doc", "pos", "part")).over(at))
+    edge = found.filter(F.col("kind") == EDGE).withColumn("next", F.lead(F.struct(*COLUMNS, "part")).over(at))
     across = edge.filter(f"next.part > part and next.{key} = {key} and next.doc <> doc").select(
-        "doc", "pos", F.col("next.doc").alias("doc2"), F.col("next.pos").alias("pos2"))
-    return found.filter(F.col("kind") == PAIR).select("doc", "pos", "doc2", "pos2").union(across)
+        "doc", "pos", "whole", F.col("next.doc").alias("doc2"), F.col("next.pos").alias("pos2"), F.col("next.whole").alias("whole2"))
+    return found.filter(F.col("kind") == PAIR).select("doc", "pos", "whole", "doc2", "pos2", "whole2").union(across)
 
 
-def matches(rows: DataFrame) -> DataFrame:
-    """(a, b, shift, first, last): matches of documents a < b, merged on their diagonal: the words
-    first .. last + PREFIX of a are those ``shift`` further on in b."""
+def matches(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Matches of documents a < b, merged on their diagonal, as (a, b, shift, first, last): the words
+    first .. last + PREFIX of a are those ``shift`` further on in b; and the suffixes (doc, pos)
+    whose beginning is shared but not their first ``MIN_WORDS`` words."""
     first = neighbours(rows, "b1", "suffix-prefix")
-    second = neighbours(first.filter((F.col("kind") == SHARED) & (F.col("whole") != 0)), "whole", "suffix-whole")
-    pairs = pairs_of(first, "b1").union(pairs_of(second, "whole"))
+    shared = first.filter(F.col("kind") == SHARED)
+    second = neighbours(shared.filter("whole <> 0"), "whole", "suffix-whole", lone=True)
+    lone = second.filter(F.col("kind") == LONE).select("doc", "pos").union(shared.filter("whole = 0").select("doc", "pos"))
+    pairs = pairs_of(first, "b1").union(pairs_of(second, "whole")).select("doc", "pos", "doc2", "pos2")
     flip = F.col("doc") > F.col("doc2")
     pairs = pairs.select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b"),
                          F.when(flip, F.col("pos2")).otherwise(F.col("pos")).alias("at"),
@@ -173,7 +181,8 @@ def matches(rows: DataFrame) -> DataFrame:
     line = Window.partitionBy("a", "b", "shift").orderBy("at")  # at most the suffixes of one document
     pairs = pairs.withColumn("gap", (F.col("at") - F.coalesce(F.lag("at").over(line), F.lit(-(10**9))) > PREFIX).cast("int"))
     pairs = pairs.withColumn("run", F.sum("gap").over(line))
-    return pairs.groupBy("a", "b", "shift", "run").agg(F.min("at").alias("first"), F.max("at").alias("last")).drop("run")
+    merged = pairs.groupBy("a", "b", "shift", "run").agg(F.min("at").alias("first"), F.max("at").alias("last")).drop("run")
+    return merged, lone
 
 
 ENDS = ("a long, b long, shift int, first int, last int, side int, inner long, left binary, right binary, "
@@ -228,6 +237,27 @@ def _ends(texts: list[bytes], wanted: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+def _windows(texts: list[bytes], lone: pd.DataFrame) -> pd.DataFrame:
+    """For each lone suffix (``text``, ``a``: its document, ``first``: its place) the windows of ``MIN_WORDS``
+    words that begin a few words before it: ``inner`` is their hash, ``b`` their code points (first * 2**32
+    + end)."""
+    words = Words(texts)
+    lead = np.concatenate(([0], np.cumsum(words.data & 0xC0 != 0x80)))
+    back = np.arange(WINDOW_STEP, WINDOW, WINDOW_STEP)
+    rows = lone.loc[lone.index.repeat(len(back))].reset_index(drop=True)
+    place = rows["first"].to_numpy() - np.tile(back, len(lone))
+    begin = words.first[rows["text"]] + place
+    ok = (place >= 0) & (begin + MIN_WORDS <= words.first[rows["text"].to_numpy() + 1])
+    rows, place, begin = rows[ok].reset_index(drop=True), place[ok], begin[ok]
+    origin = lead[words.text_at[rows["text"]]]
+    out = rows[["a", "b", "shift", "first", "last", "side"]].copy()
+    out["first"], out["inner"] = place, _hashed(words, begin, MIN_WORDS, 300).view(np.int64)
+    out["b"] = (lead[words.start[begin]] - origin) << 32 | (lead[words.end[begin + MIN_WORDS - 1]] - origin)
+    for c in ("left", "right", "starts", "ends"):
+        out[c] = b""
+    return out
+
+
 def _alike(x: pd.Series, y: pd.Series) -> np.ndarray:
     """How many words are equal from the nearest on."""
     a, b = (np.frombuffer(b"".join(c), np.uint32).reshape(len(c), REACH) for c in (x, y))
@@ -235,13 +265,16 @@ def _alike(x: pd.Series, y: pd.Series) -> np.ndarray:
     return same.argmin(axis=1)
 
 
-def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Spans of the matches of ``found`` that are long enough when extended: for each side (doc, start,
-    end, n_words, other, other_start). ``docs``: (doc, text)."""
+def extended(docs: DataFrame, found: DataFrame, lone: DataFrame) -> DataFrame:
+    """Spans of the matches of ``found`` that are long enough when extended, and of the windows before the
+    ``lone`` suffixes that another document has: for each side (doc, start, end, n_words, other,
+    other_start). ``docs``: (doc, text)."""
     found = materialize(found, "suffix-merged")
+    alone = lone.select("doc", F.struct(F.col("doc").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("shift"),
+                                        F.col("pos").alias("first"), F.col("pos").alias("last"), F.lit(2).alias("side")).alias("m"))
     side = lambda doc, n: found.select(F.col(doc).alias("doc"), F.struct("a", "b", "shift", "first", "last", F.lit(n).alias("side")).alias("m"))
     # a document has at most a few matches for each of its suffixes, so its list is no longer than its text
-    wanted = side("a", 0).union(side("b", 1)).groupBy("doc").agg(F.collect_list("m").alias("wanted"))
+    wanted = side("a", 0).union(side("b", 1)).union(alone).groupBy("doc").agg(F.collect_list("m").alias("wanted"))
     texts = docs.join(wanted, "doc").select("text", "wanted")
     names = ["a", "b", "shift", "first", "last", "side"]
 
@@ -254,7 +287,9 @@ def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
                 frame = pd.DataFrame(np.array(flat, np.int64).reshape(-1, len(names)), columns=names)
                 frame["text"] = np.repeat(np.arange(len(run)), [len(w) for w in own])
                 for k in range(0, len(frame), 20_000):
-                    yield _ends(run, frame.iloc[k:k + 20_000])
+                    part = frame.iloc[k:k + 20_000]
+                    yield _ends(run, part[part["side"] < 2].reset_index(drop=True))
+                    yield _windows(run, part[part["side"] == 2].reset_index(drop=True))
 
     @F.pandas_udf("n_words long, a_start long, a_end long, b_start long, b_end long")
     def grown(n: pd.Series, al: pd.Series, ar: pd.Series, bl: pd.Series, br: pd.Series, a_s: pd.Series, a_e: pd.Series,
@@ -278,7 +313,12 @@ def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
     both = materialize(both.filter(F.col("n_words") >= MIN_WORDS), "suffix-matches")
     one = lambda x, y: both.select(F.col(x).alias("doc"), F.col(f"{x}_start").alias("start"), F.col(f"{x}_end").alias("end"), "n_words",
                                    F.col(y).alias("other"), F.col(f"{y}_start").alias("other_start"))
-    return one("a", "b").union(one("b", "a"))
+    # windows before lone suffixes: their code points travel in the place of the second hash
+    windows = rows.filter("side = 2").select(F.col("inner").alias("b1"), F.col("b").alias("whole"), F.col("a").alias("doc"), F.col("first").alias("pos"))
+    pairs = materialize(pairs_of(neighbours(windows.distinct(), "b1", "suffix-windows"), "b1"), "suffix-window-pairs")
+    span = lambda d, w, e, x: pairs.select(F.col(d).alias("doc"), F.shiftright(w, 32).alias("start"), F.col(w).bitwiseAND(F.lit(2**32 - 1)).alias("end"),
+                                           F.lit(MIN_WORDS).cast("long").alias("n_words"), F.col(e).alias("other"), F.shiftright(x, 32).alias("other_start"))
+    return one("a", "b").union(one("b", "a")).union(span("doc", "whole", "doc2", "whole2")).union(span("doc2", "whole2", "doc", "whole"))
 
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -293,7 +333,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
                 yield suffixes(run, ids[first:first + len(run)])
 
     rows = materialize(docs.mapInPandas(kept, SUFFIX), "suffixes")
-    spans = extended(docs, matches(rows))
+    spans = extended(docs, *matches(rows))
     at = Window.partitionBy("doc").orderBy("start", F.col("end").desc())  # the spans of one document
     until = F.max("end").over(at.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.distinct().withColumn("apart", (F.col("start") > F.coalesce(until, F.lit(-1))).cast("int"))

@@ -34,7 +34,7 @@ def shared_words(rows):
 
 
 def check(rows, got, least=0.995):
-    """Spans hold nothing but shared words; every document with a shared passage of 65 words is there,
+    """Spans hold nothing but shared words; every document with a shared passage of 51 words is there,
     and nearly all shared words are inside spans."""
     want, words = shared_words(rows)
     found = defaultdict(set)
@@ -60,7 +60,7 @@ def check(rows, got, least=0.995):
 
     for k, v in want.items():
         if v and k not in found:
-            assert run([order[k][w] for w in v]) < 65, k
+            assert run([order[k][w] for w in v]) < 51, k
     assert sum(map(len, found.values())) >= least * sum(map(len, want.values()))
     assert len(found) >= least * sum(bool(v) for v in want.values())
 
