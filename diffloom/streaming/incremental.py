@@ -20,10 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from diffloom import constants as K
 from diffloom import schemas
-from diffloom.functions.filters import is_valid_instance, is_valid_pull
+from diffloom.functions.filters import has_test_patch, is_valid_instance, is_valid_pull
 from diffloom.functions.text import make_instance_id
 from diffloom.operators.grading import grade_tests
-from diffloom.operators.issues import pull_text, resolved_issues
+from diffloom.operators.issues import problem_statement, pull_text, resolved_issues
 from diffloom.operators.logs import parse_logs
 from diffloom.operators.patches import split_patch
 from diffloom.operators.reports import require_known_ids
@@ -36,36 +36,62 @@ def resume(df: DataFrame, written: DataFrame, id_col: str = "instance_id") -> Da
 
 
 def pulls_to_instances(pulls: DataFrame) -> DataFrame:
-    """B1 -> C1, C7, C23: instance rows from pull rows (the problem statement is the pull text
-    here; with an issue table use ``issues.problem_statement``)."""
+    """B1 -> C1, C7, C23: instance rows from pull rows, with the pull's own text as statement; see
+    ``with_statement`` for that of the resolved issues."""
     return _instances_with_ingest(pulls.withColumn("ingest_ts", F.lit(None).cast("timestamp"))).drop("ingest_ts")
 
 
-def collect_batch(spark: SparkSession, input_dir: str) -> DataFrame:
+def with_statement(instances: DataFrame, issues: DataFrame, hints: DataFrame | None = None) -> DataFrame:
+    """The statement of the resolved issues (repo, issue_number, title, body), and ``hints_text`` from
+    ``hints`` (repo, pull_number, hints_text), '' where there is none."""
+    keys = ["repo", "pull_number"]
+    st = problem_statement(instances.select(*keys, "issue_numbers"), issues, issues_col="issue_numbers").distinct()
+    out = instances.drop("problem_statement").join(st, keys)
+    if hints is not None:
+        out = out.join(hints.select(*keys, "hints_text"), keys, "left").fillna("", ["hints_text"])
+    return out
+
+
+def _finished(instances: DataFrame, issues: DataFrame | None, hints: DataFrame | None) -> DataFrame:
+    """Valid instances (B2), with the issues' statement where an issue table is given."""
+    out = with_statement(instances, issues, hints) if issues is not None else instances
+    return out.where(is_valid_instance("patch", "problem_statement"))
+
+
+def collect_batch(spark: SparkSession, input_dir: str, issues: DataFrame | None = None, hints: DataFrame | None = None) -> DataFrame:
     """The batch form of L2 over the same files (for checks and backfills)."""
-    pulls = spark.read.schema(schemas.PULL).json(input_dir)
-    inst = pulls_to_instances(pulls).where(is_valid_instance("patch", "problem_statement"))
-    return inst.dropDuplicates(["instance_id"])
+    inst = pulls_to_instances(spark.read.schema(schemas.PULL).json(input_dir)).where(_has_patch())
+    return _finished(inst.dropDuplicates(["instance_id"]), issues, hints)
+
+
+def _has_patch():
+    return F.coalesce(F.col("patch") != "", F.lit(False))
 
 
 def collect_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint: str,
-                   watermark: str = "1 hour", trigger_once: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """L2: pull files -> valid instances -> de-duplicated append (checkpointed)."""
+                   watermark: str = "1 hour", trigger_once: bool = True, max_files_per_trigger: int | None = None,
+                   issues: DataFrame | None = None, hints: DataFrame | None = None, tests_dir: str | None = None) -> StreamingQuery:
+    """L2: pull files -> instances -> de-duplicated append (checkpointed). With an issue table (and hints) the
+    statement is that of the resolved issues (C2, C3). Every valid row goes to ``output_dir``; rows
+    with a test patch (B3) also to ``tests_dir`` (A10)."""
     reader = spark.readStream.schema(schemas.PULL)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = (reader.json(input_dir)
            .withColumn("ingest_ts", F.col("_metadata.file_modification_time")))
-    out = (_instances_with_ingest(src)
-           .where(is_valid_instance("patch", "problem_statement"))
+    out = (_instances_with_ingest(src).where(_has_patch())
            .withWatermark("ingest_ts", watermark)
            .dropDuplicatesWithinWatermark(["instance_id"]))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        b = batch.drop("ingest_ts")
-        if path_exists(batch.sparkSession, output_dir):
-            b = resume(b, batch.sparkSession.read.schema(b.schema).parquet(output_dir).select("instance_id"))
-        b.write.mode("append").parquet(output_dir)
+        rows = _finished(batch.drop("ingest_ts"), issues, hints).persist()
+        # each output skips what it holds, so a batch that failed between the two is made whole when it is replayed
+        for path, part in ((output_dir, rows), (tests_dir, rows.where(has_test_patch("test_patch")))):
+            if path:
+                if path_exists(batch.sparkSession, path):
+                    part = resume(part, batch.sparkSession.read.schema(rows.schema).parquet(path).select("instance_id"))
+                part.write.mode("append").parquet(path)
+        rows.unpersist()
 
     w = out.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w

@@ -70,6 +70,25 @@ def test_collect_stream_equals_batch(spark, tmpdir_path):
     assert got == want == ["o__r-1", "o__r-2", "o__r-3"]
 
 
+def test_collect_with_issues_hints_and_both_outputs(spark, tmpdir_path):
+    src = f"{tmpdir_path}/pulls"
+    os.makedirs(src)
+    _w(f"{src}/a.json", "\n".join(json.dumps(x) for x in [_pull(1), _pull(2, test=False), _pull(3)]))
+    issues = spark.createDataFrame([("o/r", "1", "Bug", "it breaks"), ("o/r", "2", "Two", None)], "repo string, issue_number string, title string, body string")
+    hints = spark.createDataFrame([("o/r", 1, "try this")], "repo string, pull_number int, hints_text string")
+    for _ in range(2):  # the second run adds nothing
+        q = collect_stream(spark, src, f"{tmpdir_path}/all", f"{tmpdir_path}/ckpt", issues=issues, hints=hints, tests_dir=f"{tmpdir_path}/main")
+        q.awaitTermination(120)
+    got = {r.instance_id: r for r in spark.read.parquet(f"{tmpdir_path}/all").collect()}
+    assert set(got) == {"o__r-1", "o__r-2"}  # no known issue, no statement: o__r-3 is not valid
+    assert got["o__r-1"].problem_statement == "Bug\nit breaks\n" and got["o__r-1"].hints_text == "try this"
+    assert got["o__r-2"].problem_statement == "Two\n\n" and got["o__r-2"].hints_text == ""
+    assert [r.instance_id for r in spark.read.parquet(f"{tmpdir_path}/main").collect()] == ["o__r-1"]
+    assert spark.read.parquet(f"{tmpdir_path}/all").count() == 2
+    batch = {r.instance_id: r.problem_statement for r in collect_batch(spark, src, issues, hints).collect()}
+    assert batch == {i: r.problem_statement for i, r in got.items()}
+
+
 def test_unreadable_output_is_an_error(spark, tmpdir_path):
     from diffloom.sources.readers import append_rows
     df = spark.createDataFrame([("a", 1), ("b", 2)], "instance_id string, n int")
