@@ -11,6 +11,7 @@ from diffloom.plans import retrieval_queries as R
 from diffloom.plans import dialect_queries as D
 from diffloom.plans import view_queries as W
 from diffloom.plans import order_queries as O
+from diffloom.plans import report_queries as Q
 from diffloom.plans.oracles import ORACLES
 from diffloom.plans.view_oracles import VIEW_ORACLES
 
@@ -61,6 +62,11 @@ QUERIES = {
     "file_views": O.file_views,
     "release_dates": O.release_dates,
     "early_hints": O.early_hints,
+    "run_report_totals": Q.run_report_totals,
+    "run_report_ids": Q.run_report_ids,
+    "instance_reports": Q.instance_reports,
+    "collection_totals": Q.collection_totals,
+    "import_reach": Q.import_reach,
 }
 
 

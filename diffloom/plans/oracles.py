@@ -451,3 +451,8 @@ st AS (
 o AS (SELECT o_orderkey AS order_key FROM orders)
 SELECT o.order_key, md5(coalesce(st.s, '')) AS statement_md5, CAST(length(coalesce(st.s, '')) AS BIGINT) AS statement_chars
 FROM o LEFT JOIN st ON st.order_key = o.order_key"""
+
+ORACLES["instance_reports"] = f"""
+WITH gr AS ({_grade_sql("'pass_and_fail'")}), u AS (SELECT *, CAST(substr(instance_id, 6) AS BIGINT) % 4 AS m FROM gr)
+SELECT run_id, instance_id, m = 0 AS "patch_is_None", m <> 0 AS patch_exists, m <> 0 AND applied AS patch_successfully_applied,
+       m <> 0 AND resolution = 'RESOLVED_FULL' AS resolved FROM u"""

@@ -163,3 +163,29 @@ FROM orders WHERE o_orderkey % 3 <> 2"""
 VIEW_ORACLES["early_hints"] = """
 SELECT l_orderkey AS pull_number, 'note ' || l_partkey AS text, l_linenumber = 7 AS time_error
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber = 7 OR l_partkey % 60 < 30"""
+
+_RUN = """
+WITH b AS (SELECT d.doc_id AS instance_id, CASE WHEN l.doc_id IS NULL THEN 'incomplete' WHEN l.quality <> 1 THEN 'empty_patch'
+             WHEN d.lang NOT IN ('en', 'fr') THEN 'error' WHEN l.toxic = 0 THEN 'resolved' ELSE 'unresolved' END AS bucket
+           FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
+
+VIEW_ORACLES["run_report_totals"] = _RUN + """
+SELECT count(*) AS total_instances, count(*) FILTER (WHERE bucket IN ('resolved', 'unresolved')) AS completed_instances,
+  count(*) FILTER (WHERE bucket = 'resolved') AS resolved_instances, count(*) FILTER (WHERE bucket = 'unresolved') AS unresolved_instances,
+  count(*) FILTER (WHERE bucket = 'empty_patch') AS empty_patch_instances, count(*) FILTER (WHERE bucket = 'error') AS error_instances,
+  count(*) FILTER (WHERE bucket = 'incomplete') AS incomplete_instances, (SELECT count(DISTINCT doc_id) FROM labels) AS submitted_instances,
+  2 AS schema_version FROM b"""
+
+VIEW_ORACLES["run_report_ids"] = _RUN + """
+SELECT 'completed_ids' AS list, instance_id FROM b WHERE bucket IN ('resolved', 'unresolved')
+UNION ALL SELECT bucket || '_ids', instance_id FROM b
+UNION ALL SELECT DISTINCT 'submitted_ids', doc_id FROM labels"""
+
+VIEW_ORACLES["collection_totals"] = """
+SELECT count(*) AS total_pulls, count(*) FILTER (WHERE o_orderstatus <> 'P') AS completed,
+  count(*) FILTER (WHERE o_orderstatus <> 'P' AND o_orderkey % 3 <> 0) AS with_tests,
+  count(*) FILTER (WHERE o_orderstatus <> 'P' AND o_orderkey % 7 = 0) AS skipped FROM orders"""
+
+VIEW_ORACLES["import_reach"] = """
+SELECT CAST(s AS VARCHAR) AS corpus_id, 'm' || k || '/f.py' AS file
+FROM (SELECT DISTINCT p_size AS s FROM part), unnest(range(s % 6 + 1)) AS r(k)"""
