@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -73,10 +74,34 @@ def materialize(df, name: str):
 
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    for tables in _SCOPES:
+        tables.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes, at its end, the tables that ``materialize`` wrote inside it. For code that has written its
+    result by then: frames that were made inside and not written cannot be read afterwards."""
+    tables: list[str] = []
+    _SCOPES.append(tables)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(tables)
+        for path in tables:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 _SHIPPED: set[int] = set()
 
 

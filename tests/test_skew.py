@@ -33,3 +33,13 @@ def test_null_groups_and_text_orders(spark):
     got = {(r.g, r.o): (r.sum_before, r.rows_before) for r in running_sum_before(df, ["g"], ["o"], "c").collect()}
     assert got == {(None, "a"): (0, 0), (None, "b"): (2, 1), ("g", None): (0, 0), ("g", "z"): (5, 1), ("g", "é"): (9, 2)}
     assert [r.o for r in split_even(df, ["o", "c"], 5).orderBy("part").collect()] == [None, "a", "b", "z", "é"]
+
+
+def test_scratch_tables_go_with_their_scope(spark, tmpdir_path):
+    from diffloom.session import materialize, path_exists, scratch_scope
+    with scratch_scope(spark):
+        df = materialize(spark.range(5), "scope-test")
+        path = df.inputFiles()[0].rsplit("/", 1)[0]
+        df.write.parquet(f"{tmpdir_path}/out")
+        assert path_exists(spark, path)
+    assert not path_exists(spark, path) and spark.read.parquet(f"{tmpdir_path}/out").count() == 5
