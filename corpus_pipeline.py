@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from diffloom.llm import bpe, mixing, pii, quality_rules, simhash
 from diffloom.llm.common import prepare
-from diffloom.session import checkpoint_dir
+from diffloom.session import checkpoint_dir, delete_path, scratch_scope
 from diffloom.sources.tables import load_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -71,11 +71,15 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over the whole table ``documents``. The tables between them are in the shared
-    checkpoint folder, so a lost executor costs no more than the stage at work."""
+    checkpoint folder, so a lost executor costs no more than the stage at work; what a stage has
+    written for itself, and its input, go when its result is there."""
     folder = os.path.join(checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
-    docs = load_table(spark, sf_dir, "documents")
+    docs, before = load_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = os.path.join(folder, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

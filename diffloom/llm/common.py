@@ -37,7 +37,7 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def fold_of(id_column: str = "doc_id") -> Column:
-    """crc32 of the id as text, modulo 5; rows without an id are in fold 0's complement: -1."""
+    """crc32 of the id as text, modulo 5; -1 for rows without an id, which no fold holds out."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 5, F.lit(-1))
 
 
