@@ -23,7 +23,6 @@ is alone there. Repeated rows get the same component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
