@@ -47,7 +47,7 @@ HEAD_BYTES = 64
 STEP_BYTES = 1 << 20
 #: Distinct words that a task holds before it hands its counts on.
 HELD_WORDS = 100_000
-HELD_STRINGS = 1 << 18
+HELD_STRINGS = 1 << 21
 
 
 def lowered(texts) -> list[bytes]:
@@ -163,16 +163,19 @@ def count_strings(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """(gram, n) over all texts of the one column of ``texts``."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for _, run in steps(lowered(batch.iloc[:, 0]), STEP_BYTES):
-                grams, n = np.unique(strings(run, order)[0], return_counts=True)
-                every, place = np.unique(np.concatenate((held, grams)), return_inverse=True)
-                held, sums = every, np.bincount(place, np.concatenate((sums, n)), len(every)).astype(np.int64)
-                if len(held) >= HELD_STRINGS:
-                    yield pd.DataFrame({"gram": held, "n": sums})
-                    held, sums = held[:0], sums[:0]
-        yield pd.DataFrame({"gram": held, "n": sums})
+                held.append(np.unique(strings(run, order)[0], return_counts=True))
+                if sum(len(grams) for grams, _ in held) >= HELD_STRINGS:
+                    yield _added(held)
+                    held = []
+        if held:
+            yield _added(held)
+
+    def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        grams, place = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+        return pd.DataFrame({"gram": grams, "n": np.bincount(place, np.concatenate([n for _, n in held]), len(grams)).astype(np.int64)})
 
     return texts.mapInPandas(counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -231,12 +234,12 @@ def fit(texts: DataFrame, order: int = ORDER, most: int = MAX_ENTRIES) -> Trie:
 
 
 SCORED = ("row string, doc_id long, held_out boolean, n_tokens long, score double, head_known long, head_score double, "
-          "words array<struct<word:string,n:int>>")
+          "words array<string>, times array<int>")
 
 
 def score(df: DataFrame, trie: Broadcast, head: Broadcast, held_out: Column, id_col: str, text: str) -> DataFrame:
     """One row of ``SCORED`` for each row of ``df``; ``head``: word -> log10 weight of common words;
-    ``words``: the others, with how often."""
+    ``words`` and ``times``: the others, and how often."""
     rows = df.select(F.expr("uuid()").alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                      held_out.alias("held_out"), F.col(text).alias("text"))
 
@@ -249,7 +252,7 @@ def score(df: DataFrame, trie: Broadcast, head: Broadcast, held_out: Column, id_
                 grams, begins = strings(run, model.order)
                 kinds, place = np.unique(grams, return_inverse=True)
                 sums.append(np.add.reduceat(model.score(kinds)[place], begins))
-            n_tokens, known, base, rest = [], [], [], []
+            n_tokens, known, base, rest, times = [], [], [], [], []
             for t in texts:
                 words = t.split()
                 n_tokens.append(len(words) + 1)
@@ -258,10 +261,11 @@ def score(df: DataFrame, trie: Broadcast, head: Broadcast, held_out: Column, id_
                 known.append(len(found))
                 base.append(sum(found))
                 others = Counter(w for w in words if w not in common) if len(found) < len(words) else {}
-                rest.append([{"word": w.decode("utf-8", "surrogatepass"), "n": n} for w, n in others.items()])
+                rest.append([w.decode("utf-8", "surrogatepass") for w in others])
+                times.append(np.fromiter(others.values(), np.int32, len(others)))
             yield pd.DataFrame({"row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "held_out": batch["held_out"],
                                 "n_tokens": n_tokens, "score": np.concatenate(sums), "head_known": known,
-                                "head_score": base, "words": pd.Series(rest, dtype=object)})
+                                "head_score": base, "words": pd.Series(rest, dtype=object), "times": pd.Series(times, dtype=object)})
 
     return rows.mapInPandas(scored, SCORED)
 
@@ -281,7 +285,8 @@ def language_model(df: DataFrame, id_col: str = "doc_id", text: str = "text", he
     common = common.filter(F.col("n") >= least_count(common, head_words)).collect()  # at most HEAD_WORDS short words
     head = context.broadcast({r.word.encode("utf-8", "surrogatepass"): float(np.log10((r.n + 0.5) / whole)) for r in common})
     rows = materialize(score(df, trie, head, held_out, id_col, text), "lm-rows")
-    others = rows.select("row", F.explode("words").alias("w")).select("row", F.col("w.word").alias("word"), F.col("w.n").alias("times"))
+    others = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
+        "row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     joined = others.join(counts, "word", "left").select("row", "times", F.coalesce("n", F.lit(0)).alias("n"))
     weight = F.log10((F.col("n") + 0.5) / F.lit(whole))
     sums = joined.groupBy("row").agg(F.sum(F.col("times") * weight).alias("rest_score"),
