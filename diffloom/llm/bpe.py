@@ -43,7 +43,7 @@ HEAP_SYMBOLS = 96
 LONG_CHARS = 1 << 16
 PIECE_CHARS = 1 << 14
 #: Results that a worker remembers: whole words, windows at joins.
-REMEMBERED_WORDS = 250_000
+REMEMBERED_WORDS = 120_000
 REMEMBERED_WINDOWS = 20_000
 REMEMBERED_CHARS = 64
 

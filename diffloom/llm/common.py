@@ -14,7 +14,7 @@ from diffloom.sources.tables import load_table
 #: Bytes of text that one numpy step works on at once; longer single texts make a step of their own.
 STEP_BYTES = 1 << 20
 #: The rows of one Arrow batch hold at most about so many bytes.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
