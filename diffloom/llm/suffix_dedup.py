@@ -13,8 +13,9 @@ even where others share a part of it. Each suffix meets its neighbours only, nev
 its beginning. Matches of two documents on one diagonal are merged; the words of both texts around
 the merged match are compared to extend it left and right, and the words inside are compared by a
 second hash. Matches of ``MIN_WORDS`` words or more count. A suffix of a shared beginning whose first
-50 words nobody shares may still lie inside a shared passage that begins before it: for each of
-these, the 50-word windows that begin 2, 4, ... 14 words before it are sorted and compared as well.
+50 words nobody shares may still lie inside a shared passage that begins before it: for these, and
+all that share their beginning, the 50-word windows that begin 2, 4, ... 14 words before are sorted
+and compared as well.
 
 So every document with a passage of 51 words or more that another document has is found. The edges
 of a span are those of its matches with neighbours: another document may share a few words more.
@@ -167,12 +168,13 @@ def pairs_of(found: DataFrame, key: str) -> DataFrame:
 
 def matches(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Matches of documents a < b, merged on their diagonal, as (a, b, shift, first, last): the words
-    first .. last + PREFIX of a are those ``shift`` further on in b; and the suffixes (doc, pos)
-    whose beginning is shared but not their first ``MIN_WORDS`` words."""
+    first .. last + PREFIX of a are those ``shift`` further on in b; and the suffixes (doc, pos) with a
+    beginning that some suffix shares without sharing its first ``MIN_WORDS`` words."""
     first = neighbours(rows, "b1", "suffix-prefix")
     shared = first.filter(F.col("kind") == SHARED)
     second = neighbours(shared.filter("whole <> 0"), "whole", "suffix-whole", lone=True)
-    lone = second.filter(F.col("kind") == LONE).select("doc", "pos").union(shared.filter("whole = 0").select("doc", "pos"))
+    lone = second.filter(F.col("kind") == LONE).select("b1").union(shared.filter("whole = 0").select("b1")).distinct()
+    lone = shared.join(lone, "b1", "left_semi").select("doc", "pos")  # with all that share their beginning
     pairs = pairs_of(first, "b1").union(pairs_of(second, "whole")).select("doc", "pos", "doc2", "pos2")
     flip = F.col("doc") > F.col("doc2")
     pairs = pairs.select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b"),
