@@ -24,6 +24,7 @@ import json
 import re
 import unicodedata
 from array import array
+from collections.abc import Callable
 from functools import cached_property
 from itertools import chain, pairwise
 
@@ -292,16 +293,21 @@ def _bpe(file: Broadcast) -> Bpe:
 
 
 def encode(df: DataFrame, file: Broadcast, text: str = "text", long_chars: int = LONG_CHARS,
-           piece_chars: int = PIECE_CHARS, decoded: str | None = None) -> DataFrame:
+           piece_chars: int = PIECE_CHARS, decoded: str | None = None,
+           then: tuple[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """``df`` with the ids of ``text`` as ``ids``; with the name ``decoded``, also what they decode
-    to (a column of that name is replaced), in the same pass over the texts."""
+    to (a column of that name is replaced), in the same pass over the texts.
+
+    ``then``: a name and a function of the struct (ids, text): its result is kept under that name in
+    place of ``ids``. A pandas UDF is applied in the worker that encodes, so ids that only serve to
+    derive something never leave it."""
 
     @F.pandas_udf("ids array<int>, text string")
     def whole(column: pd.Series) -> pd.DataFrame:
         bpe = _bpe(file)
         ids = [bpe.encode(t) for t in column]
         return pd.DataFrame({"ids": pd.Series(ids, dtype=object),
-                             "text": pd.Series([bpe.decode(i) if decoded else None for i in ids], dtype=object)})
+                             "text": pd.Series([bpe.decode(i) if decoded or then else None for i in ids], dtype=object)})
 
     @F.pandas_udf("array<struct<piece:string,open_left:boolean,open_right:boolean>>")
     def pieces_of(column: pd.Series) -> pd.Series:
@@ -320,12 +326,16 @@ def encode(df: DataFrame, file: Broadcast, text: str = "text", long_chars: int =
                  zip(rows["ids"], rows["head"], rows["tail"], rows["one"])]
         return pd.DataFrame({"digest": [key[0]], "ids": [list(_bpe(file).join_all(parts))]})
 
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("ids", decoded)]
+    new = ("ids", decoded) if then is None else (then[0],)
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in new]
     column = F.coalesce(F.col(text), F.lit(""))
     both = fresh(df, "__both")
     back = [F.col(f"{both}.text").alias(decoded)] if decoded else []
-    short = df.filter(F.length(column) <= long_chars).withColumn(both, whole(column)).select(
-        *kept, F.col(f"{both}.ids").alias("ids"), *back)
+    short = df.filter(F.length(column) <= long_chars)
+    if then is None:
+        short = short.withColumn(both, whole(column)).select(*kept, F.col(f"{both}.ids").alias("ids"), *back)
+    else:
+        short = short.select(*kept, then[1](whole(column)).alias(then[0]))
     long = df.filter(F.length(column) > long_chars)
     texts = long.select(F.sha2(F.col(text), 256).alias("digest"), F.col(text).alias("text")).dropDuplicates(["digest"])
     cuts = texts.select("digest", F.posexplode(pieces_of("text")).alias("pos", "p"))
@@ -335,8 +345,11 @@ def encode(df: DataFrame, file: Broadcast, text: str = "text", long_chars: int =
     digest, ids = fresh(df, "__digest"), fresh(df, "__ids")
     back = [decode(F.col(ids), file).alias(decoded)] if decoded else []
     found = (long.withColumn(digest, F.sha2(F.col(text), 256))
-             .join(done.select(F.col("digest").alias(digest), F.col("ids").alias(ids)), digest)
-             .select(*kept, F.col(ids).alias("ids"), *back))
+             .join(done.select(F.col("digest").alias(digest), F.col("ids").alias(ids)), digest))
+    if then is None:
+        found = found.select(*kept, F.col(ids).alias("ids"), *back)
+    else:
+        found = found.select(*kept, then[1](F.struct(F.col(ids).alias("ids"), decode(F.col(ids), file).alias("text"))).alias(then[0]))
     return short.unionByName(found)
 
 

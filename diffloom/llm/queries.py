@@ -7,8 +7,10 @@ the names of results, cannot clash with anything.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +39,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from diffloom.llm import bpe
 
     file = bpe.load(spark, public_tokenizers.path("word_bpe_49k.json"))
-    both = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), file, decoded="decoded")
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digests(coded: pd.DataFrame) -> pd.DataFrame:
+        sha = lambda text: hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+        return pd.DataFrame({"n_tokens": [len(i) for i in coded["ids"]],
+                             "ids_sha256": [sha(" ".join(map(str, i.tolist()))) for i in coded["ids"]],
+                             "decoded_sha256": [sha(t) for t in coded["text"]]})
+
+    found = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), file, then=("d", digests))
+    return found.select("doc_id", "d.*")
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
