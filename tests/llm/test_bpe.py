@@ -72,10 +72,6 @@ def test_pieces(size):
         assert pieced(text, size) == library(text), (text[:40], size)
 
 
-def sized(coded: pd.DataFrame) -> pd.Series:
-    return coded["ids"].map(len) * 1000 + coded["text"].map(len)
-
-
 def test_frame(spark):
     texts = [None, *ODD, "ab c" * 9000, "ab" * 9000, "ab" * 9000, "word " * 9000]
     df = spark.createDataFrame([(i, t, "x", [1]) for i, t in enumerate(texts)],
@@ -91,7 +87,10 @@ def test_frame(spark):
     again = bpe.encode(df, file, long_chars=2000, piece_chars=300, decoded="digest")
     assert again.columns == ["doc_id", "text", "ids", "digest"]
     assert {r.doc_id: (r.ids, r.digest) for r in again.collect()} == {i: (r.ids, r.back) for i, r in rows.items()}
-    size = F.pandas_udf(sized, "long")
+    @F.pandas_udf("long")
+    def size(coded: pd.DataFrame) -> pd.Series:
+        return coded["ids"].map(len) * 1000 + coded["text"].map(len)
+
     sizes = bpe.encode(df, file, long_chars=2000, piece_chars=300, then=("text", size))
     assert {r.doc_id: r.text for r in sizes.collect()} == {i: len(r.ids) * 1000 + len(r.back) for i, r in rows.items()}
     assert bpe.encode(df.limit(0), file).count() == 0
