@@ -10,10 +10,13 @@ have seen everything that longer ones have, what is excluded depends on the cont
 from alone, so whole batches of strings are looked up together. ``adaptive`` scores a text by a
 trie that starts empty and learns from the text as it goes.
 
-Size: the broadcast trie keeps the strings that occur at least ``m`` times, ``m`` being the
-smallest count for which at most ``MAX_ENTRIES`` are kept (16 bytes each); a rarer string simply
-escapes to its shorter context, so every text still gets its whole code length. Counting covers
-all training documents at every size.
+Size: all counts are kept, in a written table, and no string is left out of a score. The
+probability of a string that the training documents have needs its own count and its context's
+alone; the commonest (at most ``HEAD_STRINGS``) are broadcast with it (16 bytes each), and a task
+emits the other strings of each of its rows, once with their number, to be joined with their
+probabilities and summed by row. Strings that no training document has are few and distinct: each
+is joined once with the counts of its shorter contexts. Contexts of at most two bytes, to which
+very many strings lead, come by broadcast there (their number is bounded by the bytes).
 
 The unigram base counts the training documents' words (and one end for each document). The
 commonest (at most ``HEAD_WORDS``, short ones) are broadcast; the occurrences of all the others are
@@ -27,6 +30,7 @@ without an id is a training document. With no training documents all symbols are
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,7 +44,7 @@ from diffloom.llm.common import fold_of, steps, utf8
 from diffloom.session import materialize
 
 ORDER = 5
-MAX_ENTRIES = 1_000_000
+HEAD_STRINGS = 1_000_000
 HEAD_WORDS = 1 << 16
 HEAD_BYTES = 64
 #: Bytes of text whose strings are made at once (some 60 bytes of numpy arrays each).
@@ -214,14 +218,20 @@ def least_count(counts: DataFrame, most: int) -> int:
     return least
 
 
-def fit(texts: DataFrame, order: int = ORDER, most: int = MAX_ENTRIES) -> Trie:
-    """The trie of all texts of the one column of ``texts``, bounded by ``most`` entries."""
+def trie_table(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(k, gram, n): all strings of k context bytes and a symbol, over all texts of the one column of ``texts``."""
     longest = materialize(count_strings(texts, order), "ppm-strings")
     shorter = F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram")) for k in range(order)]))
     every = longest.select(shorter.alias("s"), "n").groupBy("s.k", "s.gram").agg(F.sum("n").alias("n")) if order else \
         longest.limit(0).select(F.lit(0).alias("k"), "gram", "n")
-    every = materialize(every.union(longest.select(F.lit(order).alias("k"), "gram", "n")), "ppm-trie")
+    return materialize(every.union(longest.select(F.lit(order).alias("k"), "gram", "n")), "ppm-trie")
+
+
+def fit(texts: DataFrame, order: int = ORDER, most: int = HEAD_STRINGS) -> Trie:
+    """A trie of the commonest strings, at most ``most``, for use in one process. ``language_model``
+    scores by the whole table instead."""
+    every = trie_table(texts, order)
     kept = every.filter(F.col("n") >= least_count(every, most)).toArrow()  # at most ``most`` rows
     level, gram, n = (kept.column(c).to_numpy() for c in ("k", "gram", "n"))
     keys, counts = [], []
@@ -233,25 +243,94 @@ def fit(texts: DataFrame, order: int = ORDER, most: int = MAX_ENTRIES) -> Trie:
     return Trie(keys, counts)
 
 
-SCORED = ("row string, doc_id long, held_out boolean, n_tokens long, score double, head_known long, head_score double, "
-          "words array<string>, times array<int>")
-
-
-def score(df: DataFrame, trie: Broadcast, head: Broadcast, held_out: Column, id_col: str, text: str) -> DataFrame:
-    """One row of ``SCORED`` for each row of ``df``; ``head``: word -> log10 weight of common words;
-    ``words`` and ``times``: the others, and how often."""
-    rows = df.select(F.expr("uuid()").alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+def _last(column: str, k: str) -> Column:
+    """The last ``k`` bytes of a string."""
+    return F.expr(f"{column} & (shiftleft(1L, 8 * ({k})) - 1)")
+
+
+def contexts(trie: DataFrame) -> DataFrame:
+    """(k, context, own, own_escape, after, after_escape): of each context of ``trie_table`` the log10 of
+    its whole weight and of its escape, and both for the next shorter one after an escape from it."""
+    above = trie.select((F.col("k") + 1).alias("k"), F.col("gram").alias("upper"), F.col("n").alias("above"))
+    entries = trie.withColumn("upper", _last("gram", "k")).join(above, ["k", "upper"], "left")  # at most 256 to one
+    sums = materialize(entries.groupBy("k", F.expr("gram >> 8").alias("context")).agg(
+        F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("above").alias("seen")), "ppm-contexts")
+    parent = sums.select((F.col("k") + 1).alias("k"), F.col("context").alias("upper"),
+                         F.col("total").alias("all_total"), F.col("kinds").alias("all_kinds"))
+    left = F.col("all_kinds") - F.col("kinds")
+    whole = F.col("all_total") - F.col("seen") + left
+    return sums.withColumn("upper", _last("context", "k - 1")).join(parent, ["k", "upper"], "left").select(
+        "k", "context", F.log10(F.col("total") + F.col("kinds")).alias("own"),
+        F.log10(F.col("kinds") / (F.col("total") + F.col("kinds"))).alias("own_escape"),
+        F.when(whole > 0, F.log10(whole)).otherwise(0.0).alias("after"),
+        F.when(whole > 0, F.log10(left / whole)).otherwise(0.0).alias("after_escape"))
+
+
+def unseen(grams: DataFrame, trie: DataFrame, context: DataFrame, order: int) -> DataFrame:
+    """(gram, weight): log10 probability of strings (distinct) that the training documents do not have. Of the
+    longest context that exists comes its escape, of each shorter one the escape after the last, until one has the symbol."""
+    root = trie.filter("k = 0").agg(F.count("*")).first()[0]
+    rest = math.log10(256 - root) if root < 256 else 0.0
+    tagged = "shiftleft(CAST({} AS BIGINT), 56) | {}"  # a level (contexts: from 8) before at most seven bytes
+    empty = [F.lit(None).cast("double").alias(c) for c in ("own", "own_escape", "after", "after_escape")]
+    values = trie.filter(F.col("k") < order).select("k", F.expr(tagged.format("k", "gram")).alias("key"), F.col("n"), *empty).union(
+        context.select("k", F.expr(tagged.format("k + 8", "context")), F.lit(None).cast("long"),
+                       "own", "own_escape", "after", "after_escape"))
+    looked = grams.select("gram", F.explode(F.array(
+        *[F.struct(F.lit(k).alias("k"), F.lit(k << 56).bitwiseOR(F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1)).alias("key"))
+          for k in range(order)],
+        *[F.struct(F.lit(k).alias("k"), F.lit(k + 8 << 56).bitwiseOR(F.expr(f"(gram >> 8) & {(1 << 8 * k) - 1}L")).alias("key"))
+          for k in range(order + 1)])).alias("s")).select("gram", "s.k", "s.key")
+    low = (F.col("k") < 2) | (F.col("k") == 2) & F.expr("key >> 56 = 10")  # at most 65,536 strings and as many contexts
+    found = looked.filter(low).join(F.broadcast(values.filter(low).drop("k")), "key").union(
+        looked.filter(~low).join(values.filter(~low).drop("k"), "key"))
+    levels = found.groupBy("gram").agg(
+        F.max(F.when(F.col("n").isNotNull(), F.struct("k", "n"))).alias("hit"),
+        F.max(F.when(F.col("own").isNotNull(), F.struct("k", "own", "own_escape"))).alias("deep"),
+        F.array_sort(F.collect_list(F.when(F.col("own").isNotNull(), F.struct("k", "after", "after_escape")))).alias("path"))
+    escapes = F.expr("aggregate(filter(path, c -> c.k > coalesce(hit.k, -1) + 1), 0D, (a, c) -> a + c.after_escape)")
+    weight = F.when(F.col("hit.k") == F.col("deep.k"), F.log10("hit.n") - F.col("deep.own")).otherwise(
+        F.col("deep.own_escape") + escapes + F.coalesce(F.log10("hit.n") - F.expr("path[hit.k + 1].after"), F.lit(-rest)))
+    return grams.join(levels.select("gram", weight.alias("weight")), "gram", "left").select(
+        "gram", F.coalesce("weight", F.lit(-rest)).alias("weight"))
+
+
+SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, score double, grams array<long>, gram_times array<int>, "
+          "head_known long, head_score double, words array<string>, times array<int>")
+
+
+def others_of(grams: np.ndarray, begins: np.ndarray, known: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each text its distinct strings that are not ``known``, and how often each is there."""
+    at = np.flatnonzero(~known)
+    text, gram = np.searchsorted(begins, at, "right") - 1, grams[at]
+    by = np.lexsort((gram, text))
+    text, gram = text[by], gram[by]
+    first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (gram[1:] != gram[:-1]))[:len(by)])
+    times = np.diff(np.append(first, len(by))).astype(np.int32)
+    cuts = np.searchsorted(text[first], np.arange(1, len(begins)))
+    return np.split(gram[first], cuts), np.split(times, cuts)
+
+
+def score(df: DataFrame, strong: Broadcast, head: Broadcast, held_out: Column, id_col: str, text: str, order: int) -> DataFrame:
+    """One row of ``SCORED`` for each row of ``df``; ``strong``: common strings, sorted, and their log10
+    probabilities; ``grams`` and ``gram_times``: the others, and how often; ``head``: word -> log10
+    weight of common words; ``words`` and ``times``: the others, and how often."""
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                      held_out.alias("held_out"), F.col(text).alias("text"))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, common = trie.value, head.value
+        (keys, weights), common = strong.value, head.value
         for batch in batches:
             texts = lowered(batch["text"])
-            sums = []
+            sums, grams_of, gram_times = [], [], []
             for _, run in steps(texts, STEP_BYTES):
-                grams, begins = strings(run, model.order)
+                grams, begins = strings(run, order)
                 kinds, place = np.unique(grams, return_inverse=True)
-                sums.append(np.add.reduceat(model.score(kinds)[place], begins))
+                entry = np.minimum(np.searchsorted(keys, kinds), max(0, len(keys) - 1))
+                sure = keys[entry] == kinds if len(keys) else np.zeros(len(kinds), bool)
+                sums.append(np.add.reduceat((np.where(sure, weights[entry], 0.0) if len(keys) else np.zeros(len(kinds)))[place], begins))
+                for held, new in zip((grams_of, gram_times), others_of(grams, begins, sure[place])):
+                    held += new
             n_tokens, known, base, rest, times = [], [], [], [], []
             for t in texts:
                 words = t.split()
@@ -264,27 +343,45 @@ def score(df: DataFrame, trie: Broadcast, head: Broadcast, held_out: Column, id_
                 rest.append([w.decode("utf-8", "surrogatepass") for w in others])
                 times.append(np.fromiter(others.values(), np.int32, len(others)))
             yield pd.DataFrame({"row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "held_out": batch["held_out"],
-                                "n_tokens": n_tokens, "score": np.concatenate(sums), "head_known": known,
+                                "n_tokens": n_tokens, "score": np.concatenate(sums), "grams": pd.Series(grams_of, dtype=object),
+                                "gram_times": pd.Series(gram_times, dtype=object), "head_known": known,
                                 "head_score": base, "words": pd.Series(rest, dtype=object), "times": pd.Series(times, dtype=object)})
 
     return rows.mapInPandas(scored, SCORED)
 
 
 def language_model(df: DataFrame, id_col: str = "doc_id", text: str = "text", held_fold: int = 1, order: int = ORDER,
-                   most: int = MAX_ENTRIES, head_words: int = HEAD_WORDS) -> DataFrame:
+                   most: int = HEAD_STRINGS, head_words: int = HEAD_WORDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``df``;
-    both models learn from the rows whose fold is not ``held_fold``."""
+    both models learn from the rows whose fold is not ``held_fold``. ``most`` strings and ``head_words`` words are
+    broadcast at most; the result is the same whatever they are."""
     context = df.sparkSession.sparkContext
     held_out = fold_of(id_col) == held_fold
     train = df.filter(~held_out).select(text)
-    trie = context.broadcast(fit(train, order, most))
+    trie = trie_table(train, order)
+    above = contexts(trie)
+    longest = materialize(
+        trie.filter(F.col("k") == order).withColumn("context", F.expr("gram >> 8")).join(
+            above.filter(F.col("k") == order).select("context", "own"), "context").select(
+            "gram", "n", (F.log10("n") - F.col("own")).alias("weight")), "ppm-weights")
+    least = least_count(longest, most)
+    kept = longest.filter(F.col("n") >= least).select("gram", "weight").toArrow()  # at most ``most`` rows
+    keys, weights = (kept.column(c).to_numpy() for c in ("gram", "weight"))
+    by = np.argsort(keys)
+    strong = context.broadcast((keys[by], weights[by]))
     counts = materialize(count_words(train), "unigrams")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     whole = n + 0.5 * (v + 1)
     common = counts.filter(F.octet_length("word") <= HEAD_BYTES)
     common = common.filter(F.col("n") >= least_count(common, head_words)).collect()  # at most HEAD_WORDS short words
     head = context.broadcast({r.word.encode("utf-8", "surrogatepass"): float(np.log10((r.n + 0.5) / whole)) for r in common})
-    rows = materialize(score(df, trie, head, held_out, id_col, text), "lm-rows")
+    rows = materialize(score(df, strong, head, held_out, id_col, text, order), "lm-rows")
+    pairs = rows.select("row", "held_out", F.explode(F.arrays_zip("grams", "gram_times")).alias("g")).select(
+        "row", "held_out", F.col("g.grams").alias("gram"), F.col("g.gram_times").alias("times"))
+    fresh_grams = pairs.filter("held_out").select("gram").distinct().join(longest.select("gram"), "gram", "left_anti")
+    fresh_grams = materialize(fresh_grams, "ppm-fresh")
+    known = longest.filter(F.col("n") < least).select("gram", "weight").union(unseen(fresh_grams, trie, above, order))
+    strings_of = pairs.join(known, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("weight")).alias("rest_strings"))
     others = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
         "row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     joined = others.join(counts, "word", "left").select("row", "times", F.coalesce("n", F.lit(0)).alias("n"))
@@ -292,7 +389,8 @@ def language_model(df: DataFrame, id_col: str = "doc_id", text: str = "text", he
     sums = joined.groupBy("row").agg(F.sum(F.col("times") * weight).alias("rest_score"),
                                      F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rest_known"))
     zero = F.lit(0)
-    return rows.join(sums, "row", "left").select(
+    return rows.join(sums, "row", "left").join(strings_of, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("head_known") + F.coalesce("rest_known", zero)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("head_score") + F.coalesce("rest_score", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("head_score") + F.coalesce("rest_score", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("rest_strings", F.lit(0.0))).alias("score"))

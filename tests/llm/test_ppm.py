@@ -137,6 +137,15 @@ def test_bounded_trie_still_scores_everything(spark):
         assert np.isin(small.keys[k] & ((1 << 8 * k) - 1), small.keys[k - 1]).all()
 
 
+def test_every_count_is_used_whatever_is_broadcast(spark):
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice(["abc", "ab", "ca", " ", "é", "x", f"{i}"]) for _ in range(rng.randint(0, 40)))) for i in range(60)]
+    rows += [(100 + i, "new " + "".join(rng.choice("abqzw ") for _ in range(30))) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for order, most in ((5, 40), (5, 0), (3, 40), (0, 3)):
+        same(rows_of(ppm.language_model(df, order=order, most=most)), expected(rows, order))
+
+
 def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60).collect()]
     df = spark.createDataFrame(rows, "doc_id long, text string")
