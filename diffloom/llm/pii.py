@@ -1,17 +1,19 @@
 """Personal data by base patterns and a semi-Markov conditional random field.
 
 The base finds e-mail addresses, IP addresses, card numbers and phone numbers by fixed patterns.
-The field then reads the neighbourhood of every digit and ``@`` as a row of chunks (white space
-and ``"'=:;,<>`` part them). A candidate segment is one to ``MAX_CHUNKS`` neighbouring chunks;
+The field then reads the neighbourhood of every digit and ``@``, and of every value after a cue such
+as ``password=``, as a row of chunks (white space and ``"'=:;,<>`` part them). A chunk with neither
+digit nor ``@`` is a candidate directly behind a cue only. A candidate segment is one to ``MAX_CHUNKS`` neighbouring chunks;
 features of the whole segment (its shape, counts, check digit, the word before it) score it as
-each kind, and dynamic programming over segments of bounded length chooses boundaries and kinds
+each kind, and dynamic programming over segments of so many chunks, each of any length, chooses boundaries and kinds
 of the whole neighbourhood together. Besides the base kinds it knows ``secret`` (passwords,
 tokens, keys). Segments that touch no base span are added to the base spans, which all stay.
 
 The weights are learned here, by maximum likelihood with forward-backward sums, from a bounded
-sample of ``SAMPLE_DOCUMENTS`` documents with digits: segments that a base pattern matches when they
+sample of ``SAMPLE_DOCUMENTS`` documents with digits, ``@`` or cues: segments that a base pattern matches when they
 stand alone, and values after an unmistakable cue, are the labels; the features that repeat the base patterns and the cues are
-left out of every other training example, so that shapes count as well.
+left out of every other training example, so that shapes count as well. Values after a cue serve a
+second time with letters for their digits, so that a secret need not have a digit.
 
 All is decided inside one row. Nulls and empty texts have no spans. Equal rows get equal spans.
 Texts are read whole, in time linear in their length.
@@ -35,7 +37,7 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 ORDER = {k: n for n, k in enumerate(KINDS)}
 #: A segment is at most so many chunks.
 MAX_CHUNKS = 6
-#: Chunks of context on either side of one with a digit or an ``@``.
+#: Chunks of context on either side of one with a digit or an ``@``, or behind a cue.
 CONTEXT = 2
 SAMPLE_DOCUMENTS = 1500
 #: A segment must beat leaving its chunks alone by so much (log odds).
@@ -97,14 +99,12 @@ def base_spans(text: str) -> list[Span]:
 
 _BREAK = re.compile(r"""[\s"'=:;,<>]+""")
 _WORD_BEFORE = re.compile(r"[^\W\d_]{1,20}$")
-_CUE = re.compile(r"""(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s*[=:]\s*["']?$""")
+_CUE_WORDS = r"""(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s*+[=:]"""
+_CUE = re.compile(_CUE_WORDS + r"""\s*+["']?""")
 _CUES = {"pass": "password passwd pwd token secret key apikey", "tel": "phone tel call fax mobile",
          "card": "card visa credit", "net": "ip host server", "mail": "mail email"}
 _CUE_OF = {w: c for c, ws in _CUES.items() for w in ws.split()}
 _HEX = re.compile("(?=.*[0-9])[0-9a-f]+|(?=.*[0-9])[0-9A-F]+")
-#: Longer chunks are no candidates (no kind is that long), so a long run costs no more than its scan.
-MAX_CHARS = 128
-
 
 @dataclass
 class Hood:
@@ -115,16 +115,34 @@ class Hood:
     features: np.ndarray
 
 
+def _cued(text: str) -> list[int]:
+    """Where the values after cues begin."""
+    return [m.end() for m in _CUE.finditer(text) if m.end() < len(text) and not _BREAK.match(text[m.end()])]
+
+
 def _chunks(text: str) -> list[list[tuple[int, int]]]:
-    """Neighbourhoods of the chunks with a digit or an ``@``, each a list of chunk spans."""
+    """Neighbourhoods of the chunks with a digit or an ``@`` or behind a cue, each a list of chunk spans."""
     hoods: list[list[tuple[int, int]]] = []
-    m = _ANY.search(text)
-    while m:
-        begin = m.start()
+    cued = _cued(text)
+    passed, digit = 0, _ANY.search(text)
+
+    def following(at: int) -> int:
+        """The first place from ``at`` on that a neighbourhood is read around, or -1."""
+        nonlocal passed, digit
+        if digit and digit.start() < at:
+            digit = _ANY.search(text, at)
+        while passed < len(cued) and cued[passed] < at:
+            passed += 1
+        places = [m.start() for m in [digit] if m] + cued[passed:passed + 1]
+        return min(places, default=-1)
+
+    place = following(0)
+    while place >= 0:
+        begin = place
         floor = hoods[-1][-1][1] if hoods else 0
         while begin > floor and not _BREAK.match(text[begin - 1]):
             begin -= 1
-        stop = _BREAK.search(text, m.end())
+        stop = _BREAK.search(text, place)
         end = stop.start() if stop else len(text)
         before, at, near = [], begin, False
         while len(before) < CONTEXT:
@@ -132,7 +150,7 @@ def _chunks(text: str) -> list[list[tuple[int, int]]]:
             while edge > floor and _BREAK.match(text[edge - 1]):
                 edge -= 1
             left = edge
-            while left > floor and edge - left <= MAX_CHARS and not _BREAK.match(text[left - 1]):
+            while left > floor and not _BREAK.match(text[left - 1]):
                 left -= 1
             if left == edge:
                 near = bool(hoods)  # nothing but the gap lies between
@@ -145,15 +163,15 @@ def _chunks(text: str) -> list[list[tuple[int, int]]]:
         else:
             hoods.append(own)
         after = hoods[-1]
-        m = _ANY.search(text, end)
+        place = following(end)
         at = end
         for _ in range(CONTEXT):
             gap = _BREAK.match(text, at)
-            if not gap or gap.end() >= len(text) or m and gap.end() > m.start():
+            if not gap or gap.end() >= len(text) or 0 <= place < gap.end():
                 break
             stop = _BREAK.search(text, gap.end())
             right = stop.start() if stop else len(text)
-            if m and right > m.start():
+            if 0 <= place < right:
                 break
             after.append((gap.end(), right))
             at = right
@@ -229,20 +247,21 @@ def _features(text: str, begin: int, end: int, n_chunks: int) -> list[str]:
 
 
 def hoods_of(text: str) -> list[Hood]:
-    out = []
+    out, cued = [], set(_cued(text))
     for chunks in _chunks(text):
         segments, rows = [], []
         for i in range(len(chunks)):
             for j in range(i, min(i + MAX_CHUNKS, len(chunks))):
                 begin, end = _trim(text, chunks[i][0], chunks[j][1])
-                if end - begin < 4 or end - begin > MAX_CHARS:
+                if end - begin < 4:
                     continue
-                if not _ANY.search(text, begin, end) or j > i and not (
+                behind = chunks[i][0] in cued
+                if not _ANY.search(text, begin, end) and not (behind and j == i) or j > i and not (
                         _ANY.search(text, *chunks[i]) and _ANY.search(text, *chunks[j])):
                     continue
                 names = _features(text, begin, end, j - i + 1)
                 names += [f"like {k}" for a, b, k in base_spans(text[begin:end]) if b - a == end - begin]
-                if _CUE.search(text[max(0, begin - 24):begin]) and end - begin >= 8:
+                if behind and end - begin >= 8:
                     names.append("cue given")
                 row = np.zeros(len(FEATURES))
                 row[[_AT[f] for f in names]] = 1.0
@@ -346,11 +365,29 @@ def gold_reading(hood: Hood) -> list[tuple[int, int]]:
     return out
 
 
+_AS_LETTERS = str.maketrans("0123456789@", "abcdefghija")
+
+
+def _lettered(text: str) -> str:
+    """The text with letters in place of the digits of values after cues: secrets without a digit, which are rare
+    in the sample, to learn from."""
+    out, at = [], 0
+    for begin in _cued(text):
+        if begin >= at:
+            stop = _BREAK.search(text, begin)
+            end = stop.start() if stop else len(text)
+            out += [text[at:begin], text[begin:end].translate(_AS_LETTERS)]
+            at = end
+    return "".join([*out, text[at:]])
+
+
 def train(texts: list[str], least_steps: int = 10_000, rate: float = 0.3, decay: float = 1e-3, seed: int = 7) -> Field:
     """Maximum likelihood by stochastic gradient steps (AdaGrad) over the texts' neighbourhoods, in as
     many whole passes as make ``least_steps``."""
     field = Field(np.zeros((len(FEATURES), OUT)), np.zeros((OUT + 1, OUT + 1)))
     examples = [(h, gold_reading(h)) for t in texts for h in hoods_of(t) if len(h.chunks) <= 40]
+    plain = [(h, gold_reading(h)) for t in texts if _CUE.search(t) for h in hoods_of(_lettered(t)) if len(h.chunks) <= 40]
+    examples += [(h, gold) for h, gold in plain if any(h.features[s, _AT["letters only around"]] for s, _ in gold)]
     rng = np.random.default_rng(seed)
     sums = [np.full_like(field.weights, 1e-2), np.full_like(field.follow, 1e-2)]
     for _ in range(-(-least_steps // max(1, len(examples)))):
@@ -368,9 +405,9 @@ def train(texts: list[str], least_steps: int = 10_000, rate: float = 0.3, decay:
 
 
 def sample_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = SAMPLE_DOCUMENTS) -> list[str]:
-    """About ``n`` texts with digits or an ``@``, chosen by a hash of id and length, never more than
+    """About ``n`` texts with digits, an ``@`` or a cue, chosen by a hash of id and length, never more than
     2 ``n``: the bounded sample that the field is fitted to. The first pass only counts them."""
-    rows = df.filter(F.col(text).rlike("[0-9@]") & (F.length(text) <= 20_000)).select(
+    rows = df.filter(F.col(text).rlike(f"[0-9@]|{_CUE_WORDS}") & (F.length(text) <= 20_000)).select(
         F.xxhash64(F.col(id_col), F.length(text)).alias("h"), F.col(text).alias("t"))
     count = max(1, rows.count())
     share = min(1.0, n / count)
@@ -386,7 +423,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = SAMP
 def find(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), each by start, then kind as listed."""
     base = base_spans(text)
-    if not _ANY.search(text):
+    if not _ANY.search(text) and not _CUE.search(text):
         return base, base
     added = []
     for hood in hoods_of(text):

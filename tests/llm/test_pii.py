@@ -70,6 +70,21 @@ def test_field_adds_what_the_patterns_miss(spark):
     assert pii.redact(text, every).count("[") == len(every)
 
 
+def test_secrets_of_any_length_and_of_letters_only(spark):
+    field = pii.fit(spark.read.parquet(f"{SF}/documents.parquet")).value
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    token = "".join(rng.choice(letters + "0123456789") for _ in range(400))
+    for secret in (token, f"{token[:36]}.{token[36:300]}.{token[300:]}", "correcthorsebattery", "sunshine"):
+        for text in (f"then use token={secret} of the page", f"password={secret}", f'12 pages, "secret": "{secret}", end'):
+            base, every = pii.find(text, field)
+            assert ("secret", secret) in {(k, text[a:b]) for a, b, k in every}, text
+            assert secret not in pii.redact(text, every)
+    assert pii.find("plain words about a password or a token and correcthorsebattery", field)[1] == []
+    for text in ("token=" + "x" * 300_000, "token " * 50_000, "token=a " * 20_000, "token" + " " * 300_000):
+        pii._chunks(text)
+
+
 def test_best_reading_is_the_best_of_all():
     """Dynamic programming against all readings of small neighbourhoods; expected counts against sums over them."""
     import itertools
