@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: each applies its operator, with production
+"""The registered queries of the operators: each applies its operator, with production
 parameters, to its whole table and derives the contract's columns from the operator's output.
 
 Each query's columns of documents are the id and the text, so extra columns, and columns with
@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from diffloom.llm.common import documents, fold_of
+from diffloom.llm.common import documents, fold_of, prepare
 from diffloom.session import materialize, scratch_path
 from diffloom.sources.tables import load_table
 
@@ -102,3 +102,32 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from diffloom.llm.suffix_dedup import repeated_spans
 
     return repeated_spans(documents(spark, sf_dir))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm import conversation_repair as C
+
+    prepare(spark)
+    table = load_table(spark, sf_dir, "conversations")
+    rows = C.damaged(table)
+    report = materialize(C.repair(rows), "conversation-report")
+    sha = C.digests(rows, report).withColumnRenamed("conv", "sha_conv")
+    found = report.join(sha, F.col("conv").eqNullSafe(F.col("sha_conv")))
+    every = table.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm import spelling as S
+
+    words = materialize(S.word_counts(documents(spark, sf_dir), change=S.typo), "spelling-words")
+    return S.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from diffloom.llm.ngram_join import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir))
