@@ -16,7 +16,8 @@ word shares all grams but so many, at the same distance from the start or from t
 of its ``g - b + 1`` rarest with it, so only these lists are kept for it and joined by (gram, place).
 Where a short word has ``b = 0``, all its grams are kept; two such words are compared again with a
 dictionary of shorter grams. With ``longest`` 3 every word of 7 characters has ``b >= 1``, so no
-pair is lost. Pairs are verified where they meet, by their edit distance, and counted once.
+pair is lost. Pairs are verified where they meet, by a bitmap of neighbouring characters that all near words
+pass and then by their edit distance, and counted once.
 
 Only distinct words are joined. Links from words to their forms are followed by pointer doubling in
 rounds that are written to the shared checkpoint folder; a form is at least ``TIMES`` times as
@@ -152,7 +153,16 @@ def kept_grams(word: str, frequent: dict[str, int], endings: set[str], longest:
     return [g for g in grams if rarity(g) <= last], bound
 
 
-POSTINGS = "gram string, side string, place int, word string, size int, n long, short boolean"
+def bigram_bits(word: str) -> int:
+    """A bit for each pair of neighbours, by hash, as a signed long. An edit takes two pairs away at most
+    and adds two, so near words differ in four bits at most."""
+    bits = 0
+    for x, y in zip(word, word[1:]):
+        bits |= 1 << ((ord(x) * 0x9E3779B1 ^ ord(y) * 0x85EBCA6B) >> 7 & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+POSTINGS = "gram string, side string, place int, word string, size int, bits long, n long, short boolean"
 
 
 def postings(words: DataFrame, frequent: dict[str, int], longest: int) -> DataFrame:
@@ -168,11 +178,11 @@ def postings(words: DataFrame, frequent: dict[str, int], longest: int) -> DataFr
             rows = []
             for word, n in zip(batch["word"].tolist(), batch["n"].tolist()):
                 grams, bound = kept_grams(word, known, endings, longest)
-                size, short = len(word), bound < 1
+                own = (word, len(word), bigram_bits(word), n, bound < 1)
                 for p, e in grams:
-                    rows.append((word[p:e], "start", p, word, size, n, short))
-                    rows.append((word[p:e], "end", size - p, word, size, n, short))
-            yield pd.DataFrame(rows, columns=["gram", "side", "place", "word", "size", "n", "short"])
+                    rows.append((word[p:e], "start", p, *own))
+                    rows.append((word[p:e], "end", len(word) - p, *own))
+            yield pd.DataFrame(rows, columns=["gram", "side", "place", "word", "size", "bits", "n", "short"])
 
     return words.select("word", "n").mapInPandas(listed, POSTINGS)
 
@@ -183,12 +193,12 @@ def near_pairs(words: DataFrame, longest: tuple[int, ...] = LONGEST, least: int
     found, left = None, words
     for k, q in enumerate(longest):
         lists = materialize(postings(left, frequent, q), "spelling-lists")
-        a = lists.select("gram", "side", "place", *[F.col(c).alias(f"a_{c}") for c in ("word", "size", "n")])
-        b = lists.select("gram", "side", "place", *[F.col(c).alias(f"b_{c}") for c in ("word", "size", "n")])
+        a = lists.select("gram", "side", "place", *[F.col(c).alias(f"a_{c}") for c in ("word", "size", "bits", "n")])
+        b = lists.select("gram", "side", "place", *[F.col(c).alias(f"b_{c}") for c in ("word", "size", "bits", "n")])
         near = (a.join(b, ["gram", "side", "place"])
                 .filter((F.col("a_word") < F.col("b_word")) & (F.abs(F.col("a_size") - F.col("b_size")) <= 1)
                         & ((F.col("side") == "start") | (F.col("a_size") != F.col("b_size")))
-                        & (F.levenshtein("a_word", "b_word", 1) == 1))
+                        & (F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) <= 4) & (F.levenshtein("a_word", "b_word", 1) == 1))
                 .select(F.col("a_word").alias("a"), F.col("a_n"), F.col("b_word").alias("b"), F.col("b_n")))
         found = near if found is None else found.union(near)
         left = lists.filter("short").select("word", "n").distinct()
