@@ -9,16 +9,17 @@ lists of two classes or more are kept.
 
 To find what is connected, not every pair of a large group of near copies is needed:
 
-1. each class is verified against the class it shares most lists with among the lists' smallest
-   classes, and the links are contracted to components;
-2. in every list, all pairs of classes of *different* components are candidates. Classes outside a list's
-   main component are joined with the list, so a group of ``k`` copies with ``r`` others takes ``r * k`` rows.
-   Sizes are compared (length filter), shared prefix shingles are added up for each pair and bound the overlap by
-   what follows the last of them (positional filter), and the rest of both sets is compared by
-   counts in ``PARTS`` hash ranges (suffix filter). What is left is verified, once for each pair.
-
-A pair that is not a candidate is in one component already or cannot link. Texts are read again for
-the classes that are verified, and shuffled once a step; their sets are compared as arrays.
+1. ``ROUNDS`` times, every list is joined with ``LEADERS`` of its classes: pairs of different components are
+   verified and contracted to components. A list of ``k`` classes takes ``LEADERS * k`` rows.
+2. Then, in every list, all pairs of classes that are still of *different* components are candidates. Classes outside a
+   list's main component are joined with the list, so a group of ``k`` copies with ``r`` others takes ``r * k`` rows.
+
+In both, sizes are compared (length filter), shared prefix shingles are added up for each pair and bound the overlap by
+what follows the last of them (positional filter), and the rest of both sets is compared by counts in ``PARTS`` hash
+ranges (suffix filter). What is left is verified, once for each pair. In step 1 a pair may also share lists
+without meeting there; the bounds add as many as either class has longer lists than leaders. A pair that is no
+candidate in step 2 was verified, is in one component already or cannot link. Texts are read again for the classes that are verified, whose ids are
+broadcast up to ``BROADCAST_IDS`` of them and joined by a shuffle beyond; their sets are compared as arrays.
 
 Documents without text or words have an empty set and link with nothing; documents of fewer than three
 words have one shingle, all their words. Rows of a null id keep their size; a null id is
@@ -49,6 +50,11 @@ SKETCH_BITS = 20
 CHUNK = 4096
 #: Hash ranges of the suffix filter.
 PARTS = 32
+#: Classes of each list that all others of the list are paired with, and how often.
+LEADERS = 8
+ROUNDS = 1
+#: More ids than these are joined by a shuffle (8 bytes each).
+BROADCAST_IDS = 1_000_000
 
 
 def shingle_sets(texts: list[bytes], n: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -152,20 +158,20 @@ def _prefixes(rows: DataFrame, counters, percent: int) -> DataFrame:
     return rows.select("text").mapInArrow(listed, "token long, cls binary, size int, pos int")
 
 
-def _sets(text: Column, counters, percent: int) -> Column:
-    """A struct (cls, tokens, rest): the set, and its counts behind the prefix by hash range."""
+def _sets(rows: DataFrame, counters, percent: int) -> DataFrame:
+    """(cls, tokens, rest): the sets, and their counts behind the prefix by hash range."""
 
-    @F.pandas_udf("cls binary, tokens array<long>, rest array<int>")
-    def made(column: pd.Series) -> pd.DataFrame:
-        names, tokens, rest = [], [], []
-        for s in _sets_of(column):
-            names.append(class_of(s))
-            tokens.append(s.view(np.int64))
-            behind = rare_first(s, counters.value)[prefix_length(len(s), percent):] if len(s) else s
-            rest.append(np.bincount((behind % np.uint64(PARTS)).astype(np.int64), minlength=PARTS).astype(np.int32))
-        return pd.DataFrame({"cls": names, "tokens": tokens, "rest": rest})
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            names, tokens, rest = [], [], []
+            for s in _sets_of(batch["text"]):
+                names.append(class_of(s))
+                tokens.append(s.view(np.int64))
+                behind = rare_first(s, counters.value)[prefix_length(len(s), percent):] if len(s) else s
+                rest.append(np.bincount((behind % np.uint64(PARTS)).astype(np.int64), minlength=PARTS).astype(np.int32))
+            yield pd.DataFrame({"cls": names, "tokens": tokens, "rest": rest})
 
-    return made(text)
+    return rows.select("text").mapInPandas(made, "cls binary, tokens array<long>, rest array<int>")
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -173,29 +179,41 @@ def _fits(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _needed(percent: int) -> Column:
-    """The least intersection of two linked sets of sizes a_size and b_size."""
-    return F.ceil(percent * (F.col("a_size") + F.col("b_size")) / (100 + percent))
+def _needed(percent: int, a: str = "a_size", b: str = "b_size") -> Column:
+    """The least intersection of two linked sets of these sizes."""
+    return F.ceil(percent * (F.col(a) + F.col(b)) / (100 + percent))
+
+
+def _in_reach(percent: int) -> Column:
+    """Positional filter where two rows meet: no more is shared before the shingle than either has before it, and
+    no more from it on than either has left. A pair that fails at one shingle cannot link."""
+    before = F.least("x_pos", "y_pos")
+    left = F.least(F.col("x_size") - F.col("x_pos"), F.col("y_size") - F.col("y_pos"))
+    return before + left >= _needed(percent, "x_size", "y_size")
 
 
-def _fetch(pairs: DataFrame, rows: DataFrame, classes: DataFrame, counters, percent: int) -> DataFrame:
-    """(cls, tokens, rest) of the classes in ``pairs``: texts are found by the classes' smallest ids."""
+def _fetch(pairs: DataFrame, rows: DataFrame, classes: DataFrame, counters, percent: int, known: DataFrame | None) -> DataFrame:
+    """(cls, tokens, rest) of the classes in ``pairs``, those of ``known`` among them: texts are found by the classes' smallest ids."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    ids = classes.join(wanted, "cls", "left_semi").select("cls", "rep")
-    texts = rows.join(ids.select("rep").distinct(), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
-    sets = texts.select(_sets(F.col("text"), counters, percent).alias("s")).select("s.*")
-    return materialize(sets.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "ngram-sets")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int, filtered: bool) -> DataFrame:
-    """(a, b, linked) of the pairs that the suffix filter leaves (``filtered``), each compared once."""
-    if filtered:
-        rest = sets.select("cls", "rest")
-        pairs = (pairs.join(rest.select(F.col("cls").alias("a"), F.col("rest").alias("a_rest")), "a")
-                 .join(rest.select(F.col("cls").alias("b"), F.col("rest").alias("b_rest")), "b"))
-        common = F.aggregate(F.zip_with("a_rest", "b_rest", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-        at_most = F.col("shared") + F.col("a_left") + F.col("b_left") + common
-        pairs = pairs.filter(at_most >= _needed(percent)).select("a", "b", "a_size", "b_size")
+    if known is not None:
+        wanted = wanted.join(known.select("cls"), "cls", "left_anti")
+    wanted = materialize(classes.join(wanted, "cls", "left_semi").select("cls", "rep"), "ngram-wanted")
+    ids = wanted.select("rep").distinct()
+    ids = F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids
+    texts = rows.join(ids, F.col("id").eqNullSafe(F.col("rep")), "left_semi")
+    found = _sets(texts, counters, percent).join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    found = materialize(found, "ngram-sets")
+    return found if known is None else known.union(found)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked) of the pairs that the suffix filter leaves, each compared once."""
+    rest = sets.select("cls", "rest")
+    pairs = (pairs.join(rest.select(F.col("cls").alias("a"), F.col("rest").alias("a_rest")), "a")
+             .join(rest.select(F.col("cls").alias("b"), F.col("rest").alias("b_rest")), "b"))
+    common = F.aggregate(F.zip_with("a_rest", "b_rest", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    at_most = F.col("shared") + F.col("a_left") + F.col("b_left") + common
+    pairs = pairs.filter(at_most >= _needed(percent)).select("a", "b", "a_size", "b_size")
     both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("a_tokens")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("b_tokens")), "b"))
     same = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -203,31 +221,51 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, filtered: bool) -
         "a", "b", (100 * F.col("same") >= percent * (F.col("a_size") + F.col("b_size") - F.col("same"))).alias("linked"))
 
 
-def _leaders(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b, a_size, b_size): each class with the list leader it shares most lists with."""
-    with_leader = lists.filter((F.col("leader.cls") != F.col("cls")) & _fits("leader.size", "size", percent))
-    shared = with_leader.groupBy("cls", "size", "leader").agg(F.count("*").alias("n"))
-    best = shared.groupBy("cls", "size").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
-    return best.select(F.col("leader.cls").alias("a"), F.col("cls").alias("b"), F.col("leader.size").alias("a_size"), F.col("size").alias("b_size"))
-
-
-def _across(lists: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of classes in different components, with their shared prefix shingles and what is left behind the last."""
+def _across(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """The lists with classes of more than one component; ``main`` is the one most of a list belong to."""
+    if comps is None:
+        return lists.withColumn("comp", F.col("cls")).withColumn("main", F.lit(None).cast("binary"))
     owned = lists.join(comps, lists["cls"] == comps["node"], "left").select(
-        "token", "cls", "size", "pos", F.coalesce("component", "cls").alias("comp"))
+        "token", "cls", "size", "pos", "long", "known", F.coalesce("component", "cls").alias("comp"))
     in_list = Window.partitionBy("token")
     owned = (owned.withColumn("main", F.mode("comp").over(in_list)).withColumn("low", F.min("comp").over(in_list))
              .withColumn("high", F.max("comp").over(in_list)).filter("low <> high").drop("low", "high"))
-    owned = materialize(owned, "ngram-across")
-    side = lambda p: owned.select("token", "main", *[F.col(c).alias(f"{p}_{c}") for c in ("cls", "size", "pos", "comp")])
-    x, y = side("x").filter("x_comp <> main").drop("main"), side("y")
-    met = x.join(y, "token").filter((F.col("x_comp") != F.col("y_comp")) & _fits("x_size", "y_size", percent)
+    return materialize(owned, "ngram-across")
+
+
+def _side(lists: DataFrame, p: str, *more: str) -> DataFrame:
+    return lists.select("token", *more, *[F.col(c).alias(f"{p}_{c}") for c in ("cls", "size", "pos", "comp", "long")])
+
+
+def _with_leaders(lists: DataFrame, seed: int, percent: int) -> DataFrame:
+    """The rows of each list beside its leaders of other components; two leaders meet once. Leaders are, at first, the
+    classes with the largest share of their set in lists (those most like others), later any by hash."""
+    central = [(F.col("known") / F.col("size")).desc()] if seed == 0 else []
+    order = Window.partitionBy("token").orderBy(*central, F.xxhash64("cls", F.lit(seed)), "cls")
+    ranked = lists.withColumn("k", F.row_number().over(order))
+    met = _side(ranked.filter(F.col("k") <= LEADERS), "x").join(_side(ranked, "y", "k"), "token")
+    met = met.filter((F.col("x_comp") != F.col("y_comp")) & _fits("x_size", "y_size", percent) & _in_reach(percent)
+                     & ((F.col("k") > LEADERS) | (F.col("x_cls") < F.col("y_cls"))))
+    # a pair may share lists in which neither is a leader: no more than either has long ones
+    return _pairs(met.withColumn("unseen", F.least("x_long", "y_long")), percent)
+
+
+def _with_all(lists: DataFrame, percent: int) -> DataFrame:
+    """The rows outside a list's main component beside all of other components, each pair of rows once."""
+    x, y = _side(lists.filter("comp <> main"), "x"), _side(lists, "y", "main")
+    met = x.join(y, "token").filter((F.col("x_comp") != F.col("y_comp")) & _fits("x_size", "y_size", percent) & _in_reach(percent)
                                     & ((F.col("y_comp") == F.col("main")) | (F.col("x_cls") < F.col("y_cls"))))
+    return _pairs(met.withColumn("unseen", F.lit(0)), percent)
+
+
+def _pairs(met: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs with their shared prefix shingles (``unseen`` lists counted as shared) and what is left of the
+    prefixes behind the last, by the positional filter."""
     swap = F.col("x_cls") > F.col("y_cls")
     pick = lambda c, one, other: F.when(swap, F.col(f"{other}_{c}")).otherwise(F.col(f"{one}_{c}"))
     met = met.select(pick("cls", "x", "y").alias("a"), pick("cls", "y", "x").alias("b"), pick("size", "x", "y").alias("a_size"),
-                     pick("size", "y", "x").alias("b_size"), pick("pos", "x", "y").alias("a_pos"), pick("pos", "y", "x").alias("b_pos"))
-    pairs = met.groupBy("a", "b", "a_size", "b_size").agg(F.count("*").alias("shared"), F.max("a_pos").alias("a_pos"), F.max("b_pos").alias("b_pos"))
+                     pick("size", "y", "x").alias("b_size"), pick("pos", "x", "y").alias("a_pos"), pick("pos", "y", "x").alias("b_pos"), "unseen")
+    pairs = met.groupBy("a", "b", "a_size", "b_size").agg((F.count("*") + F.max("unseen")).alias("shared"), F.max("a_pos").alias("a_pos"), F.max("b_pos").alias("b_pos"))
     behind = F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos")) - 1
     pairs = pairs.filter(F.col("shared") + behind >= _needed(percent))
     prefix = lambda s: F.col(s) - F.ceil(percent * F.col(s) / 100) + 1
@@ -255,18 +293,24 @@ def links(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: in
     counters = _counters(spark, counted)
     in_list = Window.partitionBy("token")
     lists = _prefixes(rows, counters, percent).repartition("token").groupBy("token", "cls").agg(F.min("size").alias("size"), F.min("pos").alias("pos"))
-    lists = (lists.withColumn("k", F.count("*").over(in_list)).withColumn("leader", F.min(F.struct("cls", "size")).over(in_list))
-             .filter("k > 1").drop("k"))
-    lists = materialize(lists, "ngram-lists")
-    led = materialize(_leaders(lists, percent), "ngram-led")
-    checked = materialize(_verified(led, _fetch(led, rows, classes, counters, percent), percent, False), "ngram-checked")
-    first = checked.filter("linked").select("a", "b")
-    pairs = _across(lists, components(first), percent)
-    known = checked.select("a", "b")
-    pairs = materialize(pairs.join(known, ["a", "b"], "left_anti"), "ngram-pairs")
-    second = _verified(pairs, _fetch(pairs, rows, classes, counters, percent), percent, True)
-    second = materialize(second.filter("linked").select("a", "b"), "ngram-links")
-    return members, first.union(second)
+    lists = materialize(lists.withColumn("k", F.count("*").over(in_list)).filter("k > 1"), "ngram-lists")
+    shares = lists.groupBy("cls").agg(F.count("*").cast("int").alias("known"), F.count_if(F.col("k") > LEADERS).cast("int").alias("long"))
+    lists = lists.drop("k").join(shares, "cls")
+    checked = linked = comps = sets = None
+    for step in range(ROUNDS + 1):
+        across = _across(lists, comps)
+        pairs = _with_leaders(across, step, percent) if step < ROUNDS else _with_all(across, percent)
+        if checked is not None:
+            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "ngram-pairs")
+        sets = _fetch(pairs, rows, classes, counters, percent, sets)
+        found = materialize(_verified(pairs, sets, percent), "ngram-checked")
+        checked = found if checked is None else checked.union(found)
+        new = found.filter("linked").select("a", "b")
+        linked = new if linked is None else linked.union(new)
+        if step < ROUNDS:
+            comps = components(linked)
+    return members, linked
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
