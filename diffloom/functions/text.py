@@ -44,7 +44,8 @@ def word_count(c) -> Column:
 
 def strip_ansi(c) -> Column:
     """Remove ANSI escape sequences."""
-    return F.regexp_replace(col_of(c), r"\x1B(?:[@-Z\\\-_]|\[[0-?]*[ -/]*[@-~])", "")
+    # fixed value: two-character forms from @ to Z and from \ to _, and control sequences
+    return F.regexp_replace(col_of(c), r"\x1B(?:[@-Z\\-_]|\[[0-?]*[ -/]*[@-~])", "")
 
 
 def strip_html_comments(c) -> Column:

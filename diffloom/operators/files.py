@@ -93,21 +93,27 @@ def resolve_edges(snapshot: DataFrame) -> DataFrame:
 def import_closure(snapshot: DataFrame, targets: DataFrame) -> DataFrame:
     """Files reachable from each target ``(corpus_id, path)`` through imports.
 
-    Frontier iteration: join the frontier with the edges, drop what was reached already
-    (``left_anti``), stop when nothing is new, so the closure is complete. Each round's sets are written to the shared
-    checkpoint folder (survives executor loss) to cut the growing lineage."""
-    edges = resolve_edges(snapshot)
-    reached = targets.select("corpus_id", F.col("path").alias("root"), F.col("path").alias("file")).distinct()
-    frontier = reached
+    Path doubling: round k knows what is within 2**k - 1 imports of the targets, and jumps of 2**k imports; the
+    jumps lead on to what is within 2**(k + 1) - 1, and are joined with themselves to jumps twice as long. A
+    jump that a shorter one covers is dropped: a shortest path is made of shortest jumps. Rounds grow with
+    the logarithm of the longest chain, all repositories together, and end when one finds nothing new (distances have no gaps),
+    so the closure is complete. A round writes its new pairs and new jumps only, to the shared checkpoint folder
+    (it survives executor loss and cuts the lineage)."""
+    corpus, pair = "corpus_id", ["corpus_id", "src", "dst"]
+    jumps = materialize(resolve_edges(snapshot).where("src <> dst"), "import-jumps")
+    shorter = jumps
+    reached = materialize(targets.select(corpus, F.col("path").alias("root"), F.col("path").alias("file")).distinct(), "import-reached")
     while True:
-        nxt = (frontier.join(edges, (frontier.corpus_id == edges.corpus_id) & (frontier.file == edges.src))
-               .select(frontier.corpus_id, "root", F.col("dst").alias("file")).distinct())
-        new = materialize(nxt.join(reached, ["corpus_id", "root", "file"], "left_anti"), "import-frontier")
-        if new.limit(1).count() == 0:
-            break
-        reached = materialize(reached.unionByName(new), "import-reached")
-        frontier = new
-    return reached
+        onward = reached.join(jumps.select(corpus, F.col("src").alias("file"), "dst"), [corpus, "file"])
+        onward = onward.select(corpus, "root", F.col("dst").alias("file")).distinct()
+        new = materialize(onward.join(reached, [corpus, "root", "file"], "left_anti"), "import-reached")
+        if new.isEmpty():
+            return reached
+        reached = reached.union(new)
+        twice = jumps.select(corpus, "src", F.col("dst").alias("via")).join(jumps.select(corpus, F.col("src").alias("via"), "dst"), [corpus, "via"])
+        twice = twice.where("src <> dst").select(*pair).distinct()
+        jumps = materialize(twice.join(shorter, pair, "left_anti"), "import-jumps")
+        shorter = shorter.union(jumps)
 
 
 def doc_contents(path, content) -> Column:

@@ -3,8 +3,8 @@
 Random choices use a hash of the id and a seed instead of a generator, so reruns and retried
 tasks pick the same rows. Per-group top-k uses ``row_number() <= n``; Spark plans it as a
 WindowGroupLimit on both sides of the shuffle, so a hot group ships at most n rows per task.
-Global ranks (F1) are computed without a single-partition window: a range-partitioned sort,
-per-partition counts (one small row per partition) and a running offset.
+Global ranks (F1) are computed without a single-partition window: a sort by ranges of the whole order,
+written once, the counts of the ranges (one small row each) and a running offset.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from diffloom.session import materialize
 
 
 def hash_order(id_col, seed: int) -> Column:
@@ -41,35 +42,38 @@ def train_valid_split(df: DataFrame, id_col: str, ratio: float = 0.01, seed: int
     return df.withColumn("split", F.when(bucket < int(ratio * 1_000_000), F.lit("validation")).otherwise(F.lit("train")))
 
 
-#: Slices of an order; each is sorted on its own.
-SLICES = 256
+#: Rows of a slice of an order, about: each slice is sorted on its own.
+SLICE_ROWS = 4_000_000
 
 
-def _sliced(df: DataFrame, order: Column, slices: int = SLICES) -> DataFrame:
-    """``df`` with ``__slice``: the place of the first order column among quantiles that one aggregate takes from
-    the data (one row, joined on a constant). A function of the value alone, so reruns agree; text
-    is cut by its first bytes. Rows with one value share a slice."""
-    kind = df.select(order.alias("x")).schema["x"].dataType.simpleString()
-    key = F.conv(F.rpad(F.hex(F.substring(F.encode(order, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double") if kind == "string" else \
-        order.cast("timestamp").cast("double") if kind in ("date", "timestamp_ntz", "timestamp") else order.cast("double")
-    rows = df.withColumn("__key", key).withColumn("__one", F.lit(1))
-    cuts = rows.agg(F.percentile_approx("__key", [k / slices for k in range(1, slices)], 20 * slices).alias("__cuts")).withColumn("__one", F.lit(1))
-    rows = rows.join(cuts, "__one").withColumn("__slice", F.size(F.filter("__cuts", lambda c: c < F.col("__key"))))
-    return rows.drop("__one", "__cuts", "__key")
+def ordered_slices(df: DataFrame, order: Sequence[Column], slices: int | None = None) -> DataFrame:
+    """``df`` with its place in an order: ``__slice`` and ``__at``, from 0, inside it.
 
+    Slices are ranges of the whole order tuple, from Spark's sample of it, so neither a common prefix nor a
+    common first column puts rows together; rows equal in the order are spread, and ordered, by the hash of
+    the whole row (only equal rows share a slice whatever its size). There are as many slices as
+    shuffle partitions, or one for each ``SLICE_ROWS`` rows if that is more. The sorted rows are written once
+    to the shared checkpoint folder: places are read back, so a retried task finds the same ones."""
+    spark = df.sparkSession
+    n = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // SLICE_ROWS))
+    keys = [*order, F.xxhash64(*df.columns)]
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    written = materialize(ranged.withColumn("__mid", F.monotonically_increasing_id()), "order")
+    # the number of the partition above 33 bits, the row's place in it below
+    return written.withColumn("__slice", F.shiftright("__mid", 33)).withColumn("__at", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))).drop("__mid")
 
-def global_rank(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
-    """0-based rank in ``order_cols`` order (ties broken by the caller's columns) without moving
-    all rows to one task, plus ``__total`` (the row count): slices of the first order column, their
-    counts as offsets, and a row number inside each slice. Nothing is written or collected."""
-    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    s = _sliced(df, order[0])
-    counts = s.groupBy("__slice").agg(F.count("*").alias("__n"))
-    w = Window.orderBy("__slice")  # one row for each slice
-    offsets = (counts.withColumn("__off", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                     .withColumn("__total", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).drop("__n"))
-    inside = s.withColumn("__in", F.row_number().over(Window.partitionBy("__slice").orderBy(*order)) - 1)
-    return inside.join(offsets, "__slice").withColumn("rank", (F.col("__off") + F.col("__in")).cast("long")).drop("__slice", "__off", "__in")
+
+def global_rank(df: DataFrame, order_cols: Sequence[str], slices: int | None = None) -> DataFrame:
+    """0-based ``rank`` in ``order_cols`` order (ties broken by the caller's columns, then by the hash of the row)
+    without moving all rows to one task, plus ``__total`` (the row count): the place inside a slice, and the
+    slices' counts as offsets. Rows are shuffled once; the offsets are one row for each slice."""
+    placed = ordered_slices(df, [F.col(c) if isinstance(c, str) else c for c in order_cols], slices)
+    w = Window.orderBy("__s")  # one row for each slice
+    offsets = placed.groupBy(F.col("__slice").alias("__s")).agg(F.count("*").alias("__n"))
+    offsets = (offsets.withColumn("__off", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                      .withColumn("__total", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).drop("__n"))
+    found = placed.join(F.broadcast(offsets), F.col("__slice") == F.col("__s"))
+    return found.withColumn("rank", F.col("__off") + F.col("__at")).drop("__slice", "__s", "__at", "__off")
 
 
 def split_even(df: DataFrame, order_cols: Sequence[str], n: int, part_col: str = "part") -> DataFrame:
@@ -99,20 +103,19 @@ def running_sum_before(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     """Sum of ``value_col`` over the earlier rows of the same group (in ``order_cols`` order),
     plus ``rows_before`` (their count), without putting a whole group into one task.
 
-    Rows are sliced by quantiles of the first order column, so a hot group spans many slices. The
+    Rows are sliced by ranges of the group and the order, so a hot group spans many slices. The
     totals of each (group, slice), a small table, give each slice its offset; the running sum is a
     window over one slice of one group. ``order_cols`` must order rows totally (add an id to break
     ties). NULL group values are a group of their own.
     """
     gc = list(group_cols)
-    oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    s = _sliced(df, oc[0])
-    slices = s.groupBy(*gc, "__slice").agg(F.sum(value_col).alias("__sum"), F.count("*").alias("__n"))
+    s = ordered_slices(df, [*map(F.col, gc), *[F.col(c) if isinstance(c, str) else c for c in order_cols]])
+    totals = s.groupBy(*gc, "__slice").agg(F.sum(value_col).alias("__sum"), F.count("*").alias("__n"))
     w_off = Window.partitionBy(*gc).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*[F.col(c).alias(f"__g_{c}") for c in gc], F.col("__slice").alias("__s"),
+    offsets = totals.select(*[F.col(c).alias(f"__g_{c}") for c in gc], F.col("__slice").alias("__s"),
                             F.coalesce(F.sum("__sum").over(w_off), F.lit(0)).alias("__off"),
                             F.coalesce(F.sum("__n").over(w_off), F.lit(0)).alias("__noff"))
-    w_in = Window.partitionBy(*gc, "__slice").orderBy(*oc).rowsBetween(Window.unboundedPreceding, -1)
+    w_in = Window.partitionBy(*gc, "__slice").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
     out = (s.withColumn("__in", F.coalesce(F.sum(value_col).over(w_in), F.lit(0)))
             .withColumn("__nin", F.coalesce(F.count(F.lit(1)).over(w_in), F.lit(0))))
     same = F.col("__slice") == F.col("__s")
@@ -121,7 +124,7 @@ def running_sum_before(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     out = out.join(offsets, same)
     return (out.withColumn(out_col, F.col("__off") + F.col("__in"))
                .withColumn("rows_before", F.col("__noff") + F.col("__nin"))
-               .drop("__slice", "__s", "__off", "__in", "__noff", "__nin", *[f"__g_{c}" for c in gc]))
+               .drop("__slice", "__at", "__s", "__off", "__in", "__noff", "__nin", *[f"__g_{c}" for c in gc]))
 
 
 def stop_at_budget(df: DataFrame, cost_col: str, max_cost: float | None, group_cols: Sequence[str],

@@ -12,6 +12,7 @@ from diffloom.plans import dialect_queries as D
 from diffloom.plans import view_queries as W
 from diffloom.plans import order_queries as O
 from diffloom.plans import report_queries as Q
+from diffloom.plans import stream_queries as S
 from diffloom.plans.oracles import ORACLES
 from diffloom.plans.view_oracles import VIEW_ORACLES
 
@@ -67,6 +68,9 @@ QUERIES = {
     "instance_reports": Q.instance_reports,
     "collection_totals": Q.collection_totals,
     "import_reach": Q.import_reach,
+    "collected_pulls": S.collected_pulls,
+    "streamed_grades": S.streamed_grades,
+    "regraded": S.regraded,
 }
 
 

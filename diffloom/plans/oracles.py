@@ -456,3 +456,13 @@ ORACLES["instance_reports"] = f"""
 WITH gr AS ({_grade_sql("'pass_and_fail'")}), u AS (SELECT *, CAST(substr(instance_id, 6) AS BIGINT) % 4 AS m FROM gr)
 SELECT run_id, instance_id, m = 0 AS "patch_is_None", m <> 0 AS patch_exists, m <> 0 AND applied AS patch_successfully_applied,
        m <> 0 AND resolution = 'RESOLVED_FULL' AS resolved FROM u"""
+
+ORACLES["streamed_grades"] = ORACLES["grade_runs"]
+ORACLES["regraded"] = _grade_sql("CASE WHEN CAST(substr(r.run_id, 5) AS BIGINT) % 2 = 0 THEN 'fail_only' ELSE 'pass_and_fail' END")
+
+ORACLES["collected_pulls"] = """
+SELECT 'own__rep-' || o_orderkey AS instance_id, CAST(o_orderkey AS BIGINT) AS pull_number, md5(CAST(o_orderkey AS VARCHAR)) AS base_commit,
+       CAST(o_orderkey AS VARCHAR) AS issues, md5('Order ' || o_orderkey || chr(10) || 'fixes #' || o_orderkey) AS statement_md5,
+       bool_or(l_suppkey % 2 = 0) AS in_tests
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' AND o_orderkey % 4 <> 0
+GROUP BY o_orderkey HAVING bool_or(l_suppkey % 2 = 1)"""

@@ -54,21 +54,21 @@ def collection_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(corpus_id, p_size, path, content): one small repository for each part, in which file k imports file k + 1,
-    and some import the first again (a ring); the part's size gives how many."""
-    k, n = F.col("k"), F.col("p_size") % 6
-    nxt = F.when(k < n, F.concat(F.lit("import m"), (k + 1).cast("string"), F.lit("\n"))).when(n % 2 == 0, F.lit("import m0\n")).otherwise(F.lit("x = 1\n"))
-    return t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("corpus_id"), "p_size", F.explode(F.sequence(F.lit(0), n)).alias("k")).select(
-        "corpus_id", "p_size", F.concat(F.lit("m"), k.cast("string"), F.lit("/f.py")).alias("path"), nxt.alias("content"))
-
-
-def part_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(corpus_id, file) reached through imports from the first file of each part's repository."""
-    files = part_repositories(spark, sf_dir)
-    return import_closure(files.drop("p_size"), files.where("path = 'm0/f.py'").select("corpus_id", "path")).select("corpus_id", "file")
+    """(corpus_id, path, content): one repository for each part, in which file k imports file k + 1, and some import
+    the first again (a ring). The part's size gives how many files: a few, or hundreds for one part in 40."""
+    k = F.col("k")
+    n = F.when(F.col("p_partkey") % 40 == 0, F.col("p_size") * 8).otherwise(F.col("p_size") % 6)
+    parts = t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("corpus_id"), n.alias("n"))
+    files = parts.select("corpus_id", "n", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("k"))
+    nxt = F.when(k < F.col("n"), F.concat(F.lit("import m"), (k + 1).cast("string"), F.lit("\n"))).when(
+        F.col("n") % 2 == 0, F.lit("import m0\n")).otherwise(F.lit("x = 1\n"))
+    # an island that nothing reaches is beside every chain
+    island = parts.select("corpus_id", F.lit("island/f.py").alias("path"), F.lit("import m0\n").alias("content"))
+    return files.select("corpus_id", F.concat(F.lit("m"), k.cast("string"), F.lit("/f.py")).alias("path"), nxt.alias("content")).union(island)
 
 
 def import_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files that ``part_reach`` finds for the parts of a size, by size."""
-    size = t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("part"), F.col("p_size").cast("string").alias("size"))
-    return part_reach(spark, sf_dir).join(size, F.col("corpus_id") == F.col("part")).select(F.col("size").alias("corpus_id"), "file").distinct()
+    """(p_partkey, file) reached through imports from the first file of each part's repository."""
+    files = part_repositories(spark, sf_dir)
+    found = import_closure(files, files.where("path = 'm0/f.py'").select("corpus_id", "path"))
+    return found.select(F.col("corpus_id").cast("long").alias("p_partkey"), "file")

@@ -128,7 +128,7 @@ SELECT conv_id, turn,
   md5(array_to_string({_IDS.format(_STRIP.format("text") + " || chr(10)")}, ',')) AS input_md5,
   md5(array_to_string(list_append({_IDS.format(_STRIP.format("split_part(text, chr(10), 1)"))}, 2), ',')) AS labels_md5,
   'be brief' AS system, md5(text) AS user_md5, CASE WHEN turn % 2 = 0 THEN CAST(conv_id AS BIGINT) END AS issue,
-  md5(text) AS plain_md5, md5(regexp_replace(text, '(^|\n)[ \t]+(\n|$)', '\1\2', 'g') || chr(10) || chr(10) || 'z' || chr(10)) AS lines_md5, 'a.py' AS files
+  md5(chr(27) || '-' || text) AS plain_md5, md5(regexp_replace(text, '(^|\n)[ \t]+(\n|$)', '\1\2', 'g') || chr(10) || chr(10) || 'z' || chr(10)) AS lines_md5, 'a.py' AS files
 FROM c"""
 
 VIEW_ORACLES["order_views"] = """
@@ -187,5 +187,5 @@ SELECT count(*) AS total_pulls, count(*) FILTER (WHERE o_orderstatus <> 'P') AS
   count(*) FILTER (WHERE o_orderstatus <> 'P' AND o_orderkey % 7 = 0) AS skipped FROM orders"""
 
 VIEW_ORACLES["import_reach"] = """
-SELECT CAST(s AS VARCHAR) AS corpus_id, 'm' || k || '/f.py' AS file
-FROM (SELECT DISTINCT p_size AS s FROM part), unnest(range(s % 6 + 1)) AS r(k)"""
+SELECT CAST(p_partkey AS BIGINT) AS p_partkey, 'm' || k || '/f.py' AS file
+FROM part, unnest(range(CASE WHEN p_partkey % 40 = 0 THEN p_size * 8 ELSE p_size % 6 END + 1)) AS r(k)"""

@@ -117,6 +117,6 @@ def prompt_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", *[F.md5(v).alias(s.replace("-", "_") + "_md5") for s, v in styled.items()],
         ids("e.input_ids").alias("input_md5"), ids("e.labels").alias("labels_md5"), F.col("chat.system").alias("system"),
         F.md5("chat.user").alias("user_md5"), F.col("u.number").cast("long").alias("issue"),
-        F.md5(strip_ansi(F.concat(F.lit("\x1b[31m"), F.col("text"), F.lit("\x1b[0m")))).alias("plain_md5"),
+        F.md5(strip_ansi(F.concat(F.lit("\x1b[31m\x1b]\x1b^\x1b-"), F.col("text"), F.lit("\x1b[0m")))).alias("plain_md5"),
         F.md5(blank_line_normalise(F.concat(F.col("text"), F.lit("\n  \t\nz")))).alias("lines_md5"),
         F.array_join(prompt_files(F.col("code")), ",").alias("files"))

@@ -5,11 +5,12 @@
   modification time): pulls are crawled newest first, so a watermark on ``created_at``
   would drop older pulls as late. Copies that arrive after the watermark are still removed
   by the anti join against the sink in each micro-batch (L1).
-* L3 ``grade_stream``: logs arriving -> instance reports; grading joins a static gold table
-  inside each micro-batch (``foreachBatch``), so no cross-batch state is kept; logs already
-  graded are skipped (D2).
+* L3 ``grade_stream`` and ``grade_log_stream``: logs arriving -> instance reports, partitioned by ``run_id``;
+  grading joins a static gold table inside each micro-batch (``foreachBatch``), so no cross-batch
+  state is kept; logs already graded are skipped (D2), for which only the partitions of the batch's
+  runs are read.
 * L4 ``regrade``: a batch run over stored logs, overwriting only the affected ``run_id``
-  partitions.
+  partitions (dynamic partition overwrite).
 """
 
 from __future__ import annotations
@@ -134,22 +135,41 @@ def grade_stream(spark: SparkSession, logs_dir: str, gold: DataFrame, output_dir
                       F.regexp_replace(F.regexp_extract(p, pat, 2), "__", "/").alias("model"),
                       F.regexp_extract(p, pat, 3).alias("instance_id"), F.col("value").alias("log"))
 
+    with_repo = (lambda b: b.join(repo_of, "instance_id", "left")) if repo_of is not None else (
+        lambda b: b.withColumn("repo", F.lit(None).cast("string")))
+    return grade_log_stream(logs, gold, output_dir, checkpoint, prepare=with_repo)
+
+
+def grade_log_stream(logs: DataFrame, gold: DataFrame, output_dir: str, checkpoint: str, prepare=lambda batch: batch,
+                     modes: DataFrame | None = None) -> StreamingQuery:
+    """L3 over a streaming table of logs (run_id, model, instance_id, repo, log; ``prepare`` may add the
+    repository): each (run, model, instance) is graded once, whenever and however often its log arrives. A
+    batch that is replayed finds its own rows and adds nothing."""
+
     def sink(batch: DataFrame, epoch: int) -> None:
-        b = batch
-        b = b.join(repo_of, "instance_id", "left") if repo_of is not None else b.withColumn("repo", F.lit(None).cast("string"))
-        if path_exists(batch.sparkSession, output_dir):
-            b = b.join(batch.sparkSession.read.parquet(output_dir).select(*RUN_KEYS), RUN_KEYS, "left_anti")
-        grade_batch(b, gold).write.mode("append").parquet(output_dir)
+        spark = batch.sparkSession
+        todo = batch.dropDuplicates(RUN_KEYS)
+        if path_exists(spark, output_dir):
+            runs = [r[0] for r in batch.select("run_id").distinct().collect()]  # those of one micro-batch
+            done = spark.read.schema(graded_schema(spark, gold, modes)).parquet(output_dir).where(F.col("run_id").isin(runs))
+            todo = todo.join(done.select(*RUN_KEYS), RUN_KEYS, "left_anti")
+        grade_batch(prepare(todo), gold, modes).write.mode("append").partitionBy("run_id").parquet(output_dir)
 
     return (logs.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def regrade(logs: DataFrame, gold: DataFrame, output_dir: str, expected: DataFrame | None = None) -> None:
-    """L4: grade stored logs again; only the ``run_id`` partitions present are replaced. An instance of
+def graded_schema(spark: SparkSession, gold: DataFrame, modes: DataFrame | None = None):
+    """The columns of the graded output, so that no partition value is read as a number."""
+    none = spark.createDataFrame([], "run_id string, model string, instance_id string, repo string, log string")
+    return grade_batch(none, gold, modes).schema
+
+
+def regrade(logs: DataFrame, gold: DataFrame, output_dir: str, expected: DataFrame | None = None, modes: DataFrame | None = None) -> None:
+    """L4: grade stored logs again (in other ``modes``, say); only the ``run_id`` partitions present are replaced. An instance of
     ``expected`` without a stored log raises."""
     if expected is not None:
         require_known_ids(expected, logs)
-    g = grade_batch(logs, gold)
+    g = grade_batch(logs, gold, modes)
     (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
       .partitionBy("run_id").parquet(output_dir))

@@ -1,13 +1,49 @@
-"""The import closure runs over one repository for each part."""
+"""The import closure runs over one repository for each part, in rounds that grow with the logarithm of the chains."""
 
+import random
+
+from diffloom.operators import files as R
 from diffloom.plans import report_queries as Q
 
 SF = "/root/testdata/sf0.001"
+SCHEMA = "corpus_id string, path string, content string"
 
 
 def test_a_repository_for_each_part(spark):
     sizes = dict(spark.read.parquet(f"{SF}/part.parquet").select("p_partkey", "p_size").collect())
-    want = {(str(p), f"m{k}/f.py") for p, s in sizes.items() for k in range(s % 6 + 1)}
-    assert {tuple(r) for r in Q.part_reach(spark, SF).collect()} == want
+    want = {(p, f"m{k}/f.py") for p, s in sizes.items() for k in range((s * 8 if p % 40 == 0 else s % 6) + 1)}
     got = [tuple(r) for r in Q.import_reach(spark, SF).collect()]
-    assert sorted(got) == sorted({(str(s), f"m{k}/f.py") for s in sizes.values() for k in range(s % 6 + 1)})
+    assert sorted(got) == sorted(want) and max(sizes[p] * 8 for p in sizes if p % 40 == 0) > 100
+
+
+def test_rounds_of_a_long_chain(spark, monkeypatch):
+    rounds = []
+    write = R.materialize
+    monkeypatch.setattr(R, "materialize", lambda df, name: rounds.append(name) or write(df, name))
+    files = spark.createDataFrame([("c", f"m{k}/f.py", f"import m{k + 1}\n" if k < 300 else "x = 1\n") for k in range(301)], SCHEMA)
+    got = R.import_closure(files, files.where("path = 'm0/f.py'").select("corpus_id", "path"))
+    assert got.count() == 301
+    assert rounds.count("import-jumps") <= 10
+
+
+def test_graphs_against_a_search(spark):
+    rng = random.Random(3)
+    rows, edges = [], {}
+    for c in range(6):
+        for k in range(25):
+            to = sorted({rng.randrange(25) for _ in range(rng.choice([0, 1, 1, 2, 3]))})
+            edges[str(c), k] = to
+            rows.append((str(c), f"m{k}/f.py", "".join(f"import m{j}\n" for j in to)))
+    files = spark.createDataFrame(rows, SCHEMA)
+    targets = files.where("path in ('m0/f.py', 'm7/f.py')").select("corpus_id", "path")
+    want = set()
+    for c in map(str, range(6)):
+        for root in (0, 7):
+            seen, todo = {root}, [root]
+            while todo:
+                for j in edges[c, todo.pop()]:
+                    if j not in seen:
+                        seen.add(j)
+                        todo.append(j)
+            want |= {(c, f"m{root}/f.py", f"m{k}/f.py") for k in seen}
+    assert {tuple(r) for r in R.import_closure(files, targets).collect()} == want

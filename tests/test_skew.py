@@ -43,3 +43,27 @@ def test_scratch_tables_go_with_their_scope(spark, tmpdir_path):
         df.write.parquet(f"{tmpdir_path}/out")
         assert path_exists(spark, path)
     assert not path_exists(spark, path) and spark.read.parquet(f"{tmpdir_path}/out").count() == 5
+
+
+def rows_by_slice(df, order, slices):
+    from diffloom.operators.sampling import ordered_slices
+    return {r[0]: r[1] for r in ordered_slices(df, [F.col(c) for c in order], slices).groupBy("__slice").count().collect()}
+
+
+def test_one_prefix_and_one_value_spread_over_all_slices(spark):
+    ids = spark.range(100_000).select(F.concat(F.lit("owner__name-with-a-long-prefix-"), F.col("id").cast("string")).alias("i"))
+    dates = spark.range(100_000).select(F.lit("2024-01-01").cast("date").alias("d"), F.col("id").alias("i"))
+    for df, order in ((ids, ["i"]), (dates, ["d"])):
+        counts = rows_by_slice(df, order, 16)
+        assert len(counts) == 16 and max(counts.values()) < 3 * 100_000 / 16, counts
+
+
+def test_global_rank_of_one_value_and_of_text(spark):
+    from diffloom.operators.sampling import from_id_limit, global_rank
+    df = spark.range(3000).select(F.lit("same").alias("d"), F.concat(F.lit("prefix-"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("i"))
+    assert [r[0] for r in global_rank(df, ["d"], slices=7).select("rank").orderBy("rank").collect()] == list(range(3000))
+    by_text = global_rank(df, ["i"], slices=7).orderBy("rank").collect()
+    assert [r.i for r in by_text] == sorted(r.i for r in by_text) and {r["__total"] for r in by_text} == {3000}
+    got = from_id_limit(df, ["i"], "i", "prefix-01000", 3)
+    assert sorted(r.i for r in got.collect()) == ["prefix-01000", "prefix-01001", "prefix-01002"]
+    assert global_rank(df.limit(0), ["i"]).count() == 0

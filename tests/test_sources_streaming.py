@@ -107,3 +107,33 @@ def test_regrade_of_a_missing_log_raises(spark, tmpdir_path):
     wanted = spark.createDataFrame([("a",), ("b",)], "instance_id string")
     with pytest.raises(ValueError):
         regrade(logs, gold, f"{tmpdir_path}/graded", expected=wanted)
+
+
+def _log(status, end=True):
+    from diffloom import constants as K
+    lines = [K.INSTALL_PASS, K.APPLY_PATCH_PASS, K.START_TEST_OUTPUT, f"{status} t.py::a", *([K.END_TEST_OUTPUT] if end else [])]
+    return "\n".join(lines) + "\n"
+
+
+def test_log_stream_grades_once_and_regrade_keeps_other_runs(spark, tmpdir_path):
+    import glob
+
+    from diffloom.streaming.incremental import grade_log_stream, graded_schema, regrade
+    schema = "run_id string, model string, instance_id string, repo string, log string"
+    rows = [(run, "m", i, "pytest-dev/pytest", _log(s)) for run, s in (("1", "PASSED"), ("2", "FAILED"), ("3", "ERROR")) for i in ("a", "b")]
+    gold = spark.createDataFrame([("a", "FAIL_TO_PASS", "t.py::a"), ("b", "FAIL_TO_PASS", "t.py::a")], "instance_id string, category string, test string")
+    out = f"{tmpdir_path}/graded"
+    for drop in (rows[:3] + rows[:1], rows[3:], rows[:2]):  # twice in a drop, and again in a later one
+        spark.createDataFrame(drop, schema).write.mode("append").parquet(f"{tmpdir_path}/logs")
+        arriving = spark.readStream.schema(schema).parquet(f"{tmpdir_path}/logs")
+        grade_log_stream(arriving, gold, out, f"{tmpdir_path}/ckpt").awaitTermination(120)
+    read = lambda: {(r.run_id, r.instance_id): r.resolution for r in spark.read.schema(graded_schema(spark, gold)).parquet(out).collect()}
+    first = read()
+    assert spark.read.parquet(out).count() == 6 and first["1", "a"] == "RESOLVED_FULL" and first["3", "a"] == "RESOLVED_NO"
+    files = {run: sorted(glob.glob(f"{out}/run_id={run}/*.parquet")) for run in "123"}
+    modes = spark.createDataFrame([("a", "fail_only"), ("b", "fail_only")], "instance_id string, eval_type string")
+    regrade(spark.createDataFrame(rows, schema).where("run_id in ('2', '3')"), gold, out, modes=modes)
+    second = read()
+    assert second["3", "a"] == "RESOLVED_FULL" and second["2", "a"] == "RESOLVED_NO" and len(second) == 6
+    assert sorted(glob.glob(f"{out}/run_id=1/*.parquet")) == files["1"]
+    assert not set(glob.glob(f"{out}/run_id=3/*.parquet")) & set(files["3"])

@@ -109,3 +109,11 @@ def test_tokens(spark):
     assert out[1].k.input_ids == [] and out[1].k.labels == []
     ids = spark.createDataFrame([([1] * 95 + list(range(5)) ,), (list(range(100)),)], "a array<int>")
     assert [r[0] for r in ids.select(repetition_flag(F.col("a"))).collect()] == [True, False]
+
+
+def test_strip_ansi_two_character_forms(spark):
+    from pyspark.sql import functions as F
+
+    from diffloom.functions.text import strip_ansi
+    df = spark.createDataFrame([("a\x1b]b\x1b^c\x1b_d\x1b\\e\x1bMf\x1b-g\x1b[1;31mh",)], "t string")
+    assert df.select(strip_ansi(F.col("t"))).first()[0] == "abcdef\x1b-gh"
