@@ -126,15 +126,20 @@ def decompose(word: str, frequent, longest: int) -> list[tuple[int, int]]:
 
 def affected(word: str, grams: list[tuple[int, int]], frequent, endings: set[str], longest: int) -> int:
     """The largest number of the word's grams that one edit can take away."""
-    size, worst = len(word), 0
-    for i in range(size):  # character i replaced or deleted
-        n = sum(1 for p, e in grams if p <= i < e or (p > i and e - i <= longest and word[i + 1:e - 1] in endings))
-        worst = max(worst, n)
-    for i in range(size + 1):  # a character inserted before i
-        n = sum(1 for p, e in grams if p < i < e or (p >= i and e - i < longest and word[i:e - 1] in endings)
-                or (i == e == size and e - p < longest and word[p:e] in frequent))
-        worst = max(worst, n)
-    return worst
+    size = len(word)
+    changed, inserted = [0] * size, [0] * (size + 1)  # grams lost to an edit of character i, to one inserted before i
+    for p, e in grams:
+        for i in range(p, e):
+            changed[i] += 1
+        for i in range(max(0, e - longest), p):
+            changed[i] += word[i + 1:e - 1] in endings
+        for i in range(p + 1, e):
+            inserted[i] += 1
+        for i in range(max(0, e - longest + 1), p + 1):
+            inserted[i] += word[i:e - 1] in endings
+        if e == size and e - p < longest and word[p:e] in frequent:  # ended by the word: more characters extend it
+            inserted[size] += 1
+    return max(max(changed), max(inserted))
 
 
 def kept_grams(word: str, frequent: dict[str, int], endings: set[str], longest: int) -> tuple[list[tuple[int, int]], int]:
