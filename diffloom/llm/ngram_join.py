@@ -184,10 +184,15 @@ def _needed(percent: int, a: str = "a_size", b: str = "b_size") -> Column:
     return F.ceil(percent * (F.col(a) + F.col(b)) / (100 + percent))
 
 
+def _prefix(size: str, percent: int) -> Column:
+    return F.col(size) - F.ceil(percent * F.col(size) / 100) + 1
+
+
 def _in_reach(percent: int) -> Column:
-    """Positional filter where two rows meet: no more is shared before the shingle than either has before it, and
-    no more from it on than either has left. A pair that fails at one shingle cannot link."""
-    before = F.least("x_pos", "y_pos")
+    """Positional filter where two rows meet: no more is shared before the shingle than either has in the lists before
+    it, and no more from it on than either has left. (A shingle shared before it is in both prefixes, so in a list; one
+    behind it need not be.) A pair that fails at one shingle cannot link."""
+    before = F.least("x_rank", "y_rank")
     left = F.least(F.col("x_size") - F.col("x_pos"), F.col("y_size") - F.col("y_pos"))
     return before + left >= _needed(percent, "x_size", "y_size")
 
@@ -224,17 +229,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _across(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
     """The lists with classes of more than one component; ``main`` is the one most of a list belong to."""
     if comps is None:
-        return lists.withColumn("comp", F.col("cls")).withColumn("main", F.lit(None).cast("binary"))
+        return materialize(_ranked(lists.withColumn("comp", F.col("cls"))), "ngram-across")
     owned = lists.join(comps, lists["cls"] == comps["node"], "left").select(
-        "token", "cls", "size", "pos", "long", "known", F.coalesce("component", "cls").alias("comp"))
+        "token", "cls", "size", "pos", "long", F.coalesce("component", "cls").alias("comp"))
     in_list = Window.partitionBy("token")
     owned = (owned.withColumn("main", F.mode("comp").over(in_list)).withColumn("low", F.min("comp").over(in_list))
              .withColumn("high", F.max("comp").over(in_list)).filter("low <> high").drop("low", "high"))
-    return materialize(owned, "ngram-across")
+    return materialize(_ranked(owned), "ngram-across")
+
+
+def _ranked(lists: DataFrame) -> DataFrame:
+    """With how many rows a class has in these lists, and how many of them come before; a class has no more than its prefix."""
+    of_class = Window.partitionBy("cls")
+    return lists.withColumn("known", F.count("*").over(of_class)).withColumn("rank", F.row_number().over(of_class.orderBy("pos")) - 1)
 
 
 def _side(lists: DataFrame, p: str, *more: str) -> DataFrame:
-    return lists.select("token", *more, *[F.col(c).alias(f"{p}_{c}") for c in ("cls", "size", "pos", "comp", "long")])
+    return lists.select("token", *more, *[F.col(c).alias(f"{p}_{c}") for c in ("cls", "size", "pos", "comp", "long", "known", "rank")])
 
 
 def _with_leaders(lists: DataFrame, seed: int, percent: int) -> DataFrame:
@@ -268,9 +279,8 @@ def _pairs(met: DataFrame, percent: int) -> DataFrame:
     pairs = met.groupBy("a", "b", "a_size", "b_size").agg((F.count("*") + F.max("unseen")).alias("shared"), F.max("a_pos").alias("a_pos"), F.max("b_pos").alias("b_pos"))
     behind = F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos")) - 1
     pairs = pairs.filter(F.col("shared") + behind >= _needed(percent))
-    prefix = lambda s: F.col(s) - F.ceil(percent * F.col(s) / 100) + 1
-    return pairs.select("a", "b", "a_size", "b_size", "shared", (prefix("a_size") - 1 - F.col("a_pos")).alias("a_left"),
-                        (prefix("b_size") - 1 - F.col("b_pos")).alias("b_left"))
+    return pairs.select("a", "b", "a_size", "b_size", "shared", (_prefix("a_size", percent) - 1 - F.col("a_pos")).alias("a_left"),
+                        (_prefix("b_size", percent) - 1 - F.col("b_pos")).alias("b_left"))
 
 
 def _counters(spark: SparkSession, counted: DataFrame):
@@ -294,8 +304,8 @@ def links(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: in
     in_list = Window.partitionBy("token")
     lists = _prefixes(rows, counters, percent).repartition("token").groupBy("token", "cls").agg(F.min("size").alias("size"), F.min("pos").alias("pos"))
     lists = materialize(lists.withColumn("k", F.count("*").over(in_list)).filter("k > 1"), "ngram-lists")
-    shares = lists.groupBy("cls").agg(F.count("*").cast("int").alias("known"), F.count_if(F.col("k") > LEADERS).cast("int").alias("long"))
-    lists = lists.drop("k").join(shares, "cls")
+    long = F.sum((F.col("k") > LEADERS).cast("int")).over(Window.partitionBy("cls")).cast("int")
+    lists = lists.withColumn("long", long).drop("k")
     checked = linked = comps = sets = None
     for step in range(ROUNDS + 1):
         across = _across(lists, comps)
