@@ -2,8 +2,9 @@
 
 A document's set is its distinct three-word shingles, as 64-bit hashes; equal sets are one class
 (128-bit digest of the set), so copies cost one row each. Shingles are ordered rarest first, by a
-table of ``1 << SKETCH_BITS`` counters over all documents (a shingle's count is never too low;
-any order is correct, the counts make it fast), then by hash. Two sets that link share one of their
+table of ``1 << SKETCH_BITS`` counters over all documents (a shingle's count is never too low), where its count is above
+what other shingles put into any counter; then by the counts of its words, which stay apart however many shingles there
+are; then by hash (any order is correct, the counts make it fast). Two sets that link share one of their
 first ``size - ceil(0.9 size) + 1`` shingles: only these prefixes are shuffled, by shingle, and only
 lists of two classes or more are kept.
 
@@ -45,7 +46,7 @@ from diffloom.session import materialize
 SHINGLE_WORDS = 3
 #: Sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
-#: The counters of shingles: 4 MB, whatever the input.
+#: The counters of shingles and those of words: 4 MB each, whatever the input.
 SKETCH_BITS = 20
 CHUNK = 4096
 #: Hash ranges of the suffix filter.
@@ -57,26 +58,35 @@ ROUNDS = 1
 BROADCAST_IDS = 1_000_000
 
 
-def shingle_sets(texts: list[bytes], n: int = SHINGLE_WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    words = Words([t.lower() for t in texts])  # bytes: A-Z only
+def weighted_sets(words: Words, cost: np.ndarray, n: int = SHINGLE_WORDS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The sorted distinct shingle hashes of each text, and the sum of the costs of each one's words."""
     count = np.diff(words.first)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    total = np.concatenate(([0], np.cumsum(cost)))
+    found: list[tuple[np.ndarray, ...]] = []
     for size in range(1, n + 1):
         at, h = words.windows(size)
-        owner = words.text[at]
         if size < n:  # the whole sequence of a text of so few words
-            whole = count[owner] == size
-            owner, h = owner[whole], h[whole]
-        found.append((owner, h))
-    owner, h = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+            whole = count[words.text[at]] == size
+            at, h = at[whole], h[whole]
+        found.append((words.text[at], h, total[at + size] - total[at]))
+    owner, h, weight = (np.concatenate(c) for c in zip(*found))
     order = np.lexsort((h, owner))
-    owner, h = owner[order], h[order]
+    owner, h, weight = owner[order], h[order], weight[order]
     new = np.ones(len(h), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (h[1:] != h[:-1])
-    owner, h = owner[new], h[new]
-    first = np.searchsorted(owner, np.arange(len(texts) + 1))
-    return [h[first[k]:first[k + 1]] for k in range(len(texts))]
+    owner, h, weight = owner[new], h[new], weight[new]
+    first = np.searchsorted(owner, np.arange(len(words.first)))
+    return [(h[a:b], weight[a:b]) for a, b in zip(first[:-1], first[1:])]
+
+
+def lower_words(texts: list[bytes]) -> Words:
+    return Words([t.lower() for t in texts])  # bytes: A-Z only
+
+
+def shingle_sets(texts: list[bytes], n: int = SHINGLE_WORDS) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    words = lower_words(texts)
+    return [s for s, _ in weighted_sets(words, np.zeros(len(words), np.int64), n)]
 
 
 def class_of(shingles: np.ndarray) -> bytes | None:
@@ -88,19 +98,36 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def _sets_of(column) -> Iterator[np.ndarray]:
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def rarity(counters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each counter: a shingle's count, where it is above what other shingles put into any counter, and a word's cost."""
+    of_shingles, of_words = counters.reshape(2, -1)
+    counts = np.maximum(of_shingles, int(2 * of_shingles.mean())).astype(np.int64)
+    return counts, np.floor(16 * np.log2(1.0 + of_words)).astype(np.int64)
+
+
+def _ordered_sets(column, counts: np.ndarray, costs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each text's set, sorted by hash and rarest first."""
     for _, run in steps(utf8(column)):
-        yield from shingle_sets(run)
+        words = lower_words(run)
+        for shingles, weight in weighted_sets(words, costs[_slot(words.hash)]):
+            yield shingles, rare_first(shingles, counts, weight)
 
 
 def _classes_and_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(kind 0: id, class, size of each row; kind 1: this task's counters, chunk by chunk)."""
-    counters = np.zeros(1 << SKETCH_BITS, np.uint32)
+    counters = np.zeros((2, 1 << SKETCH_BITS), np.uint32)
     for batch in batches:
-        sets = list(_sets_of(batch["text"]))
-        if sets:
-            at = (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-            counters += np.bincount(at, minlength=1 << SKETCH_BITS).astype(np.uint32)
+        sets = []
+        for _, run in steps(utf8(batch["text"])):
+            words = lower_words(run)
+            found = [s for s, _ in weighted_sets(words, np.zeros(len(words), np.int64))]
+            for row, hashes in enumerate((np.concatenate(found), words.hash)):
+                counters[row] += np.bincount(_slot(hashes), minlength=1 << SKETCH_BITS).astype(np.uint32)
+            sets += found
         yield pd.DataFrame({"kind": 0, "id": batch["id"], "cls": [class_of(s) for s in sets], "size": [len(s) for s in sets],
                             "chunk": 0, "counts": None})
     parts = counters.reshape(-1, CHUNK)
@@ -126,24 +153,25 @@ def _clipped(total: np.ndarray) -> bytes:
     return np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes()
 
 
-def rare_first(shingles: np.ndarray, counters: np.ndarray) -> np.ndarray:
-    return shingles[np.lexsort((shingles, counters[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))]
+def rare_first(shingles: np.ndarray, counts: np.ndarray, weight: np.ndarray | int = 0) -> np.ndarray:
+    """Shingles sorted by hash in order of count, then of the weight of their words (below 2^11), then of hash."""
+    return shingles[np.argsort((counts[_slot(shingles)] << 11) + weight, kind="stable")]
 
 
 def _prefixes(rows: DataFrame, counters, percent: int) -> DataFrame:
     """(token, cls, size, pos) of the prefixes; a task lists each class once."""
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
-        seen, table = set(), counters.value
+        seen, tables = set(), rarity(counters.value)
         for batch in batches:
             tokens, names, sizes, lengths = [], [], [], []
-            for s in _sets_of(batch.column(0).to_pylist()):
+            for s, rarest in _ordered_sets(batch.column(0).to_pylist(), *tables):
                 name = class_of(s)
                 if name is None or name in seen:
                     continue
                 seen.add(name)
                 n = prefix_length(len(s), percent)
-                tokens.append(rare_first(s, table)[:n].view(np.int64))
+                tokens.append(rarest[:n].view(np.int64))
                 names.append(name)
                 sizes.append(len(s))
                 lengths.append(n)
@@ -159,19 +187,23 @@ def _prefixes(rows: DataFrame, counters, percent: int) -> DataFrame:
 
 
 def _sets(rows: DataFrame, counters, percent: int) -> DataFrame:
-    """(cls, tokens, rest): the sets, and their counts behind the prefix by hash range."""
+    """(cls, tokens, rest): the sets of those texts that are of the class named beside them, and their counts behind the
+    prefix by hash range."""
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables = rarity(counters.value)
         for batch in batches:
             names, tokens, rest = [], [], []
-            for s in _sets_of(batch["text"]):
-                names.append(class_of(s))
+            for wanted, (s, rarest) in zip(batch["cls"], _ordered_sets(batch["text"], *tables)):
+                if class_of(s) != wanted:  # a repeated id with another text
+                    continue
+                names.append(wanted)
                 tokens.append(s.view(np.int64))
-                behind = rare_first(s, counters.value)[prefix_length(len(s), percent):] if len(s) else s
+                behind = rarest[prefix_length(len(s), percent):]
                 rest.append(np.bincount((behind % np.uint64(PARTS)).astype(np.int64), minlength=PARTS).astype(np.int32))
             yield pd.DataFrame({"cls": names, "tokens": tokens, "rest": rest})
 
-    return rows.select("text").mapInPandas(made, "cls binary, tokens array<long>, rest array<int>")
+    return rows.select("text", "cls").mapInPandas(made, "cls binary, tokens array<long>, rest array<int>")
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -199,26 +231,37 @@ def _in_reach(percent: int) -> Column:
 
 def _fetch(pairs: DataFrame, rows: DataFrame, classes: DataFrame, counters, percent: int, known: DataFrame | None) -> DataFrame:
     """(cls, tokens, rest) of the classes in ``pairs``, those of ``known`` among them: texts are found by the classes' smallest ids."""
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    wanted = _classes_in(pairs)
     if known is not None:
         wanted = wanted.join(known.select("cls"), "cls", "left_anti")
     wanted = materialize(classes.join(wanted, "cls", "left_semi").select("cls", "rep"), "ngram-wanted")
-    ids = wanted.select("rep").distinct()
-    ids = F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids
-    texts = rows.join(ids, F.col("id").eqNullSafe(F.col("rep")), "left_semi")
-    found = _sets(texts, counters, percent).join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
-    found = materialize(found, "ngram-sets")
+    n = wanted.count()
+    texts = rows.join(F.broadcast(wanted) if n <= BROADCAST_IDS else wanted, F.col("id").eqNullSafe(F.col("rep")))
+    found = materialize(_sets(texts, counters, percent), "ngram-sets")
+    if found.count() > n:  # repeated rows of one id
+        found = materialize(found.dropDuplicates(["cls"]), "ngram-sets")
     return found if known is None else known.union(found)
 
 
+def _classes_in(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+
+
+def _only(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets of the classes in ``pairs``: the others are not shuffled to the pairs."""
+    names = materialize(_classes_in(pairs), "ngram-names")
+    return sets.join(F.broadcast(names) if names.count() <= BROADCAST_IDS else names, "cls", "left_semi")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, linked) of the pairs that the suffix filter leaves, each compared once."""
-    rest = sets.select("cls", "rest")
+    rest = _only(sets.select("cls", "rest"), pairs)
     pairs = (pairs.join(rest.select(F.col("cls").alias("a"), F.col("rest").alias("a_rest")), "a")
              .join(rest.select(F.col("cls").alias("b"), F.col("rest").alias("b_rest")), "b"))
     common = F.aggregate(F.zip_with("a_rest", "b_rest", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
     at_most = F.col("shared") + F.col("a_left") + F.col("b_left") + common
-    pairs = pairs.filter(at_most >= _needed(percent)).select("a", "b", "a_size", "b_size")
+    pairs = materialize(pairs.filter(at_most >= _needed(percent)).select("a", "b", "a_size", "b_size"), "ngram-verify")
+    sets = _only(sets.select("cls", "tokens"), pairs)
     both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("a_tokens")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("b_tokens")), "b"))
     same = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -284,11 +327,11 @@ def _pairs(met: DataFrame, percent: int) -> DataFrame:
 
 
 def _counters(spark: SparkSession, counted: DataFrame):
-    """The summed counters, as a broadcast array of ``1 << SKETCH_BITS`` numbers."""
+    """The summed counters, as a broadcast array: ``1 << SKETCH_BITS`` numbers of shingles, as many of words."""
     sums = (counted.filter("kind = 1").select("chunk", "counts").repartition("chunk").sortWithinPartitions("chunk")
             .mapInPandas(_added, "chunk int, counts binary"))
-    table = np.zeros((1 << SKETCH_BITS) // CHUNK * CHUNK, np.uint32).reshape(-1, CHUNK)
-    for row in sums.collect():  # (1 << SKETCH_BITS) / CHUNK rows
+    table = np.zeros(2 << SKETCH_BITS, np.uint32).reshape(-1, CHUNK)
+    for row in sums.collect():  # (2 << SKETCH_BITS) / CHUNK rows
         table[row.chunk] = np.frombuffer(row.counts, np.uint32)
     return spark.sparkContext.broadcast(table.ravel())
 

@@ -106,7 +106,21 @@ def test_long_text(spark):
 
 def test_prefix_and_order():
     assert [J.prefix_length(n) for n in (1, 9, 10, 11, 100)] == [1, 1, 2, 2, 11]
-    counters = np.zeros(1 << J.SKETCH_BITS, np.uint32)
+    counters = np.zeros(1 << J.SKETCH_BITS, np.int64)
     s = np.array([1 << 50, 2 << 50, 3 << 50], np.uint64)
     counters[(s >> np.uint64(64 - J.SKETCH_BITS)).astype(int)] = [5, 1, 5]
     assert J.rare_first(s, counters).tolist() == [2 << 50, 1 << 50, 3 << 50]
+
+
+def test_shared_shingles_come_in_one_order():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randint(0, 40)}" for _ in range(rng.randint(1, 200))) for _ in range(40)]
+    counters = np.zeros((2, 1 << J.SKETCH_BITS), np.uint32)
+    words = J.lower_words([t.encode() for t in texts])
+    np.add.at(counters[0], J._slot(np.concatenate(J.shingle_sets([t.encode() for t in texts]))), 1)
+    np.add.at(counters[1], J._slot(words.hash), 1)
+    found = list(J._ordered_sets(texts, *J.rarity(counters)))
+    for (a, x), (b, y) in itertools.combinations(found, 2):
+        assert sorted(x.tolist()) == a.tolist()
+        both = set(a.tolist()) & set(b.tolist())
+        assert [t for t in x.tolist() if t in both] == [t for t in y.tolist() if t in both]
