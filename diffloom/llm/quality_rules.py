@@ -28,16 +28,16 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 @dataclass(frozen=True)
 class Limits:
-    """Shares above these reject a text. ``gram_chars``: n-gram length -> share of characters."""
+    """Shares above these reject a text. ``gram_chars``: n-gram length -> share of characters; short n-grams see words
+    in runs, which the base rules do not."""
 
     min_words: int = 10
     repeat_words_percent: int = 20
-    gram_chars: tuple[tuple[int, float], ...] = ((5, 0.35), (7, 0.32), (10, 0.30))
-    line_chars: float = 0.40
+    gram_chars: tuple[tuple[int, float], ...] = ((2, 0.65), (3, 0.60), (5, 0.30), (7, 0.28), (10, 0.26))
+    line_chars: float = 0.35
     symbol_share: float = 0.05
-    #: A text of fewer words is judged by its base rules and symbols only: one repeat in a
-    #: few lines already covers a large share.
-    cover_words: int = 50
+    #: One repeat of so many words may come on top in a text of any length (a share of slack_words / n_words).
+    slack_words: int = 4
 
 
 _SYMBOLS = np.zeros(256, bool)
@@ -106,10 +106,11 @@ def measure(texts: list[bytes], limits: Limits) -> pd.DataFrame:
     line_share = line_pairs[:, 1] / np.maximum(n_chars, 1)
     symbols = n_symbols / np.maximum(word_chars, 1)
     failed = (n_words < limits.min_words) | (100 * repeat_words > limits.repeat_words_percent * n_words)
-    over = line_share > limits.line_chars
+    slack = limits.slack_words / np.maximum(n_words, 1)
+    over = line_share > limits.line_chars + slack
     for length, most in limits.gram_chars:
-        over |= share[length] > most
-    kept = ~failed & ~(over & (n_words >= limits.cover_words)) & (symbols <= limits.symbol_share)
+        over |= share[length] > most + slack
+    kept = ~failed & ~over & (symbols <= limits.symbol_share)
     return pd.DataFrame({
         "n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": line_pairs[:, 0],
         "n_repeat_words": repeat_words, "dup_line_chars": line_share,

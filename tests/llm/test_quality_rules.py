@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from diffloom.llm import queries as Q
-from diffloom.llm.quality_rules import keep_passing, rules
+from diffloom.llm.quality_rules import Limits, keep_passing, measure, rules
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +69,19 @@ def test_clean_documents_stay_and_junk_goes(spark):
     junk = [r for r in rows if r.quality == 0]
     assert sum(r.kept for r in clean) >= 0.99 * len(clean)
     assert sum(not r.kept for r in junk) >= 0.5 * len(junk)
+
+
+def test_coverage_decides():
+    runs = " ".join(w for w in "house tree river cloud stone bread light night".split() for _ in range(5)).encode()
+    headed = b"To be and not.\nHere follows one more line of plain words without end\nTo be and not."
+    with_rules = measure([runs, headed], Limits())
+    assert not with_rules.base_failed.any() and with_rules.kept.tolist() == [False, True]
+    assert measure([runs], Limits(gram_chars=())).kept.tolist() == [True]
+
+
+def test_coverage_changes_verdicts_and_keeps_clean_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "left")
+    rows = docs.select("quality", rules(F.col("text")).kept.alias("kept"), rules(F.col("text"), Limits(gram_chars=())).kept.alias("without"))
+    changed = [r.quality for r in rows.filter("kept <> without").collect()]
+    assert changed and 1 not in changed
