@@ -31,10 +31,10 @@ CRLF = "\r\n"
 END = b"\r\n\r\n"
 
 
-def _record_id(kind: str) -> Column:
+def _record_id(page_id: Column, nth: Column) -> Column:
     """A name-based identifier of the record: the digest of its page id, place among repeats and payload."""
-    h = F.sha1(F.concat_ws("|", F.lit(kind), F.coalesce(F.col("page_id").cast("string"), F.lit("null")),
-                           F.col("nth").cast("string"), F.col("digest")))
+    h = F.sha1(F.concat_ws("|", F.lit("record"), F.coalesce(page_id.cast("string"), F.lit("null")),
+                           nth.cast("string"), F.col("digest")))
     return F.concat(F.lit("<urn:sha1:"), h, F.lit(">"))
 
 
@@ -68,10 +68,10 @@ def records(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: s
     rows = rows.withColumn("http", http)
     length = F.length("http") + F.when(F.col("revisit"), 0).otherwise(F.col("payload_bytes"))
     field = lambda name, value: F.concat(F.lit(f"{name}: "), value)
-    of_owner = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("first_id").cast("string"), F.lit("null")), F.lit(">"))
+    of_owner = _record_id(F.col("first_id"), F.lit(1))
     head = F.concat_ws(
         CRLF, F.lit("WARC/1.1"), field("WARC-Type", F.when(F.col("revisit"), "revisit").otherwise("response")),
-        field("WARC-Record-ID", _record_id("record")), field("WARC-Date", F.lit(date)),
+        field("WARC-Record-ID", _record_id(F.col("page_id"), F.col("nth"))), field("WARC-Date", F.lit(date)),
         field("WARC-Target-URI", F.col("url")),
         field("X-Page-ID", F.coalesce(F.col("page_id").cast("string"), F.lit("null"))),
         field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
@@ -106,22 +106,28 @@ def _header_field(name: str) -> Column:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Every record, from the two tables: (page_id, url, record_type, refers_to, payload_bytes,
     payload_digest, payload, record). The fields come from the header's text, ``record`` is the
-    whole record as bytes, ``payload`` the full payload, of revisits that of the response."""
-    headers = spark.read.parquet(os.path.join(path, "headers")).select("header", F.col("digest").alias("_digest"))
+    whole record as bytes, ``payload`` the full payload, of revisits that of the response. ``refers_to`` is the page of
+    the response whose ``WARC-Record-ID`` the revisit's ``WARC-Refers-To`` names."""
+    written = spark.read.parquet(os.path.join(path, "headers"))
+    headers = written.select("header", F.col("digest").alias("_digest"))
     payloads = spark.read.parquet(os.path.join(path, "payloads")).select("digest", "payload")
-    rows = headers.join(payloads, headers["_digest"] == payloads["digest"], "left")
-    rows = rows.withColumn("head", F.decode("header", "UTF-8"))
     number = lambda text: F.when(text.isin("null", ""), None).otherwise(text.cast("long"))
+    owners = written.filter("stored").select(F.col("digest").alias("_owned"), F.decode("header", "UTF-8").alias("head"))
+    owners = owners.select("_owned", _header_field("WARC-Record-ID").alias("owner"), number(_header_field("X-Page-ID")).alias("owner_page"))
+    rows = headers.join(payloads, headers["_digest"] == payloads["digest"], "left").join(owners, F.col("_digest") == F.col("_owned"), "left")
+    rows = rows.withColumn("head", F.decode("header", "UTF-8"))
     kind = _header_field("WARC-Type")
     stated = F.regexp_extract(_header_field("WARC-Payload-Digest"), "^sha1:([0-9a-f]{40})$", 1)
     good = F.col("payload").isNotNull() & (F.sha1("payload") == stated) & (F.sha2("payload", 256) == _header_field("X-Payload-SHA256"))
     payload = F.when(good, F.col("payload")).otherwise(F.raise_error(F.lit("a payload does not have its record's digest")))
     own = F.when(kind == "response", payload).otherwise(F.lit(b""))
+    referred = F.when(_header_field("WARC-Refers-To") == F.col("owner"), F.col("owner_page")).otherwise(
+        F.raise_error(F.lit("a revisit names no response with its payload")))
     url = _header_field("WARC-Target-URI")
     for c in "\n\r%":
         url = F.replace(url, F.lit(f"%{ord(c):02X}"), F.lit(c))
     return rows.select(
         number(_header_field("X-Page-ID")).alias("page_id"), url.alias("url"), kind.alias("record_type"),
-        number(F.regexp_extract(_header_field("WARC-Refers-To"), "page:(.*)>", 1)).alias("refers_to"),
+        F.when(kind == "revisit", referred).alias("refers_to"),
         F.octet_length(payload).cast("long").alias("payload_bytes"), stated.alias("payload_digest"), payload.alias("payload"),
         F.concat(F.col("header"), own, F.lit(END)).alias("record"))

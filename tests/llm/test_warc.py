@@ -33,6 +33,12 @@ def test_round_trip(spark):
         own = b"" if r.record_type == "revisit" else bytes(r.payload)
         assert body == own + b"\r\n\r\n" and int(fields[b"Content-Length"]) == len(http) + 4 + len(own)
         assert r.payload_digest == hashlib.sha1(bytes(r.payload)).hexdigest() and r.payload_bytes == len(r.payload)
+    named = [dict(re.findall(rb"(?m)^([\w-]+): (.*?)\r?$", bytes(r.record).partition(b"\r\n\r\n")[0])) for r in got]
+    responses = {f[b"WARC-Record-ID"]: f[b"X-Page-ID"] for f in named if f[b"WARC-Type"] == b"response"}
+    assert len({f[b"WARC-Record-ID"] for f in named}) == len(got)
+    for r, f in zip(got, named):
+        assert (b"WARC-Refers-To" in f) == (r.record_type == "revisit")
+        assert r.record_type == "response" or responses[f[b"WARC-Refers-To"]] == str(r.refers_to).encode()
     kinds = sorted(((r.page_id, r.record_type, r.refers_to) for r in got if bytes(r.payload).decode() == BIG), key=str)
     assert kinds == sorted([(1, "revisit", 9), (2, "revisit", 9), (9, "response", None), (9, "revisit", 9), (None, "revisit", 9)], key=str)
     assert all(r.record_type == "response" and r.refers_to is None for r in got if r.payload_bytes < 1000)
