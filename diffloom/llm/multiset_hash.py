@@ -19,6 +19,7 @@ without a global sort in one task: see ``edited``.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +33,43 @@ EXACT_LANES = 16
 LIKENESS_LANES = 128
 SHINGLE_WORDS = 3
 _EXACT_BYTES = 8 * EXACT_LANES
+#: A longer text is hashed in parts of about so many bytes, cut between paragraphs.
+PART_BYTES = 1 << 18
+
+
+def _parts(text: bytes) -> Iterator[bytes]:
+    """The text cut at line breaks into parts of about ``PART_BYTES``; a longer line stays whole."""
+    start = 0
+    while (end := text.find(b"\n", start + PART_BYTES)) >= 0:
+        yield text[start:end]
+        start = end + 1
+    yield text[start:]
 
 
 def vectors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(texts x 16 lanes modulo 2**64, texts x 128 lanes modulo 2**32)."""
+    """(texts x 16 lanes modulo 2**64, texts x 128 lanes modulo 2**32). A long text is the sum of its
+    parts, one in memory at a time."""
+    exact = np.zeros((len(texts), EXACT_LANES), np.uint64)
+    likeness = np.zeros((len(texts), LIKENESS_LANES), np.uint32)
+    short = [i for i, t in enumerate(texts) if len(t) <= PART_BYTES]
+    exact[short], likeness[short] = _part_vectors([texts[i] for i in short])
+    for i, text in enumerate(texts):
+        if len(text) > PART_BYTES:
+            for part in _parts(text):
+                a, b = _part_vectors([part])
+                exact[i] += a[0]
+                likeness[i] += b[0]
+    return exact, likeness
+
+
+def _part_vectors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     n = len(texts)
     exact = np.zeros((n, EXACT_LANES), np.uint64)
     for i, text in enumerate(texts):
-        digests = b"".join(hashlib.shake_128(line).digest(_EXACT_BYTES) for line in text.split(b"\n"))
-        exact[i] = np.frombuffer(digests, "<u8").reshape(-1, EXACT_LANES).sum(axis=0, dtype=np.uint64)
+        lines = Counter(text.split(b"\n"))
+        digests = b"".join(hashlib.shake_128(line).digest(_EXACT_BYTES) for line in lines)
+        times = np.fromiter(lines.values(), np.uint64, len(lines))[:, None]
+        exact[i] = (np.frombuffer(digests, "<u8").reshape(-1, EXACT_LANES) * times).sum(axis=0, dtype=np.uint64)
     likeness = np.zeros((n, LIKENESS_LANES), np.int64)
     words = Words(texts)
     if len(words):

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from diffloom.llm import multiset_hash as M
 from diffloom.llm import queries as Q
 from diffloom.llm.multiset_hash import combine, edited, fingerprint, from_hex, likeness, to_hex, vectors
 
@@ -77,3 +79,23 @@ def test_equal_texts(spark):
     df = spark.createDataFrame([(i, "same text\nof lines") for i in range(30)], "doc_id long, text string")
     got = edited(df, ranges=4).collect()
     assert len({r.fingerprint for r in got}) == 1 and all(r.near_next == 1.0 for r in got)
+
+
+def test_long_texts_are_the_sum_of_their_parts(monkeypatch):
+    rng = random.Random(3)
+    texts = ["\n".join(" ".join(rng.choices("ab cd ef gh".split(), k=rng.randint(0, 5))) for _ in range(rng.randint(0, 400)))
+             for _ in range(20)] + ["\n" * 300, "x" * 999 + "\n" + "y z " * 500]
+    raw = [t.encode() for t in texts]
+    whole = M.vectors(raw)
+    monkeypatch.setattr(M, "PART_BYTES", 64)
+    parts = M.vectors(raw)
+    assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+
+
+def test_memory_of_many_paragraphs():
+    for text in (b"\n" * 50_000_000, b"".join(b"%d\n" % i for i in range(1_000_000))):
+        tracemalloc.start()
+        M.vectors([text])
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200_000_000
