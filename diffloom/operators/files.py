@@ -157,10 +157,8 @@ def edits_only_text(content, hunks, context: int = 15, compat: bool = False) ->
     with ``compat=True`` counts from the end of the file as Python slicing does.
 
     ``hunks`` = array<struct<old_start, old_len>>."""
-    lines = F.transform(F.split(col_of(content), "\n"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(" "), x))
-    n = F.size(lines)
-
-    def piece(h):
+    def piece(lines, h):
+        n = F.size(lines)
         start = h["old_start"] - context
         end = start + h["old_len"] + context
         if compat:
@@ -169,7 +167,11 @@ def edits_only_text(content, hunks, context: int = 15, compat: bool = False) ->
         else:
             lo = F.greatest(start, F.lit(0))
             hi = F.least(end, n)
-        body = F.array_join(F.slice(lines, lo + 1, F.greatest(hi - lo, F.lit(0))), "\n")
+        cut = F.slice(lines, lo + 1, F.greatest(hi - lo, F.lit(0)))
+        body = F.array_join(F.transform(cut, lambda x, i: F.concat((lo + i + 1).cast("string"), F.lit(" "), x)), "\n")
         return F.concat(F.when(start > 0, F.lit("...\n")).otherwise(F.lit("")), body, F.lit("\n"),
                         F.when(end < n, F.lit("...\n")).otherwise(F.lit("")))
-    return F.regexp_replace(F.array_join(F.transform(col_of(hunks), piece), ""), r"^\n+|\n+$", "")
+
+    # the file is split once, as the only element of an array, not again for each hunk
+    pieces = F.flatten(F.transform(F.array(F.split(col_of(content), "\n")), lambda lines: F.transform(col_of(hunks), lambda h: piece(lines, h))))
+    return F.regexp_replace(F.array_join(pieces, ""), r"^\n+|\n+$", "")

@@ -59,7 +59,7 @@ def _style2(r) -> Column:
 def _style3(r) -> Column:
     return F.concat_ws("\n", F.lit(INTRO), F.lit("<issue>"), r["problem_statement"], F.lit("</issue>"),
                        F.lit("<code>"), r["readmes"], r["code"], F.lit("</code>"),
-                       F.lit("Here is an example of a patch file:"), F.lit("<patch>"), F.lit("</patch>"),
+                       F.lit("A patch has this form:"), F.lit("<patch>"), F.lit("</patch>"),
                        F.lit(PATCH_INSTRUCTION))
 
 

@@ -13,6 +13,7 @@ from diffloom.plans import view_queries as W
 from diffloom.plans import order_queries as O
 from diffloom.plans import report_queries as Q
 from diffloom.plans import stream_queries as S
+from diffloom.plans import rest_queries as X
 from diffloom.plans.oracles import ORACLES
 from diffloom.plans.view_oracles import VIEW_ORACLES
 
@@ -49,6 +50,7 @@ QUERIES = {
     "asof_version_order": V.asof_version_order,
     "bm25_top20": R.bm25_top20,
     "recall": R.recall,
+    "recall_means": R.recall_means,
     "pack_context": R.pack_context_q,
     "code_text": R.code_text_q,
     "train_tokens": R.train_tokens_q,
@@ -71,6 +73,10 @@ QUERIES = {
     "collected_pulls": S.collected_pulls,
     "streamed_grades": S.streamed_grades,
     "regraded": S.regraded,
+    "edit_windows": X.edit_windows,
+    "issue_statements": X.issue_statements,
+    "package_ranks": X.package_ranks,
+    "document_splits": X.document_splits,
 }
 
 
@@ -79,4 +85,4 @@ def queries():
 
 
 def oracle_sql():
-    return {k: v for k, v in (ORACLES | VIEW_ORACLES).items() if k in QUERIES}
+    return {k: v for k, v in (ORACLES | VIEW_ORACLES | X.REST_ORACLES).items() if k in QUERIES}

@@ -308,6 +308,11 @@ SELECT ng.item_id, ng.n_gold, nr.n_retrieved, coalesce(nh.n_hit, 0) AS n_hit,
        round(CAST(coalesce(nh.n_hit, 0) AS DOUBLE) / ng.n_gold, 6) AS recall
 FROM ng JOIN nr ON nr.item_id = ng.item_id LEFT JOIN nh ON nh.item_id = ng.item_id"""
 
+ORACLES["recall_means"] = f"""
+SELECT round(avg(CAST(n_hit AS DOUBLE) / n_gold) * 100, 2) AS avg_recall, round(avg(CAST(n_hit > 0 AS DOUBLE)) * 100, 2) AS any_recall,
+       round(avg(CAST(n_hit = n_gold AS DOUBLE)) * 100, 2) AS full_recall, count(*) AS n_instances
+FROM ({ORACLES["recall"]}) AS r"""
+
 _PACK = r"""
 h2 AS (SELECT h.query_id, h.corpus_id, h.rank, h.doc_id, len(regexp_extract_all(d.text, '\S+')) AS tokens
        FROM hits h JOIN documents d ON d.doc_id = h.doc_id),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from diffloom.functions.text import word_count, words
 from diffloom.operators.joins import broadcast_derived
 from diffloom.operators.prompts import code_text, pack_context, render_prompt, text_dataset
-from diffloom.operators.retrieval import bm25_index, bm25_search, retrieval_recall
+from diffloom.operators.retrieval import bm25_index, bm25_search, recall_summary, retrieval_recall
 from diffloom.operators.tokens import regex_tokens, register_tokenizer, train_tokens
 from diffloom.plans.common import t
 
@@ -49,18 +49,26 @@ def passage_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("item_id", "doc_id").distinct()
 
 
-def recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E7 + H2: per item, share of its gold documents among the retrieved ones (all corpora)."""
+def _recalls(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = _hits(spark, sf_dir)
     retrieved = h.select(F.col("query_id").alias("instance_id"), "rank",
                          F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("file"))
     gold = passage_gold(spark, sf_dir).select(F.col("item_id").alias("instance_id"),
                                               F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("file"))
-    r = retrieval_recall(retrieved, gold)
-    return r.select(F.col("instance_id").alias("item_id"), "n_gold", "n_retrieved", "n_hit",
+    return retrieval_recall(retrieved, gold)
+
+
+def recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E7 + H2: per item, share of its gold documents among the retrieved ones (all corpora)."""
+    return _recalls(spark, sf_dir).select(F.col("instance_id").alias("item_id"), "n_gold", "n_retrieved", "n_hit",
                     F.round("recall", 6).alias("recall"))
 
 
+def recall_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means over the items of recall, of any and of full recall, in percent."""
+    return recall_summary(_recalls(spark, sf_dir))
+
+
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = _hits(spark, sf_dir)
     dl = t(spark, sf_dir, "documents").select("doc_id", word_count("text").cast("long").alias("tokens"))

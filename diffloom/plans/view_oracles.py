@@ -122,7 +122,7 @@ WITH c AS (SELECT conv_id, turn, text, '[start of a.py]' || chr(10) || text || c
 SELECT conv_id, turn,
   md5({_HEAD} || {_MID} || chr(10) || {_CODE} || '{PATCH_INSTRUCTION}') AS style_2_md5,
   md5({_HEAD} || '{EXCERPTS}' || chr(10) || {_MID} || chr(10) || {_CODE} || '{PATCH_INSTRUCTION}') AS style_2_edits_only_md5,
-  md5({_HEAD} || {_MID} || chr(10) || {_CODE} || 'Here is an example of a patch file:' || chr(10) || '<patch>' || chr(10) || '</patch>' || chr(10)
+  md5({_HEAD} || {_MID} || chr(10) || {_CODE} || 'A patch has this form:' || chr(10) || '<patch>' || chr(10) || '</patch>' || chr(10)
       || '{PATCH_INSTRUCTION}') AS style_3_md5,
   md5({_HEAD} || {_MID} || {_CODE} || 'Rewrite the complete files that need changes.') AS full_file_gen_md5,
   md5(array_to_string({_IDS.format(_STRIP.format("text") + " || chr(10)")}, ',')) AS input_md5,
