@@ -33,7 +33,7 @@ def staged(spark, docs, sf_dir):
 def test_registered():
     assert "pipeline" in E.queries() and [n for n in E.queries() if n.startswith("op")] == list(
         dict.fromkeys(n for n in E.queries() if n.startswith("op")))
-    assert {n.split("_")[0] for n in E.queries() if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in E.queries() if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert 4 <= len(P.STAGES) <= 5
 
 
