@@ -17,9 +17,11 @@ To find what is connected, not every pair of a large group of near copies is nee
 
 In both, sizes are compared (length filter), shared prefix shingles are added up for each pair and bound the overlap by
 what follows the last of them (positional filter), and the rest of both sets is compared by counts in ``PARTS`` hash
-ranges (suffix filter). What is left is verified, once for each pair. In step 1 a pair may also share lists
+ranges (suffix filter). What is left is verified, once for each pair: first each class with that of its partners which has
+most pairs, then the pairs that this leaves in different components, so that a set is shuffled for a few pairs, however
+large its group. In step 1 a pair may also share lists
 without meeting there; the bounds add as many as either class has longer lists than leaders. A pair that is no
-candidate in step 2 was verified, is in one component already or cannot link. Texts are read again for the classes that are verified, whose ids are
+candidate in step 2 was verified, is in one component already or cannot link. Classes in lists go by numbers of 8 bytes. Texts are read again for the classes that are verified, whose ids are
 broadcast up to ``BROADCAST_IDS`` of them and joined by a shuffle beyond; their sets are compared as arrays.
 
 Documents without text or words have an empty set and link with nothing; documents of fewer than three
@@ -187,23 +189,23 @@ def _prefixes(rows: DataFrame, counters, percent: int) -> DataFrame:
 
 
 def _sets(rows: DataFrame, counters, percent: int) -> DataFrame:
-    """(cls, tokens, rest): the sets of those texts that are of the class named beside them, and their counts behind the
+    """(cls, tokens, rest): the sets of those texts that have the class ``name`` beside them, and their counts behind the
     prefix by hash range."""
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables = rarity(counters.value)
         for batch in batches:
-            names, tokens, rest = [], [], []
-            for wanted, (s, rarest) in zip(batch["cls"], _ordered_sets(batch["text"], *tables)):
-                if class_of(s) != wanted:  # a repeated id with another text
+            numbers, tokens, rest = [], [], []
+            for number, name, (s, rarest) in zip(batch["cls"], batch["name"], _ordered_sets(batch["text"], *tables)):
+                if class_of(s) != name:  # a repeated id with another text
                     continue
-                names.append(wanted)
+                numbers.append(number)
                 tokens.append(s.view(np.int64))
                 behind = rarest[prefix_length(len(s), percent):]
                 rest.append(np.bincount((behind % np.uint64(PARTS)).astype(np.int64), minlength=PARTS).astype(np.int32))
-            yield pd.DataFrame({"cls": names, "tokens": tokens, "rest": rest})
+            yield pd.DataFrame({"cls": numbers, "tokens": tokens, "rest": rest})
 
-    return rows.select("text", "cls").mapInPandas(made, "cls binary, tokens array<long>, rest array<int>")
+    return rows.select("text", "cls", "name").mapInPandas(made, "cls long, tokens array<long>, rest array<int>")
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -234,7 +236,7 @@ def _fetch(pairs: DataFrame, rows: DataFrame, classes: DataFrame, counters, perc
     wanted = _classes_in(pairs)
     if known is not None:
         wanted = wanted.join(known.select("cls"), "cls", "left_anti")
-    wanted = materialize(classes.join(wanted, "cls", "left_semi").select("cls", "rep"), "ngram-wanted")
+    wanted = materialize(classes.join(wanted, "cls", "left_semi").select("cls", "name", "rep"), "ngram-wanted")
     n = wanted.count()
     texts = rows.join(F.broadcast(wanted) if n <= BROADCAST_IDS else wanted, F.col("id").eqNullSafe(F.col("rep")))
     found = materialize(_sets(texts, counters, percent), "ngram-sets")
@@ -253,37 +255,65 @@ def _only(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return sets.join(F.broadcast(names) if names.count() <= BROADCAST_IDS else names, "cls", "left_semi")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of the pairs that the suffix filter leaves, each compared once."""
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the suffix filter leaves."""
     rest = _only(sets.select("cls", "rest"), pairs)
     pairs = (pairs.join(rest.select(F.col("cls").alias("a"), F.col("rest").alias("a_rest")), "a")
              .join(rest.select(F.col("cls").alias("b"), F.col("rest").alias("b_rest")), "b"))
     common = F.aggregate(F.zip_with("a_rest", "b_rest", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
     at_most = F.col("shared") + F.col("a_left") + F.col("b_left") + common
-    pairs = materialize(pairs.filter(at_most >= _needed(percent)).select("a", "b", "a_size", "b_size"), "ngram-verify")
+    return materialize(pairs.filter(at_most >= _needed(percent)).select("a", "b", "a_size", "b_size"), "ngram-possible")
+
+
+def _to_hubs(pairs: DataFrame) -> DataFrame:
+    """Each class's pair with that of its partners which has most pairs (ties: the largest): no more pairs than classes."""
+    ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).union(pairs.select("b", "a"))
+    degree = ends.groupBy("x").agg(F.count("*").alias("n")).select(F.col("x").alias("y"), "n")
+    hubs = ends.join(degree, "y").groupBy("x").agg(F.max_by("y", F.struct("n", "y")).alias("y"))
+    return pairs.join(hubs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), ["a", "b"], "left_semi")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked) of pairs, by their sets."""
+    pairs = materialize(pairs, "ngram-verify")
     sets = _only(sets.select("cls", "tokens"), pairs)
     both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("a_tokens")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("b_tokens")), "b"))
     same = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return both.select("a", "b", "a_size", "b_size", same.alias("same")).select(
+    both = both.select("a", "b", "a_size", "b_size", same.alias("same")).select(
         "a", "b", (100 * F.col("same") >= percent * (F.col("a_size") + F.col("b_size") - F.col("same"))).alias("linked"))
+    return materialize(both, "ngram-checked")
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs of classes that are in different components."""
+    for end in ("a", "b"):
+        pairs = pairs.join(comps.select(F.col("node").alias(end), F.col("component").alias(f"{end}_comp")), end, "left")
+    other = F.coalesce("a_comp", "a") != F.coalesce("b_comp", "b")
+    return pairs.filter(other).select("a", "b", "a_size", "b_size")
+
+
+def _numbered(lists: DataFrame) -> DataFrame:
+    """Lists whose classes (``name``) have numbers: that of one of their rows in the written table; one shuffle, by class."""
+    of_class = Window.partitionBy("name")
+    lists = lists.withColumn("row", F.monotonically_increasing_id()).withColumn("cls", F.min("row").over(of_class))
+    long = F.sum((F.col("k") > LEADERS).cast("int")).over(of_class).cast("int")
+    return materialize(_ranked(lists.withColumn("long", long), "name").drop("row", "k"), "ngram-numbered")
 
 
-def _across(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
+def _across(lists: DataFrame, comps: DataFrame) -> DataFrame:
     """The lists with classes of more than one component; ``main`` is the one most of a list belong to."""
-    if comps is None:
-        return materialize(_ranked(lists.withColumn("comp", F.col("cls"))), "ngram-across")
     owned = lists.join(comps, lists["cls"] == comps["node"], "left").select(
         "token", "cls", "size", "pos", "long", F.coalesce("component", "cls").alias("comp"))
     in_list = Window.partitionBy("token")
     owned = (owned.withColumn("main", F.mode("comp").over(in_list)).withColumn("low", F.min("comp").over(in_list))
              .withColumn("high", F.max("comp").over(in_list)).filter("low <> high").drop("low", "high"))
-    return materialize(_ranked(owned), "ngram-across")
+    return materialize(_ranked(owned, "cls"), "ngram-across")
 
 
-def _ranked(lists: DataFrame) -> DataFrame:
+def _ranked(lists: DataFrame, by: str) -> DataFrame:
     """With how many rows a class has in these lists, and how many of them come before; a class has no more than its prefix."""
-    of_class = Window.partitionBy("cls")
+    of_class = Window.partitionBy(by)
     return lists.withColumn("known", F.count("*").over(of_class)).withColumn("rank", F.row_number().over(of_class.orderBy("pos")) - 1)
 
 
@@ -345,25 +375,33 @@ def links(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: in
     classes = members.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("rep"))
     counters = _counters(spark, counted)
     in_list = Window.partitionBy("token")
-    lists = _prefixes(rows, counters, percent).repartition("token").groupBy("token", "cls").agg(F.min("size").alias("size"), F.min("pos").alias("pos"))
-    lists = materialize(lists.withColumn("k", F.count("*").over(in_list)).filter("k > 1"), "ngram-lists")
-    long = F.sum((F.col("k") > LEADERS).cast("int")).over(Window.partitionBy("cls")).cast("int")
-    lists = lists.withColumn("long", long).drop("k")
+    lists = _prefixes(rows, counters, percent).repartition("token").groupBy("token", F.col("cls").alias("name")).agg(
+        F.min("size").alias("size"), F.min("pos").alias("pos"))
+    lists = _numbered(materialize(lists.withColumn("k", F.count("*").over(in_list)).filter("k > 1"), "ngram-lists"))
+    named = lists.filter("rank = 0").select("cls", "name")  # one row of each class
+    classes = materialize(named.join(classes.withColumnRenamed("cls", "name"), "name"), "ngram-named")
     checked = linked = comps = sets = None
     for step in range(ROUNDS + 1):
-        across = _across(lists, comps)
+        across = lists.withColumn("comp", F.col("cls")) if comps is None else _across(lists, comps)
         pairs = _with_leaders(across, step, percent) if step < ROUNDS else _with_all(across, percent)
         if checked is not None:
             pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         pairs = materialize(pairs, "ngram-pairs")
         sets = _fetch(pairs, rows, classes, counters, percent, sets)
-        found = materialize(_verified(pairs, sets, percent), "ngram-checked")
-        checked = found if checked is None else checked.union(found)
-        new = found.filter("linked").select("a", "b")
-        linked = new if linked is None else linked.union(new)
+        pairs = _possible(pairs, sets, percent)
+        for chosen in (_to_hubs(pairs), None):
+            if chosen is None:
+                comps = components(linked)
+                chosen = _apart(pairs.join(found.select("a", "b"), ["a", "b"], "left_anti"), comps)
+            found = _compared(chosen, sets, percent)
+            checked = found if checked is None else checked.union(found)
+            new = found.filter("linked").select("a", "b")
+            linked = new if linked is None else linked.union(new)
         if step < ROUNDS:
             comps = components(linked)
-    return members, linked
+    for end in ("a", "b"):
+        linked = linked.join(classes.select(F.col("cls").alias(end), F.col("name").alias(f"{end}_name")), end)
+    return members, linked.select(F.col("a_name").alias("a"), F.col("b_name").alias("b"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
