@@ -16,8 +16,9 @@ To find what is connected, not every pair of a large group of near copies is nee
    list's main component are joined with the list, so a group of ``k`` copies with ``r`` others takes ``r * k`` rows.
 
 In both, sizes are compared (length filter), shared prefix shingles are added up for each pair and bound the overlap by
-what follows the last of them (positional filter), and the rest of both sets is compared by counts in ``PARTS`` hash
-ranges (suffix filter). What is left is verified, once for each pair: first each class with that of its partners which has
+what follows the last of them (positional filter), and the distance of both sets, suffixes included, is bounded from
+below by the parities of their counts in two to four hash ranges a shingle: where these differ, one set has a shingle that
+the other has not (suffix filter). What is left is verified, once for each pair: first each class with that of its partners which has
 most pairs, then the pairs that this leaves in different components, so that a set is shuffled for a few pairs, however
 large its group. In step 1 a pair may also share lists
 without meeting there; the bounds add as many as either class has longer lists than leaders. A pair that is no
@@ -51,8 +52,6 @@ PERCENT = 90
 #: The counters of shingles and those of words: 4 MB each, whatever the input.
 SKETCH_BITS = 20
 CHUNK = 4096
-#: Hash ranges of the suffix filter.
-PARTS = 32
 #: Classes of each list that all others of the list are paired with, and how often.
 LEADERS = 8
 ROUNDS = 1
@@ -100,6 +99,14 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each hash range, whether it has an odd number of shingles, as bits of 64-bit words. Their number is a power of
+    two, two to four ranges a shingle; the two halves' exclusive or is what half as many ranges give."""
+    ranges = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles % np.uint64(ranges)).astype(np.int64), minlength=ranges) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -188,24 +195,18 @@ def _prefixes(rows: DataFrame, counters, percent: int) -> DataFrame:
     return rows.select("text").mapInArrow(listed, "token long, cls binary, size int, pos int")
 
 
-def _sets(rows: DataFrame, counters, percent: int) -> DataFrame:
-    """(cls, tokens, rest): the sets of those texts that have the class ``name`` beside them, and their counts behind the
-    prefix by hash range."""
+def _sets(rows: DataFrame) -> DataFrame:
+    """(cls, tokens, odd): the sets of those texts that have the class ``name`` beside them, and their parities."""
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = rarity(counters.value)
         for batch in batches:
-            numbers, tokens, rest = [], [], []
-            for number, name, (s, rarest) in zip(batch["cls"], batch["name"], _ordered_sets(batch["text"], *tables)):
-                if class_of(s) != name:  # a repeated id with another text
-                    continue
-                numbers.append(number)
-                tokens.append(s.view(np.int64))
-                behind = rarest[prefix_length(len(s), percent):]
-                rest.append(np.bincount((behind % np.uint64(PARTS)).astype(np.int64), minlength=PARTS).astype(np.int32))
-            yield pd.DataFrame({"cls": numbers, "tokens": tokens, "rest": rest})
+            sets = (s for _, run in steps(utf8(batch["text"])) for s in shingle_sets(run))
+            # a repeated id may have another text
+            found = [(number, s) for number, name, s in zip(batch["cls"], batch["name"], sets) if class_of(s) == name]
+            yield pd.DataFrame({"cls": [number for number, _ in found], "tokens": [s.view(np.int64) for _, s in found],
+                                "odd": [parities(s) for _, s in found]})
 
-    return rows.select("text", "cls", "name").mapInPandas(made, "cls long, tokens array<long>, rest array<int>")
+    return rows.select("text", "cls", "name").mapInPandas(made, "cls long, tokens array<long>, odd array<long>")
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -218,10 +219,6 @@ def _needed(percent: int, a: str = "a_size", b: str = "b_size") -> Column:
     return F.ceil(percent * (F.col(a) + F.col(b)) / (100 + percent))
 
 
-def _prefix(size: str, percent: int) -> Column:
-    return F.col(size) - F.ceil(percent * F.col(size) / 100) + 1
-
-
 def _in_reach(percent: int) -> Column:
     """Positional filter where two rows meet: no more is shared before the shingle than either has in the lists before
     it, and no more from it on than either has left. (A shingle shared before it is in both prefixes, so in a list; one
@@ -231,15 +228,15 @@ def _in_reach(percent: int) -> Column:
     return before + left >= _needed(percent, "x_size", "y_size")
 
 
-def _fetch(pairs: DataFrame, rows: DataFrame, classes: DataFrame, counters, percent: int, known: DataFrame | None) -> DataFrame:
-    """(cls, tokens, rest) of the classes in ``pairs``, those of ``known`` among them: texts are found by the classes' smallest ids."""
+def _fetch(pairs: DataFrame, rows: DataFrame, classes: DataFrame, known: DataFrame | None) -> DataFrame:
+    """(cls, tokens, odd) of the classes in ``pairs``, those of ``known`` among them: texts are found by the classes' smallest ids."""
     wanted = _classes_in(pairs)
     if known is not None:
         wanted = wanted.join(known.select("cls"), "cls", "left_anti")
     wanted = materialize(classes.join(wanted, "cls", "left_semi").select("cls", "name", "rep"), "ngram-wanted")
     n = wanted.count()
     texts = rows.join(F.broadcast(wanted) if n <= BROADCAST_IDS else wanted, F.col("id").eqNullSafe(F.col("rep")))
-    found = materialize(_sets(texts, counters, percent), "ngram-sets")
+    found = materialize(_sets(texts), "ngram-sets")
     if found.count() > n:  # repeated rows of one id
         found = materialize(found.dropDuplicates(["cls"]), "ngram-sets")
     return found if known is None else known.union(found)
@@ -256,13 +253,22 @@ def _only(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the suffix filter leaves."""
-    rest = _only(sets.select("cls", "rest"), pairs)
-    pairs = (pairs.join(rest.select(F.col("cls").alias("a"), F.col("rest").alias("a_rest")), "a")
-             .join(rest.select(F.col("cls").alias("b"), F.col("rest").alias("b_rest")), "b"))
-    common = F.aggregate(F.zip_with("a_rest", "b_rest", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    at_most = F.col("shared") + F.col("a_left") + F.col("b_left") + common
-    return materialize(pairs.filter(at_most >= _needed(percent)).select("a", "b", "a_size", "b_size"), "ngram-possible")
+    """The pairs that the suffix filter leaves. A set with twice the other's ranges is folded; none has more where
+    ``percent`` is above 50, and below that such pairs stay."""
+    odd = _only(sets.select("cls", "odd"), pairs)
+    pairs = (pairs.join(odd.select(F.col("cls").alias("a"), F.col("odd").alias("a_odd")), "a")
+             .join(odd.select(F.col("cls").alias("b"), F.col("odd").alias("b_odd")), "b"))
+
+    def folded(own: str, other: str) -> Column:
+        n = F.size(other)
+        halves = F.zip_with(F.slice(own, F.lit(1), n), F.slice(own, n + 1, n), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(own) > n, halves).otherwise(F.col(own))
+
+    unlike = F.aggregate(F.zip_with(folded("a_odd", "b_odd"), folded("b_odd", "a_odd"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda x, y: x + y)
+    more = F.greatest(F.size("a_odd"), F.size("b_odd")) > 2 * F.least(F.size("a_odd"), F.size("b_odd"))
+    pairs = pairs.filter(more | (F.col("a_size") + F.col("b_size") - unlike >= 2 * _needed(percent)))
+    return materialize(pairs.select("a", "b", "a_size", "b_size"), "ngram-possible")
 
 
 def _to_hubs(pairs: DataFrame) -> DataFrame:
@@ -343,17 +349,15 @@ def _with_all(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def _pairs(met: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs with their shared prefix shingles (``unseen`` lists counted as shared) and what is left of the
-    prefixes behind the last, by the positional filter."""
+    """Candidate pairs by the positional filter: the prefix shingles they share (``unseen`` lists counted as shared) and
+    what is left of the sets behind the last are enough."""
     swap = F.col("x_cls") > F.col("y_cls")
     pick = lambda c, one, other: F.when(swap, F.col(f"{other}_{c}")).otherwise(F.col(f"{one}_{c}"))
     met = met.select(pick("cls", "x", "y").alias("a"), pick("cls", "y", "x").alias("b"), pick("size", "x", "y").alias("a_size"),
                      pick("size", "y", "x").alias("b_size"), pick("pos", "x", "y").alias("a_pos"), pick("pos", "y", "x").alias("b_pos"), "unseen")
     pairs = met.groupBy("a", "b", "a_size", "b_size").agg((F.count("*") + F.max("unseen")).alias("shared"), F.max("a_pos").alias("a_pos"), F.max("b_pos").alias("b_pos"))
     behind = F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos")) - 1
-    pairs = pairs.filter(F.col("shared") + behind >= _needed(percent))
-    return pairs.select("a", "b", "a_size", "b_size", "shared", (_prefix("a_size", percent) - 1 - F.col("a_pos")).alias("a_left"),
-                        (_prefix("b_size", percent) - 1 - F.col("b_pos")).alias("b_left"))
+    return pairs.filter(F.col("shared") + behind >= _needed(percent)).select("a", "b", "a_size", "b_size")
 
 
 def _counters(spark: SparkSession, counted: DataFrame):
@@ -387,7 +391,7 @@ def links(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: in
         if checked is not None:
             pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         pairs = materialize(pairs, "ngram-pairs")
-        sets = _fetch(pairs, rows, classes, counters, percent, sets)
+        sets = _fetch(pairs, rows, classes, sets)
         pairs = _possible(pairs, sets, percent)
         for chosen in (_to_hubs(pairs), None):
             if chosen is None:

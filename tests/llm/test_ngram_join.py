@@ -124,3 +124,25 @@ def test_shared_shingles_come_in_one_order():
         assert sorted(x.tolist()) == a.tolist()
         both = set(a.tolist()) & set(b.tolist())
         assert [t for t in x.tolist() if t in both] == [t for t in y.tolist() if t in both]
+
+
+def test_parities_bound_the_distance():
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 31, 32, 33, 500, 4000):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[n // 10:], rng.integers(0, 1 << 63, n // 8).astype(np.uint64))))
+        x, y = J.parities(a), J.parities(b)
+        assert 2 * len(a) <= 64 * len(x) and (len(x) == 1 or 64 * len(x) < 4 * len(a))
+        if len(x) != len(y):
+            x, y = (x[:len(y)] ^ x[len(y):], y) if len(x) > len(y) else (x, y[:len(x)] ^ y[len(x):])
+        unlike = int(np.bitwise_count(x ^ y).sum())
+        distance = len(np.setxor1d(a, b))
+        assert 0.7 * distance <= unlike <= distance
+
+
+def test_percent_below_half(spark):
+    words = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:170])), (3, " ".join(words[:90])), (4, " ".join(words[300:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.near_duplicates(df, percent=40).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 1), (4, 4)]
