@@ -135,7 +135,7 @@ def test_parities_bound_the_distance():
         assert 2 * len(a) <= 64 * len(x) and (len(x) == 1 or 64 * len(x) < 4 * len(a))
         if len(x) != len(y):
             x, y = (x[:len(y)] ^ x[len(y):], y) if len(x) > len(y) else (x, y[:len(x)] ^ y[len(x):])
-        unlike = int(np.bitwise_count(x ^ y).sum())
+        unlike = int(np.bitwise_count((x ^ y).view(np.uint64)).sum())  # of signed numbers it counts their absolute value
         distance = len(np.setxor1d(a, b))
         assert unlike <= distance
         assert n < 500 or unlike >= 0.7 * distance  # few collide in large sets
