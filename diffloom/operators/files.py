@@ -3,12 +3,16 @@
 
 from __future__ import annotations
 
+import ast
+import warnings
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from diffloom import constants as K
 from diffloom.functions.text import as_string_array, col_of
-from diffloom.session import materialize
+from diffloom.session import materialize, ship_package
 
 
 def parse_test_ids(instances: DataFrame, snapshot: DataFrame | None = None, id_col: str = "instance_id") -> DataFrame:
@@ -121,24 +125,31 @@ def doc_contents(path, content) -> Column:
     return F.concat_ws("\n", col_of(path), col_of(content))
 
 
-# a module's, class's or function's docstring, and the definition line before it
-_DOC = r'(?:"""(?:[^"\\]|\\.|"(?!""))*"""|\'\'\'(?:[^\'\\]|\\.|\'(?!\'\'))*\'\'\')'
-_DEFINITION = r"(?m)^[ \t]*(?:async[ \t]+)?(class|def)[ \t]+(\w+)[^\n]*?(?:\([^)]*\)[^\n:]*)?:[ \t]*(?:\n\s*[rRuU]?(" + _DOC + "))?"
+def documented(source: str) -> str | None:
+    """The docstring of a Python file's module, then, level by level, the name and docstring of every class and function
+    that has one; None for a file that does not parse."""
+    try:
+        tree = ast.parse(source)
+    except (SyntaxError, ValueError, RecursionError, MemoryError):  # what ast raises for text that is no Python
+        return None
+    definitions = (n for n in ast.walk(tree) if isinstance(n, (ast.ClassDef, ast.FunctionDef, ast.AsyncFunctionDef)))
+    named = ((n.name, ast.get_docstring(n)) for n in definitions)
+    return "\n\n".join([ast.get_docstring(tree) or "", *(f"{name}\n{doc}" for name, doc in named if doc)])
 
 
 def doc_docstrings(snapshot: DataFrame) -> DataFrame:
-    """C19 ``docstrings`` encoding: the path, the module docstring, then each class and function in the
-    order of the file with its docstring. Patterns on the file's text, so a file with broken
-    syntax gives what can be read; a file without any of these gives its content."""
-    text = F.col("content")
-    bare = lambda d: F.btrim(F.substring(d, F.lit(4), F.length(d) - 6))
-    module = F.regexp_extract(text, r"^\s*(?:#[^\n]*\n\s*)*[rRuU]?(" + _DOC + ")", 1)
-    parts = [F.regexp_extract_all(text, F.lit(_DEFINITION), k) for k in (1, 2, 3)]
-    entries = F.transform(F.arrays_zip(*[p.alias(n) for p, n in zip(parts, "kvd")]), lambda e: F.concat(
-        e["k"], F.lit(" "), e["v"], F.when(e["d"] != "", F.concat(F.lit("\n"), bare(e["d"]))).otherwise(F.lit(""))))
-    lines = F.concat(F.array("path"), F.when(module != "", F.array(bare(module))).otherwise(F.array().cast("array<string>")), entries)
-    return snapshot.select("corpus_id", "path", F.when(F.size(lines) == 1, doc_contents("path", "content"))
-                           .otherwise(F.array_join(lines, "\n")).alias("text"))
+    """C19 ``docstrings`` encoding: the path, then the docstrings of the file's parse tree (``documented``), or the content
+    of a file that does not parse. Row by row in Arrow batches, no shuffle; a null content is empty."""
+    ship_package(snapshot.sparkSession)
+
+    @F.pandas_udf("string")
+    def docs(contents: pd.Series) -> pd.Series:
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")  # of odd escapes in the files' own strings
+            return contents.map(documented)
+
+    content = F.coalesce("content", F.lit(""))
+    return snapshot.select("corpus_id", "path", F.concat(col_of("path"), F.lit("\n"), F.coalesce(docs(content), content)).alias("text"))
 
 
 ENCODINGS = {"contents": lambda df: df.select("corpus_id", "path", doc_contents("path", "content").alias("text")),

@@ -74,6 +74,7 @@ QUERIES = {
     "streamed_grades": S.streamed_grades,
     "regraded": S.regraded,
     "edit_windows": X.edit_windows,
+    "docstring_texts": X.docstring_texts,
     "issue_statements": X.issue_statements,
     "package_ranks": X.package_ranks,
     "document_splits": X.document_splits,

@@ -1,12 +1,12 @@
-"""Registered queries: edits-only code, issue statements and references, package ranks, document splits
-(B7(c), C2b, C21, G4, J2, L1), with their DuckDB SQL from the structured rows."""
+"""Registered queries: edits-only code, docstrings, issue statements and references, package ranks, document splits
+(B7(c), C2b, C19, C21, G4, J2, L1), with their DuckDB SQL from the structured rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from diffloom.operators.files import edits_only_text
+from diffloom.operators.files import doc_docstrings, edits_only_text
 from diffloom.operators.issues import live_statement, with_issue_reference
 from diffloom.operators.reports import package_rank
 from diffloom.operators.sampling import train_valid_split
@@ -112,3 +112,58 @@ def document_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 REST_ORACLES["document_splits"] = r"""
 SELECT doc_id, source, CASE WHEN CAST('0x' || substr(md5(doc_id || '|42'), 1, 8) AS BIGINT) < 429496729 THEN 'validation' ELSE 'train' END AS split
 FROM documents"""
+
+
+def docstring_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Python file for each part, with definitions inside strings and comments, nested ones, signatures over several
+    lines, and, for every fifth part, a syntax error. MD5 of the encoded text. No shuffle."""
+    p = t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    module = F.when(F.col("p_partkey") % 3 != 0, '"""Part {name}."""\n').otherwise("# no docstring\n")
+    broken = F.when(F.col("p_partkey") % 5 == 0, "def (:\n").otherwise("")
+    body = F.lit(PART_SOURCE)
+    for mark, column in (("{key}", "p_partkey"), ("{brand}", "p_brand"), ("{size}", "p_size")):
+        body = F.replace(body, F.lit(mark), F.col(column).cast("string"))
+    path = F.concat(F.lit("pkg/part_"), F.col("p_partkey").cast("string"), F.lit(".py"))
+    files = p.select(F.col("p_partkey").alias("corpus_id"), path.alias("path"),
+                     F.concat(F.replace(module, F.lit("{name}"), F.col("p_name")), body, broken).alias("content"))
+    return doc_docstrings(files).select("corpus_id", "path", F.md5("text").alias("text_md5"))
+
+
+PART_SOURCE = '''TEMPLATE = """
+def fake():
+    "of a string"
+"""
+
+class C{key}:
+    """Brand {brand}.
+
+      Size {size}.
+    End.
+    """
+
+    def inner(self, a={"x:": (1, 2)}):  # def hidden(): "no"
+        r"""Inner {key}"""
+        return 1
+
+async def outer(
+    a,
+    b=")",
+):
+    "Outer {size}"
+
+def silent():
+    return "no docstring"
+'''
+
+REST_ORACLES["docstring_texts"] = r"""
+WITH f AS (
+  SELECT p_partkey, 'pkg/part_' || p_partkey || '.py' AS path,
+    CASE WHEN p_partkey % 3 <> 0 THEN 'Part ' || p_name || '.' ELSE '' END AS doc, chr(10) AS nl, p_brand, p_size, p_name,
+    replace(replace(replace('""" + PART_SOURCE.replace("'", "''") + r"""', '{key}', CAST(p_partkey AS VARCHAR)), '{brand}', p_brand),
+            '{size}', CAST(p_size AS VARCHAR)) AS body
+  FROM part)
+SELECT p_partkey AS corpus_id, path, md5(path || nl || CASE WHEN p_partkey % 5 = 0 THEN
+    CASE WHEN p_partkey % 3 <> 0 THEN repeat('"', 3) || 'Part ' || p_name || '.' || repeat('"', 3) ELSE '# no docstring' END || nl || body || 'def (:' || nl
+  ELSE doc || nl || nl || 'C' || p_partkey || nl || 'Brand ' || p_brand || '.' || nl || nl || '  Size ' || p_size || '.' || nl || 'End.' ||
+    nl || nl || 'outer' || nl || 'Outer ' || p_size || nl || nl || 'inner' || nl || 'Inner ' || p_partkey END) AS text_md5
+FROM f"""

@@ -74,7 +74,23 @@ def test_import_closure_and_docstrings(spark):
     # "pkg/b" is not a directory: nothing is added
     assert reached["pkg/b.py"] == {"pkg/b.py"}
     enc = {r.path: r.text for r in doc_docstrings(snap).collect()}
-    assert enc["other/q.py"].startswith("other/q.py\nDoc of q.") and "def g\nG doc." in enc["other/q.py"]
+    assert enc["other/q.py"] == "other/q.py\nDoc of q.\n\ng\nG doc."
+    assert enc["lib/y.py"] == "lib/y.py\n"
+
+
+def test_docstrings_of_odd_files(spark):
+    nested = 'class A:\n    def f(self, x=")", y={"a:": 1}):  # def g():\n        r"""F\n\n          in.\n        out.\n        """\n        def h():\n            "H"\n\nasync def b():\n    """B"""\n'
+    files = {
+        "string.py": 'T = """\ndef fake():\n    \'\'\'no\'\'\'\n"""\n',  # a definition inside a string is none
+        "nested.py": nested,  # outer levels first
+        "broken.py": '"""doc"""\ndef (:\n',
+        "null.py": None, "empty.py": "", "zero.py": "x = 1\0", "escape.py": '"""a"""\ny = "\\d"\n',
+    }
+    df = spark.createDataFrame([("c", k, v, "more") for k, v in files.items()], "corpus_id string, path string, content string, text string")
+    got = {r.path: r.text for r in doc_docstrings(df).collect()}
+    assert got == {"string.py": "string.py\n", "nested.py": "nested.py\n\n\nb\nB\n\nf\nF\n\n  in.\nout.\n\nh\nH", "broken.py": "broken.py\n" + files["broken.py"],
+                   "null.py": "null.py\n", "empty.py": "empty.py\n", "zero.py": "zero.py\nx = 1\0", "escape.py": "escape.py\na"}
+    assert doc_docstrings(df.limit(0)).collect() == []
 
 
 def test_edits_only_and_readmes_and_chat(spark):
