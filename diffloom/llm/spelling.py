@@ -200,11 +200,11 @@ def near_pairs(words: DataFrame, longest: tuple[int, ...] = LONGEST, least: int
         # a list goes by its hash: pairs that meet by a collision are verified like the others
         lists = materialize(postings(left, frequent, q).select(
             F.xxhash64("gram", "side", "place").alias("list"), (F.col("side") == "start").alias("start"), "word", "size", "bits", "n", "short"), "spelling-lists")
-        a = lists.select("list", "start", *[F.col(c).alias(f"a_{c}") for c in ("word", "size", "bits", "n")])
-        b = lists.select("list", *[F.col(c).alias(f"b_{c}") for c in ("word", "size", "bits", "n")])
+        columns = ("start", "word", "size", "bits", "n")  # the same on both sides: one shuffle serves them
+        a, b = (lists.select("list", *[F.col(c).alias(f"{end}_{c}") for c in columns]) for end in "ab")
         near = (a.join(b, "list")
                 .filter((F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) <= 4) & (F.abs(F.col("a_size") - F.col("b_size")) <= 1)
-                        & (F.col("start") | (F.col("a_size") != F.col("b_size")))
+                        & ((F.col("a_start") & F.col("b_start")) | (F.col("a_size") != F.col("b_size")))
                         & (F.col("a_word") < F.col("b_word")) & (F.levenshtein("a_word", "b_word", 1) == 1))
                 .select(F.col("a_word").alias("a"), F.col("a_n"), F.col("b_word").alias("b"), F.col("b_n")))
         found = near if found is None else found.union(near)
