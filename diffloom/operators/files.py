@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from diffloom import constants as K
 from diffloom.functions.text import as_string_array, col_of
+from diffloom.operators.joins import merged
 from diffloom.session import materialize, ship_package
 
 
@@ -87,11 +88,11 @@ def resolve_edges(snapshot: DataFrame) -> DataFrame:
     depth = F.size(F.split("dir", "/"))
     # one directory for each suffix before the join: an import meets one row, not every directory
     suff = suff.groupBy("corpus_id", "suffix").agg(F.min_by("dir", F.struct(depth.alias("d"), F.col("dir"))).alias("dir"))
-    first = e.join(suff, ["corpus_id", "suffix"]).select("corpus_id", "src", "suffix", "dir").distinct()
+    first = e.join(merged(suff), ["corpus_id", "suffix"]).select("corpus_id", "src", "suffix", "dir").distinct()
     files = snapshot.select("corpus_id", F.col("path").alias("dst"),
                             F.concat(F.lit("/"), F.regexp_replace("path", r"/?[^/]*$", "")).alias("dir")) \
         .where(F.col("dst").endswith(".py"))
-    return first.join(files, ["corpus_id", "dir"]).select("corpus_id", "src", "dst").distinct()
+    return first.join(merged(files), ["corpus_id", "dir"]).select("corpus_id", "src", "dst").distinct()
 
 
 def import_closure(snapshot: DataFrame, targets: DataFrame) -> DataFrame:
@@ -102,21 +103,23 @@ def import_closure(snapshot: DataFrame, targets: DataFrame) -> DataFrame:
     jump that a shorter one covers is dropped: a shortest path is made of shortest jumps. Rounds grow with
     the logarithm of the longest chain, all repositories together, and end when one finds nothing new (distances have no gaps),
     so the closure is complete. A round writes its new pairs and new jumps only, to the shared checkpoint folder
-    (it survives executor loss and cuts the lineage)."""
+    (it survives executor loss and cuts the lineage). All joins shuffle both sides: the tables are as large as the
+    snapshot, and their files are a small part of what they are in memory."""
     corpus, pair = "corpus_id", ["corpus_id", "src", "dst"]
     jumps = materialize(resolve_edges(snapshot).where("src <> dst"), "import-jumps")
     shorter = jumps
     reached = materialize(targets.select(corpus, F.col("path").alias("root"), F.col("path").alias("file")).distinct(), "import-reached")
     while True:
-        onward = reached.join(jumps.select(corpus, F.col("src").alias("file"), "dst"), [corpus, "file"])
+        onward = reached.join(merged(jumps.select(corpus, F.col("src").alias("file"), "dst")), [corpus, "file"])
         onward = onward.select(corpus, "root", F.col("dst").alias("file")).distinct()
-        new = materialize(onward.join(reached, [corpus, "root", "file"], "left_anti"), "import-reached")
+        new = materialize(onward.join(merged(reached), [corpus, "root", "file"], "left_anti"), "import-reached")
         if new.isEmpty():
             return reached
         reached = reached.union(new)
-        twice = jumps.select(corpus, "src", F.col("dst").alias("via")).join(jumps.select(corpus, F.col("src").alias("via"), "dst"), [corpus, "via"])
+        twice = jumps.select(corpus, "src", F.col("dst").alias("via")).join(
+            merged(jumps.select(corpus, F.col("src").alias("via"), "dst")), [corpus, "via"])
         twice = twice.where("src <> dst").select(*pair).distinct()
-        jumps = materialize(twice.join(shorter, pair, "left_anti"), "import-jumps")
+        jumps = materialize(twice.join(merged(shorter), pair, "left_anti"), "import-jumps")
         shorter = shorter.union(jumps)
 
 

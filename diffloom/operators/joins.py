@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a checked size bound."""
+"""Join helpers: broadcast only behind a checked size bound, or never."""
 
 from __future__ import annotations
 
@@ -19,3 +19,9 @@ def broadcast_derived(df: DataFrame, source: DataFrame, limit: int = MAX_SOURCE_
     at most ``limit`` bytes by the optimizer's estimate, else ``df`` unchanged: the join then shuffles
     both sides unless AQE finds one small. Starts no job."""
     return F.broadcast(df) if planned_bytes(source) <= limit else df
+
+
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a sort-merge join. For sides that grow with the input while their estimate does not (rows made by
+    ``explode``, Parquet files of repeated strings): Spark would broadcast them, through the driver's memory."""
+    return df.hint("merge")

@@ -47,3 +47,13 @@ def test_graphs_against_a_search(spark):
                         todo.append(j)
             want |= {(c, f"m{root}/f.py", f"m{k}/f.py") for k in seen}
     assert {tuple(r) for r in R.import_closure(files, targets).collect()} == want
+
+
+def test_no_side_of_a_join_goes_through_the_driver(spark, monkeypatch):
+    plans = []
+    write = R.materialize
+    monkeypatch.setattr(R, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, name))
+    files = spark.createDataFrame([("c", f"m{k}/f.py", f"import m{k + 1}\n") for k in range(5)], SCHEMA)
+    assert R.import_closure(files, files.where("path = 'm0/f.py'").select("corpus_id", "path")).count() == 5
+    assert sum("Join" in p for p in plans) > 5
+    assert not any("BroadcastHashJoin" in p or "BroadcastExchange" in p for p in plans)
