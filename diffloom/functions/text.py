@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_of", "py_strip", "py_rstrip", "py_lstrip", "words", "word_count", "strip_ansi",
+    "col_of", "bind", "py_strip", "py_rstrip", "py_lstrip", "words", "word_count", "strip_ansi",
     "strip_html_comments", "make_instance_id", "issue_url_parts", "blank_line_normalise",
     "first_line", "after_first_line", "lit_regex", "as_string_array", "regex_union",
 ]
@@ -20,6 +20,12 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value, use) -> Column:
+    """``use(value)``, with ``value`` computed once for all its uses: inside a lambda Spark computes an expression again
+    wherever it stands."""
+    return F.element_at(F.transform(F.array(col_of(value)), use), 1)
+
+
 def py_strip(c) -> Column:
     """``str.strip()``: white space at both ends (``trim`` only cuts blanks)."""
     return F.regexp_replace(col_of(c), rf"^{_WS}+|{_WS}+$", "")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from diffloom.operators.patches import gate_columns, hunk_rows, patch_stats as stats_table, stats_aggs, split_patch, target_file
 from diffloom.functions.filters import is_test_path_substring, valid_patch_format
+from diffloom.functions.text import bind
 from diffloom.plans.common import t
 
 
@@ -42,19 +43,22 @@ def order_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = items.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("it")).alias("its"))
 
     def file_text(fid):
+        path = F.when(fid % 2 == 0, F.concat(F.lit("tests/test_mod_"), fid.cast("string"), F.lit(".py"))) \
+            .otherwise(F.concat(F.lit("pkg/mod_"), fid.cast("string"), F.lit(".py")))
         its = F.filter("its", lambda x: x["file_id"] == fid)
-        first = F.try_element_at(its, F.lit(1))
+        return bind(F.struct(path.alias("path"), its.alias("its")), lambda f: bind(F.try_element_at(f["its"], F.lit(1)), lambda first: text(f, first)))
+
+    def text(f, first):
+        path = f["path"]
         added = (first["rf"] == "A") & (first["ls"] == "O")
         removed = (first["rf"] == "R") & (first["ls"] == "F")
-        path = F.when(fid % 2 == 0, F.concat(F.lit("tests/test_mod_"), fid.cast("string"), F.lit(".py"))) \
-            .otherwise(F.concat(F.lit("pkg/mod_"), fid.cast("string"), F.lit(".py")))
         return F.concat(
             F.lit("diff --git a/"), path, F.lit(" b/"), path, F.lit("\n"),
             F.when(added, F.lit("new file mode 100644\n")).when(removed, F.lit("deleted file mode 100644\n")).otherwise(F.lit("")),
             F.lit("index 1a2b3c4..5d6e7f8 100644\n"),
             F.lit("--- "), F.when(added, F.lit("/dev/null")).otherwise(F.concat(F.lit("a/"), path)), F.lit("\n"),
             F.lit("+++ "), F.when(removed, F.lit("/dev/null")).otherwise(F.concat(F.lit("b/"), path)), F.lit("\n"),
-            F.array_join(F.transform(its, lambda x: x["hunk"]), ""))
+            F.array_join(F.transform(f["its"], lambda x: x["hunk"]), ""))
 
     fids = F.array_sort(F.array_distinct(F.transform("its", lambda x: x["file_id"])))
     return per.select(F.col("l_orderkey").alias("order_key"),
