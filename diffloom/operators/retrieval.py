@@ -18,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from diffloom.operators.joins import broadcast_derived
+from diffloom.operators.joins import broadcast_derived, dealt
 
 TOKEN_RE = r"[\p{L}\p{N}_]+"
+#: Bytes of the documents' table whose scores one task holds.
+SCORED_BYTES = 4 << 20
 K1 = 0.9
 B = 0.4
 
@@ -55,7 +57,7 @@ def bm25_index(docs: DataFrame, corpus_col: str, doc_col: str, text_col: str, qu
     counts = counts.withColumn("n_docs", of_corpus("df")).withColumn("avgdl", of_corpus("mean")).where("term is not null").drop("mean")
     occurrences = tok.select("corpus_id", "doc_id", "dl", F.explode("toks").alias("term")).join(
         broadcast_derived(batch, queries), "term", "left_semi")
-    return {"counts": counts, "occurrences": occurrences}
+    return {"counts": counts, "occurrences": occurrences, "docs": docs}
 
 
 def bm25_search(index: dict[str, DataFrame], queries: DataFrame, query_id_col: str, text_col: str,
@@ -69,8 +71,8 @@ def bm25_search(index: dict[str, DataFrame], queries: DataFrame, query_id_col: s
     on = ["corpus_id", "term"] if corpus_col else ["term"]
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = index["counts"].join(q, on).select("corpus_id", "term", "query_id", (F.col("qtf") * idf).alias("w"), "avgdl")
-    dealt = index["occurrences"].repartition("corpus_id", "doc_id")
-    tf = dealt.groupBy("corpus_id", "doc_id", "dl", "term").agg(F.count("*").alias("tf"))
+    # a task sorts its documents' scores for every query, many times the rows that are shuffled: the count of tasks follows the documents
+    tf = dealt(index["occurrences"], index["docs"], SCORED_BYTES, "corpus_id", "doc_id").groupBy("corpus_id", "doc_id", "dl", "term").agg(F.count("*").alias("tf"))
     hits = tf.join(broadcast_derived(weights, queries), ["corpus_id", "term"])
     part = F.col("w") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     scores = hits.groupBy("query_id", "corpus_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
