@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from diffloom.operators.files import doc_docstrings, edits_only_text
 from diffloom.operators.issues import live_statement, with_issue_reference
+from diffloom.operators.joins import dealt
 from diffloom.operators.reports import package_rank
 from diffloom.operators.sampling import train_valid_split
 from diffloom.plans.common import t
@@ -116,8 +117,10 @@ FROM documents"""
 
 def docstring_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Python file for each part, with definitions inside strings and comments, nested ones, signatures over several
-    lines, and, for every fifth part, a syntax error. MD5 of the encoded text. No shuffle."""
+    lines, and, for every fifth part, a syntax error. MD5 of the encoded text. Only the parts' columns are shuffled: a part's
+    few bytes are much work, so they are dealt to more tasks than the table's files would make."""
     p = t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    p = dealt(p, p, PART_BYTES, "p_partkey", "p_name")
     module = F.when(F.col("p_partkey") % 3 != 0, '"""Part {name}."""\n').otherwise("# no docstring\n")
     broken = F.when(F.col("p_partkey") % 5 == 0, "def (:\n").otherwise("")
     body = F.lit(PART_SOURCE)
@@ -129,6 +132,9 @@ def docstring_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_docstrings(files).select("corpus_id", "path", F.md5("text").alias("text_md5"))
 
 
+#: Bytes of the parts' table whose files one task parses.
+PART_BYTES = 32 << 10
+
 PART_SOURCE = '''TEMPLATE = """
 def fake():
     "of a string"

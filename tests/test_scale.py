@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from diffloom.operators import retrieval as R
 from diffloom.operators.joins import dealt
+from diffloom.plans import rest_queries as X
 
 
 def test_scores_are_dealt_by_the_documents_bytes(spark, tmpdir_path, monkeypatch):
@@ -24,3 +25,11 @@ def test_scores_are_dealt_by_the_documents_bytes(spark, tmpdir_path, monkeypatch
 def test_a_source_without_an_estimate(spark):
     rows = spark.createDataFrame(spark.sparkContext.parallelize([(1,), (2,)]), "a long")
     assert sorted(r.a for r in dealt(rows, rows, 1024, "a").collect()) == [1, 2]
+
+
+def test_parts_are_dealt_to_more_tasks_than_files(spark, tmpdir_path, monkeypatch):
+    part = spark.range(50).select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit(3).alias("p_size"))
+    part.coalesce(1).write.parquet(f"{tmpdir_path}/part.parquet")
+    monkeypatch.setattr(X, "PART_BYTES", 64)
+    out = X.docstring_texts(spark, tmpdir_path)
+    assert out.rdd.getNumPartitions() > 4 and out.count() == 50
