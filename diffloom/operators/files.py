@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from diffloom import constants as K
-from diffloom.functions.text import as_string_array, col_of
+from diffloom.functions.text import as_string_array, bind, col_of
 from diffloom.operators.joins import merged
 from diffloom.session import materialize, ship_package
 
@@ -171,8 +171,8 @@ def edits_only_text(content, hunks, context: int = 15, compat: bool = False) ->
     with ``compat=True`` counts from the end of the file as Python slicing does.
 
     ``hunks`` = array<struct<old_start, old_len>>."""
-    def piece(lines, h):
-        n = F.size(lines)
+    def piece(file, h):
+        n = file["n"]
         start = h["old_start"] - context
         end = start + h["old_len"] + context
         if compat:
@@ -181,11 +181,14 @@ def edits_only_text(content, hunks, context: int = 15, compat: bool = False) ->
         else:
             lo = F.greatest(start, F.lit(0))
             hi = F.least(end, n)
-        cut = F.slice(lines, lo + 1, F.greatest(hi - lo, F.lit(0)))
-        body = F.array_join(F.transform(cut, lambda x, i: F.concat((lo + i + 1).cast("string"), F.lit(" "), x)), "\n")
+        body = bind(lo, lambda low: F.array_join(F.slice(file["numbered"], low + 1, F.greatest(hi - low, F.lit(0))), "\n"))
         return F.concat(F.when(start > 0, F.lit("...\n")).otherwise(F.lit("")), body, F.lit("\n"),
                         F.when(end < n, F.lit("...\n")).otherwise(F.lit("")))
 
-    # the file is split once, as the only element of an array, not again for each hunk
-    pieces = F.flatten(F.transform(F.array(F.split(col_of(content), "\n")), lambda lines: F.transform(col_of(hunks), lambda h: piece(lines, h))))
+    # the file is split and its lines numbered once, not again for each hunk
+    def pieces_of(lines):
+        numbered = F.transform(lines, lambda x, i: F.concat((i + 1).cast("string"), F.lit(" "), x))
+        return bind(F.struct(F.size(lines).alias("n"), numbered.alias("numbered")), lambda file: F.transform(col_of(hunks), lambda h: piece(file, h)))
+
+    pieces = bind(F.split(col_of(content), "\n"), pieces_of)
     return F.regexp_replace(F.array_join(pieces, ""), r"^\n+|\n+$", "")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from diffloom.operators import retrieval as R
+from diffloom.operators.files import edits_only_text
 from diffloom.operators.joins import dealt
 from diffloom.plans import rest_queries as X
 
@@ -33,3 +34,11 @@ def test_parts_are_dealt_to_more_tasks_than_files(spark, tmpdir_path, monkeypatc
     monkeypatch.setattr(X, "PART_BYTES", 64)
     out = X.docstring_texts(spark, tmpdir_path)
     assert out.rdd.getNumPartitions() > 4 and out.count() == 50
+
+
+def test_lines_are_numbered_once(spark):
+    one = spark.createDataFrame([("a\nb\nc", [(2, 1), (1, 0)])], "content string, hunks array<struct<old_start:int,old_len:int>>")
+    text = one.select(edits_only_text(F.col("content"), F.col("hunks"), context=1).alias("t"))
+    plan = text._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("greatest(") == 2  # a window's ends are not computed again for its lines
+    assert text.first().t == "...\n2 b\n3 c\n1 a\n..."
