@@ -16,6 +16,10 @@ from diffloom.session import materialize, scratch_path
 from diffloom.streaming.incremental import collect_stream, grade_log_stream, graded_schema, regrade
 
 
+#: Pulls in one file of a drop.
+DROP_ROWS = 50_000
+
+
 def order_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pull rows (the schema of pull files): one for each order with its diff; pending orders are not merged,
     and every fourth resolves no issue."""
@@ -37,7 +41,9 @@ def collected_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_path(spark, f"collect-{uuid.uuid4().hex}")
     again = [F.lit(False), F.col("number") % 6 == 0, (F.col("number") % 5 == 0) & (F.col("number") % 3 != 2)]
     for drop, repeated in enumerate(again):
-        pulls.where((F.col("number") % 3 == drop) | repeated).write.mode("append").json(f"{work}/pulls")
+        arrived = pulls.where((F.col("number") % 3 == drop) | repeated).write.mode("append")
+        # diffs repeat themselves; a file that is compressed is read by one task, so its rows are bounded
+        arrived.option("compression", "gzip").option("maxRecordsPerFile", DROP_ROWS).json(f"{work}/pulls")
         collect_stream(spark, f"{work}/pulls", f"{work}/all", f"{work}/checkpoint", tests_dir=f"{work}/tests").awaitTermination()
     main = spark.read.parquet(f"{work}/tests").select("instance_id", F.lit(True).alias("in_tests"))
     rows = spark.read.parquet(f"{work}/all").join(main, "instance_id", "left")

@@ -42,3 +42,20 @@ def test_lines_are_numbered_once(spark):
     plan = text._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("greatest(") == 2  # a window's ends are not computed again for its lines
     assert text.first().t == "...\n2 b\n3 c\n1 a\n..."
+
+
+def test_drops_of_pulls_are_compressed(spark, tmpdir_path, monkeypatch):
+    import glob
+
+    from diffloom.plans import stream_queries as S
+
+    line = "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_returnflag string, l_linestatus string"
+    spark.createDataFrame([(k, 1, 1, 3.0, "N", "O") for k in range(1, 9)], line).write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    spark.createDataFrame([(k, "O") for k in range(1, 9)], "o_orderkey long, o_orderstatus string").write.parquet(f"{tmpdir_path}/orders.parquet")
+    monkeypatch.setattr(S, "DROP_ROWS", 1)
+    monkeypatch.setattr(S, "scratch_path", lambda spark, name: f"{tmpdir_path}/work")
+    got = S.collected_pulls(spark, tmpdir_path).collect()
+    assert sorted(r.pull_number for r in got) == [k for k in range(1, 9) if k % 4]
+    files = glob.glob(f"{tmpdir_path}/work/pulls/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert max(spark.read.json(f).count() for f in files) == 1
