@@ -2,7 +2,7 @@
 
 A document's set is its distinct three-word shingles, as 64-bit hashes; equal sets are one class
 (128-bit digest of the set), so copies cost one row each. Shingles are ordered rarest first, by a
-table of ``1 << SKETCH_BITS`` counters over all documents (a shingle's count is never too low), where its count is above
+table of ``1 << SKETCH_BITS`` to ``1 << MAX_SKETCH_BITS`` counters over all documents (a shingle's count is never too low), where its count is above
 what other shingles put into any counter; then by the counts of its words, which stay apart however many shingles there
 are; then by hash (any order is correct, the counts make it fast). Two sets that link share one of their
 first ``size - ceil(0.9 size) + 1`` shingles: only these prefixes are shuffled, by shingle, and only
@@ -44,13 +44,18 @@ from pyspark.sql import functions as F
 
 from diffloom.llm.common import Words, steps, utf8
 from diffloom.llm.simhash import components
+from diffloom.operators.joins import planned_bytes
 from diffloom.session import materialize
 
 SHINGLE_WORDS = 3
 #: Sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
-#: The counters of shingles and those of words: 4 MB each, whatever the input.
+#: The counters of words, 4 MB, and the fewest of shingles; these are doubled with the input up to ``MAX_SKETCH_BITS``, 16 MB,
+#: so that what other shingles add to a counter, and with it the length of lists that are taken for rare, does not grow before.
 SKETCH_BITS = 20
+MAX_SKETCH_BITS = 22
+#: Bytes of the table by the optimizer's estimate, for the fewest counters.
+SKETCH_BYTES = 128 << 20
 CHUNK = 4096
 #: Classes of each list that all others of the list are paired with, and how often.
 LEADERS = 8
@@ -107,14 +112,22 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+def sketch_bits(source_bytes: int) -> int:
+    """How many bits number the shingles' counters for a table of so many bytes; an estimate of exabytes is none (rows of an RDD)."""
+    if source_bytes >= 1 << 60:
+        return SKETCH_BITS
+    return min(MAX_SKETCH_BITS, SKETCH_BITS + (max(0, source_bytes - 1) // SKETCH_BYTES).bit_length())
+
+
+def _slot(hashes: np.ndarray, counters: int = 1 << SKETCH_BITS) -> np.ndarray:
+    """Each hash's place among ``counters``, a power of two."""
+    return (hashes >> np.uint64(65 - counters.bit_length())).astype(np.int64)
 
 
 def rarity(counters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each counter: a shingle's count, where it is above what other shingles put into any counter, and a word's cost."""
-    of_shingles, of_words = counters.reshape(2, -1)
-    counts = np.maximum(of_shingles, int(2 * of_shingles.mean())).astype(np.int64)
+    of_shingles, of_words = np.split(counters.ravel(), [-(1 << SKETCH_BITS)])
+    counts = np.maximum(of_shingles, int(2 * of_shingles.mean()))
     return counts, np.floor(16 * np.log2(1.0 + of_words)).astype(np.int64)
 
 
@@ -122,20 +135,21 @@ def _ordered_sets(column, counts: np.ndarray, costs: np.ndarray) -> Iterator[tup
     """Each text's set, sorted by hash and rarest first."""
     for _, run in steps(utf8(column)):
         words = lower_words(run)
-        for shingles, weight in weighted_sets(words, costs[_slot(words.hash)]):
+        for shingles, weight in weighted_sets(words, costs[_slot(words.hash, len(costs))]):
             yield shingles, rare_first(shingles, counts, weight)
 
 
-def _classes_and_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _classes_and_counts(batches: Iterator[pd.DataFrame], bits: int = SKETCH_BITS) -> Iterator[pd.DataFrame]:
     """(kind 0: id, class, size of each row; kind 1: this task's counters, chunk by chunk)."""
-    counters = np.zeros((2, 1 << SKETCH_BITS), np.uint32)
+    counters = np.zeros((1 << bits) + (1 << SKETCH_BITS), np.uint32)
+    of_shingles, of_words = np.split(counters, [1 << bits])
     for batch in batches:
         sets = []
         for _, run in steps(utf8(batch["text"])):
             words = lower_words(run)
             found = [s for s, _ in weighted_sets(words, np.zeros(len(words), np.int64))]
-            for row, hashes in enumerate((np.concatenate(found), words.hash)):
-                counters[row] += np.bincount(_slot(hashes), minlength=1 << SKETCH_BITS).astype(np.uint32)
+            for table, hashes in ((of_shingles, np.concatenate(found)), (of_words, words.hash)):
+                np.add.at(table, _slot(hashes, len(table)), np.uint32(1))
             sets += found
         yield pd.DataFrame({"kind": 0, "id": batch["id"], "cls": [class_of(s) for s in sets], "size": [len(s) for s in sets],
                             "chunk": 0, "counts": None})
@@ -164,7 +178,8 @@ def _clipped(total: np.ndarray) -> bytes:
 
 def rare_first(shingles: np.ndarray, counts: np.ndarray, weight: np.ndarray | int = 0) -> np.ndarray:
     """Shingles sorted by hash in order of count, then of the weight of their words (below 2^11), then of hash."""
-    return shingles[np.argsort((counts[_slot(shingles)] << 11) + weight, kind="stable")]
+    count = counts[_slot(shingles, len(counts))].astype(np.int64)
+    return shingles[np.argsort((count << 11) + weight, kind="stable")]
 
 
 def _prefixes(rows: DataFrame, counters, percent: int) -> DataFrame:
@@ -360,12 +375,12 @@ def _pairs(met: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(F.col("shared") + behind >= _needed(percent)).select("a", "b", "a_size", "b_size")
 
 
-def _counters(spark: SparkSession, counted: DataFrame):
-    """The summed counters, as a broadcast array: ``1 << SKETCH_BITS`` numbers of shingles, as many of words."""
+def _counters(spark: SparkSession, counted: DataFrame, bits: int = SKETCH_BITS):
+    """The summed counters, as a broadcast array: ``1 << bits`` numbers of shingles, ``1 << SKETCH_BITS`` of words."""
     sums = (counted.filter("kind = 1").select("chunk", "counts").repartition("chunk").sortWithinPartitions("chunk")
             .mapInPandas(_added, "chunk int, counts binary"))
-    table = np.zeros(2 << SKETCH_BITS, np.uint32).reshape(-1, CHUNK)
-    for row in sums.collect():  # (2 << SKETCH_BITS) / CHUNK rows
+    table = np.zeros((1 << bits) + (1 << SKETCH_BITS), np.uint32).reshape(-1, CHUNK)
+    for row in sums.collect():  # a row for each chunk
         table[row.chunk] = np.frombuffer(row.counts, np.uint32)
     return spark.sparkContext.broadcast(table.ravel())
 
@@ -374,10 +389,11 @@ def links(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: in
     """(id, cls, size) for each row, and (a, b) links between classes that connect all that links connect."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    counted = materialize(rows.mapInPandas(_classes_and_counts, "kind int, id long, cls binary, size int, chunk int, counts binary"), "ngram-classes")
+    bits = sketch_bits(planned_bytes(df))
+    counted = materialize(rows.mapInPandas(lambda batches: _classes_and_counts(batches, bits), "kind int, id long, cls binary, size int, chunk int, counts binary"), "ngram-classes")
     members = counted.filter("kind = 0").select("id", "cls", "size")
     classes = members.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("rep"))
-    counters = _counters(spark, counted)
+    counters = _counters(spark, counted, bits)
     in_list = Window.partitionBy("token")
     lists = _prefixes(rows, counters, percent).repartition("token").groupBy("token", F.col("cls").alias("name")).agg(
         F.min("size").alias("size"), F.min("pos").alias("pos"))
