@@ -153,12 +153,18 @@ def grade_log_stream(logs: DataFrame, gold: DataFrame, output_dir: str, checkpoi
             runs = [r[0] for r in batch.select("run_id").distinct().collect()]  # those of one micro-batch
             done = spark.read.schema(graded_schema(spark, gold, modes)).parquet(output_dir).where(F.col("run_id").isin(runs))
             todo = todo.join(done.select(*RUN_KEYS), RUN_KEYS, "left_anti")
-        grade_batch(prepare(todo), gold, modes).write.mode("append").partitionBy("run_id").parquet(output_dir)
+        _by_run(grade_batch(prepare(todo), gold, modes)).write.mode("append").partitionBy("run_id").parquet(output_dir)
 
     return (logs.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def _by_run(graded: DataFrame) -> DataFrame:
+    """Rows of one run side by side, large runs split: else every task writes a file into every run's folder, and the
+    number of files grows with the tasks times the runs."""
+    return graded.hint("rebalance", "run_id")
+
+
 def graded_schema(spark: SparkSession, gold: DataFrame, modes: DataFrame | None = None):
     """The columns of the graded output, so that no partition value is read as a number."""
     none = spark.createDataFrame([], "run_id string, model string, instance_id string, repo string, log string")
@@ -171,5 +177,5 @@ def regrade(logs: DataFrame, gold: DataFrame, output_dir: str, expected: DataFra
     if expected is not None:
         require_known_ids(expected, logs)
     g = grade_batch(logs, gold, modes)
-    (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_by_run(g).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
       .partitionBy("run_id").parquet(output_dir))

@@ -59,3 +59,28 @@ def test_drops_of_pulls_are_compressed(spark, tmpdir_path, monkeypatch):
     files = glob.glob(f"{tmpdir_path}/work/pulls/part-*")
     assert files and all(f.endswith(".json.gz") for f in files)
     assert max(spark.read.json(f).count() for f in files) == 1
+
+
+def test_a_run_is_written_by_few_tasks(spark, tmpdir_path):
+    import glob
+
+    from diffloom import constants as K
+    from diffloom.streaming.incremental import grade_log_stream, regrade
+
+    text = "\n".join([K.INSTALL_PASS, K.APPLY_PATCH_PASS, K.START_TEST_OUTPUT, "PASSED t.py::t", K.END_TEST_OUTPUT])
+    logs = spark.range(60).select(F.concat(F.lit("run-"), F.col("id") % 3).alias("run_id"), F.lit("m").alias("model"),
+                                  F.concat(F.lit("inst-"), F.col("id")).alias("instance_id"),
+                                  F.lit("pytest-dev/pytest").alias("repo"), F.lit(text).alias("log"))
+    gold = logs.select("instance_id", F.lit(K.FAIL_TO_PASS).alias("category"), F.lit("t.py::t").alias("test"))
+    logs.write.parquet(f"{tmpdir_path}/logs")
+    files = lambda: [len(glob.glob(f"{tmpdir_path}/graded/run_id=run-{k}/*.parquet")) for k in range(3)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as many tasks as on large input
+    try:
+        arriving = spark.readStream.schema(logs.schema).parquet(f"{tmpdir_path}/logs")
+        grade_log_stream(arriving, gold, f"{tmpdir_path}/graded", f"{tmpdir_path}/checkpoint").awaitTermination()
+        assert files() == [1, 1, 1]
+        regrade(logs.repartition(8, "instance_id"), gold, f"{tmpdir_path}/graded")
+        assert files() == [1, 1, 1]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(f"{tmpdir_path}/graded").count() == 60
