@@ -34,6 +34,7 @@ empty table gives an empty result. Texts of any length are read whole; further c
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -155,7 +156,7 @@ def _classes_and_counts(batches: Iterator[pd.DataFrame], bits: int = SKETCH_BITS
                             "chunk": 0, "counts": None})
     parts = counters.reshape(-1, CHUNK)
     for k in np.flatnonzero(parts.any(axis=1)).tolist():
-        yield pd.DataFrame({"kind": [1], "id": [None], "cls": [None], "size": [0], "chunk": [k], "counts": [parts[k].tobytes()]})
+        yield pd.DataFrame({"kind": [1], "id": [None], "cls": [None], "size": [0], "chunk": [k], "counts": [packed(parts[k])]})
 
 
 def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,15 +166,23 @@ def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk, counts in zip(batch["chunk"].tolist(), batch["counts"]):
             if chunk != now:
                 if total is not None:
-                    yield pd.DataFrame({"chunk": [now], "counts": [_clipped(total)]})
+                    yield pd.DataFrame({"chunk": [now], "counts": [packed(total)]})
                 now, total = chunk, np.zeros(CHUNK, np.int64)
-            total += np.frombuffer(counts, np.uint32)
+            total += unpacked(counts)
     if total is not None:
-        yield pd.DataFrame({"chunk": [now], "counts": [_clipped(total)]})
+        yield pd.DataFrame({"chunk": [now], "counts": [packed(total)]})
 
 
-def _clipped(total: np.ndarray) -> bytes:
-    return np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes()
+def packed(counts: np.ndarray) -> bytes:
+    """Counts, clipped to 32 bits, in the fewest bytes a number that hold the largest, compressed: a task's counters are as many
+    for every task, and most of them are zero or small."""
+    counts = np.minimum(counts, (1 << 32) - 1)
+    width = np.min_scalar_type(counts.max(initial=0)).itemsize
+    return bytes([width]) + zlib.compress(counts.astype(f"u{width}").tobytes(), 1)
+
+
+def unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(counts[1:]), f"u{counts[0]}").astype(np.uint32)
 
 
 def rare_first(shingles: np.ndarray, counts: np.ndarray, weight: np.ndarray | int = 0) -> np.ndarray:
@@ -381,7 +390,7 @@ def _counters(spark: SparkSession, counted: DataFrame, bits: int = SKETCH_BITS):
             .mapInPandas(_added, "chunk int, counts binary"))
     table = np.zeros((1 << bits) + (1 << SKETCH_BITS), np.uint32).reshape(-1, CHUNK)
     for row in sums.collect():  # a row for each chunk
-        table[row.chunk] = np.frombuffer(row.counts, np.uint32)
+        table[row.chunk] = unpacked(row.counts)
     return spark.sparkContext.broadcast(table.ravel())
 
 

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +165,23 @@ def test_counters_of_shingles_follow_the_table(spark, tmpdir_path, monkeypatch):
     of_shingles, of_words = np.split(seen[0].value, [1 << J.MAX_SKETCH_BITS])
     assert of_words.size == 1 << J.SKETCH_BITS
     assert of_shingles.sum() == sum(n for n, _ in got.values())
+
+
+@pytest.mark.parametrize("largest", [0, 1, 255, 256, 65_535, 65_536, (1 << 32) - 1])
+def test_packed_counters(largest):
+    counts = np.zeros(J.CHUNK, np.int64)
+    counts[7::97] = largest
+    assert (J.unpacked(J.packed(counts)) == counts).all()
+    assert (J.unpacked(J.packed(counts + (1 << 32))) == (1 << 32) - 1).all()
+
+
+def test_a_task_writes_its_counters_packed():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 80)) for _ in range(2000)]
+    made = pd.concat(J._classes_and_counts(iter([pd.DataFrame({"id": range(len(texts)), "text": texts})]), J.MAX_SKETCH_BITS))
+    counted = made[made["kind"] == 1].sort_values("chunk")
+    # about 160,000 counts in five million counters: well below the counters' 20 MB, as plain numbers
+    assert counted["counts"].map(len).sum() < 1 << 20
+    twice = pd.concat([counted, counted]).sort_values("chunk")
+    added = pd.concat(J._added(iter([twice.iloc[:5], twice.iloc[5:]])))
+    assert sum(int(J.unpacked(c).sum()) for c in added["counts"]) == 2 * (sum(made["size"]) + 80 * len(texts))
