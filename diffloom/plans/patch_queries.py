@@ -90,8 +90,8 @@ def split_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     the statistics of both parts come from one aggregate over the hunk rows with the test
     flag."""
     p = order_patches(spark, sf_dir)
-    sp = split_patch(F.col("patch"))
-    h = hunk_rows(p, "patch", ["order_key"], carry={"target_file": target_file(sp["patch"], sp["test_patch"])}) \
+    target = bind(split_patch(F.col("patch")), lambda sp: target_file(sp["patch"], sp["test_patch"]))  # split once, not for each part
+    h = hunk_rows(p, "patch", ["order_key"], carry={"target_file": target}) \
         .withColumn("is_test", is_test_path_substring(F.col("path")))
     st = h.groupBy("order_key", "target_file").agg(
         *stats_aggs("code_", ~F.col("is_test")), *stats_aggs("test_", F.col("is_test")),
