@@ -7,12 +7,12 @@ import ast
 import warnings
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from diffloom import constants as K
 from diffloom.functions.text import as_string_array, bind, col_of
-from diffloom.operators.joins import merged
+from diffloom.operators.joins import dealt, merged
 from diffloom.session import materialize, ship_package
 
 
@@ -58,69 +58,108 @@ def parse_test_ids(instances: DataFrame, snapshot: DataFrame | None = None, id_c
 _IMPORT_RE = r"(?m)^\s*(?:from\s+(\.*)([\w.]*)\s+import\s|import\s+([\w.]+))"
 
 
-def import_edges(snapshot: DataFrame) -> DataFrame:
-    """Module references per file: (corpus_id, path, level, module) from import lines."""
-    z = F.arrays_zip(F.regexp_extract_all("content", F.lit(_IMPORT_RE), 1).alias("dots"),
-                     F.regexp_extract_all("content", F.lit(_IMPORT_RE), 2).alias("from_mod"),
-                     F.regexp_extract_all("content", F.lit(_IMPORT_RE), 3).alias("imp_mod"))
-    e = snapshot.select("corpus_id", "path", F.explode(z).alias("m"))
-    return e.select("corpus_id", "path", F.length("m.dots").alias("level"),
-                    F.when(F.col("m.imp_mod") != "", F.col("m.imp_mod")).otherwise(F.col("m.from_mod")).alias("module"))
+#: Bytes of the files' table whose directory suffixes one task sorts.
+SUFFIX_BYTES = 1 << 20
 
 
-def resolve_edges(snapshot: DataFrame) -> DataFrame:
-    """C18 edges file -> file. The module path is ``module.split('.')`` minus its last
-    ``level`` parts (relative imports), joined by '/'; it resolves to the ``.py`` files of the
+def import_lines(content) -> Column:
+    """The import statements of a content, each once, as written."""
+    return F.array_distinct(F.regexp_extract_all(col_of(content), F.lit(_IMPORT_RE), F.lit(0)))
+
+
+def import_edges(snapshot: DataFrame, file: str = "path") -> DataFrame:
+    """Module references per file: (corpus_id, ``file``, level, module) from the import lines of the column ``imports``, or
+    of ``content`` where the snapshot has no such column."""
+    lines = F.col("imports") if "imports" in snapshot.columns else import_lines("content")
+    e = snapshot.select("corpus_id", file, F.explode(lines).alias("line"))
+    dots, from_mod, imp_mod = (F.regexp_extract("line", _IMPORT_RE, k) for k in (1, 2, 3))
+    return e.select("corpus_id", file, F.length(dots).alias("level"), F.when(imp_mod != "", imp_mod).otherwise(from_mod).alias("module"))
+
+
+def resolve_edges(snapshot: DataFrame, file: str = "path") -> DataFrame:
+    """C18 edges file -> file: (corpus_id, src, dst), each once, where the column ``file`` names a file. The module path is
+    ``module.split('.')`` minus its last ``level`` parts (relative imports), joined by '/'; it resolves to the ``.py`` files of the
     first directory whose path (as a string, from the root) ends with it — first = shallowest,
     then by name. "Ends with" becomes an equi-join on every string suffix of the (few)
-    directory paths."""
-    e = import_edges(snapshot)
+    directory paths. The suffixes are many times the files: they are dealt to as many tasks as the files have
+    bytes, and sorted once, for the aggregate and the join."""
+    e = import_edges(snapshot, file)
     parts = F.split("module", r"\.")
     kept = F.when(F.col("level") > 0, F.slice(parts, 1, F.greatest(F.size(parts) - F.col("level"), F.lit(0)))).otherwise(parts)
-    e = e.select("corpus_id", F.col("path").alias("src"),
-                 F.when(F.col("module") == "", F.array().cast("array<string>")).when(F.col("level") > 0, kept)
-                 .otherwise(parts).alias("comp"))
-    e = e.select("corpus_id", "src", F.array_join("comp", "/").alias("suffix")).distinct()
-    dirs = snapshot.select("corpus_id", F.concat(F.lit("/"), F.regexp_replace("path", r"/?[^/]*$", "")).alias("dir")).distinct()
-    suff = dirs.select("corpus_id", "dir", F.explode(F.transform(
+    e = e.select("corpus_id", F.col(file).alias("src"),
+                 F.when(F.col("module") == "", F.lit("")).otherwise(F.array_join(kept, "/")).alias("suffix"))
+    name = F.substring_index("path", "/", -1)
+    dir_of = F.concat(F.lit("/"), F.substr("path", F.lit(1), F.length("path") - F.length(name) - 1))
+    dirs = snapshot.select("corpus_id", dir_of.alias("dir")).distinct().withColumn("depth", F.size(F.split("dir", "/")))
+    suff = dirs.select("corpus_id", "dir", "depth", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("dir") + 1), lambda i: F.substring("dir", i, 1 << 20))).alias("suffix"))
-    suff = suff.union(dirs.select("corpus_id", "dir", F.lit("").alias("suffix")))
-    depth = F.size(F.split("dir", "/"))
+    suff = suff.union(dirs.select("corpus_id", "dir", "depth", F.lit("").alias("suffix")))
     # one directory for each suffix before the join: an import meets one row, not every directory
-    suff = suff.groupBy("corpus_id", "suffix").agg(F.min_by("dir", F.struct(depth.alias("d"), F.col("dir"))).alias("dir"))
-    first = e.join(merged(suff), ["corpus_id", "suffix"]).select("corpus_id", "src", "suffix", "dir").distinct()
-    files = snapshot.select("corpus_id", F.col("path").alias("dst"),
-                            F.concat(F.lit("/"), F.regexp_replace("path", r"/?[^/]*$", "")).alias("dir")) \
-        .where(F.col("dst").endswith(".py"))
+    suff = dealt(suff, snapshot, SUFFIX_BYTES, "corpus_id", "suffix").groupBy("corpus_id", "suffix").agg(
+        F.min(F.struct("depth", "dir")).alias("first"))
+    first = e.join(merged(suff), ["corpus_id", "suffix"]).select("corpus_id", "src", "first.dir")
+    files = snapshot.where(F.col("path").endswith(".py")).select("corpus_id", F.col(file).alias("dst"), dir_of.alias("dir"))
     return first.join(merged(files), ["corpus_id", "dir"]).select("corpus_id", "src", "dst").distinct()
 
 
+def _numbered(snapshot: DataFrame, targets: DataFrame) -> DataFrame:
+    """The rows of the snapshot (``listed``) and of the targets with the number ``file`` of their ``(corpus_id, path)``, the
+    same in all its rows; ``first`` marks one of them, ``root`` those of a target. Contents are left behind before the
+    shuffle, but for their import lines; a file without a path has none."""
+    key = ["corpus_id", "path"]
+    lines = F.when(F.col("path").isNotNull(), import_lines("content"))
+    rows = snapshot.select(*key, lines.alias("imports"), F.lit(True).alias("listed")).union(
+        targets.select(*key, F.lit(None).cast("array<string>"), F.lit(False)))
+    rows = rows.repartition(*key).withColumn("row", F.monotonically_increasing_id())
+    same = Window.partitionBy(*key)
+    rows = rows.select(*key, "imports", "listed", "row", F.min("row").over(same).alias("file"), F.max(~F.col("listed")).over(same).alias("root"))
+    return rows.withColumn("first", F.col("row") == F.col("file")).drop("row")
+
+
+def _fresh(rows: DataFrame, known: DataFrame, *key: str) -> DataFrame:
+    """The rows that are not among the known, each once, in one shuffle of both."""
+    both = rows.select(*key, F.lit(False).alias("old")).union(known.select(*key, F.lit(True)))
+    return both.groupBy(*key).agg(F.max("old").alias("old")).where(~F.col("old")).select(*key)
+
+
 def import_closure(snapshot: DataFrame, targets: DataFrame) -> DataFrame:
     """Files reachable from each target ``(corpus_id, path)`` through imports.
 
     Path doubling: round k knows what is within 2**k - 1 imports of the targets, and jumps of 2**k imports; the
     jumps lead on to what is within 2**(k + 1) - 1, and are joined with themselves to jumps twice as long. A
-    jump that a shorter one covers is dropped: a shortest path is made of shortest jumps. Rounds grow with
+    jump that one of the last round covers is dropped, and, in a round with more jumps than the last, one that any shorter
+    one covers: a shortest path is made of shortest jumps. Rounds grow with
     the logarithm of the longest chain, all repositories together, and end when one finds nothing new (distances have no gaps),
-    so the closure is complete. A round writes its new pairs and new jumps only, to the shared checkpoint folder
-    (it survives executor loss and cuts the lineage). All joins shuffle both sides: the tables are as large as the
+    so the closure is complete; a repository where a round finds nothing new takes no part in later ones. A round writes its
+    new pairs and new jumps only, to the shared checkpoint folder (it survives executor loss and cuts the lineage). The rounds
+    work on numbers of files, names come back at the end. All joins shuffle both sides: the tables are as large as the
     snapshot, and their files are a small part of what they are in memory."""
-    corpus, pair = "corpus_id", ["corpus_id", "src", "dst"]
-    jumps = materialize(resolve_edges(snapshot).where("src <> dst"), "import-jumps")
-    shorter = jumps
-    reached = materialize(targets.select(corpus, F.col("path").alias("root"), F.col("path").alias("file")).distinct(), "import-reached")
-    while True:
-        onward = reached.join(merged(jumps.select(corpus, F.col("src").alias("file"), "dst")), [corpus, "file"])
-        onward = onward.select(corpus, "root", F.col("dst").alias("file")).distinct()
-        new = materialize(onward.join(merged(reached), [corpus, "root", "file"], "left_anti"), "import-reached")
+    pair = ["corpus", "src", "dst"]
+    files = materialize(_numbered(snapshot, targets), "import-files")
+    corpus = F.xxhash64("corpus_id").alias("corpus")  # only to leave out repositories that are done
+    edges = resolve_edges(files.where("listed").select("corpus_id", "path", "imports", "file"), "file")
+    jumps = materialize(edges.where("src <> dst").select(corpus, "src", "dst"), "import-jumps")
+    shorter, n = None, jumps.count()
+    reached = materialize(files.where("first and root").select(corpus, F.col("file").alias("root"), "file"), "import-reached")
+    while n:
+        onward = reached.join(merged(jumps.select(F.col("src").alias("file"), "dst")), "file").select("corpus", "root", F.col("dst").alias("file"))
+        new = materialize(_fresh(onward, reached, "corpus", "root", "file"), "import-reached")
         if new.isEmpty():
-            return reached
+            break
         reached = reached.union(new)
-        twice = jumps.select(corpus, "src", F.col("dst").alias("via")).join(
-            merged(jumps.select(corpus, F.col("src").alias("via"), "dst")), [corpus, "via"])
-        twice = twice.where("src <> dst").select(*pair).distinct()
-        jumps = materialize(twice.join(merged(shorter), pair, "left_anti"), "import-jumps")
-        shorter = shorter.union(jumps)
+        active = jumps.join(merged(new.select("corpus").distinct()), "corpus", "left_semi")
+        twice = active.select("corpus", "src", F.col("dst").alias("via")).join(merged(jumps.select(F.col("src").alias("via"), "dst")), "via")
+        longer = materialize(_fresh(twice.where("src <> dst"), jumps, *pair), "import-jumps")
+        last, n = n, longer.count()
+        if n > last and shorter is not None:
+            longer = materialize(_fresh(longer, shorter, *pair), "import-fewer-jumps")
+            n = longer.count()
+        shorter = jumps if shorter is None else shorter.union(jumps)
+        jumps = longer
+    names = files.where("first")
+    found = reached.select("root", "file").join(merged(names.select("file", "corpus_id", F.col("path").alias("name"))), "file")
+    roots = names.where("root").select(F.col("file").alias("root"), F.col("path").alias("root_name"))
+    return found.join(merged(roots), "root").select("corpus_id", F.col("root_name").alias("root"), F.col("name").alias("file"))
 
 
 def doc_contents(path, content) -> Column:
